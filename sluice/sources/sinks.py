@@ -14,8 +14,13 @@ def write_csv_partitioned(df: DataFrame, path: str, by: str, mode: str = "overwr
 
 
 # K2 / K3
+# Full microsecond precision (the JSON writer's default keeps milliseconds).
+TS_FORMATS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+              "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def write_ndjson(df: DataFrame, path: str, by: str | None = None, mode: str = "overwrite") -> None:
-    w = df.write.mode(mode)
+    w = df.write.mode(mode).options(**TS_FORMATS)
     if by:
         w = w.partitionBy(by)
     w.json(path)
