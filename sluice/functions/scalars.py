@@ -28,7 +28,7 @@ def col_of(c) -> Column:
 def try_date(c, fmt: str | None = None) -> Column:
     """Text to date, null when the text is not a date."""
     c = col_of(c)
-    return F.try_to_date(c, F.lit(fmt)) if fmt else F.try_to_date(c)
+    return F.try_to_date(c, fmt) if fmt else F.try_to_date(c)
 
 
 # F2 / F4
@@ -94,7 +94,7 @@ def month_text_date(c) -> Column:
     year = F.get(parts, 1).try_cast(T.IntegerType())
     text = F.format_string("%04d-%02d-01", year, month)
     ok = (F.size(parts) == 2) & month.between(1, 12) & year.between(1, 9999)
-    return F.when(ok, F.try_to_date(text, F.lit("yyyy-MM-dd")))
+    return F.when(ok, F.try_to_date(text, "yyyy-MM-dd"))
 
 
 # F10

@@ -34,11 +34,16 @@ def coverage(df: DataFrame, by, date: str, distinct: str | None = None,
 
 
 def annual_total(df: DataFrame, by, date: str, value: str,
-                 year_name: str = "data_year", total_name: str = "value") -> DataFrame:
-    """A4: monthly to annual sums; null months skipped, empty years absent."""
+                 year_name: str = "data_year", total_name: str = "value",
+                 year=None) -> DataFrame:
+    """A4: monthly to annual sums; null months skipped, empty years absent.
+
+    ``year`` overrides the year expression (e.g. taken from month text).
+    """
     by = [by] if isinstance(by, str) else list(by)
+    y = F.year(date) if year is None else year
     return (df.where(F.col(value).isNotNull() & F.col(date).isNotNull())
-            .groupBy(*by, F.year(date).alias(year_name))
+            .groupBy(*by, y.alias(year_name))
             .agg(F.sum(value).alias(total_name)))
 
 
