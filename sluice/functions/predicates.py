@@ -35,7 +35,8 @@ def pick(map_col, keys, prefix: str = "") -> list[Column]:
 
 # P17
 def fill_from(c, fallback) -> Column:
-    return F.coalesce(col_of(c), col_of(fallback) if isinstance(fallback, (str, Column)) else F.lit(fallback))
+    """Missing value filled from the parent (a Column) or a default literal."""
+    return F.coalesce(col_of(c), fallback if isinstance(fallback, Column) else F.lit(fallback))
 
 
 # P13
