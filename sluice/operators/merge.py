@@ -1,10 +1,14 @@
 """Keyed upsert of a curated snapshot.
 
 Parquet tables have no row-level MERGE, so a merge produces the next
-snapshot: a full outer join of target and (deduplicated) source on the key.
-Rows whose key holds a null never match (SQL equality), so they are split off
-before the join; this also keeps a mass of null keys from landing in a single
-shuffle partition.
+snapshot: one full outer join of target and (deduplicated) source on the key.
+Rows whose key holds a null never match (SQL equality). So that a mass of
+such rows (or of identical copies of one) does not land in a single shuffle
+partition, every row carries a spread value that is 0 for complete keys and
+a side-signed hash for incomplete ones; it is part of the join key, so it
+never creates a match, it only spreads the unmatched rows. When a side is
+already hash-partitioned on the key (e.g. by ``latest_wins``), that
+partitioning still satisfies the join and no extra exchange is added.
 """
 
 from __future__ import annotations
@@ -16,20 +20,34 @@ from pyspark.sql import functions as F
 
 from sluice.functions.predicates import any_distinct
 
-T_FLAG, S_FLAG = "__in_t", "__in_s"
+T_FLAG, S_FLAG, SPREAD = "__in_t", "__in_s", "__spread"
 
 
 def _null_key(keys) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
-def _insert_exprs(columns, keys, set_insert) -> dict:
+def _spread(df: DataFrame, keys, sign: int) -> DataFrame:
+    h = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns], F.spark_partition_id()), F.lit(2**31 - 1)) + 1
+    return df.withColumn(SPREAD, F.when(_null_key(keys), h * sign).otherwise(F.lit(0)).cast("long"))
+
+
+def _key_cond(keys) -> list[Column]:
+    return [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys] + [F.col(f"t.{SPREAD}") == F.col(f"s.{SPREAD}")]
+
+
+def _insert_exprs(target: DataFrame, source: DataFrame, set_insert) -> dict:
+    """Insert expression per target column: explicit, else the source column
+    of that name, else a typed null (an omitted column in INSERT)."""
     out = {}
-    for c in columns:
+    types = dict(target.dtypes)
+    for c in target.columns:
         if c in set_insert:
             out[c] = set_insert[c]
-        else:
+        elif c in source.columns:
             out[c] = F.col(f"s.{c}")
+        else:
+            out[c] = F.lit(None).cast(types[c])
     return out
 
 
@@ -55,41 +73,36 @@ def merge(target: DataFrame, source: DataFrame, keys, *,
     keys = list(keys)
     cols = target.columns
     set_insert = set_insert or {}
-    ins = _insert_exprs(cols, keys, set_insert)
-
-    src_null = source.where(_null_key(keys))
-    src = source.where(~_null_key(keys))
-    tgt_null = target.where(_null_key(keys))
-    tgt = target.where(~_null_key(keys))
+    ins = _insert_exprs(target, source, set_insert)
+    if null_keys == "drop":
+        source = source.where(~_null_key(keys))
+    elif null_keys != "insert":
+        raise ValueError("null_keys must be 'insert' or 'drop'")
 
+    t = _spread(target, keys, -1).alias("t")
+    s = _spread(source, keys, 1).alias("s")
     if set_update is None:
         # Insert-only: new keys via anti join, no full outer join needed.
-        new = src.join(tgt.select(*keys), on=keys, how="left_anti")
-        inserted = new.alias("s").select([ins[c].alias(c) for c in cols])
-        parts = [tgt, inserted, tgt_null]
-    else:
-        t = tgt.withColumn(T_FLAG, F.lit(True)).alias("t")
-        s = src.withColumn(S_FLAG, F.lit(True)).alias("s")
-        cond = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
-        j = t.join(s, on=cond, how="full_outer")
-        only_s = F.col(f"t.{T_FLAG}").isNull()
-        matched = F.col(f"t.{T_FLAG}").isNotNull() & F.col(f"s.{S_FLAG}").isNotNull()
-        if update_when:
-            matched = matched & any_distinct("t", "s", update_when)
-        out = []
-        for c in cols:
-            if c in keys:
-                e = F.coalesce(F.col(f"t.{c}"), F.col(f"s.{c}"))
-            else:
-                upd = set_update.get(c, F.col(f"t.{c}"))
-                e = F.when(only_s, ins[c]).when(matched, upd).otherwise(F.col(f"t.{c}"))
-            out.append(e.alias(c))
-        parts = [j.select(out), tgt_null]
-    if null_keys == "insert":
-        parts.append(src_null.alias("s").select([ins[c].alias(c) for c in cols]))
-    elif null_keys != "drop":
-        raise ValueError("null_keys must be 'insert' or 'drop'")
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        new = s.join(t.select(*keys, SPREAD), on=_key_cond(keys), how="left_anti")
+        inserted = new.select([ins[c].alias(c) for c in cols])
+        return target.unionByName(inserted)
+
+    t = t.withColumn(T_FLAG, F.lit(True)).alias("t")
+    s = s.withColumn(S_FLAG, F.lit(True)).alias("s")
+    j = t.join(s, on=_key_cond(keys), how="full_outer")
+    only_s = F.col(f"t.{T_FLAG}").isNull()
+    matched = F.col(f"t.{T_FLAG}").isNotNull() & F.col(f"s.{S_FLAG}").isNotNull()
+    if update_when:
+        matched = matched & any_distinct("t", "s", update_when)
+    out = []
+    for c in cols:
+        if c in keys:
+            e = F.when(only_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))
+        else:
+            upd = set_update.get(c, F.col(f"t.{c}"))
+            e = F.when(only_s, ins[c]).when(matched, upd).otherwise(F.col(f"t.{c}"))
+        out.append(e.alias(c))
+    return j.select(out)
 
 
 def update_where(target: DataFrame, ids: DataFrame, keys, set_cols: dict) -> DataFrame:
@@ -99,13 +112,14 @@ def update_where(target: DataFrame, ids: DataFrame, keys, set_cols: dict) -> Dat
     """
     keys = list(keys)
     hit = "__hit"
-    marks = ids.where(~_null_key(keys)).select(*keys).distinct().withColumn(hit, F.lit(True))
-    j = target.where(~_null_key(keys)).join(marks, on=keys, how="left")
+    marks = (ids.where(~_null_key(keys)).select(*keys).distinct()
+             .withColumn(hit, F.lit(True)).withColumn(SPREAD, F.lit(0).cast("long")).alias("s"))
+    t = _spread(target, keys, -1).alias("t")
+    j = t.join(marks, on=_key_cond(keys), how="left")
     out = []
     for c in target.columns:
         if c in set_cols:
-            out.append(F.when(F.col(hit), set_cols[c]).otherwise(F.col(c)).alias(c))
+            out.append(F.when(F.col(f"s.{hit}"), set_cols[c]).otherwise(F.col(f"t.{c}")).alias(c))
         else:
-            out.append(F.col(c))
-    # Null keys never match; keep them out of the join (one hot partition).
-    return j.select(out).unionByName(target.where(_null_key(keys)))
+            out.append(F.col(f"t.{c}"))
+    return j.select(out)

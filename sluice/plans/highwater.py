@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.scalars import run_ts as _run_ts
 from sluice.operators.aggregate import delta_stats, run_totals  # noqa: F401
-from sluice.operators.joins import broadcast_if_small
+from sluice.operators.joins import is_small
 from sluice.operators.merge import merge, update_where
 
 # Status and message texts of the extraction log.
@@ -35,26 +35,49 @@ def _ts(v) -> Column:
     return v if isinstance(v, Column) else _run_ts(v)
 
 
+# Requested series above this count are joined by shuffle instead of broadcast.
+MAX_BROADCAST_SERIES = 1_000_000
+
+
+def _bounded(df: DataFrame, is_bounded: bool) -> DataFrame:
+    return F.broadcast(df) if is_bounded else df
+
+
 # H2 + H3 (+ H10 when use_marks is False)
 def plan(series: DataFrame, marks: DataFrame | None, default_start: str,
          override_start: str | None = None, use_marks: bool = True,
-         lookback_days: int = 0, key: str = "series_id") -> DataFrame:
+         lookback_days: int = 0, key: str = "series_id",
+         series_bounded: bool | None = None) -> DataFrame:
     """Start date per requested series: mark + 1 day, else the override,
-    else the configured default."""
+    else the configured default.
+
+    The requested series come from configuration; their count is checked
+    once (``series_bounded``). Marks are first cut down to the requested
+    series by a semi join, so the side joined back is bounded by the series
+    count too (marks are unique per series) and both joins broadcast.
+    """
     fallback = F.coalesce(F.lit(override_start).cast("date"), F.lit(default_start).cast("date"))
     if not use_marks or marks is None:
         return series.withColumn("start_date", fallback)
-    m = marks.select(key, "last_observation_date")
-    j = series.join(broadcast_if_small(m, 1_000_000), on=key, how="left")
+    if series_bounded is None:
+        series_bounded = is_small(series, MAX_BROADCAST_SERIES)
+    keys = series.select(key).distinct()
+    m = marks.select(key, "last_observation_date").join(_bounded(keys, series_bounded), key, "left_semi")
+    j = series.join(_bounded(m, series_bounded), on=key, how="left")
     start = F.coalesce(F.date_add("last_observation_date", 1 - lookback_days), fallback)
     return j.withColumn("start_date", start).drop("last_observation_date")
 
 
 # H4
 def delta(obs: DataFrame, plan_df: DataFrame, key: str = "series_id",
-          date: str = "observation_date", value: str = "value") -> DataFrame:
-    """Observations on or after each series' start date, null values dropped."""
-    p = broadcast_if_small(plan_df.select(key, "start_date"), 1_000_000)
+          date: str = "observation_date", value: str = "value",
+          plan_bounded: bool | None = None) -> DataFrame:
+    """Observations on or after each series' start date, null values dropped.
+    The plan has one row per requested series: broadcast when that count is
+    within bounds, so the observations are filtered where they are read."""
+    if plan_bounded is None:
+        plan_bounded = is_small(plan_df, MAX_BROADCAST_SERIES)
+    p = _bounded(plan_df.select(key, "start_date"), plan_bounded)
     return (obs.join(p, on=key, how="inner")
             .where((F.col(date) >= F.col("start_date")) & F.col(value).isNotNull())
             .drop("start_date"))

@@ -39,6 +39,24 @@ def rows_of(records, cols):
     return sorted(tuple(_norm(r[c]) for c in cols) for r in records)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+                 "timestamp": "TIMESTAMP WITH TIME ZONE", "smallint": "SMALLINT", "float": "FLOAT"}
+
+
+def type_mismatches(spark_df, con, sql: str) -> dict:
+    """Columns whose Spark type does not map to the DuckDB result type."""
+    desc = con.execute(f"DESCRIBE {sql}").fetchall()
+    duck_types = {r[0]: r[1] for r in desc}
+    out = {}
+    for name, dtype in spark_df.dtypes:
+        want = SPARK_TO_DUCK.get(dtype, dtype.upper())
+        got = duck_types.get(name)
+        if got is not None and got != want and not (dtype.startswith("decimal") and got.startswith("DECIMAL")):
+            out[name] = (dtype, got)
+    return out
+
+
 def compare(spark_df, con, sql: str) -> dict:
     rows = [r.asDict() for r in spark_df.collect()]
     scols = sorted(spark_df.columns)
@@ -47,6 +65,9 @@ def compare(spark_df, con, sql: str) -> dict:
     orecs = [dict(zip(ocols, r)) for r in cur.fetchall()]
     res = {"spark_rows": len(rows), "oracle_rows": len(orecs),
            "columns_match": scols == sorted(ocols)}
+    bad_types = type_mismatches(spark_df, con, sql)
+    if bad_types:
+        res["type_mismatch"] = bad_types
     if res["columns_match"]:
         a, b = rows_of(rows, scols), rows_of(orecs, scols)
         res["values_match"] = a == b

@@ -89,7 +89,9 @@ SELECT coalesce(t.user_id, s.user_id) AS user_id, coalesce(t.event_type, s.event
 {MERGE_SQL_JOIN}""")
 def merge_upsert(spark, sf_dir):
     target, source = merge_inputs(spark, sf_dir)
-    source = assert_unique(source, EV_KEYS)
+    # Materialise the merge source once in the shared checkpoint folder: the
+    # uniqueness check and the merge both read it instead of recomputing it.
+    source = assert_unique(source.checkpoint(eager=True), EV_KEYS)
     now = run_ts(RUN_TS)
     return merge(target, source, EV_KEYS,
                  set_update={"value": F.col("s.value"), "event_id": F.col("s.event_id"),

@@ -60,7 +60,7 @@ def landed_agency_payloads(spark, sf_dir):
 
 
 @case("payload_scan", """
-SELECT r.r_name AS state, s.s_suppkey // 64 AS page, count(DISTINCT n.n_name) + 2 AS n_members
+SELECT r.r_name AS state, s.s_suppkey // 64 AS page, CAST(count(DISTINCT n.n_name) + 2 AS INTEGER) AS n_members
 FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
 GROUP BY 1, 2""")
 def payload_scan(spark, sf_dir):

@@ -14,8 +14,8 @@ CTRL_SQL = r"'[\x00-\x08\x0b\x0c\x0e-\x1f]'"
 
 
 @case("clean_text", f"""
-SELECT doc_id, length(regexp_replace(text, {CTRL_SQL}, '', 'g')) AS clean_chars,
-       length(text) - length(regexp_replace(text, {CTRL_SQL}, '', 'g')) AS removed_chars,
+SELECT doc_id, CAST(length(regexp_replace(text, {CTRL_SQL}, '', 'g')) AS INTEGER) AS clean_chars,
+       CAST(length(text) - length(regexp_replace(text, {CTRL_SQL}, '', 'g')) AS INTEGER) AS removed_chars,
        regexp_replace(lang, {CTRL_SQL}, '', 'g') AS lang
 FROM documents""")
 def clean_text(spark, sf_dir):
@@ -28,7 +28,7 @@ def clean_text(spark, sf_dir):
 
 @case("sanitize_names", """
 SELECT page_id, substr(regexp_replace(url, '[^A-Za-z0-9_-]', '_', 'g'), 1, 31) AS sheet_name,
-       length(regexp_replace(url, '[^A-Za-z0-9_-]', '_', 'g')) AS ident_chars
+       CAST(length(regexp_replace(url, '[^A-Za-z0-9_-]', '_', 'g')) AS INTEGER) AS ident_chars
 FROM pages""")
 def sanitize_names(spark, sf_dir):
     p = t(spark, sf_dir, "pages")
