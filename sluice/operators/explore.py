@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.scalars import col_of, month_text_date
+from sluice.session import materialize
 
 
 # O1
@@ -75,7 +76,7 @@ def assign_ids(new: DataFrame, key, current_max: int | Column = 0, id_name: str
     ranged = new.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     ranged = ranged.withColumn("__pid", F.spark_partition_id()).withColumn(
         "__mid", F.monotonically_increasing_id())
-    ranged = ranged.checkpoint(eager=True)  # reliable checkpoint: ids must not be recomputed
+    ranged = materialize(ranged)  # reliable checkpoint: ids must not be recomputed
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"),
                                          F.min("__mid").alias("__first"))
     w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)

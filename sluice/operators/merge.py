@@ -27,13 +27,16 @@ def _null_key(keys) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
-def _spread(df: DataFrame, keys, sign: int) -> DataFrame:
+def _spread(df: DataFrame, keys, sign: int, on: bool = True) -> DataFrame:
+    if not on:
+        return df
     h = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns], F.spark_partition_id()), F.lit(2**31 - 1)) + 1
     return df.withColumn(SPREAD, F.when(_null_key(keys), h * sign).otherwise(F.lit(0)).cast("long"))
 
 
-def _key_cond(keys) -> list[Column]:
-    return [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys] + [F.col(f"t.{SPREAD}") == F.col(f"s.{SPREAD}")]
+def _key_cond(keys, spread: bool = True) -> list[Column]:
+    cond = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
+    return cond + [F.col(f"t.{SPREAD}") == F.col(f"s.{SPREAD}")] if spread else cond
 
 
 def _insert_exprs(target: DataFrame, source: DataFrame, set_insert) -> dict:
@@ -55,7 +58,8 @@ def merge(target: DataFrame, source: DataFrame, keys, *,
           set_update: dict | None = None,
           set_insert: dict | None = None,
           update_when=None,
-          null_keys: str = "insert") -> DataFrame:
+          null_keys: str = "insert",
+          spread_nulls: bool = True) -> DataFrame:
     """Return the target snapshot after ``MERGE source INTO target``.
 
     * ``set_update``: column -> expression over aliases ``t`` and ``s`` for
@@ -67,6 +71,10 @@ def merge(target: DataFrame, source: DataFrame, keys, *,
       one of them differs null-safely (J2). ``None`` updates every match.
     * ``null_keys``: ``"insert"`` (null-keyed source rows are inserted, as
       SQL MERGE does) or ``"drop"``.
+    * ``spread_nulls``: add the spread join key (see module doc). Pass False
+      when neither side can hold a null key (declared NOT NULL keys and
+      ``null_keys="drop"``): the join then reuses a hash partitioning on the
+      key that the inputs already have (e.g. from ``latest_wins``).
 
     The source must be unique on ``keys`` (see ``latest_wins``).
     """
@@ -79,17 +87,18 @@ def merge(target: DataFrame, source: DataFrame, keys, *,
     elif null_keys != "insert":
         raise ValueError("null_keys must be 'insert' or 'drop'")
 
-    t = _spread(target, keys, -1).alias("t")
-    s = _spread(source, keys, 1).alias("s")
+    t = _spread(target, keys, -1, spread_nulls).alias("t")
+    s = _spread(source, keys, 1, spread_nulls).alias("s")
+    tkeys = keys + [SPREAD] if spread_nulls else keys
     if set_update is None:
         # Insert-only: new keys via anti join, no full outer join needed.
-        new = s.join(t.select(*keys, SPREAD), on=_key_cond(keys), how="left_anti")
+        new = s.join(t.select(*tkeys), on=_key_cond(keys, spread_nulls), how="left_anti")
         inserted = new.select([ins[c].alias(c) for c in cols])
         return target.unionByName(inserted)
 
     t = t.withColumn(T_FLAG, F.lit(True)).alias("t")
     s = s.withColumn(S_FLAG, F.lit(True)).alias("s")
-    j = t.join(s, on=_key_cond(keys), how="full_outer")
+    j = t.join(s, on=_key_cond(keys, spread_nulls), how="full_outer")
     only_s = F.col(f"t.{T_FLAG}").isNull()
     matched = F.col(f"t.{T_FLAG}").isNotNull() & F.col(f"s.{S_FLAG}").isNotNull()
     if update_when:

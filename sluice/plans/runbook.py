@@ -48,7 +48,10 @@ def curate(target: DataFrame, raw: DataFrame, run_ts: str) -> DataFrame:
                  set_update={"value": F.col("s.value"), "extracted_at": F.col("s.extracted_at"),
                              "source_file": F.col("s.source_file"), "updated_at": now},
                  set_insert={"loaded_at": now, "updated_at": now},
-                 update_when=["value", "extracted_at"], null_keys="drop")
+                 update_when=["value", "extracted_at"], null_keys="drop",
+                 # Curated keys are NOT NULL (checked by V8) and the source is
+                 # filtered by require(): keep the dedupe's key partitioning.
+                 spread_nulls=False)
 
 
 def initial_snapshot(raw: DataFrame, loaded_at_col: str = "loaded_at") -> DataFrame:

@@ -82,3 +82,11 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+def materialize(df):
+    """Reliable checkpoint into the shared folder: cuts lineage so later
+    stages (and retries after a lost executor) read the written data instead
+    of recomputing it. Never a local checkpoint."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -11,6 +11,7 @@ from sluice.operators.joins import bounded_values, enrich, grid
 from sluice.operators.merge import merge
 from sluice.plans import runbook
 from sluice.plans.highwater import seed_grid
+from sluice.session import materialize
 from sluice.suite import case
 from sluice.suite.common import (OLD_SQL, OLD_TS, RUN_SQL, RUN_TS, SOURCE_FROM, TARGET_CUT, t)
 
@@ -91,7 +92,7 @@ def merge_upsert(spark, sf_dir):
     target, source = merge_inputs(spark, sf_dir)
     # Materialise the merge source once in the shared checkpoint folder: the
     # uniqueness check and the merge both read it instead of recomputing it.
-    source = assert_unique(source.checkpoint(eager=True), EV_KEYS)
+    source = assert_unique(materialize(source), EV_KEYS)
     now = run_ts(RUN_TS)
     return merge(target, source, EV_KEYS,
                  set_update={"value": F.col("s.value"), "event_id": F.col("s.event_id"),

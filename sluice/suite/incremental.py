@@ -177,3 +177,14 @@ WHERE o.observation_date >= DATE '{DEFAULT_START}' AND o.value IS NOT NULL""")
 def full_refresh(spark, sf_dir):
     plan = hw.plan(configured(spark), None, DEFAULT_START, use_marks=False)
     return hw.delta(observations(spark, sf_dir), plan, plan_bounded=True)
+
+
+@case("plan_subset", CTE + """
+SELECT series_id, category, start_date FROM plan WHERE lower(category) = 'operations'
+ORDER BY cat_pos, pos LIMIT 2""")
+def plan_subset(spark, sf_dir):
+    """H11 + P9: one category (case-insensitive) and the first n series."""
+    from sluice.plans.params import optional_eq
+    _s, _m, plan, *_ = scenario(spark, sf_dir)
+    chosen = optional_eq(plan, "category", "OPERATIONS")
+    return chosen.orderBy("cat_pos", "pos").limit(2).select("series_id", "category", "start_date")

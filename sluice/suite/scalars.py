@@ -76,3 +76,15 @@ def dates_and_json(spark, sf_dir):
 
 
 
+
+
+@case("zoned_text", """
+SELECT event_id, epoch_us(ts) - 7200000000 AS instant_us, epoch_us(ts) AS naive_us FROM events""")
+def zoned_text(spark, sf_dir):
+    """zoned text to an instant (offset honoured), zone-less text as UTC."""
+    from sluice.functions.scalars import try_timestamp
+    ev = t(spark, sf_dir, "events")
+    text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    zoned = try_timestamp(F.concat(text, F.lit("+02:00")))
+    naive = try_timestamp(F.concat(text, F.lit("Z")))      # zone-less text taken as UTC
+    return ev.select("event_id", F.unix_micros(zoned).alias("instant_us"), F.unix_micros(naive).alias("naive_us"))
