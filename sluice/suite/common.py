@@ -17,8 +17,17 @@ TARGET_CUT = "2024-01-20 12:00:00"
 SOURCE_FROM = "2024-01-15 00:00:00"
 
 
+_TABLES: dict = {}
+
+
 def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, sf_dir, name)
+    """Base table reader; the DataFrame (file listing, footer schema) is
+    reused within a session since the test tables are read-only."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, name)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = read_table(spark, sf_dir, name)
+    return df
 
 
 def dec_sum(col: str):
