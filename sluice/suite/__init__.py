@@ -16,7 +16,7 @@ def case(name: str, sql: str | None = None):
     return deco
 
 
-MODULES = ["curation", "landing", "incremental", "aggregates", "reshaping", "explore",
+MODULES = ["curation", "runbooks", "landing", "incremental", "aggregates", "reshaping", "explore",
            "scalars", "streams"]
 
 
