@@ -54,24 +54,36 @@ def flatten_agencies(payloads: DataFrame, payload: str, record_schema: str,
 
 
 # R2 / R3
+def _first_series(payload, section: str) -> Column:
+    """The first object-valued member of ``section`` (document order)."""
+    sec = F.get_json_object(col_of(payload), f"$.{section}")
+    entries = F.map_entries(object_members(sec))
+    return F.get(F.filter(entries, lambda e: _starts(e["value"], "{")), 0)
+
+
 def monthly_long(payloads: DataFrame, payload: str, section: str = "actuals",
-                 keep=(), label_name: str = "series_label") -> DataFrame:
+                 keep=(), label_name: str = "series_label", lookups: dict | None = None) -> DataFrame:
     """First object-valued series of ``section`` to monthly rows.
 
     Output: ``keep`` + label, month text, ``observation_date`` (null for a
     malformed month) and ``value`` (double, null when not a number).
+    ``lookups`` maps an output column to another section (e.g. ``rates``):
+    its first series is read for the same month key in the same pass, as
+    text (cast by the caller).
     """
     keep = list(keep)
-    sec = F.get_json_object(col_of(payload), f"$.{section}")
-    entries = F.map_entries(object_members(sec))
-    first = F.get(F.filter(entries, lambda e: _starts(e["value"], "{")), 0)
+    lookups = lookups or {}
+    first = _first_series(payload, section)
+    extra = [object_members(_first_series(payload, sec)["value"]).alias(f"__m_{name}")
+             for name, sec in lookups.items()]
     heads = payloads.select(*keep, first["key"].alias(label_name),
-                            object_members(first["value"]).alias("__months"))
-    rows = heads.select(*keep, label_name,
+                            object_members(first["value"]).alias("__months"), *extra)
+    rows = heads.select(*keep, label_name, *[f"__m_{n}" for n in lookups],
                         F.explode("__months").alias("month_text", "__val"))
     return rows.select(*keep, label_name, "month_text",
                        month_text_date("month_text").alias("observation_date"),
-                       try_double("__val").alias("value"))
+                       try_double("__val").alias("value"),
+                       *[F.try_element_at(f"__m_{n}", F.col("month_text")).alias(n) for n in lookups])
 
 
 def split_rejects(df: DataFrame, required) -> tuple[DataFrame, DataFrame]:

@@ -66,3 +66,49 @@ def verify(curated: DataFrame) -> DataFrame:
     return coverage(curated, "state", "observation_date", distinct="offense_code",
                     names={"distinct": "offense_codes", "first": "earliest_month",
                            "last": "latest_month", "rows": "total_rows"})
+
+
+# --- National level of the unified arrests table ---------------------------------
+
+UNIFIED_KEYS = ["geography_level", "geography_value", "offense_code", "observation_date"]
+UNIFIED_COLS = UNIFIED_KEYS + ["value", "rate", "population", "extracted_at", "source_file",
+                               "loaded_at", "updated_at"]
+# The pinned geography of national rows.
+NATIONAL_LEVEL = "NATIONAL"
+NATIONAL_VALUE = "National"
+
+
+def national_source(raw: DataFrame) -> DataFrame:
+    """P1 + P2 + P3 + W1: typed national rows pinned to the national level,
+    required keys checked on the typed columns, latest extract per key."""
+    def g(path, typ="string"):
+        return F.try_variant_get("raw_data", f"$.{path}", typ)
+    typed = raw.select(
+        F.lit(NATIONAL_LEVEL).alias("geography_level"), F.lit(NATIONAL_VALUE).alias("geography_value"),
+        g("offense_code", "int").alias("offense_code"),
+        try_date(g("observation_date")).alias("observation_date"),
+        g("value").try_cast("double").alias("value"), g("rate").try_cast("double").alias("rate"),
+        g("population", "bigint").alias("population"),
+        try_ts_ntz(g("extracted_at")).alias("extracted_at"), "source_file", "loaded_at")
+    typed = require(typed, ["offense_code", "observation_date"])
+    return latest_wins(typed, UNIFIED_KEYS, [F.col("extracted_at").desc_nulls_last(),
+                                             F.col("loaded_at").desc_nulls_last()])
+
+
+def curate_national(target: DataFrame, raw: DataFrame, run_ts: str) -> DataFrame:
+    """J2 into the unified table: update when value, rate, population or
+    extract time changed; other levels of the table are left as they are."""
+    now = _run_ts(run_ts)
+    changed = ["value", "rate", "population", "extracted_at"]
+    return merge(target.select(*UNIFIED_COLS), national_source(raw), UNIFIED_KEYS,
+                 set_update={**{c: F.col(f"s.{c}") for c in changed + ["source_file", "loaded_at"]},
+                             "updated_at": now},
+                 set_insert={"updated_at": now}, update_when=changed, null_keys="drop",
+                 spread_nulls=False)
+
+
+def verify_national(unified: DataFrame) -> DataFrame:
+    """V4: months and range per offense at the national level (P5 + A2)."""
+    nat = unified.where(F.col("geography_level") == NATIONAL_LEVEL)
+    return coverage(nat, ["geography_level", "offense_code"], "observation_date",
+                    names={"rows": "month_count", "first": "earliest_month", "last": "latest_month"})

@@ -132,3 +132,110 @@ def curated_agencies(spark, sf_dir):
       "SELECT state_abbr, count(*) AS agency_count FROM directory GROUP BY state_abbr")
 def curated_agencies_verify(spark, sf_dir):
     return agencies.verify(curated_directory(spark, sf_dir))
+
+
+# --- National arrests into the unified table (R2 + lookups, K3, S2, P1-P3, W1, J2, U4, V4)
+
+NAT_E0 = "2023-06-01 00:00:00"
+NAT_E1 = "2024-01-01 00:00:00"
+NAT_E2 = "2024-01-20 00:00:00"
+
+
+def monthly_sums(spark, sf_dir):
+    li = t(spark, sf_dir, "lineitem")
+    return (li.groupBy(F.col("l_linenumber").alias("offense_code"),
+                       F.date_format("l_shipdate", "MM-yyyy").alias("mt"),
+                       F.year("l_shipdate").alias("yr"))
+            .agg(F.sum("l_quantity").alias("v"),
+                 F.sum(F.col("l_discount").cast("decimal(18,2)")).cast("double").alias("r"),
+                 F.count(F.lit(1)).alias("p")))
+
+
+def national_payloads(monthly, extracted_at: str):
+    """One payload per offense code: ``{"actuals": {label: {MM-YYYY: v}},
+    "rates": {..}, "population": {..}}`` (months bound the map size)."""
+    label = F.concat(F.col("offense_code").cast("string"), F.lit(" Arrests"))
+    per = monthly.groupBy("offense_code").agg(
+        F.map_from_entries(F.collect_list(F.struct("mt", "v"))).alias("mv"),
+        F.map_from_entries(F.collect_list(F.struct("mt", "r"))).alias("mr"),
+        F.map_from_entries(F.collect_list(F.struct("mt", "p"))).alias("mp"))
+    bad = F.create_map(F.lit("13-2020"), F.lit(1.0))
+    doc = F.struct(F.create_map(label, F.map_concat("mv", bad)).alias("actuals"),
+                   F.create_map(label, F.col("mr")).alias("rates"),
+                   F.create_map(label, F.col("mp")).alias("population"))
+    return per.select("offense_code", F.lit(extracted_at).alias("extracted_at"), F.to_json(doc).alias("payload"))
+
+
+def unified_arrests(spark, sf_dir):
+    from sluice.operators.reshape import monthly_long
+    from sluice.functions.scalars import date_text
+    monthly = monthly_sums(spark, sf_dir)
+    root = scratch_path(spark, "arrests_national")
+    first = national_payloads(monthly, NAT_E1)
+    recent = monthly.where(F.col("yr") >= 2001).withColumn("v", F.col("v") + 1)   # revised period
+    second = national_payloads(recent, NAT_E2)
+    for batch in (first, second):
+        rows = monthly_long(batch, "payload", "actuals", keep=["offense_code", "extracted_at"],
+                            lookups={"rate": "rates", "population": "population"})
+        landed = rows.select("offense_code", date_text("observation_date").alias("observation_date"),
+                             "value", "rate", "population", "extracted_at")
+        sinks.write_ndjson(landed, root, mode="append")          # K3: one output set per run
+    raw = scan_ndjson_variant(spark, root, pattern="*.json", loaded_at=RUN_TS)
+
+    old = run_ts(OLD_TS)
+    li = t(spark, sf_dir, "lineitem")
+    state = (li.groupBy(F.col("l_returnflag").alias("geography_value"), F.col("l_linenumber").alias("offense_code"),
+                        F.trunc("l_shipdate", "month").alias("observation_date"))
+             .agg(F.sum("l_quantity").alias("value"), F.count(F.lit(1)).alias("population"))
+             .select(F.lit("STATE").alias("geography_level"), "geography_value", "offense_code", "observation_date",
+                     "value", F.lit(None).cast("double").alias("rate"), "population",
+                     F.lit(NAT_E0).cast("timestamp_ntz").alias("extracted_at"),
+                     F.lit("seed").alias("source_file"), old.alias("loaded_at"), old.alias("updated_at")))
+    national = monthly.select(
+        F.lit("NATIONAL").alias("geography_level"), F.lit("National").alias("geography_value"), "offense_code",
+        F.to_date(F.concat(F.lit("01-"), F.col("mt")), "dd-MM-yyyy").alias("observation_date"),
+        F.col("v").alias("value"), F.col("r").alias("rate"), F.col("p").alias("population"),
+        F.lit(NAT_E1).cast("timestamp_ntz").alias("extracted_at"), F.lit("seed").alias("source_file"),
+        old.alias("loaded_at"), old.alias("updated_at"))
+    target = stack([state, national])            # U4: one table, two geography levels
+    from sluice.plans.runbook import curate_national
+    return curate_national(target, raw, RUN_TS)
+
+
+UNIFIED_SQL = f"""
+WITH m AS (SELECT l_linenumber AS offense_code, CAST(date_trunc('month', l_shipdate) AS DATE) AS observation_date,
+                  sum(l_quantity) AS value, CAST(SUM(CAST(l_discount AS DECIMAL(18,2))) AS DOUBLE) AS rate,
+                  count(*) AS population
+           FROM lineitem GROUP BY 1, 2),
+     nat AS (SELECT 'NATIONAL' AS geography_level, 'National' AS geography_value, offense_code, observation_date,
+                    CASE WHEN year(observation_date) >= 2001 THEN value + 1 ELSE value END AS value, rate, population,
+                    CASE WHEN year(observation_date) >= 2001 THEN TIMESTAMP '{NAT_E2}' ELSE TIMESTAMP '{NAT_E1}' END AS extracted_at,
+                    year(observation_date) >= 2001 AS from_landing,
+                    CASE WHEN year(observation_date) >= 2001 THEN {RUN_SQL} ELSE {OLD_SQL} END AS loaded_at,
+                    CASE WHEN year(observation_date) >= 2001 THEN {RUN_SQL} ELSE {OLD_SQL} END AS updated_at
+             FROM m),
+     st AS (SELECT 'STATE' AS geography_level, l_returnflag AS geography_value, l_linenumber AS offense_code,
+                   CAST(date_trunc('month', l_shipdate) AS DATE) AS observation_date, sum(l_quantity) AS value,
+                   CAST(NULL AS DOUBLE) AS rate, count(*) AS population, TIMESTAMP '{NAT_E0}' AS extracted_at,
+                   false AS from_landing, {OLD_SQL} AS loaded_at, {OLD_SQL} AS updated_at
+            FROM lineitem GROUP BY 1, 2, 3, 4),
+     unified AS (SELECT * FROM nat UNION ALL SELECT * FROM st)
+"""
+
+
+def _landing_flag(df):
+    return df.withColumn("from_landing", F.col("source_file").endswith(".json")).drop("source_file")
+
+
+@case("unified_arrests", UNIFIED_SQL + "SELECT * FROM unified")
+def unified_arrests_q(spark, sf_dir):
+    return _landing_flag(unified_arrests(spark, sf_dir))
+
+
+@case("national_verify", UNIFIED_SQL + """
+SELECT geography_level, offense_code, count(*) AS month_count, min(observation_date) AS earliest_month,
+       max(observation_date) AS latest_month
+FROM unified WHERE geography_level = 'NATIONAL' GROUP BY 1, 2""")
+def national_verify(spark, sf_dir):
+    from sluice.plans.runbook import verify_national
+    return verify_national(unified_arrests(spark, sf_dir))
