@@ -108,7 +108,8 @@ def advance(marks: DataFrame, stats: DataFrame, meta: DataFrame | None, run_ts,
                              "consecutive_failures": F.lit(0), "updated_at": now},
                  set_insert={"last_successful_run": now, "consecutive_failures": F.lit(0),
                              "updated_at": now},
-                 null_keys="drop")
+                 # series_id is the marks table's primary key (NOT NULL).
+                 null_keys="drop", spread_nulls=False)
 
 
 # H6
@@ -155,4 +156,5 @@ def seed_grid(marks: DataFrame, grid_df: DataFrame, keys, run_ts) -> DataFrame:
     """Insert-only seeding of the extraction grid into the marks table."""
     now = _ts(run_ts)
     return merge(marks, grid_df, keys, set_update=None,
-                 set_insert={"created_at": now, "updated_at": now}, null_keys="drop")
+                 set_insert={"created_at": now, "updated_at": now}, null_keys="drop",
+                 spread_nulls=False)   # the grid key is the marks table's primary key

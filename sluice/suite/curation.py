@@ -12,6 +12,7 @@ from sluice.operators.merge import merge
 from sluice.plans import runbook
 from sluice.plans.highwater import seed_grid
 from sluice.session import materialize
+from sluice.sources.landing import values_df
 from sluice.suite import case
 from sluice.suite.common import (OLD_SQL, OLD_TS, RUN_SQL, RUN_TS, SOURCE_FROM, TARGET_CUT, t)
 
@@ -216,7 +217,8 @@ def grid_cross(spark, sf_dir):
     codes = bounded_values(t(spark, sf_dir, "lineitem"), "l_linenumber")
     nation = t(spark, sf_dir, "nation")
     customer = t(spark, sf_dir, "customer")
-    national = nation.limit(1).select(F.lit("national").alias("report_level"), F.lit("US").alias("member"))
+    # Fixed value: the one sentinel member of the national level.
+    national = values_df(spark, [("national", "US")], "report_level STRING, member STRING")
     members = stack([
         national,
         nation.select(F.lit("state").alias("report_level"), F.col("n_name").alias("member")),

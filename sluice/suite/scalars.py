@@ -19,11 +19,10 @@ SELECT doc_id, CAST(length(regexp_replace(text, {CTRL_SQL}, '', 'g')) AS INTEGER
        regexp_replace(lang, {CTRL_SQL}, '', 'g') AS lang
 FROM documents""")
 def clean_text(spark, sf_dir):
-    d = t(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    cleaned = clean_strings(d)                      # F16 over every string column
+    d = t(spark, sf_dir, "documents").select("doc_id", F.length("text").alias("raw_chars"), "text", "lang")
+    cleaned = clean_strings(d)                      # F16 over every string column, one projection
     return cleaned.select("doc_id", F.length("text").alias("clean_chars"),
-                          "lang").join(d.select("doc_id", F.length("text").alias("raw_chars")), "doc_id") \
-        .select("doc_id", "clean_chars", (F.col("raw_chars") - F.col("clean_chars")).alias("removed_chars"), "lang")
+                          (F.col("raw_chars") - F.length("text")).alias("removed_chars"), "lang")
 
 
 @case("sanitize_names", """
