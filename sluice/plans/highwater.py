@@ -158,3 +158,15 @@ def seed_grid(marks: DataFrame, grid_df: DataFrame, keys, run_ts) -> DataFrame:
     return merge(marks, grid_df, keys, set_update=None,
                  set_insert={"created_at": now, "updated_at": now}, null_keys="drop",
                  spread_nulls=False)   # the grid key is the marks table's primary key
+
+
+# H3 over the arrest extraction grid (month marks stored as ``MM-YYYY`` text).
+def plan_months(grid_marks: DataFrame, default_from: str, to_month: str,
+                last_col: str = "last_date", first_col: str = "first_date") -> DataFrame:
+    """Request period per grid row: the month after the stored last month,
+    else the stored first month, else the default; the end is fixed."""
+    from sluice.functions.scalars import month_text_date
+    start = F.coalesce(F.add_months(month_text_date(last_col), 1), month_text_date(first_col),
+                       month_text_date(F.lit(default_from)))
+    return (grid_marks.withColumn("from_month", F.date_format(start, "MM-yyyy"))
+            .withColumn("to_month", F.lit(to_month)))

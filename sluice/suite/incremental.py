@@ -188,3 +188,37 @@ def plan_subset(spark, sf_dir):
     _s, _m, plan, *_ = scenario(spark, sf_dir)
     chosen = optional_eq(plan, "category", "OPERATIONS")
     return chosen.orderBy("cat_pos", "pos").limit(2).select("series_id", "category", "start_date")
+
+
+# The request period of the state-level arrest extraction.
+ARREST_FROM, ARREST_TO = "01-1999", "03-2026"
+
+
+@case("arrest_request_plan", f"""
+WITH codes AS (SELECT DISTINCT l_linenumber AS offense_code FROM lineitem WHERE l_linenumber IS NOT NULL),
+     grid AS (SELECT n.n_name AS member, c.offense_code FROM nation n JOIN codes c ON true),
+     delivered AS (SELECT n.n_name AS member, l.l_linenumber AS offense_code,
+                          max(CAST(date_trunc('month', l.l_shipdate) AS DATE)) AS last_month
+                   FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+                   JOIN nation n ON s.s_nationkey = n.n_nationkey GROUP BY 1, 2)
+SELECT 'state' AS report_level, g.member, g.offense_code,
+       strftime(coalesce(CAST(d.last_month + INTERVAL 1 MONTH AS DATE), DATE '1999-01-01'), '%m-%Y') AS from_month,
+       '{ARREST_TO}' AS to_month
+FROM grid g LEFT JOIN delivered d ON g.member = d.member AND g.offense_code = d.offense_code""")
+def arrest_request_plan(spark, sf_dir):
+    """Extraction grid (J5) joined to its month marks (H3): next month to
+    request per (state, offense code)."""
+    from sluice.operators.joins import bounded_values, grid
+    li = t(spark, sf_dir, "lineitem")
+    nation = t(spark, sf_dir, "nation")
+    codes = bounded_values(li, "l_linenumber")
+    g = grid(nation.select(F.col("n_name").alias("member")), codes, "offense_code")
+    sup = t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"),
+                                              F.col("s_nationkey").alias("n_nationkey"))
+    marks = (li.select("l_suppkey", F.col("l_linenumber").alias("offense_code"), "l_shipdate")
+             .join(sup, "l_suppkey").join(nation, "n_nationkey")
+             .groupBy(F.col("n_name").alias("member"), "offense_code")
+             .agg(F.date_format(F.max("l_shipdate"), "MM-yyyy").alias("last_date"))
+             .withColumn("first_date", F.lit(None).cast("string")))
+    planned = hw.plan_months(g.join(marks, ["member", "offense_code"], "left"), ARREST_FROM, ARREST_TO)
+    return planned.select(F.lit("state").alias("report_level"), "member", "offense_code", "from_month", "to_month")
