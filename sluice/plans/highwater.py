@@ -170,3 +170,74 @@ def plan_months(grid_marks: DataFrame, default_from: str, to_month: str,
                        month_text_date(F.lit(default_from)))
     return (grid_marks.withColumn("from_month", F.date_format(start, "MM-yyyy"))
             .withColumn("to_month", F.lit(to_month)))
+
+
+# --- One incremental run, end to end -----------------------------------
+
+# Column order of a landed series CSV (the loader reads by position).
+CSV_COLUMNS = ["series_id", "observation_date", "value", "title", "frequency", "units", "extracted_at"]
+
+
+class RunOutputs:
+    """What one run produces; nothing is written until ``commit_run``."""
+
+    def __init__(self, plan_df, rows, stats, log, marks, landing_path):
+        self.plan, self.rows, self.stats = plan_df, rows, stats
+        self.log, self.marks, self.landing_path = log, marks, landing_path
+
+
+def run_extraction(obs: DataFrame, series: DataFrame, marks: DataFrame | None, meta: DataFrame, *,
+                   default_start: str, run_ts: str, run_id: str, landing_root: str,
+                   failed: DataFrame | None = None, use_marks: bool = True, lookback_days: int = 0,
+                   series_bounded: bool | None = None, key: str = "series_id") -> RunOutputs:
+    """Plan, cut the delta, enrich it with series metadata and land it as one
+    CSV folder per series (K1). The enriched delta is checkpointed once, so
+    landing, statistics, log and marks all read the same rows (and a lost
+    executor re-reads them instead of re-extracting)."""
+    from sluice.functions.scalars import date_text
+    from sluice.session import materialize
+    from sluice.sources.sinks import write_csv_partitioned
+    if series_bounded is None:
+        series_bounded = is_small(series, MAX_BROADCAST_SERIES)
+    plan_df = plan(series, marks, default_start, use_marks=use_marks and marks is not None,
+                   lookback_days=lookback_days, key=key, series_bounded=series_bounded)
+    d = delta(obs, plan_df, key=key, plan_bounded=series_bounded)
+    if failed is not None:
+        d = d.join(_bounded(failed.select(key).distinct(), series_bounded), key, "left_anti")
+    m = meta.select(key, "title", "frequency", "units").join(
+        _bounded(series.select(key).distinct(), series_bounded), key, "left_semi")
+    extracted = F.lit(run_ts.replace(" ", "T") + "+00:00")
+    rows = d.join(_bounded(m, series_bounded), key, "left").select(
+        key, "observation_date", "value",
+        *[F.coalesce(c, F.lit("")).alias(c) for c in ("title", "frequency", "units")],
+        extracted.alias("extracted_at"))
+    rows = materialize(rows)
+    path = f"{landing_root}/{run_id}"
+    landed = rows.select(F.col(key).alias("series"), date_text("observation_date").alias("date"),
+                         "value", "title", "frequency", "units", "extracted_at", F.col(key))
+    write_csv_partitioned(landed, path, key)
+    stats = delta_stats(rows, key, "observation_date")
+    log = extraction_log(plan_df, stats, failed, run_id, run_ts, key=key,
+                         file_of=lambda c: F.concat(F.lit(f"{path}/{key}="), c))
+    new_marks = None
+    if use_marks and marks is not None:
+        new_marks = advance(marks, stats, meta, run_ts, key=key)
+        if failed is not None:
+            new_marks = bump_failures(new_marks, failed, run_ts, key=key)
+    return RunOutputs(plan_df, rows, stats, log, new_marks, path)
+
+
+def commit_run(out: RunOutputs, log_path: str, marks_root: str, run_id: str) -> None:
+    """Write the log first (append) and the marks last, as a new version
+    folder: the marks being read are never overwritten, and a crash before
+    the marks re-extracts instead of losing rows."""
+    out.log.write.mode("append").parquet(log_path)
+    if out.marks is not None:
+        out.marks.write.mode("overwrite").parquet(f"{marks_root}/run={run_id}")
+
+
+def latest_marks(spark, marks_root: str) -> DataFrame:
+    """The most recent committed marks version."""
+    versions = spark.read.parquet(marks_root)
+    last = versions.agg(F.max("run")).first()[0]
+    return versions.where(F.col("run") == F.lit(last)).drop("run")

@@ -222,3 +222,88 @@ def arrest_request_plan(spark, sf_dir):
              .withColumn("first_date", F.lit(None).cast("string")))
     planned = hw.plan_months(g.join(marks, ["member", "offense_code"], "left"), ARREST_FROM, ARREST_TO)
     return planned.select(F.lit("state").alias("report_level"), "member", "offense_code", "from_month", "to_month")
+
+
+LOOKBACK = 2
+
+
+def series_run(spark, sf_dir):
+    """One incremental run with a two-day lookback, committed (log first,
+    marks last), followed by the load and merge of the landed CSV files."""
+    from sluice.plans import series as series_plan
+    from sluice.session import scratch_path
+    root = scratch_path(spark, "series_run")
+    series = configured(spark)
+    marks = previous_marks(spark, sf_dir)
+    out = hw.run_extraction(observations(spark, sf_dir), series, marks, meta_of(series),
+                            default_start=DEFAULT_START, run_ts=RUN_TS, run_id=RUN_ID,
+                            landing_root=f"{root}/landing", failed=failed_df(spark),
+                            lookback_days=LOOKBACK, series_bounded=True)
+    hw.commit_run(out, f"{root}/log", f"{root}/marks", RUN_ID)
+    prev = F.lit(PREV_RUN).cast("timestamp_ntz")
+    prev_instant = F.try_to_timestamp(F.lit(PREV_RUN.replace(" ", "T") + "Z"))
+    previous = (observations(spark, sf_dir)
+                .where((F.col("observation_date") < F.lit(MARK_CUT).cast("date"))
+                       & (F.col("series_id") != "signup"))
+                .join(F.broadcast(series.select("series_id")), "series_id", "left_semi")   # config-sized
+                .select("series_id", "observation_date", "value",
+                        F.concat(F.lit("Events: "), "series_id").alias("title"), F.lit("Daily").alias("frequency"),
+                        F.lit("USD").alias("units"), prev_instant.alias("extracted_at"),
+                        F.lit("seed").alias("source_file"), prev.alias("loaded_at"), prev.alias("updated_at")))
+    raw = series_plan.load(spark, out.landing_path, RUN_TS)
+    return root, series_plan.curate(previous, raw, RUN_TS)
+
+
+SERIES_CTE = CTE.replace("coalesce(m.last_observation_date + 1,", f"coalesce(m.last_observation_date + {1 - LOOKBACK},") + f""",
+     prev AS (SELECT series_id, observation_date, value, 'Events: ' || series_id AS title, 'Daily' AS frequency,
+                     'USD' AS units, epoch_us(TIMESTAMP '{PREV_RUN}') AS extracted_us, false AS from_landing,
+                     TIMESTAMP '{PREV_RUN}' AS loaded_at, TIMESTAMP '{PREV_RUN}' AS updated_at
+              FROM obs WHERE observation_date < DATE '{MARK_CUT}' AND series_id <> 'signup'
+                AND series_id IN (SELECT series_id FROM series)),
+     curated AS (
+        SELECT coalesce(p.series_id, d.series_id) AS series_id,
+               coalesce(p.observation_date, d.observation_date) AS observation_date,
+               CASE WHEN d.series_id IS NOT NULL THEN d.value ELSE p.value END AS value,
+               CASE WHEN d.series_id IS NOT NULL THEN 'Events: ' || d.series_id ELSE p.title END AS title,
+               CASE WHEN d.series_id IS NOT NULL THEN 'Daily' ELSE p.frequency END AS frequency,
+               CASE WHEN d.series_id IS NOT NULL THEN 'USD' ELSE p.units END AS units,
+               CASE WHEN d.series_id IS NOT NULL THEN epoch_us(TIMESTAMP '{RUN_ID[:4]}-{RUN_ID[4:6]}-{RUN_ID[6:8]} 00:00:00')
+                    ELSE p.extracted_us END AS extracted_us,
+               d.series_id IS NOT NULL AS from_landing,
+               CASE WHEN d.series_id IS NOT NULL THEN {RUN_SQL} ELSE p.loaded_at END AS loaded_at,
+               CASE WHEN d.series_id IS NOT NULL THEN {RUN_SQL} ELSE p.updated_at END AS updated_at
+        FROM prev p FULL OUTER JOIN delta d ON p.series_id = d.series_id AND p.observation_date = d.observation_date)
+"""
+
+
+@case("series_pipeline", SERIES_CTE + "SELECT * FROM curated")
+def series_pipeline(spark, sf_dir):
+    _root, curated = series_run(spark, sf_dir)
+    return curated.select("series_id", "observation_date", "value", "title", "frequency", "units",
+                          F.unix_micros("extracted_at").alias("extracted_us"),
+                          F.col("source_file").endswith(".csv").alias("from_landing"), "loaded_at", "updated_at")
+
+
+@case("committed_marks", SERIES_CTE + f"""
+SELECT coalesce(m.series_id, s.series_id) AS series_id,
+       CASE WHEN s.series_id IS NOT NULL THEN 'Events: ' || s.series_id ELSE m.title END AS title,
+       CASE WHEN s.series_id IS NOT NULL THEN 'Daily' ELSE m.frequency END AS frequency,
+       CASE WHEN s.series_id IS NOT NULL THEN 'USD' ELSE m.units END AS units,
+       CASE WHEN s.series_id IS NOT NULL THEN s.end_date ELSE m.last_observation_date END AS last_observation_date,
+       CASE WHEN s.series_id IS NOT NULL THEN {RUN_SQL} ELSE m.last_successful_run END AS last_successful_run,
+       CASE WHEN s.series_id IS NOT NULL THEN CAST(0 AS INTEGER)
+            WHEN m.series_id IN (SELECT series_id FROM failed) THEN coalesce(m.consecutive_failures, 0) + 1
+            ELSE m.consecutive_failures END AS consecutive_failures,
+       CASE WHEN s.series_id IS NOT NULL OR m.series_id IN (SELECT series_id FROM failed) THEN {RUN_SQL}
+            ELSE m.updated_at END AS updated_at
+FROM marks m FULL OUTER JOIN (SELECT * FROM stats WHERE record_count > 0) s ON m.series_id = s.series_id""")
+def committed_marks(spark, sf_dir):
+    root, _curated = series_run(spark, sf_dir)
+    return hw.latest_marks(spark, f"{root}/marks")
+
+
+@case("committed_log", SERIES_CTE + "SELECT * EXCLUDE (s3_key), s3_key IS NOT NULL AS landed FROM log")
+def committed_log(spark, sf_dir):
+    root, _curated = series_run(spark, sf_dir)
+    log = spark.read.parquet(f"{root}/log")
+    return log.withColumn("landed", F.col("s3_key").isNotNull()).drop("s3_key")
