@@ -5,7 +5,7 @@ snapshot: one full outer join of target and (deduplicated) source on the key.
 Rows whose key holds a null never match (SQL equality). So that a mass of
 such rows (or of identical copies of one) does not land in a single shuffle
 partition, every row carries a spread value that is 0 for complete keys and
-a side-signed hash for incomplete ones; it is part of the join key, so it
+a side-signed row id for incomplete ones; it is part of the join key, so it
 never creates a match, it only spreads the unmatched rows. When a side is
 already hash-partitioned on the key (e.g. by ``latest_wins``), that
 partitioning still satisfies the join and no extra exchange is added.
@@ -30,7 +30,9 @@ def _null_key(keys) -> Column:
 def _spread(df: DataFrame, keys, sign: int, on: bool = True) -> DataFrame:
     if not on:
         return df
-    h = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns], F.spark_partition_id()), F.lit(2**31 - 1)) + 1
+    # Any value works for correctness (a null key never matches); a per-row id
+    # spreads even identical copies, and works for every column type.
+    h = F.monotonically_increasing_id() + 1
     return df.withColumn(SPREAD, F.when(_null_key(keys), h * sign).otherwise(F.lit(0)).cast("long"))
 
 

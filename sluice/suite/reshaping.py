@@ -92,13 +92,13 @@ def arrest_payloads(spark, sf_dir):
     bad = F.create_map(F.lit("13-2020"), F.lit(1.0), F.lit("bad"), F.lit(2.0), F.lit("1-2-2020"), F.lit(3.0))
     series = F.create_map(label, F.map_concat("months", bad),
                           F.concat(label, F.lit(" cleared")), F.col("doubled"))
+    per = per.withColumn("__series", series)
+    # A non-object member comes first, so "first object-valued series" is exercised.
     actuals = F.concat(F.lit('{"note":"preliminary",'), F.expr("substring(to_json(__series), 2)"))
     rates = F.to_json(F.create_map(F.concat(label, F.lit(" rate")), F.col("doubled")))
-    return (per.select("l_returnflag", "l_linestatus", series.alias("__series"))
-            .withColumn("__rates", F.to_json(F.create_map(F.lit("x"), F.lit(1))))
-            .select(F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"),
-                    F.concat(F.lit('{"actuals":'), actuals, F.lit(',"rates":'),
-                             F.to_json(F.create_map(F.lit("r"), F.lit(1.0))), F.lit("}")).alias("payload")))
+    return per.select(
+        F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"),
+        F.concat(F.lit('{"actuals":'), actuals, F.lit(',"rates":'), rates, F.lit("}")).alias("payload"))
 
 
 def monthly(spark, sf_dir):

@@ -179,3 +179,11 @@ def test_select_member_validates(spark):
     assert select_member(df, "s", "ny", ["CA", "NY"]).count() == 1
     with pytest.raises(ValueError):
         select_member(df, "s", "ZZ", ["CA", "NY"])
+
+
+def test_merge_with_map_columns_and_many_null_keys(spark):
+    tgt = spark.createDataFrame([(None, {"a": "1"})] * 50 + [(1, {"b": "2"})], "k INT, m MAP<STRING,STRING>")
+    src = spark.createDataFrame([(None, {"c": "3"}), (1, {"d": "4"})], "k INT, m MAP<STRING,STRING>")
+    out = merge(tgt, src, ["k"], set_update={"m": F.col("s.m")})
+    assert out.where(F.col("k").isNull()).count() == 51
+    assert out.where(F.col("k") == 1).first().m == {"d": "4"}
