@@ -244,3 +244,49 @@ def quotes_table_q(spark, sf_dir):
                      F.col("trailingPE").try_cast("int").alias("trailingPE"),
                      F.col("marketCap").try_cast("double").alias("marketCap"), "dividendYield")
     return top_k(typed, "marketCap", False, 10, tiebreak=["symbol"])
+
+
+def offense_payloads(spark, sf_dir):
+    """Per (state, year) one response: a bare list of offense records, or the
+    list wrapped in an object next to an empty list (alternate years)."""
+    li = t(spark, sf_dir, "lineitem").select("l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate")
+    sup = t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    nat = t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
+    offense = F.concat(F.col("l_returnflag"),
+                       F.when(F.col("l_linestatus") == "F", F.lit(" Violent crime")).otherwise(F.lit(" property")))
+    counts = (li.join(sup, "l_suppkey").join(nat, "s_nationkey")
+              .groupBy(F.col("n_name").alias("state"), F.year("l_shipdate").alias("year"), offense.alias("offense"))
+              .agg(F.count(F.lit(1)).alias("actual_count")))
+    per = counts.groupBy("state", "year").agg(
+        F.to_json(F.collect_list(F.struct("year", "offense", "actual_count"))).alias("items"))
+    wrapped = F.concat(F.lit('{"pagination":{},"empty":[],"data":'), F.col("items"), F.lit("}"))
+    return per.select("state", F.when(F.col("year") % 2 == 0, F.col("items")).otherwise(wrapped).alias("payload"))
+
+
+def _state_members():
+    return [f"NATION_{i}" for i in range(25)]
+
+
+@case("state_offenses_pivot", "WITH c AS (SELECT n.n_name AS state, CAST(year(l.l_shipdate) AS BIGINT) AS year, "
+      "l.l_returnflag || CASE WHEN l.l_linestatus = 'F' THEN ' Violent crime' ELSE ' property' END AS offense "
+      "FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey) "
+      "SELECT year, " + ", ".join(
+          f"CAST(SUM(CASE WHEN state = '{m}' AND lower(offense) LIKE '%violent%' THEN 1 END) AS BIGINT) AS \"{m}\""
+          for m in _state_members())
+      + " FROM c WHERE lower(offense) LIKE '%violent%' GROUP BY year")
+def state_offenses_pivot(spark, sf_dir):
+    """R4 + U3 + P13 + P6 + R7: coerce each response to records, land them,
+    read them back with the schema discovered from the data, find the count
+    and offense columns by name, keep violent offenses, pivot year x state."""
+    from sluice.functions.predicates import contains_ci, find_col
+    rows = payload_rows(offense_payloads(spark, sf_dir), "payload", keep=["state"])
+    path = scratch_path(spark, "offense_records")
+    # Each state's records land in its own folder (the tag, U3).
+    rows.select(F.col("state").alias("state_abbr"), F.col("record").alias("value")) \
+        .write.mode("overwrite").partitionBy("state_abbr").text(path)
+    df = spark.read.json(path)                                   # columns discovered from the data
+    count_col = find_col(df, ["count", "actual"])
+    offense_col = find_col(df, ["offense", "crime_type"])
+    violent = df.where(contains_ci(offense_col, "violent"))
+    members = bounded_values(df, "state_abbr", 10_000)
+    return pivot_sum(violent, "year", "state_abbr", count_col, members)
