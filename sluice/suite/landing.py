@@ -150,3 +150,26 @@ def export_frames_q(spark, sf_dir):
              for n in written]
     from sluice.operators.explore import stack
     return stack(parts)
+
+
+@case("catalog_sampling")
+def catalog_sampling(spark, sf_dir):
+    """Every test table sampled, cleaned and exported; a view that fails at
+    run time is skipped; two long names share a prefix and get unique export
+    names."""
+    from sluice.plans.sampling import exported_counts, sample_catalog
+    names = []
+    for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+                 "documents", "pages", "labels", "conversations"):
+        view = f"sluice_sample_{name}"
+        t(spark, sf_dir, name).createOrReplaceTempView(view)
+        names.append(view)
+    long_a = "sluice_sample_lineitem_with_a_very_long_name_a"
+    long_b = "sluice_sample_lineitem_with_a_very_long_name_b"
+    for v in (long_a, long_b):
+        t(spark, sf_dir, "lineitem").createOrReplaceTempView(v)
+    broken = "sluice_sample_broken"
+    t(spark, sf_dir, "region").select(F.raise_error(F.lit("broken view")).alias("x")).createOrReplaceTempView(broken)
+    root = scratch_path(spark, "catalog_sample")
+    exported, _skipped = sample_catalog(spark, root, names + [long_a, long_b, broken], cap=100_000, n=1_000, seed=3)
+    return exported_counts(spark, root, exported)

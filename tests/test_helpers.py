@@ -84,3 +84,23 @@ def test_live_stream_runs_for_bounded_time(spark):
     assert not q.isActive
     got = sorted((r.id, r.price, r.time) for r in spark.read.parquet(f"{out}/data").collect())
     assert got == [("?", 4.0, ""), ("AAPL", 10.5, "t1"), ("MSFT", 2.0, "t2")]
+
+
+def test_unique_export_names():
+    from sluice.plans.sampling import unique_names
+    names = ["a" * 40, "a" * 35, "Listing", "short", "a" * 31]
+    out = unique_names(names)
+    assert out == ["a" * 31, "a" * 29 + "_1", "Listing_1", "short", "a" * 29 + "_2"]
+    assert all(len(n) <= 31 for n in out) and len(set(out)) == len(out)
+
+
+def test_catalog_sampling_skips_broken_view(spark):
+    from conftest import SF_SMALL
+    from sluice.suite import load_all
+    rows = load_all()["catalog_sampling"][0](spark, SF_SMALL).collect()
+    got = {r.table_name: (r.export_name, r.sampled_rows) for r in rows}
+    assert "sluice_sample_broken" not in got
+    assert len(got) == 14
+    assert got["sluice_sample_region"][1] == 5
+    assert got["sluice_sample_lineitem"][1] == 1000
+    assert got["sluice_sample_lineitem_with_a_very_long_name_b"][0].endswith("_1")

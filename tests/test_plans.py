@@ -23,6 +23,7 @@ BOUNDED_SINGLE = {
     "screen_presets": "top-n merge",
     "plan_subset": "top-n merge",
     "run_totals": "global totals",
+    "catalog_sampling": "bounded samples and their row counts",
 }
 
 
