@@ -31,9 +31,13 @@ def _spread(df: DataFrame, keys, sign: int, on: bool = True) -> DataFrame:
     if not on:
         return df
     # Any value works for correctness (a null key never matches); a per-row id
-    # spreads even identical copies, and works for every column type.
+    # spreads even identical copies, and works for every column type. The
+    # "complete key" value is a zero the optimizer cannot fold: if it folded
+    # (one side's keys provably non-null) the spread would drop out of the
+    # join keys and the other side's null keys would meet in one partition.
     h = F.monotonically_increasing_id() + 1
-    return df.withColumn(SPREAD, F.when(_null_key(keys), h * sign).otherwise(F.lit(0)).cast("long"))
+    zero = F.spark_partition_id() * 0
+    return df.withColumn(SPREAD, F.when(_null_key(keys), h * sign).otherwise(zero).cast("long"))
 
 
 def _key_cond(keys, spread: bool = True) -> list[Column]:
@@ -124,7 +128,8 @@ def update_where(target: DataFrame, ids: DataFrame, keys, set_cols: dict) -> Dat
     keys = list(keys)
     hit = "__hit"
     marks = (ids.where(~_null_key(keys)).select(*keys).distinct()
-             .withColumn(hit, F.lit(True)).withColumn(SPREAD, F.lit(0).cast("long")).alias("s"))
+             .withColumn(hit, F.lit(True))
+             .withColumn(SPREAD, (F.spark_partition_id() * 0).cast("long")).alias("s"))   # see _spread
     t = _spread(target, keys, -1).alias("t")
     j = t.join(marks, on=_key_cond(keys), how="left")
     out = []
