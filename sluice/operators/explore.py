@@ -70,10 +70,13 @@ def assign_ids(new: DataFrame, key, current_max: int | Column = 0, id_name: str
     moves all rows into one task.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    order = [F.col(k).asc_nulls_last() for k in keys]
+    # A per-row tiebreak lets the range partitioner split a mass of equal
+    # keys (or identical copies) over several partitions.
+    order = [F.col(k).asc_nulls_last() for k in keys] + [F.col("__tb").asc()]
     spark = new.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = new.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    ranged = (new.withColumn("__tb", F.monotonically_increasing_id())
+              .repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("__tb"))
     ranged = ranged.withColumn("__pid", F.spark_partition_id()).withColumn(
         "__mid", F.monotonically_increasing_id())
     ranged = materialize(ranged)  # reliable checkpoint: ids must not be recomputed

@@ -60,3 +60,13 @@ def test_update_where_spreads_null_keys(spark):
         assert out.where("f = 1").count() == 6            # keys 1, 2, 4, 5, 7, 8
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_assign_ids_splits_copies_of_one_key(spark):
+    from sluice.operators.explore import assign_ids
+    df = spark.range(3_000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"))
+    out = assign_ids(df, "k", 0, "sid")
+    ids = sorted(r.sid for r in out.collect())
+    assert ids == list(range(1, 3_001))
+    per_part = out.where("k = 0").groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_part) >= 2                     # the 1,000 copies are not in one task
