@@ -35,15 +35,22 @@ def list_items(c) -> Column:
 
 # R1 + P16
 def flatten_agencies(payloads: DataFrame, payload: str, record_schema: str,
-                     keep=(), group_name: str = "county_name") -> DataFrame:
+                     keep=(), group_name: str = "county_name",
+                     rebalance: int | None = None) -> DataFrame:
     """``{group: [record, ...], ...}`` to one row per record.
 
     Members that are not lists and list items that are not objects are
     skipped (shape guard). Columns in ``keep`` (request keys such as state
     and extract time) overwrite record fields of the same name.
+
+    ``rebalance``: when a few documents hold most of the data, spread their
+    members over this many partitions before the lists are parsed, so one
+    huge response is not parsed and exploded by a single task.
     """
     keep = list(keep)
     groups = payloads.select(*keep, F.explode(object_members(payload)).alias("__g", "__v"))
+    if rebalance:
+        groups = groups.repartition(rebalance)
     items = groups.select(*keep, F.col("__g").alias(group_name),
                           F.explode(list_items("__v")).alias("__item"))
     records = items.where(_starts(F.col("__item"), "{"))

@@ -187,3 +187,12 @@ def test_merge_with_map_columns_and_many_null_keys(spark):
     out = merge(tgt, src, ["k"], set_update={"m": F.col("s.m")})
     assert out.where(F.col("k").isNull()).count() == 51
     assert out.where(F.col("k") == 1).first().m == {"d": "4"}
+
+
+def test_flatten_rebalance_keeps_results(spark):
+    counties = ", ".join(f'"C{i}": [{{"ori": "O{i}a"}}, {{"ori": "O{i}b"}}]' for i in range(40))
+    df = spark.createDataFrame([("{" + counties + "}", "WA")], "p STRING, state STRING")
+    a = flatten_agencies(df, "p", "ori STRING", keep=["state"])
+    b = flatten_agencies(df, "p", "ori STRING", keep=["state"], rebalance=8)
+    assert rows(a) == rows(b) and len(rows(a)) == 80
+    assert b.rdd.getNumPartitions() == 8
