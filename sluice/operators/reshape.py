@@ -62,9 +62,11 @@ def flatten_agencies(payloads: DataFrame, payload: str, record_schema: str,
 
 # R2 / R3
 def _first_series(payload, section: str) -> Column:
-    """The first object-valued member of ``section`` (document order)."""
-    sec = F.get_json_object(col_of(payload), f"$.{section}")
-    entries = F.map_entries(object_members(sec))
+    """The first object-valued member of ``section`` (document order); the
+    section is read in the same parse as the document (no second pass)."""
+    p = col_of(payload)
+    members = F.when(_starts(p, "{"), F.from_json(p, f"STRUCT<`{section}`: {MAP_SS}>")[section])
+    entries = F.map_entries(members)
     return F.get(F.filter(entries, lambda e: _starts(e["value"], "{")), 0)
 
 

@@ -290,3 +290,29 @@ def state_offenses_pivot(spark, sf_dir):
     violent = df.where(contains_ci(offense_col, "violent"))
     members = bounded_values(df, "state_abbr", 10_000)
     return pivot_sum(violent, "year", "state_abbr", count_col, members)
+
+
+def agency_month_payloads(spark, sf_dir):
+    """One response per (agency, offense code) of the agency-level grid:
+    ``{"actuals": {"<code> Arrests": {"MM-YYYY": n}}}`` (bounded by months)."""
+    li = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+    o = t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    monthly = (li.join(o, "l_orderkey")
+               .groupBy("o_custkey", F.col("l_linenumber").alias("offense_code"),
+                        F.date_format("l_shipdate", "MM-yyyy").alias("mt"))
+               .agg(F.sum("l_quantity").alias("v")))
+    label = F.concat(F.col("offense_code").cast("string"), F.lit(" Arrests"))
+    per = monthly.groupBy("o_custkey", "offense_code").agg(
+        F.map_from_entries(F.collect_list(F.struct("mt", "v"))).alias("m"))
+    return per.select(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("ori"), "offense_code",
+                      F.to_json(F.struct(F.create_map(label, F.col("m")).alias("actuals"))).alias("payload"))
+
+
+@case("agency_monthly_long", """
+SELECT 'C' || CAST(o.o_custkey AS VARCHAR) AS ori, l.l_linenumber AS offense_code,
+       CAST(l.l_linenumber AS VARCHAR) || ' Arrests' AS series_label, strftime(l.l_shipdate, '%m-%Y') AS month_text,
+       CAST(date_trunc('month', l.l_shipdate) AS DATE) AS observation_date, sum(l.l_quantity) AS value
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY ALL""")
+def agency_monthly_long(spark, sf_dir):
+    """R2 over the full agency-level grid (every agency x offense code)."""
+    return monthly_long(agency_month_payloads(spark, sf_dir), "payload", "actuals", keep=["ori", "offense_code"])
