@@ -32,25 +32,34 @@ def unique_names(names, limit: int = NAME_LIMIT, reserved=(LISTING,)) -> list[st
 
 def sample_catalog(spark: SparkSession, out_root: str, tables: list[str] | None = None,
                    db: str | None = None, cap: int = 100_000, n: int = 1_000,
-                   seed: int | None = None) -> tuple[list, list]:
+                   seed: int = 42, parallel: int = 4) -> tuple[list, list]:
     """Write the listing and one cleaned sample per table under ``out_root``.
 
     Returns ``(exported, skipped)``: (table, export name) pairs and
-    (table, error) pairs. Only catalog names pass through the driver; every
-    sample is a Spark job (bounded by ``cap`` rows) written by the executors.
+    (table, error) pairs, in listing order. Only catalog names pass through
+    the driver; every sample is a Spark job written by the executors, and up
+    to ``parallel`` of these independent jobs run at the same time.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     listing = list_tables(spark, db)
     listing.write.mode("overwrite").parquet(f"{out_root}/{LISTING}")
     names = tables if tables is not None else [r.table_name for r in listing.collect()]
-    exported, skipped = [], []
-    for table, export in zip(names, unique_names(names)):
+
+    def one(pair):
+        table, export = pair
         try:
             source = spark.table(f"{db}.{table}" if db else table)
             sample = clean_strings(drop_zones(random_sample(source, cap, n, seed)))
             sample.write.mode("overwrite").parquet(f"{out_root}/{export}")
-            exported.append((table, export))
+            return table, export, None
         except Exception as exc:  # one bad table must not stop the run
-            skipped.append((table, str(exc).splitlines()[0][:200]))
+            return table, export, str(exc).splitlines()[0][:200]
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        results = list(pool.map(one, zip(names, unique_names(names))))
+    exported = [(t, e) for t, e, err in results if err is None]
+    skipped = [(t, err) for t, _e, err in results if err is not None]
     return exported, skipped
 
 
