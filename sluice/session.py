@@ -24,14 +24,42 @@ DEFAULT_CONF = {
 }
 
 
+# Cluster profile for data in the 100 TB range (1,000+ executors). Shuffles
+# start wide and AQE coalesces them to ~256 MB partitions; scans split files
+# at 256 MB; a partition 4x the median and above 512 MB counts as skewed and
+# is split; runtime broadcasts stay small; stragglers are re-launched and lost
+# executors are tolerated by task and stage retries.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.speculation": "true",
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "8",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+
 def build_session(master: str | None = None, app: str = "sluice",
                   shuffle_partitions: int | None = None,
-                  extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the toolkit's settings."""
+                  extra: dict | None = None, profile: str = "local") -> SparkSession:
+    """Create (or reuse) a session with the toolkit's settings.
+
+    ``profile="cluster"`` adds ``CLUSTER_CONF``; the cluster must name a
+    shared ``spark.checkpoint.dir``.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
