@@ -23,7 +23,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "<nan>"
-        return repr(round(v, 9))
+        return repr(v)   # exact: the driver hashes values, so bits must agree
     if hasattr(v, "isoformat"):
         return v.isoformat()
     if isinstance(v, (bytes, bytearray)):
