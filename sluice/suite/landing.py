@@ -32,7 +32,8 @@ def scan_csv_typed(spark, sf_dir):
     # Landing layout: nested folders per status, plus a non-matching note file.
     sinks.write_csv_partitioned(orders.withColumn("status_dir", F.col("o_orderstatus")),
                                 f"{root}/orders", "status_dir")
-    orders.limit(3).select(F.lit("not a data file").alias("value")).write.mode("overwrite").text(f"{root}/notes")
+    # A landing note next to the data files: the file pattern must skip it.
+    spark.createDataFrame([("not a data file",)], "value STRING").write.mode("overwrite").text(f"{root}/notes")
     df = landing.scan_csv(spark, root, ORDER_COLS, pattern="*.csv", on_error="continue",
                           loaded_at=RUN_TS,
                           types={"o_orderkey": "bigint", "o_custkey": "bigint",
@@ -46,8 +47,8 @@ FROM events""")
 def scan_ndjson_variant(spark, sf_dir):
     root = scratch_path(spark, "ndjson_variant")
     sinks.write_ndjson(t(spark, sf_dir, "events"), f"{root}/events")
-    t(spark, sf_dir, "events").limit(2).select(F.lit("{not json").alias("value")) \
-        .write.mode("overwrite").text(f"{root}/broken")
+    # A truncated response landed next to the good files: skipped under "continue".
+    spark.createDataFrame([("{not json",)], "value STRING").write.mode("overwrite").text(f"{root}/broken")
     raw = landing.scan_ndjson_variant(spark, root, on_error="continue", loaded_at=RUN_TS)
     g = lambda path, typ: F.try_variant_get("raw_data", path, typ)
     return raw.select(g("$.event_id", "bigint").alias("event_id"),
