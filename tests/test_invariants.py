@@ -102,3 +102,47 @@ def test_delta_stats_last_date_is_max(spark):
     df = spark.createDataFrame([("a", dt.date(2024, 1, 3)), ("a", dt.date(2024, 1, 1))], "series_id STRING, d DATE")
     r = delta_stats(df, "series_id", "d").first()
     assert (r.record_count, r.end_date) == (2, dt.date(2024, 1, 3))
+
+
+def model_latest(rows):
+    """Per key the row with the greatest ts (nulls last), then greatest v."""
+    best = {}
+    for k, ts, v in rows:
+        rank = (ts is not None, ts if ts is not None else 0, v is not None, v if v is not None else 0)
+        if k not in best or rank > best[k][0]:
+            best[k] = (rank, (k, ts, v))
+    return sorted((r for _rank, r in best.values()), key=lambda r: [(x is None, str(x)) for x in r])
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(keys, st.one_of(st.none(), st.integers(0, 4)), vals), min_size=1, max_size=12))
+def test_latest_wins_matches_python_model_random(spark, data):
+    df = spark.createDataFrame(data, "k INT, ts INT, v INT")
+    out = latest_wins(df, ["k"], [F.col("ts").desc_nulls_last()])
+    got = sorted(((r.k, r.ts, r.v) for r in out.collect()), key=lambda r: [(x is None, str(x)) for x in r])
+    assert got == model_latest(data)
+
+
+def model_month(text):
+    parts = text.strip().split("-") if text is not None else []
+    if len(parts) != 2:
+        return None
+    try:
+        m, y = int(parts[0]), int(parts[1])
+    except ValueError:
+        return None
+    if not (1 <= m <= 12 and 1 <= y <= 9999):
+        return None
+    return dt.date(y, m, 1)
+
+
+@settings(max_examples=30, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(
+    st.builds(lambda m, y: f"{m:02d}-{y}", st.integers(0, 14), st.integers(1990, 2030)),
+    st.builds(lambda m, y: f"{m}-{y}", st.integers(1, 12), st.integers(1990, 2030)),
+    st.sampled_from(["bad", "1-2-2020", "", " 03-2021 ", "13-2020", "00-2020"])), min_size=1, max_size=10))
+def test_month_text_matches_python_model(spark, texts):
+    from sluice.functions.scalars import month_text_date
+    df = spark.createDataFrame([(t,) for t in texts], "m STRING")
+    got = [(r.m, r.d) for r in df.select("m", month_text_date("m").alias("d")).collect()]
+    assert got == [(t, model_month(t)) for t in texts]
