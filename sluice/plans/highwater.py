@@ -241,3 +241,10 @@ def latest_marks(spark, marks_root: str) -> DataFrame:
     versions = spark.read.parquet(marks_root)
     last = versions.agg(F.max("run")).first()[0]
     return versions.where(F.col("run") == F.lit(last)).drop("run")
+
+
+# H1
+def ensure_log_table(spark, name: str, path: str) -> None:
+    """The extraction log as a catalog table over its folder (created once)."""
+    from sluice.sources.sinks import ensure_table
+    ensure_table(spark, name, LOG_DDL, path)

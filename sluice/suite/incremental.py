@@ -227,6 +227,10 @@ def arrest_request_plan(spark, sf_dir):
 LOOKBACK = 2
 
 
+def _log_table(root: str) -> str:
+    return "extraction_log_" + root.rsplit("-", 1)[-1]
+
+
 def series_run(spark, sf_dir):
     """One incremental run with a two-day lookback, committed (log first,
     marks last), followed by the load and merge of the landed CSV files."""
@@ -239,6 +243,7 @@ def series_run(spark, sf_dir):
                             default_start=DEFAULT_START, run_ts=RUN_TS, run_id=RUN_ID,
                             landing_root=f"{root}/landing", failed=failed_df(spark),
                             lookback_days=LOOKBACK, series_bounded=True)
+    hw.ensure_log_table(spark, _log_table(root), f"{root}/log")              # H1
     hw.commit_run(out, f"{root}/log", f"{root}/marks", RUN_ID)
     prev = F.lit(PREV_RUN).cast("timestamp_ntz")
     prev_instant = F.try_to_timestamp(F.lit(PREV_RUN.replace(" ", "T") + "Z"))
@@ -305,5 +310,6 @@ def committed_marks(spark, sf_dir):
 @case("committed_log", SERIES_CTE + "SELECT * EXCLUDE (s3_key), s3_key IS NOT NULL AS landed FROM log")
 def committed_log(spark, sf_dir):
     root, _curated = series_run(spark, sf_dir)
-    log = spark.read.parquet(f"{root}/log")
+    spark.catalog.refreshTable(_log_table(root))
+    log = spark.table(_log_table(root))
     return log.withColumn("landed", F.col("s3_key").isNotNull()).drop("s3_key")
