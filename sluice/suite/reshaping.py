@@ -288,7 +288,8 @@ def state_offenses_pivot(spark, sf_dir):
     count_col = find_col(df, ["count", "actual"])
     offense_col = find_col(df, ["offense", "crime_type"])
     violent = df.where(contains_ci(offense_col, "violent"))
-    members = bounded_values(df, "state_abbr", 10_000)
+    # Columns come from the state dimension, so a state without data is a null column.
+    members = bounded_values(t(spark, sf_dir, "nation"), "n_name", 10_000)
     return pivot_sum(violent, "year", "state_abbr", count_col, members)
 
 
