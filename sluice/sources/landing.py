@@ -122,15 +122,22 @@ def list_tables(spark: SparkSession, db: str | None = None, with_counts: bool =
     tables = spark.catalog.listTables(db) if db else spark.catalog.listTables()
     rows = []
     for t in sorted(tables, key=lambda t: t.name):
-        n = None
-        if with_counts:
-            name = t.name if t.isTemporary or not t.namespace else f"{'.'.join(t.namespace)}.{t.name}"
-            n = spark.table(name).count()
-        rows.append((t.name, t.tableType, bool(t.isTemporary), n))
-    schema = "table_name STRING, table_type STRING, is_temporary BOOLEAN, row_count BIGINT"
+        name = t.name if t.isTemporary or not t.namespace else f"{'.'.join(t.namespace)}.{t.name}"
+        n = spark.table(name).count() if with_counts else None
+        rows.append((t.name, t.tableType, bool(t.isTemporary), _created(spark, name, t.isTemporary), n))
+    schema = ("table_name STRING, table_type STRING, is_temporary BOOLEAN, created STRING, "
+              "row_count BIGINT")
     return spark.createDataFrame(rows, schema).orderBy("table_name")
 
 
+def _created(spark: SparkSession, name: str, temporary: bool) -> str | None:
+    """Creation time from the catalog's table metadata (temp views have none)."""
+    if temporary:
+        return None
+    info = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(F.col("col_name") == "Created Time").collect()
+    return info[0]["data_type"] if info else None
+
+
 # S12
 def scan_bars(spark: SparkSession, path: str, symbols=None, date_col: str = "date",
               lo=None, hi=None, symbol_col: str = "symbol") -> DataFrame:

@@ -104,3 +104,12 @@ def test_catalog_sampling_skips_broken_view(spark):
     assert got["sluice_sample_region"][1] == 5
     assert got["sluice_sample_lineitem"][1] == 1000
     assert got["sluice_sample_lineitem_with_a_very_long_name_b"][0].endswith("_1")
+
+
+def test_listing_has_creation_time_for_catalog_tables(spark):
+    from sluice.sources.landing import list_tables
+    path = scratch_path(spark, "t_listing")
+    name = "t_listing_" + path.rsplit("-", 1)[-1]
+    sinks.ensure_table(spark, name, "k STRING", path)
+    row = [r for r in list_tables(spark).collect() if r.table_name == name][0]
+    assert row.created and not row.is_temporary
