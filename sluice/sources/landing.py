@@ -116,10 +116,15 @@ def scan_payloads(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
 
 
 # S11
-def list_tables(spark: SparkSession, db: str | None = None, with_counts: bool = False) -> DataFrame:
-    """Catalog listing sorted by name, optionally with row counts (catalog
-    metadata only: one row per table)."""
+def list_tables(spark: SparkSession, db: str | None = None, with_counts: bool = False,
+                pattern: str | None = None) -> DataFrame:
+    """Catalog listing sorted by name (``pattern``: shell-style name filter),
+    with creation time and optionally row counts (one count job per listed
+    table; only catalog metadata passes through the driver)."""
     tables = spark.catalog.listTables(db) if db else spark.catalog.listTables()
+    if pattern:
+        import fnmatch
+        tables = [t for t in tables if fnmatch.fnmatchcase(t.name, pattern)]
     rows = []
     for t in sorted(tables, key=lambda t: t.name):
         name = t.name if t.isTemporary or not t.namespace else f"{'.'.join(t.namespace)}.{t.name}"

@@ -127,9 +127,8 @@ def literal_rows(spark, sf_dir):
 @case("catalog_listing")
 def catalog_listing(spark, sf_dir):
     for name in ("region", "nation", "customer", "supplier", "orders"):
-        t(spark, sf_dir, name).createOrReplaceTempView(f"sluice_{name}")
-    listing = landing.list_tables(spark, with_counts=True)
-    return listing.where(F.col("table_name").startswith("sluice_"))
+        t(spark, sf_dir, name).createOrReplaceTempView(f"sluice_listing_{name}")
+    return landing.list_tables(spark, with_counts=True, pattern="sluice_listing_*")
 
 
 @case("random_sample")
