@@ -6,9 +6,10 @@ Rows whose key holds a null never match (SQL equality). So that a mass of
 such rows (or of identical copies of one) does not land in a single shuffle
 partition, every row carries a spread value that is 0 for complete keys and
 a side-signed row id for incomplete ones; it is part of the join key, so it
-never creates a match, it only spreads the unmatched rows. When a side is
-already hash-partitioned on the key (e.g. by ``latest_wins``), that
-partitioning still satisfies the join and no extra exchange is added.
+never creates a match, it only spreads the unmatched rows. When neither side
+can hold a null key (declared NOT NULL keys), ``spread_nulls=False`` joins on
+the key alone, and a hash partitioning on the key that both inputs already
+have (e.g. from ``latest_wins``) is reused without another exchange.
 """
 
 from __future__ import annotations
