@@ -31,3 +31,23 @@ def merge_into_path(spark: SparkSession, path: str, source: DataFrame, keys, par
     merged = merge(target, source, keys, **merge_kwargs).select(*cols)
     overwrite_partitions(merged, path, [partition_col])
     return touched
+
+
+def write_bucketed(df: DataFrame, name: str, keys, buckets: int, path: str) -> None:
+    """Store a snapshot as a table bucketed and sorted by its key."""
+    (df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+     .option("path", path).saveAsTable(name))
+
+
+def merge_bucketed(spark: SparkSession, current: str, source: DataFrame, keys, buckets: int,
+                   next_name: str, next_path: str, **merge_kwargs) -> DataFrame:
+    """MERGE ``source`` into the bucketed snapshot table ``current`` and store
+    the result as the next version ``next_name`` (never over the table being
+    read). The target is read bucket by bucket with no shuffle; only the
+    source is hashed into the same buckets, so each run moves the delta, not
+    the snapshot. Returns the new table."""
+    target = spark.table(current)
+    src = source.repartition(buckets, *keys)
+    merged = merge(target, src, keys, **merge_kwargs).select(*target.columns)
+    write_bucketed(merged, next_name, keys, buckets, next_path)
+    return spark.table(next_name)

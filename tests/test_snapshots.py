@@ -40,3 +40,21 @@ def test_partition_column_must_be_a_key(spark):
     df = spark.createDataFrame([(1, "a")], "k INT, p STRING")
     with pytest.raises(ValueError):
         merge_into_path(spark, "/nonexistent", df, ["k"], "p")
+
+
+def test_bucketed_target_is_not_shuffled(spark):
+    from sluice.operators.merge import merge
+    from sluice.plans.snapshots import write_bucketed
+    path = scratch_path(spark, "t_bucketed")
+    name = "t_bucketed_" + path.rsplit("-", 1)[-1]
+    tgt = spark.range(2_000).select((F.col("id") % 500).alias("k"), (F.col("id") / 500).cast("int").alias("j"),
+                                    F.lit(1.0).alias("v"))
+    write_bucketed(tgt, name, ["k", "j"], 8, path)
+    src = spark.createDataFrame([(1, 0, 5.0), (7, 9, 6.0)], "k BIGINT, j INT, v DOUBLE").repartition(8, "k", "j")
+    out = merge(spark.table(name), src, ["k", "j"], set_update={"v": F.col("s.v")}, spread_nulls=False,
+                null_keys="drop")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan
+    assert plan.count("Exchange hashpartitioning") == 1          # the source only
+    got = {(r.k, r.j): r.v for r in out.collect()}
+    assert len(got) == 2_001 and got[(1, 0)] == 5.0 and got[(7, 9)] == 6.0
