@@ -71,7 +71,8 @@ def optional_filters(spark, sf_dir):
                  {"tbl": view, "seg": "building", "min_bal": ""})
     df = optional_eq(df, "c_mktsegment", " Building ")        # P9: given
     df = optional_eq(df, "c_name", "")                         # P9: empty means all
-    df = select_member(df, "c_nationkey", "ALL", [])           # P10: ALL
+    df = select_member(df, "c_mktsegment", "building",                           # P10: one member,
+                       t(spark, sf_dir, "customer").select("c_mktsegment"))     # validated on the dimension
     return df.select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
 
 
