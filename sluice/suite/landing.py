@@ -145,7 +145,7 @@ def export_frames_q(spark, sf_dir):
               "orders_by_status": group_count(orders, "o_orderstatus"),
               "empty_future_orders": orders.where(F.col("o_orderdate") > F.lit("2100-01-01").cast("timestamp_ntz")),
               "not_fetched": None}
-    written = sinks.export_frames(frames, root, prefix="fbi_")
+    written = sinks.export_frames(frames, root, prefix="explore_")
     parts = [spark.read.parquet(f"{root}/{n}").groupBy().count().select(F.lit(n).alias("frame"), "count")
              for n in written]
     from sluice.operators.explore import stack

@@ -35,4 +35,4 @@ def test_rows_only_checks(spark, con):
     assert len(counts) == 5
     assert [r.table_name for r in listing] == sorted(counts)
     frames = {r.frame: r["count"] for r in REGISTRY["export_frames"][0](spark, SF_CHECK).collect()}
-    assert frames == {"fbi_orders_by_priority": 5, "fbi_orders_by_status": 3}
+    assert frames == {"explore_orders_by_priority": 5, "explore_orders_by_status": 3}
