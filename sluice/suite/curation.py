@@ -269,11 +269,8 @@ def merge_in_place(spark, sf_dir):
 BUCKETS = 16
 
 
-@case("merge_bucketed", CURATED_SQL + "SELECT * FROM merged")
-def merge_bucketed_q(spark, sf_dir):
-    """The curated state snapshot kept as a table bucketed by its key: the
-    merge reads it without a shuffle and writes the next version."""
-    from sluice.plans.snapshots import merge_bucketed, write_bucketed
+def _bucketed_setup(spark, sf_dir):
+    from sluice.plans.snapshots import write_bucketed
     from sluice.session import scratch_path
     ev = t(spark, sf_dir, "events")
     root = scratch_path(spark, "curated_state_bucketed")
@@ -282,9 +279,25 @@ def merge_bucketed_q(spark, sf_dir):
                    f"curated_state_{tag}_v1", runbook.KEYS, BUCKETS, f"{root}/v1")
     now = run_ts(RUN_TS)
     src = runbook.latest_source(state_raw(ev, lo=SOURCE_FROM)).drop("loaded_at")
+    kwargs = dict(set_update={"value": F.col("s.value"), "extracted_at": F.col("s.extracted_at"),
+                              "source_file": F.col("s.source_file"), "updated_at": now},
+                  set_insert={"loaded_at": now, "updated_at": now},
+                  update_when=["value", "extracted_at"], null_keys="drop", spread_nulls=False)
+    return root, tag, src, kwargs
+
+
+@case("merge_bucketed", CURATED_SQL + "SELECT * FROM merged")
+def merge_bucketed_q(spark, sf_dir):
+    """The curated state snapshot kept as a table bucketed by its key: the
+    merge reads it without a shuffle and writes the next version."""
+    from sluice.plans.snapshots import merge_bucketed
+    root, tag, src, kwargs = _bucketed_setup(spark, sf_dir)
     return merge_bucketed(spark, f"curated_state_{tag}_v1", src, runbook.KEYS, BUCKETS,
-                          f"curated_state_{tag}_v2", f"{root}/v2",
-                          set_update={"value": F.col("s.value"), "extracted_at": F.col("s.extracted_at"),
-                                      "source_file": F.col("s.source_file"), "updated_at": now},
-                          set_insert={"loaded_at": now, "updated_at": now},
-                          update_when=["value", "extracted_at"], null_keys="drop", spread_nulls=False)
+                          f"curated_state_{tag}_v2", f"{root}/v2", **kwargs)
+
+
+def merge_bucketed_plan(spark, sf_dir):
+    """The merge itself (before the write), to show its plan."""
+    _root, tag, src, kwargs = _bucketed_setup(spark, sf_dir)
+    return merge(spark.table(f"curated_state_{tag}_v1"), src.repartition(BUCKETS, *runbook.KEYS),
+                 runbook.KEYS, **kwargs)
