@@ -15,7 +15,7 @@ __all__ = [
     "try_timestamp", "try_ts_ntz", "date_text", "text_date", "default_if_null",
     "next_day", "month_text_date", "month_text_year", "first_token",
     "strip_quotes", "full_match", "sanitize_ident", "strip_control", "truncate",
-    "percent", "falsy_or", "empty_if_null", "stamp_text", "iso_text",
+    "percent", "falsy_or", "blank_or", "empty_if_null", "stamp_text", "iso_text",
     "run_ts", "drop_zones", "clean_strings",
 ]
 
@@ -141,12 +141,19 @@ def percent(c, scale: int = 2) -> Column:
     return F.round(F.coalesce(col_of(c), F.lit(0.0)) * 100, scale)
 
 
-# "a or b" where 0 and empty count as missing.
+# "a or b" where 0 (numbers) or the empty string (text) counts as missing.
 def falsy_or(a, b) -> Column:
+    """Numeric ``a or b``: ``b`` when ``a`` is null or 0."""
     a = col_of(a)
     return F.coalesce(F.nullif(a, F.lit(0)), col_of(b))
 
 
+def blank_or(a, b) -> Column:
+    """Text ``a or b``: ``b`` when ``a`` is null or empty."""
+    a = col_of(a)
+    return F.coalesce(F.nullif(a, F.lit("")), col_of(b))
+
+
 # F21
 def empty_if_null(c) -> Column:
     return F.coalesce(col_of(c), F.lit(""))

@@ -196,3 +196,9 @@ def test_flatten_rebalance_keeps_results(spark):
     b = flatten_agencies(df, "p", "ori STRING", keep=["state"], rebalance=8)
     assert rows(a) == rows(b) and len(rows(a)) == 80
     assert b.rdd.getNumPartitions() == 8
+
+
+def test_blank_or_for_text(spark):
+    from sluice.functions.scalars import blank_or
+    df = spark.createDataFrame([("", "x"), (None, "y"), ("0", "z")], "a STRING, b STRING")
+    assert [r.v for r in df.select(blank_or("a", "b").alias("v")).collect()] == ["x", "y", "0"]
