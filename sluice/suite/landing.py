@@ -8,7 +8,6 @@ operator under test, and must return the table's own values.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sluice.functions.scalars import try_date, try_ts_ntz
 from sluice.operators.dedupe import latest_wins

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.scalars import (clean_strings, date_text, default_if_null, drop_zones, first_token,
                                       full_match, iso_text, next_day, run_ts, sanitize_ident, stamp_text,
-                                      strip_control, strip_quotes, text_date, truncate)
+                                      strip_quotes, text_date, truncate)
 from sluice.suite import case
 from sluice.suite.common import RUN_SQL, RUN_TS, t
 
@@ -73,10 +73,6 @@ def dates_and_json(spark, sf_dir):
         "ts_local")
 
 
-
-
-
-
 @case("zoned_text", """
 SELECT event_id, epoch_us(ts) - 7200000000 AS instant_us, epoch_us(ts) AS naive_us FROM events""")
 def zoned_text(spark, sf_dir):
