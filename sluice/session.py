@@ -76,7 +76,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``; we only pick our own
     folder when nothing is configured and the master is local (tests).
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no driver-side context; the server owns the setting
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return root
     root = sc.getCheckpointDir()
     if root:
         return root
