@@ -54,10 +54,11 @@ def delta_stats(delta: DataFrame, key: str, date: str) -> DataFrame:
 
 
 def run_totals(log: DataFrame, status: str = "status", rows: str = "record_count") -> DataFrame:
-    """Totals of one extraction run in a single pass."""
+    """Totals of one extraction run in a single pass (names as in the
+    run summary record)."""
     return log.agg(
-        F.count(F.lit(1)).alias("series_total"),
-        F.count_if(F.col(status) == "success").alias("series_ok"),
-        F.count_if(F.col(status) == "error").alias("series_failed"),
-        F.coalesce(F.sum(rows), F.lit(0)).cast("long").alias("rows_total"),
+        F.count(F.lit(1)).alias("total_series"),
+        F.count_if(F.col(status) == "success").alias("successful_series"),
+        F.count_if(F.col(status) == "error").alias("failed_series"),
+        F.coalesce(F.sum(rows), F.lit(0)).cast("long").alias("rows_uploaded"),
     )

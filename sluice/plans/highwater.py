@@ -248,3 +248,15 @@ def ensure_log_table(spark, name: str, path: str) -> None:
     """The extraction log as a catalog table over its folder (created once)."""
     from sluice.sources.sinks import ensure_table
     ensure_table(spark, name, LOG_DDL, path)
+
+
+# H8 / K7
+def run_summary(totals: DataFrame, run_id: str, run_ts: str, default_start: str,
+                use_marks: bool = True, category_filter: str | None = None,
+                max_series: int | None = None) -> DataFrame:
+    """One-row run summary: the run's settings next to its totals."""
+    return totals.select(
+        F.lit(run_id).alias("run_id"), F.lit(run_ts.replace(" ", "T") + "+00:00").alias("started_at"),
+        F.lit(not use_marks).alias("disable_watermark"), F.lit(default_start).alias("default_start_date"),
+        F.lit(category_filter).cast("string").alias("category_filter"),
+        F.lit(max_series).cast("int").alias("max_series"), "*")

@@ -159,16 +159,19 @@ def extraction_log(spark, sf_dir):
     return run_log(spark, sf_dir)
 
 
-@case("run_totals", CTE + """
-SELECT count(*) AS series_total, count(*) FILTER (WHERE status = 'success') AS series_ok,
-       count(*) FILTER (WHERE status = 'error') AS series_failed,
-       CAST(coalesce(sum(record_count), 0) AS BIGINT) AS rows_total FROM log""")
+@case("run_totals", CTE + f"""
+SELECT '{RUN_ID}' AS run_id, '2024-02-01T00:00:00+00:00' AS started_at, false AS disable_watermark,
+       '{DEFAULT_START}' AS default_start_date, CAST(NULL AS VARCHAR) AS category_filter,
+       CAST(NULL AS INTEGER) AS max_series,
+       count(*) AS total_series, count(*) FILTER (WHERE status = 'success') AS successful_series,
+       count(*) FILTER (WHERE status = 'error') AS failed_series,
+       CAST(coalesce(sum(record_count), 0) AS BIGINT) AS rows_uploaded FROM log""")
 def run_totals_q(spark, sf_dir):
     totals = run_totals(run_log(spark, sf_dir))
+    summary = hw.run_summary(totals, RUN_ID, RUN_TS, DEFAULT_START)
     path = scratch_path(spark, "run_summary")
-    sinks.write_summary(totals, path)       # K7
-    return spark.read.schema("series_total BIGINT, series_ok BIGINT, series_failed BIGINT, "
-                             "rows_total BIGINT").json(path)
+    sinks.write_summary(summary, path)       # K7
+    return spark.read.schema(summary.schema).json(path)
 
 
 @case("full_refresh", CTE + f"""
