@@ -22,3 +22,10 @@ def overlong(df: DataFrame, limits: dict) -> DataFrame:
 def missing_members(grid: DataFrame, delivered: DataFrame, keys) -> DataFrame:
     """Requested members with no delivered row."""
     return grid.join(delivered.select(*keys).distinct(), on=list(keys), how="left_anti")
+
+
+def assert_not_empty(df: DataFrame, what: str = "extraction") -> DataFrame:
+    """Fail the run when nothing was collected (one early-stopping job)."""
+    if df.isEmpty():
+        raise RuntimeError(f"{what} returned no rows")
+    return df

@@ -183,6 +183,8 @@ def unified_arrests(spark, sf_dir):
                              "value", "rate", "population", "extracted_at")
         sinks.write_ndjson(landed, root, mode="append")          # K3: one output set per run
     raw = scan_ndjson_variant(spark, root, pattern="*.json", loaded_at=RUN_TS)
+    from sluice.operators.quality import assert_not_empty
+    assert_not_empty(raw, "national arrest extraction")     # fail when nothing was collected
 
     old = run_ts(OLD_TS)
     li = t(spark, sf_dir, "lineitem")

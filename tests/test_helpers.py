@@ -113,3 +113,12 @@ def test_listing_has_creation_time_for_catalog_tables(spark):
     sinks.ensure_table(spark, name, "k STRING", path)
     row = [r for r in list_tables(spark).collect() if r.table_name == name][0]
     assert row.created and not row.is_temporary
+
+
+def test_assert_not_empty(spark):
+    import pytest
+    from sluice.operators.quality import assert_not_empty
+    df = spark.range(3)
+    assert assert_not_empty(df) is df
+    with pytest.raises(RuntimeError):
+        assert_not_empty(df.where("id > 5"), "grid")
