@@ -243,3 +243,71 @@ FROM unified WHERE geography_level = 'NATIONAL' GROUP BY 1, 2""")
 def national_verify(spark, sf_dir):
     from sluice.plans.runbook import verify_national
     return verify_national(unified_arrests(spark, sf_dir))
+
+
+# --- State extraction run (S10, P10, R2, U1, K3, S3, V5) ------------------------------
+
+STATE_EXTRACTED = "2024-02-01T00:00:00+00:00"
+
+
+def state_payloads(spark, sf_dir):
+    """One landed response per (state, offense code) request of the state grid."""
+    li = t(spark, sf_dir, "lineitem").select("l_suppkey", "l_linenumber", "l_quantity", "l_shipdate")
+    sup = t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    nat = t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
+    monthly = (li.join(sup, "l_suppkey").join(nat, "s_nationkey")
+               .groupBy(F.col("n_name").alias("state"), F.col("l_linenumber").alias("offense_code"),
+                        F.date_format("l_shipdate", "MM-yyyy").alias("mt"))
+               .agg(F.sum("l_quantity").alias("v")))
+    label = F.concat(F.col("offense_code").cast("string"), F.lit(" Arrests"))
+    per = monthly.groupBy("state", "offense_code").agg(F.map_from_entries(F.collect_list(F.struct("mt", "v"))).alias("m"))
+    bad = F.create_map(F.lit("bad"), F.lit(0.0))
+    return per.select("state", "offense_code",
+                      F.to_json(F.struct(F.create_map(label, F.map_concat("m", bad)).alias("actuals"))).alias("payload"))
+
+
+def state_extraction(spark, sf_dir, member: str = "ALL"):
+    from sluice.functions.scalars import date_text
+    from sluice.operators.quality import assert_not_empty
+    from sluice.operators.reshape import monthly_long, split_rejects
+    from sluice.plans.params import select_member
+    from sluice.sources.landing import scan_ndjson_typed
+    root = scratch_path(spark, "state_extraction")
+    path = f"{root}/responses"
+    state_payloads(spark, sf_dir).write.parquet(path)                       # landed responses (S10)
+    responses = select_member(spark.read.parquet(path), "state", member,
+                              t(spark, sf_dir, "nation").select("n_name"))   # P10 state filter
+    rows = monthly_long(responses, "payload", "actuals", keep=["state", "offense_code"])
+    good, _rejects = split_rejects(rows, ["observation_date"])
+    out = good.select("state", date_text("observation_date").alias("observation_date"), "value",
+                      "offense_code", F.lit(STATE_EXTRACTED).alias("extracted_at"))
+    sinks.write_ndjson(assert_not_empty(out, "state extraction"), f"{root}/landing")   # K3
+    schema = "state STRING, observation_date STRING, value DOUBLE, offense_code INT, extracted_at STRING"
+    return scan_ndjson_typed(spark, f"{root}/landing", schema, pattern="*.json", loaded_at=RUN_TS)  # S3
+
+
+STATE_RAW_SQL = f"""
+WITH raw AS (SELECT n.n_name AS state, strftime(date_trunc('month', l.l_shipdate), '%Y-%m-%d') AS observation_date,
+                    sum(l.l_quantity) AS value, l.l_linenumber AS offense_code, '{STATE_EXTRACTED}' AS extracted_at
+             FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey
+             GROUP BY n.n_name, 2, l.l_linenumber)
+"""
+
+
+@case("state_extraction", STATE_RAW_SQL + f"SELECT *, {RUN_SQL} AS loaded_at FROM raw")
+def state_extraction_q(spark, sf_dir):
+    return state_extraction(spark, sf_dir).drop("source_file")
+
+
+@case("state_raw_verify", STATE_RAW_SQL + """
+SELECT state, count(DISTINCT offense_code) AS offense_codes, min(CAST(observation_date AS DATE)) AS earliest_month,
+       max(CAST(observation_date AS DATE)) AS latest_month, count(*) AS total_rows
+FROM raw GROUP BY state""")
+def state_raw_verify(spark, sf_dir):
+    """V5: raw load verification with tolerantly parsed dates."""
+    from sluice.functions.scalars import try_date
+    from sluice.operators.aggregate import coverage
+    raw = state_extraction(spark, sf_dir).withColumn("observation_date", try_date("observation_date"))
+    return coverage(raw, "state", "observation_date", distinct="offense_code",
+                    names={"distinct": "offense_codes", "first": "earliest_month", "last": "latest_month",
+                           "rows": "total_rows"})
