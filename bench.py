@@ -24,9 +24,15 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    event_dir = os.environ.get("BENCH_EVENT_LOG_DIR")      # optional: stage/task metrics per check
+    if event_dir:
+        os.makedirs(event_dir, exist_ok=True)
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir,
+                      "spark.eventLog.compress": "false"})
     spark = build_session(f"local[{cpus}]", app="sluice-bench",
                           shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)),
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+                          extra=extra)
     registry = load_all()
     names = only or list(registry)
     # Warm-up: JVM class loading and code generation outside the timings.
@@ -38,6 +44,7 @@ def main() -> None:
         try:
             best = None
             for i in range(runs):
+                spark.sparkContext.setJobGroup(f"{name}#{i}", name)
                 t0 = time.perf_counter()
                 fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
                 el = time.perf_counter() - t0
