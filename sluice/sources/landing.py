@@ -43,10 +43,11 @@ def with_provenance(df: DataFrame, loaded_at: Column | str | None = None,
 # S1
 def scan_csv(spark: SparkSession, path: str, columns, *, pattern: str | None = None,
              on_error: str = "continue", recursive: bool = True,
-             provenance: bool = True, loaded_at=None, types: dict | None = None) -> DataFrame:
+             provenance: bool = True, loaded_at=None, types: dict | None = None,
+             rebalance: bool = False) -> DataFrame:
     """CSV with one header line; columns taken by position (header names are
     ignored), each cast tolerantly with ``types[name]`` (a function
-    Column -> Column or a Spark type name)."""
+    Column -> Column or a Spark type name). ``rebalance``: see ``_rebalanced``."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     df = (_reader(spark, pattern, recursive, on_error).schema(schema)
           .option("header", "true").option("enforceSchema", "true")
@@ -63,13 +64,20 @@ def scan_csv(spark: SparkSession, path: str, columns, *, pattern: str | None = N
             out.append(t(F.col(c)).alias(c))
         else:
             out.append(F.col(c).try_cast(t).alias(c))
-    return df.select(out)
+    return _rebalanced(df.select(out), rebalance)
+
+
+def _rebalanced(df: DataFrame, on: bool) -> DataFrame:
+    """A compressed landing file cannot be split, so one task reads it whole;
+    the ``rebalance`` hint lets AQE spread the rows read into partitions of
+    the advisory size (splitting skewed ones) before the heavy work."""
+    return df.hint("rebalance") if on else df
 
 
 # S2
 def scan_ndjson_variant(spark: SparkSession, path: str, *, pattern: str | None = None,
                         on_error: str = "continue", recursive: bool = True,
-                        loaded_at=None, doc_col: str = "raw_data") -> DataFrame:
+                        loaded_at=None, doc_col: str = "raw_data", rebalance: bool = False) -> DataFrame:
     """One VARIANT document per line (an outer array is kept as is) plus
     provenance. A line that is not JSON is skipped or aborts the load."""
     r = spark.read
@@ -87,21 +95,21 @@ def scan_ndjson_variant(spark: SparkSession, path: str, *, pattern: str | None =
         df = df.withColumn("loaded_at", lit)
     if on_error == "continue":
         df = df.where(F.col(doc_col).isNotNull())
-    return df
+    return _rebalanced(df, rebalance)
 
 
 # S3
 def scan_ndjson_typed(spark: SparkSession, path: str, schema, *, pattern: str | None = None,
                       on_error: str = "continue", recursive: bool = False,
                       provenance: bool = True, loaded_at=None,
-                      base_path: str | None = None) -> DataFrame:
+                      base_path: str | None = None, rebalance: bool = False) -> DataFrame:
     """NDJSON with fields extracted and cast during the load. Without
     ``recursive``, Hive-style folders (``state=XX/``) become columns (S8)."""
     r = _reader(spark, pattern, recursive, on_error).schema(schema)
     if base_path:
         r = r.option("basePath", base_path)
     df = r.json(path)
-    return with_provenance(df, loaded_at) if provenance else df
+    return _rebalanced(with_provenance(df, loaded_at) if provenance else df, rebalance)
 
 
 # S9

@@ -34,3 +34,12 @@ def test_csv_position_pattern_and_malformed(spark):
     with pytest.raises(Exception):
         landing.scan_csv(spark, root, ["observation_date", "value"], pattern="*.txt",
                          on_error="abort").collect()
+
+
+def test_rebalanced_scan_keeps_rows_and_plans_a_rebalance(spark):
+    root = scratch_path(spark, "t_gz")
+    spark.range(2000).selectExpr("to_json(named_struct('a', id)) AS value").coalesce(1) \
+        .write.option("compression", "gzip").text(root)
+    df = landing.scan_ndjson_variant(spark, root, rebalance=True)
+    assert df.count() == 2000
+    assert "RebalancePartitions" in df._jdf.queryExecution().optimizedPlan().toString()
