@@ -231,16 +231,16 @@ def commit_run(out: RunOutputs, log_path: str, marks_root: str, run_id: str) ->
     """Write the log first (append) and the marks last, as a new version
     folder: the marks being read are never overwritten, and a crash before
     the marks re-extracts instead of losing rows."""
+    from sluice.plans.snapshots import publish
     out.log.write.mode("append").parquet(log_path)
     if out.marks is not None:
-        out.marks.write.mode("overwrite").parquet(f"{marks_root}/run={run_id}")
+        publish(out.marks, marks_root, run_id)
 
 
 def latest_marks(spark, marks_root: str) -> DataFrame:
     """The most recent committed marks version."""
-    versions = spark.read.parquet(marks_root)
-    last = versions.agg(F.max("run")).first()[0]
-    return versions.where(F.col("run") == F.lit(last)).drop("run")
+    from sluice.plans.snapshots import current
+    return current(spark, marks_root)
 
 
 # H1

@@ -51,3 +51,17 @@ def merge_bucketed(spark: SparkSession, current: str, source: DataFrame, keys, b
     merged = merge(target, src, keys, **merge_kwargs).select(*target.columns)
     write_bucketed(merged, next_name, keys, buckets, next_path)
     return spark.table(next_name)
+
+
+# Versioned snapshots: each run writes ``<root>/version=<v>``; readers take the
+# newest version. A run never overwrites the folder it reads, and a crash
+# before the write completes leaves the previous version current.
+def publish(df: DataFrame, root: str, version: str) -> None:
+    df.write.mode("overwrite").parquet(f"{root}/version={version}")
+
+
+def current(spark: SparkSession, root: str) -> DataFrame:
+    """The newest published version (partition pruning on ``version``)."""
+    versions = spark.read.parquet(root)
+    last = versions.agg(F.max("version")).first()[0]
+    return versions.where(F.col("version") == F.lit(last)).drop("version")

@@ -58,3 +58,13 @@ def test_bucketed_target_is_not_shuffled(spark):
     assert plan.count("Exchange hashpartitioning") == 1          # the source only
     got = {(r.k, r.j): r.v for r in out.collect()}
     assert len(got) == 2_001 and got[(1, 0)] == 5.0 and got[(7, 9)] == 6.0
+
+
+def test_versioned_snapshots(spark):
+    from sluice.plans.snapshots import current, publish
+    root = scratch_path(spark, "t_versions")
+    publish(spark.createDataFrame([(1, "a")], "k INT, v STRING"), root, "20240101_000000")
+    prev = current(spark, root)
+    nxt = prev.unionByName(spark.createDataFrame([(2, "b")], "k INT, v STRING"))
+    publish(nxt, root, "20240201_000000")                      # reads v1, writes v2
+    assert sorted((r.k, r.v) for r in current(spark, root).collect()) == [(1, "a"), (2, "b")]
