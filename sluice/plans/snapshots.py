@@ -23,6 +23,8 @@ def merge_into_path(spark: SparkSession, path: str, source: DataFrame, keys, par
     partition). Returns the partition values rewritten."""
     if partition_col not in keys:
         raise ValueError("the partition column must be part of the merge key")
+    from sluice.session import materialize
+    source = materialize(source)      # read twice below (touched values, merge): computed once
     touched = bounded_values(source, partition_col, max_partitions)
     if not touched:
         return []
