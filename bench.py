@@ -25,6 +25,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    if os.environ.get("BENCH_MIN_PARTITION"):
+        extra["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = os.environ["BENCH_MIN_PARTITION"]
     event_dir = os.environ.get("BENCH_EVENT_LOG_DIR")      # optional: stage/task metrics per check
     if event_dir:
         os.makedirs(event_dir, exist_ok=True)
