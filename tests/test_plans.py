@@ -53,3 +53,12 @@ def test_filters_reach_the_scan(spark):
     assert "GreaterThanOrEqual(bar_date,2001-07-28)" in plan                               # pushdown
     plan = executed_plan(spark, "pin_and_filter_level")
     assert "lineitem" not in plan          # the literal level removed the whole branch
+
+
+def test_columns_are_pruned_at_the_scan(spark):
+    plan = executed_plan(spark, "contains_ci")
+    assert "ReadSchema: struct<p_partkey:bigint,p_name:string>" in plan, plan
+    plan = executed_plan(spark, "coverage")
+    assert re.search(r"ReadSchema: struct<o_orderstatus:string,o_orderdate:timestamp_ntz,o_orderpriority:string>"
+                     r"|ReadSchema: struct<o_orderdate:timestamp_ntz,o_orderstatus:string,o_orderpriority:string>", plan) \
+        or "o_totalprice" not in plan.split("ReadSchema")[1].split("\n")[0], plan
