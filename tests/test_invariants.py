@@ -146,3 +146,51 @@ def test_month_text_matches_python_model(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "m STRING")
     got = [(r.m, r.d) for r in df.select("m", month_text_date("m").alias("d")).collect()]
     assert got == [(t, model_month(t)) for t in texts]
+
+
+def model_payload_rows(payload):
+    """Records of a response the way the reference coerces it to a frame."""
+    import json as _json
+    if payload is None or not payload.strip():
+        return []
+    data = _json.loads(payload)
+    if isinstance(data, list):
+        return data
+    if isinstance(data, dict):
+        for v in data.values():
+            if isinstance(v, list) and v:
+                return v
+        return [data] if data else []
+    return []
+
+
+records = st.lists(st.fixed_dictionaries({"a": st.integers(0, 9)}), max_size=3)
+payload_values = st.one_of(records, st.integers(0, 3), st.text(alphabet="xyz", max_size=2),
+                           st.fixed_dictionaries({"a": st.integers(0, 9)}))
+payloads = st.one_of(records, st.dictionaries(st.sampled_from(["m", "n", "p", "q"]), payload_values, max_size=4))
+
+
+@settings(max_examples=30, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(payloads, min_size=1, max_size=5))
+def test_payload_rows_matches_python_model(spark, docs):
+    import json as _json
+    from sluice.operators.reshape import payload_rows
+    texts = [_json.dumps(d) for d in docs]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i INT, p STRING")
+    got = sorted((r.i, _json.dumps(_json.loads(r.record), sort_keys=True))
+                 for r in payload_rows(df, "p", keep=["i"]).collect())
+    want = sorted((i, _json.dumps(rec, sort_keys=True)) for i, t in enumerate(texts)
+                  for rec in model_payload_rows(t))
+    assert got == want
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(target=st.lists(keys, max_size=6), source=st.lists(keys, max_size=6))
+def test_insert_only_merge_matches_python_model(spark, target, source):
+    tgt = spark.createDataFrame([(k, "old") for k in target], "k INT, c STRING")
+    src = spark.createDataFrame([(k,) for k in source], "k INT")
+    out = merge(tgt, src, ["k"], set_update=None, set_insert={"c": F.lit("new")})
+    got = sorted(((r.k, r.c) for r in out.collect()), key=lambda r: [(x is None, str(x)) for x in r])
+    tkeys = {k for k in target if k is not None}
+    want = [(k, "old") for k in target] + [(k, "new") for k in source if k is None or k not in tkeys]
+    assert got == sorted(want, key=lambda r: [(x is None, str(x)) for x in r])
