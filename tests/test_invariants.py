@@ -194,3 +194,19 @@ def test_insert_only_merge_matches_python_model(spark, target, source):
     tkeys = {k for k in target if k is not None}
     want = [(k, "old") for k in target] + [(k, "new") for k in source if k is None or k not in tkeys]
     assert got == sorted(want, key=lambda r: [(x is None, str(x)) for x in r])
+
+
+def test_full_refresh_run_ignores_and_keeps_marks(spark):
+    from sluice.session import scratch_path
+    series = incremental.configured(spark)
+    marks = incremental.previous_marks(spark, SF_SMALL)
+    root = scratch_path(spark, "t_full_refresh")
+    out = hw.run_extraction(incremental.observations(spark, SF_SMALL), series, marks,
+                            incremental.meta_of(series), default_start=incremental.DEFAULT_START,
+                            run_ts="2024-02-01 00:00:00", run_id="r1", landing_root=f"{root}/landing",
+                            use_marks=False, series_bounded=True)
+    assert out.marks is None                                     # H10: marks are not written
+    starts = {r.start_date for r in out.plan.collect()}
+    assert starts == {dt.date(2024, 1, 10)}                      # every series from the default start
+    hw.commit_run(out, f"{root}/log", f"{root}/marks", "r1")
+    assert spark.read.parquet(f"{root}/log").count() == out.plan.count()
