@@ -99,6 +99,7 @@ def assign_ids(new: DataFrame, key, current_max: int | Column = 0, id_name: str
     w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0)))
     base = current_max if isinstance(current_max, Column) else F.lit(current_max)
+    # One row per partition: the broadcast is bounded by the partition count.
     j = ranged.join(F.broadcast(offsets.select("__pid", "__off", "__first")), "__pid")
     idc = (base + F.col("__off") + (F.col("__mid") - F.col("__first")) + 1).cast("long")
     return j.withColumn(id_name, idc).drop("__pid", "__mid", "__off", "__first")

@@ -66,7 +66,7 @@ def scenario(spark, sf_dir):
     plan = hw.plan(series, marks, DEFAULT_START, series_bounded=bounded)
     failed = failed_df(spark)
     delta = (hw.delta(observations(spark, sf_dir), plan, plan_bounded=bounded)
-             .join(F.broadcast(failed), "series_id", "left_anti"))
+             .join(F.broadcast(failed), "series_id", "left_anti"))      # literal list of failed ids
     stats = delta_stats(delta, "series_id", "observation_date")
     return series, marks, plan, failed, delta, stats
 
