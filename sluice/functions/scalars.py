@@ -20,6 +20,13 @@ __all__ = [
 ]
 
 
+# The text patterns of identifier sanitising (characters other
+# than letters, digits, underscore and hyphen become "_") and of control
+# character removal (all C0 controls except tab, newline and carriage return).
+IDENT_OTHER = r"[^A-Za-z0-9_-]"
+CONTROL_CHARS = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
+
+
 def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -123,12 +130,12 @@ def full_match(c, pattern: str) -> Column:
 
 # F15
 def sanitize_ident(c) -> Column:
-    return F.regexp_replace(col_of(c), r"[^A-Za-z0-9_-]", "_")
+    return F.regexp_replace(col_of(c), IDENT_OTHER, "_")
 
 
 # F16: control characters except tab, newline and carriage return.
 def strip_control(c) -> Column:
-    return F.regexp_replace(col_of(c), r"[\x00-\x08\x0b\x0c\x0e-\x1f]", "")
+    return F.regexp_replace(col_of(c), CONTROL_CHARS, "")
 
 
 # F18

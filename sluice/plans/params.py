@@ -8,12 +8,16 @@ from pyspark.sql import functions as F
 from sluice.functions.predicates import between, optional_eq  # noqa: F401  (P12, P9)
 
 
+# Fixed value: the member keyword that keeps every member.
+ALL_MEMBERS = "ALL"
+
+
 # P10
 def select_member(df: DataFrame, col: str, value: str | None, members) -> DataFrame:
     """``ALL``/empty keeps every member; otherwise exactly one known member
     (upper-cased); an unknown member is an error before the filtered job runs.
     ``members`` is a list or a one-column dimension DataFrame (size-checked)."""
-    if value is None or value.strip() == "" or value.strip().upper() == "ALL":
+    if value is None or value.strip() == "" or value.strip().upper() == ALL_MEMBERS:
         return df
     v = value.strip().upper()
     if isinstance(members, DataFrame):

@@ -9,8 +9,13 @@ from sluice.functions.scalars import clean_strings, drop_zones
 from sluice.operators.explore import random_sample
 from sluice.sources.landing import list_tables
 
+# Export names are cut to 31 characters; the catalog listing is
+# exported under the name "Listing"; samples are 1,000 rows from a pool of
+# at most 100,000.
 NAME_LIMIT = 31
 LISTING = "Listing"
+SAMPLE_ROWS = 1_000
+SAMPLE_POOL = 100_000
 
 
 def unique_names(names, limit: int = NAME_LIMIT, reserved=(LISTING,)) -> list[str]:
@@ -31,7 +36,7 @@ def unique_names(names, limit: int = NAME_LIMIT, reserved=(LISTING,)) -> list[st
 
 
 def sample_catalog(spark: SparkSession, out_root: str, tables: list[str] | None = None,
-                   db: str | None = None, cap: int = 100_000, n: int = 1_000,
+                   db: str | None = None, cap: int = SAMPLE_POOL, n: int = SAMPLE_ROWS,
                    seed: int = 42, parallel: int = 4) -> tuple[list, list]:
     """Write the listing and one cleaned sample per table under ``out_root``.
 
