@@ -260,3 +260,27 @@ def run_summary(totals: DataFrame, run_id: str, run_ts: str, default_start: str,
         F.lit(not use_marks).alias("disable_watermark"), F.lit(default_start).alias("default_start_date"),
         F.lit(category_filter).cast("string").alias("category_filter"),
         F.lit(max_series).cast("int").alias("max_series"), "*")
+
+
+# Keys of the arrest extraction grid.
+GRID_FUNCTION = "ARREST"
+GRAIN_NATIONAL, GRAIN_STATE, GRAIN_ORI = "NATIONAL", "STATE", "ORI"
+NATIONAL_LEVEL = "<NONE>"
+GRID_KEYS = ["function", "report_granularity", "report_level", "offense_code"]
+
+
+# J5 + H9
+def arrest_grid(spark, codes: list, states: DataFrame, oris: DataFrame) -> DataFrame:
+    """All (granularity, level, offense code) requests: one national level,
+    every state, every agency, each with every code of the checked-size code
+    list (a Generate per member, no cross join)."""
+    from sluice.operators.explore import stack
+    from sluice.operators.joins import grid
+    national = spark.createDataFrame([(GRAIN_NATIONAL, NATIONAL_LEVEL)],
+                                     "report_granularity STRING, report_level STRING")
+    members = stack([
+        national,
+        states.select(F.lit(GRAIN_STATE).alias("report_granularity"), F.col(states.columns[0]).alias("report_level")),
+        oris.select(F.lit(GRAIN_ORI).alias("report_granularity"), F.col(oris.columns[0]).alias("report_level")),
+    ])
+    return grid(members, codes, "offense_code").select(F.lit(GRID_FUNCTION).alias("function"), *GRID_KEYS[1:])

@@ -6,13 +6,11 @@ from pyspark.sql import functions as F
 
 from sluice.functions.scalars import run_ts
 from sluice.operators.dedupe import assert_unique, distinct_keys, latest_wins
-from sluice.operators.explore import stack
-from sluice.operators.joins import bounded_values, enrich, grid
+from sluice.operators.joins import bounded_values, enrich
 from sluice.operators.merge import merge
 from sluice.plans import runbook
 from sluice.plans.highwater import seed_grid
 from sluice.session import materialize
-from sluice.sources.landing import values_df
 from sluice.suite import case
 from sluice.suite.common import (OLD_SQL, OLD_TS, RUN_SQL, RUN_TS, SOURCE_FROM, TARGET_CUT, t)
 
@@ -206,32 +204,25 @@ def merge_touch(spark, sf_dir):
 
 @case("grid_cross", f"""
 WITH codes AS (SELECT DISTINCT l_linenumber AS offense_code FROM lineitem WHERE l_linenumber IS NOT NULL),
-     members AS (SELECT 'national' AS report_level, 'US' AS member
-                 UNION ALL SELECT 'state', n_name FROM nation
-                 UNION ALL SELECT 'agency', 'C' || CAST(c_custkey AS VARCHAR) FROM customer)
-SELECT 'arrests' AS function, m.report_level, m.member, c.offense_code,
-       CASE WHEN m.report_level = 'national' THEN {OLD_SQL} ELSE {RUN_SQL} END AS created_at,
-       CASE WHEN m.report_level = 'national' THEN {OLD_SQL} ELSE {RUN_SQL} END AS updated_at
+     members AS (SELECT 'NATIONAL' AS report_granularity, '<NONE>' AS report_level
+                 UNION ALL SELECT 'STATE', n_name FROM nation
+                 UNION ALL SELECT 'ORI', 'C' || CAST(c_custkey AS VARCHAR) FROM customer)
+SELECT 'ARREST' AS function, m.report_granularity, m.report_level, c.offense_code,
+       CASE WHEN m.report_granularity = 'NATIONAL' THEN {OLD_SQL} ELSE {RUN_SQL} END AS created_at,
+       CASE WHEN m.report_granularity = 'NATIONAL' THEN {OLD_SQL} ELSE {RUN_SQL} END AS updated_at
 FROM members m JOIN codes c ON true""")
 def grid_cross(spark, sf_dir):
+    """The arrest extraction grid (national level, states, agencies) seeded
+    insert-only into marks that already hold the national rows."""
+    from sluice.plans.highwater import GRAIN_NATIONAL, GRID_KEYS, arrest_grid
     codes = bounded_values(t(spark, sf_dir, "lineitem"), "l_linenumber")
-    nation = t(spark, sf_dir, "nation")
-    customer = t(spark, sf_dir, "customer")
-    # Fixed value: the one sentinel member of the national level.
-    national = values_df(spark, [("national", "US")], "report_level STRING, member STRING")
-    members = stack([
-        national,
-        nation.select(F.lit("state").alias("report_level"), F.col("n_name").alias("member")),
-        customer.select(F.lit("agency").alias("report_level"),
-                        F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("member")),
-    ])
-    g = grid(members, codes, "offense_code").withColumn("function", F.lit("arrests"))
-    g = g.select("function", "report_level", "member", "offense_code")
+    states = t(spark, sf_dir, "nation").select("n_name")
+    oris = t(spark, sf_dir, "customer").select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("ori"))
+    g = arrest_grid(spark, codes, states, oris)
     old = run_ts(OLD_TS)
-    marks = (grid(national, codes, "offense_code").withColumn("function", F.lit("arrests"))
-             .select("function", "report_level", "member", "offense_code")
+    marks = (g.where(F.col("report_granularity") == GRAIN_NATIONAL)
              .withColumn("created_at", old).withColumn("updated_at", old))
-    return seed_grid(marks, g, ["function", "report_level", "member", "offense_code"], RUN_TS)
+    return seed_grid(marks, g, GRID_KEYS, RUN_TS)
 
 
 # --- J7 ----------------------------------------------------------------------------------
