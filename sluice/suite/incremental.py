@@ -204,7 +204,7 @@ WITH codes AS (SELECT DISTINCT l_linenumber AS offense_code FROM lineitem WHERE
                           max(CAST(date_trunc('month', l.l_shipdate) AS DATE)) AS last_month
                    FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
                    JOIN nation n ON s.s_nationkey = n.n_nationkey GROUP BY 1, 2)
-SELECT 'state' AS report_level, g.member, g.offense_code,
+SELECT 'STATE' AS report_granularity, g.member AS report_level, g.offense_code,
        strftime(coalesce(CAST(d.last_month + INTERVAL 1 MONTH AS DATE), DATE '1999-01-01'), '%m-%Y') AS from_month,
        '{ARREST_TO}' AS to_month
 FROM grid g LEFT JOIN delivered d ON g.member = d.member AND g.offense_code = d.offense_code""")
@@ -224,7 +224,8 @@ def arrest_request_plan(spark, sf_dir):
              .agg(F.date_format(F.max("l_shipdate"), "MM-yyyy").alias("last_date"))
              .withColumn("first_date", F.lit(None).cast("string")))
     planned = hw.plan_months(g.join(marks, ["member", "offense_code"], "left"), ARREST_FROM, ARREST_TO)
-    return planned.select(F.lit("state").alias("report_level"), "member", "offense_code", "from_month", "to_month")
+    return planned.select(F.lit(hw.GRAIN_STATE).alias("report_granularity"), F.col("member").alias("report_level"),
+                          "offense_code", "from_month", "to_month")
 
 
 LOOKBACK = 2
