@@ -267,6 +267,12 @@ GRID_FUNCTION = "ARREST"
 GRAIN_NATIONAL, GRAIN_STATE, GRAIN_ORI = "NATIONAL", "STATE", "ORI"
 NATIONAL_LEVEL = "<NONE>"
 GRID_KEYS = ["function", "report_granularity", "report_level", "offense_code"]
+# The arrest marks table: grid key, stored month range ("MM-YYYY" text),
+# failure counter and run times.
+ARREST_MARKS_DDL = ("function STRING, report_granularity STRING, report_level STRING, offense_code INT, "
+                    "first_date STRING, last_date STRING, consecutive_api_failures INT, "
+                    "last_successful_run TIMESTAMP_NTZ, last_attempted_run TIMESTAMP_NTZ, "
+                    "created_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ")
 
 
 # J5 + H9

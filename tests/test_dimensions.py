@@ -29,3 +29,22 @@ def test_codes_and_ori(spark):
     out = {r.ori: (r.created_at is None, r.updated_at is not None)
            for r in dim.seed_ori(ori, agencies, "2024-02-01 00:00:00").collect()}
     assert out == {"A1": (True, True), "B2": (False, True)}
+
+
+def test_grid_seeded_into_full_marks_table(spark):
+    from sluice.plans import highwater as hw
+    marks = spark.createDataFrame([("ARREST", "NATIONAL", "<NONE>", 11, "01-1999", "12-2020", 0, None, None, None, None)],
+                                  hw.ARREST_MARKS_DDL)
+    states = spark.createDataFrame([("WA",), ("OR",)], "state STRING")
+    oris = spark.createDataFrame([("WA001",)], "ori STRING")
+    g = hw.arrest_grid(spark, [11, 23], states, oris)
+    seeded = hw.seed_grid(marks, g, hw.GRID_KEYS, "2024-02-01 00:00:00")
+    rows = seeded.collect()
+    assert len(rows) == 8                                    # (1 national + 2 states + 1 ori) x 2 codes
+    kept = [r for r in rows if r.offense_code == 11 and r.report_granularity == "NATIONAL"][0]
+    assert (kept.first_date, kept.last_date, kept.created_at) == ("01-1999", "12-2020", None)
+    new = [r for r in rows if r.report_level == "WA001"]
+    assert all(r.created_at is not None and r.last_date is None for r in new)
+    planned = hw.plan_months(seeded, "01-1999", "03-2026")
+    months = {(r.report_level, r.offense_code): r.from_month for r in planned.collect()}
+    assert months[("<NONE>", 11)] == "01-2021" and months[("WA", 23)] == "01-1999"
