@@ -47,7 +47,7 @@ def sample_catalog(spark: SparkSession, out_root: str, tables: list[str] | None
     """
     from concurrent.futures import ThreadPoolExecutor
 
-    listing = list_tables(spark, db)
+    listing = list_tables(spark, db, names=tables)
     listing.write.mode("overwrite").parquet(f"{out_root}/{LISTING}")
     names = tables if tables is not None else [r.table_name for r in listing.collect()]
 
@@ -69,11 +69,14 @@ def sample_catalog(spark: SparkSession, out_root: str, tables: list[str] | None
 
 
 def exported_counts(spark: SparkSession, out_root: str, exported) -> DataFrame:
-    """Rows per exported sample, read back from the written files."""
+    """Rows per exported sample, read back from the written files in one scan
+    (no schema inference: a column-free read, grouped by the file's folder)."""
     from pyspark.sql import functions as F
-    from sluice.operators.explore import stack
-    parts = [spark.read.parquet(f"{out_root}/{name}").groupBy().count()
-             .select(F.lit(table).alias("table_name"), F.lit(name).alias("export_name"),
-                     F.col("count").alias("sampled_rows"))
-             for table, name in exported]
-    return stack(parts)
+    if not exported:
+        return spark.createDataFrame([], "table_name STRING, export_name STRING, sampled_rows BIGINT")
+    names = spark.createDataFrame([(t, e) for t, e in exported], "table_name STRING, export_name STRING")
+    files = spark.read.schema("__unused INT").parquet(*[f"{out_root}/{e}" for _t, e in exported])
+    folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    counts = files.groupBy(folder.alias("export_name")).agg(F.count(F.lit(1)).alias("sampled_rows"))
+    return names.join(counts, "export_name", "left").select(
+        "table_name", "export_name", F.coalesce("sampled_rows", F.lit(0)).alias("sampled_rows"))

@@ -125,7 +125,7 @@ def scan_payloads(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
 
 # S11
 def list_tables(spark: SparkSession, db: str | None = None, with_counts: bool = False,
-                pattern: str | None = None) -> DataFrame:
+                pattern: str | None = None, names=None) -> DataFrame:
     """Catalog listing sorted by name (``pattern``: shell-style name filter),
     with creation time and optionally row counts (one count job per listed
     table; only catalog metadata passes through the driver)."""
@@ -133,6 +133,9 @@ def list_tables(spark: SparkSession, db: str | None = None, with_counts: bool =
     if pattern:
         import fnmatch
         tables = [t for t in tables if fnmatch.fnmatchcase(t.name, pattern)]
+    if names is not None:
+        wanted = set(names)
+        tables = [t for t in tables if t.name in wanted]
     rows = []
     for t in sorted(tables, key=lambda t: t.name):
         name = t.name if t.isTemporary or not t.namespace else f"{'.'.join(t.namespace)}.{t.name}"
