@@ -145,10 +145,9 @@ def export_frames_q(spark, sf_dir):
               "empty_future_orders": orders.where(F.col("o_orderdate") > F.lit("2100-01-01").cast("timestamp_ntz")),
               "not_fetched": None}
     written = sinks.export_frames(frames, root, prefix="explore_")
-    parts = [spark.read.parquet(f"{root}/{n}").groupBy().count().select(F.lit(n).alias("frame"), "count")
-             for n in written]
-    from sluice.operators.explore import stack
-    return stack(parts)
+    from sluice.plans.sampling import exported_counts
+    counts = exported_counts(spark, root, [(n, n) for n in written])
+    return counts.select(F.col("export_name").alias("frame"), F.col("sampled_rows").alias("count"))
 
 
 @case("catalog_sampling")
