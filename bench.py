@@ -4,6 +4,12 @@ Each query is executed completely (noop sink, no collect) $BENCH_RUNS times
 (default 2). The reported time per query is the best run, i.e. without the
 one-time JVM class loading and code generation of its operators; the cold
 (first-run) total is reported as well. Prints one JSON line.
+
+Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (8),
+BENCH_RUNS (2), BENCH_QUERIES (comma list, default all), BENCH_SHUFFLE_PARTITIONS
+(= cpus), BENCH_DRIVER_MEMORY (16g), BENCH_EVENT_LOG_DIR (write a Spark event
+log for scripts/stage_report.py), BENCH_MIN_PARTITION (AQE minimum partition
+size, for experiments).
 """
 
 from __future__ import annotations
