@@ -51,8 +51,20 @@ def sample_catalog(spark: SparkSession, out_root: str, tables: list[str] | None
     listing.write.mode("overwrite").parquet(f"{out_root}/{LISTING}")
     names = tables if tables is not None else [r.table_name for r in listing.collect()]
 
+    # Worker threads carry the caller's job group, description and pool, so
+    # the samples are cancelled, scheduled and reported with the caller's work.
+    try:
+        sc = spark.sparkContext
+        props = {k: sc.getLocalProperty(k) for k in
+                 ("spark.jobGroup.id", "spark.job.description", "spark.scheduler.pool")}
+    except Exception:  # no driver-side context (Spark Connect)
+        sc, props = None, {}
+
     def one(pair):
         table, export = pair
+        for k, v in props.items():
+            if v is not None:
+                sc.setLocalProperty(k, v)
         try:
             source = spark.table(f"{db}.{table}" if db else table)
             sample = clean_strings(drop_zones(random_sample(source, cap, n, seed)))
