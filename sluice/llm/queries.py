@@ -3,11 +3,12 @@ express the operator; the tests hold it against a brute-force version)."""
 
 from __future__ import annotations
 
-from sluice.llm import repetition, warc
+from sluice.llm import repetition, secret_scan, warc
 
 QUERIES = {
     "op1_warc_revisits": warc.op1_warc_revisits,
     "op3_suffix_repetition": repetition.op3_suffix_repetition,
+    "op7_secret_randomness": secret_scan.op7_secret_randomness,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op1_warc_revisits": warc.OP1_SQL}

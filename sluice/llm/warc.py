@@ -1,12 +1,12 @@
 """WARC archives and revisit resolution.
 
 Archives are written by Spark's text writer, a record per line with the line
-separator CRLF CRLF that ends every WARC record, so the files hold plain
+separator CRLF CRLF that ends every WARC record, so the files hold
 WARC/1.1 bytes, appear only when their task commits, and no task holds more
 than a record. All records of an archive set name its warcinfo id right after
 the version line. That id is drawn when the set is written, so no payload
-holds it, and version line plus id separate records for Spark's splitting text
-reader; the length that a record states is checked against its bytes.
+holds it, and version line plus id separate records for Spark's text reader;
+the length that a record states is checked against its bytes. Files are gzipped.
 
 Resolution shuffles headers only: the largest (page id, record id) for each
 payload digest (combined before the shuffle, so a digest that a third of all
@@ -47,8 +47,9 @@ def _separator(archive_id: str) -> str:
     return f"{VERSION}WARC-Warcinfo-ID: <urn:uuid:{archive_id}>\r\n"
 
 
-def _header(head: Column, name: str) -> Column:
-    return F.nullif(F.regexp_extract(head, rf"(?m)^{name}: ([^\r\n]*)", 1), F.lit(""))
+def _header(heads: Column, name: str, before: str = "", after: str = "") -> Column:
+    """The first value of a header field, null where there is none."""
+    return F.nullif(F.regexp_extract(heads, rf"(?m)^{name}: {before}([^\r\n]*?){after}$", 1), F.lit(""))
 
 
 def _http_head(length: Column) -> Column:
@@ -83,42 +84,37 @@ def write_archive(records: DataFrame, path: str) -> str:
         line("X-Refers-To-Page-ID", F.col("refers_to").cast("string")),
         F.lit("Content-Type: application/http; msgtype=response\r\n"),
         F.lit("Content-Length: "), length.cast("string"), F.lit(END), http, body)
-    records.select(record.alias("value")).write.option("lineSep", END).mode("errorifexists").text(path)
+    records.select(record.alias("value")).write.option("lineSep", END).mode("errorifexists").text(path, compression="gzip")
     return archive_id
 
 
 def read_archive(spark: SparkSession, path: str, archive_id: str) -> DataFrame:
-    """Records of an archive set: headers, payload and the lengths stated. A
-    record whose bytes do not have the stated length is an error."""
+    """Records of an archive set: header fields and payload. A record whose
+    bytes do not have the length it states is an error."""
     lines = spark.read.option("lineSep", _separator(archive_id)).text(path)
     # What stands before the first separator of a file is an empty line.
-    lines = lines.filter(F.octet_length("value") > 0)
-    at = F.instr("value", END)
-    split = lines.select(F.substring(F.col("value"), F.lit(1), at + 1).alias("head"),
-                         F.expr(f"substring(value, instr(value, '{_sql(END)}') + 4)").alias("rest"))
-    stated = _header(F.col("head"), "Content-Length").cast("long")
-    block = F.expr(f"substring(rest, 1, length(rest) - 4)")
-    split = split.select("head", block.alias("block"), stated.alias("stated"))
-    checked = F.when(F.octet_length("block") == F.col("stated"), F.col("block")).otherwise(
-        F.raise_error(F.lit("a WARC record has not the length it states")))
-    split = split.select("head", checked.alias("block"))
-    http_end = F.instr("block", END)
-    head = F.col("head")
-    return split.select(
-        F.regexp_extract(head, r"(?m)^WARC-Record-ID: <urn:uuid:([^>]*)>", 1).alias("record_id"),
-        _header(head, "WARC-Type").alias("record_type"),
-        _header(head, "WARC-Target-URI").alias("url"),
-        _header(head, "X-Page-ID").cast("long").alias("page_id"),
-        F.expr("substring_index(nullif(regexp_extract(head, '(?m)^WARC-Payload-Digest: ([^\\\\r\\\\n]*)', 1), ''), ':', -1)")
-        .alias("payload_digest"),
-        _header(F.substring(F.col("block"), F.lit(1), http_end + 1), "Content-Length").cast("long").alias("payload_bytes"),
-        F.nullif(F.regexp_extract(head, r"(?m)^WARC-Refers-To: <urn:uuid:([^>]*)>", 1), F.lit("")).alias("refers_to_record"),
-        _header(head, "X-Refers-To-Page-ID").cast("long").alias("refers_to"),
-        F.expr(f"substring(block, instr(block, '{_sql(END)}') + 4)").alias("payload"))
-
-
-def _sql(text: str) -> str:
-    return text.replace("\r", "\\r").replace("\n", "\\n")
+    lines = lines.filter("value <> ''")
+    value = F.col("value")
+    # The WARC head and the HTTP head; only these short texts are searched.
+    heads = F.substring_index(value, END, 2)
+    lines = lines.select("value", F.translate(heads, "\r", "").alias("heads"), F.length(heads).alias("n_heads"),
+                         (F.octet_length("value") - F.octet_length(F.substring_index(value, END, 1)) - 2 * len(END))
+                         .alias("n_block"))
+    heads = F.col("heads")
+    http_length = F.regexp_extract(heads, r"(?s)\nContent-Length: .*\nContent-Length: (\d+)", 1).cast("long")
+    id_ends = {"before": "<urn:uuid:", "after": ">"}
+    return lines.select(
+        _header(heads, "WARC-Record-ID", **id_ends).alias("record_id"),
+        _header(heads, "WARC-Type").alias("record_type"),
+        _header(heads, "WARC-Target-URI").alias("url"),
+        _header(heads, "X-Page-ID").cast("long").alias("page_id"),
+        _header(heads, "WARC-Payload-Digest", before="sha1:").alias("payload_digest"),
+        F.when(F.col("n_block") == _header(heads, "Content-Length").cast("long"), http_length).otherwise(
+            F.raise_error(F.lit("a WARC record has not the length it states"))).alias("payload_bytes"),
+        _header(heads, "WARC-Refers-To", **id_ends).alias("refers_to_record"),
+        _header(heads, "X-Refers-To-Page-ID").cast("long").alias("refers_to"),
+        F.substring(value, F.col("n_heads") + len(END) + 1, F.length(value) - F.col("n_heads") - 2 * len(END))
+        .alias("payload"))
 
 
 def resolve(headers: DataFrame, min_bytes: int) -> DataFrame:
@@ -127,10 +123,9 @@ def resolve(headers: DataFrame, min_bytes: int) -> DataFrame:
     of at least ``min_bytes`` bytes the largest page id answers, the others
     revisit it."""
     key = ["payload_digest", "payload_bytes"]
-    best = (headers.filter(F.col("payload_bytes") >= min_bytes).groupBy(*key)
-            .agg(F.max(F.struct("page_id", "record_id")).alias("best"), F.count("*").alias("n"))
+    best = (headers.groupBy(*key).agg(F.max(F.struct("page_id", "record_id")).alias("best"), F.count("*").alias("n"))
             .filter("n > 1").drop("n"))
-    revisit = F.col("best.record_id") != F.col("record_id")
+    revisit = (F.col("best.record_id") != F.col("record_id")) & (F.col("payload_bytes") >= min_bytes)
     return headers.join(best, key, "left").select(
         "record_id",
         F.when(revisit, "revisit").otherwise("response").alias("record_type"),
@@ -175,7 +170,7 @@ def op1_warc_revisits(spark, sf_dir: str) -> DataFrame:
     refers = F.when(F.col("found"), F.col("refers_to")).otherwise(
         F.raise_error(F.lit("a revisit record names no response")))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type",
-                        F.when(F.col("record_type") == "revisit", refers).alias("refers_to"), "record_id")
+                        F.when(F.col("record_type") == "revisit", refers).alias("refers_to"))
 
 
 # The archive is written and read back by Spark; its rows are the pages'.
