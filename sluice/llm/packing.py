@@ -35,8 +35,9 @@ from sluice.session import scratch_path
 
 MAX_LEN = 1024
 END_ID = 2
-NNLS_ROUNDS = 150
-NNLS_BLOCK = 32             # patterns that may enter the fit in a round
+NNLS_ROUNDS = 40
+NNLS_BLOCK = 64             # patterns that may enter the fit in a round
+ROUNDINGS = (0.0, 0.25, 0.5, 0.75, 0.999)
 PIECE_FIELDS = "piece int, start long, length long, ids_crc32 long, uid long"
 
 
@@ -49,7 +50,7 @@ def pieces(docs: DataFrame, text: str = "text", tokenizer: str | None = None, en
     schema = T.StructType([rows.schema["row"], *T._parse_datatype_string(PIECE_FIELDS).fields])
 
     def run(batches):
-        encode = tk.cached_byte_encoder(file)
+        encode = tk.byte_encoder(file)
         random = np.random.default_rng()
         for batch in tx.slices(batches, "text", 16 << 20):
             offsets, ids = tk.encode_texts(batch.column("text"), encode)
@@ -104,7 +105,7 @@ def fit(parts: np.ndarray, histogram: np.ndarray) -> tuple[np.ndarray, np.ndarra
         m[0] = 0
         return m
 
-    matrix = columns(chosen)
+    matrix, gram = columns(chosen), np.zeros((0, 0))
     for _ in range(NNLS_ROUNDS):
         left = target - matrix @ x
         left[0] = 0
@@ -122,10 +123,12 @@ def fit(parts: np.ndarray, histogram: np.ndarray) -> tuple[np.ndarray, np.ndarra
         if not entering:
             break
         chosen = np.concatenate([chosen, np.array(entering, np.int64)])
-        matrix = np.hstack([matrix, columns(np.array(entering))])
+        new = columns(np.array(entering))
+        cross = matrix.T @ new
+        gram = np.block([[gram, cross], [cross.T, new.T @ new + 1e-9 * np.eye(len(entering))]])
+        matrix = np.hstack([matrix, new])
         x = np.concatenate([x, np.zeros(len(entering))])
         while len(chosen):
-            gram = matrix.T @ matrix + 1e-9 * np.eye(len(chosen))
             z = np.linalg.solve(gram, matrix.T @ target)
             if (z > 0).all():
                 x = z
@@ -136,53 +139,74 @@ def fit(parts: np.ndarray, histogram: np.ndarray) -> tuple[np.ndarray, np.ndarra
             stay = x > 1e-12
             if stay.all():
                 stay[np.argmin(z)] = False
-            chosen, matrix, x = chosen[stay], matrix[:, stay], x[stay]
+            chosen, matrix, gram, x = chosen[stay], matrix[:, stay], gram[np.ix_(stay, stay)], x[stay]
     return chosen, x * scale
 
 
 def pack_histogram(histogram: list[int], max_len: int) -> list[tuple[list[int], int]]:
     """(lengths, count) of the sequences that hold ``histogram[l]`` pieces of
-    each length ``l``."""
+    each length ``l``: the fitted counts, rounded in a few ways of which the
+    one with the fewest sequences holds, and the rest best-fit."""
+    full = int(histogram[max_len])
     left = np.array(histogram, np.int64)
-    out = []
-    if left[max_len]:
-        out.append(([max_len], int(left[max_len])))
-        left[max_len] = 0
+    left[max_len] = 0
     parts = patterns(np.flatnonzero(left).tolist(), max_len)
-    if len(parts):
-        chosen, x = fit(parts, left.astype(float))
-        for p in np.argsort(-x):
-            own = [int(v) for v in parts[chosen[p]] if v]
-            need = {v: own.count(v) for v in own}
-            count = min(int(x[p] + 0.5), *(int(left[v]) // k for v, k in need.items()))
-            if count > 0:
-                out.append((own, count))
-                for v, k in need.items():
-                    left[v] -= k * count
+    chosen, x = fit(parts, left.astype(float)) if len(parts) else (np.zeros(0, int), np.zeros(0))
+    tried = (rounded(parts[chosen], x, left.copy(), max_len, shift) for shift in ROUNDINGS)
+    best = min(tried, key=lambda plan: sum(count for _, count in plan))
+    return ([([max_len], full)] if full else []) + best
+
+
+def rounded(parts: np.ndarray, x: np.ndarray, left: np.ndarray, max_len: int, shift: float) -> list:
+    """The patterns with their counts plus ``shift`` rounded down (and cut to
+    what is left), then best-fit sequences of the residuals."""
+    out = []
+
+    def use(own: list[int], most: int | None = None) -> None:
+        need = {v: own.count(v) for v in set(own)}
+        count = min(int(left[v]) // k for v, k in need.items())
+        count = count if most is None else min(count, most)
+        if count > 0:
+            out.append((own, count))
+            for v, k in need.items():
+                left[v] -= k * count
+
+    for p in np.argsort(-x):
+        use([int(v) for v in parts[p] if v], int(x[p] + shift))
     have = np.flatnonzero(left).tolist()                # ascending
     while have:
-        own, room = [], max_len
-        need: dict[int, int] = {}
-        k = len(have) - 1
-        while k >= 0 and room:
-            k = min(k, bisect_right(have, room) - 1)
-            if k < 0:
-                break
-            v = have[k]
-            take = min(room // v, int(left[v]) - need.get(v, 0))
-            if take:
-                own += [v] * take
-                need[v] = take
-                room -= take * v
-            k -= 1
-        count = min(int(left[v]) // n for v, n in need.items())
-        out.append((own, count))
-        for v, n in need.items():
-            left[v] -= n * count
+        use(best_fit(have, left, max_len))
         have = [v for v in have if left[v]]
     return out
 
 
+def best_fit(have: list[int], left: np.ndarray, max_len: int) -> list[int]:
+    """A sequence with the largest length left, filled by the best pair of
+    others or, if that fills more, by the largest that fit one after another."""
+    first = have[-1]
+    room = max_len - first
+    spare = {first: int(left[first]) - 1}
+    many, rest = [], room
+    k = bisect_right(have, rest) - 1
+    while k >= 0 and rest > 0:
+        v = have[k]
+        take = min(rest // v, spare.get(v, int(left[v])))
+        many += [v] * take
+        rest -= v * take
+        k = min(k - 1, bisect_right(have, rest) - 1)
+    pair, low, high = [], 0, bisect_right(have, room) - 1
+    while rest and low <= high:
+        a, b = have[low], have[high]
+        enough = spare.get(a, int(left[a])) >= 1 and spare.get(b, int(left[b])) >= 1 + (a == b)
+        if a + b <= room:
+            if enough and room - a - b < rest:
+                pair, rest = [b, a], room - a - b
+            low += 1
+        else:
+            high -= 1
+    return [first, *(pair or many)]
+
+
 def slots(plan: list[tuple[list[int], int]], max_len: int) -> dict[int, np.ndarray]:
     """For each length the rows (first rank, first sequence, offset) of its
     ranges of ranks."""

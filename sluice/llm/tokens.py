@@ -1,64 +1,44 @@
-"""Exact tokenization of a batch through its distinct pieces.
-
-A text is cut before every space. The pieces of the byte-level tokenizer never
-join a space to what stands before it, so the ids of the pieces in turn are the
-ids of the text - unless a space stands between white space and white space (or
-the end); such texts are encoded whole. Each distinct piece of a batch is
-encoded once; a bounded cache keeps ids between batches of a Python worker.
-"""
+"""Token ids by a byte-level tokenizer file."""
 
 from __future__ import annotations
 
 import functools
-import os
+import json
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from sluice.llm import text as tx
-
-CACHE = 400_000             # pieces kept by a worker; the cache starts anew beyond that
-WHITE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
-WHOLE = rf"{WHITE} {WHITE}|{WHITE} $|^ {WHITE}|^ $"
-
 
 def default_file() -> str:
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-@functools.lru_cache(maxsize=2)
-def byte_encoder(file: str) -> Callable[[list[str]], list[list[int]]]:
-    """Ids of each text by the tokenizer of a file; its special tokens' strings
-    are ordinary text."""
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
-    tokenizer = Tokenizer.from_file(file)
-    tokenizer.encode_special_tokens = True
-    return lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-
-class Cached:
-    """Ids of pieces, by an encoder of lists of texts."""
-
-    def __init__(self, encoder: Callable[[list[str]], list[list[int]]]):
-        self.encoder, self.known = encoder, {}
-
-    def __call__(self, pieces: list[str]) -> list[np.ndarray]:
-        if len(self.known) > CACHE:
-            self.known.clear()
-        known = self.known
-        new = [p for p in pieces if p not in known]
-        for p, ids in zip(new, self.encoder(new)):
-            known[p] = np.array(ids, np.uint32)
-        return [known[p] for p in pieces]
+@functools.lru_cache(maxsize=1)
+def byte_symbols() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for:
+    printable bytes are themselves, the others follow from 256 on."""
+    shown = [*range(ord("!"), ord("~") + 1), *range(ord("\xa1"), ord("\xac") + 1), *range(ord("\xae"), ord("\xff") + 1)]
+    rest = [b for b in range(256) if b not in set(shown)]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
 @functools.lru_cache(maxsize=2)
-def cached_byte_encoder(file: str) -> Cached:
-    return Cached(byte_encoder(file))
+def byte_encoder(file: str) -> Callable[[str], list[int]]:
+    """Ids of a text by the vocabulary of a byte-level tokenizer file
+    (special tokens' strings are ordinary text). The merges of such a file are
+    in the order of their ids, so the vocabulary gives the ranks."""
+    import public_tokenizers
+    import tiktoken
+    with open(file, encoding="utf-8") as f:
+        vocabulary = json.load(f)["model"]["vocab"]
+    symbols = byte_symbols()
+    ranks = {bytes(symbols[c] for c in token): i for token, i in vocabulary.items() if all(c in symbols for c in token)}
+    ranks = {token: i for token, i in ranks.items() if token != b"<|endoftext|>"}
+    return tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+                             special_tokens={}).encode_ordinary
 
 
 def runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -68,38 +48,8 @@ def runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(n) + np.repeat(starts - total + lengths, lengths)
 
 
-def encode_by_piece(pieces: pa.Array, plain: np.ndarray, lead: str, encode: Cached) -> tuple[np.ndarray, np.ndarray]:
-    """Number of ids of each piece and all ids; a piece that is not ``plain``
-    has ``lead`` before it."""
-    encoded = pieces.dictionary_encode()
-    keys = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * 2 + plain
-    used = np.flatnonzero(np.bincount(keys, minlength=2 * len(encoded.dictionary)))
-    known = encoded.dictionary.take(pa.array(used // 2)).to_pylist()
-    ids = encode([p if k % 2 else lead + p for p, k in zip(known, used.tolist())])
-    lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-    flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
-    place = np.zeros(2 * len(encoded.dictionary), np.int64)
-    place[used] = np.arange(len(used))
-    at = place[keys]
-    return lengths[at], flat[runs((np.cumsum(lengths) - lengths)[at], lengths[at])]
-
-
-def encode_texts(texts: pa.Array, encode: Cached) -> tuple[np.ndarray, np.ndarray]:
+def encode_texts(texts: pa.Array, encode: Callable[[str], list[int]]) -> tuple[np.ndarray, np.ndarray]:
     """Offsets and ids of all texts (null: none)."""
-    texts = pc.fill_null(texts, "")
-    whole = pc.match_substring_regex(texts, WHOLE).to_numpy(zero_copy_only=False)
-    lists = pc.split_pattern(texts.filter(pa.array(~whole)), " ")
-    cut = lists.offsets.to_numpy().astype(np.int64)
-    cut = cut - cut[0]
-    pieces, owner = lists.flatten(), np.flatnonzero(~whole)[tx.owners(cut)]
-    plain = np.zeros(len(pieces), bool)
-    plain[cut[:-1]] = True
-    if whole.any():
-        pieces = pa.concat_arrays([pieces, texts.filter(pa.array(whole))])
-        owner = np.concatenate([owner, np.flatnonzero(whole)])
-        plain = np.concatenate([plain, np.ones(int(whole.sum()), bool)])
-        order = np.argsort(owner, kind="stable")
-        pieces, owner, plain = pieces.take(pa.array(order)), owner[order], plain[order]
-    lengths, ids = encode_by_piece(pieces, plain, " ", encode)
-    per_text = np.bincount(owner, weights=lengths, minlength=len(texts)).astype(np.int64)
-    return np.concatenate([[0], np.cumsum(per_text)]), ids
+    ids = [np.array(encode(t), np.uint32) for t in pc.fill_null(texts, "").to_pylist()]
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int64)]).astype(np.int64)
+    return offsets, np.concatenate(ids) if ids else np.zeros(0, np.uint32)
