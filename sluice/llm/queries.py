@@ -3,14 +3,16 @@ express the operator; the tests hold it against a brute-force version)."""
 
 from __future__ import annotations
 
-from sluice.llm import near_duplicates, packing, repetition, secret_scan, warc
+from sluice.llm import hnsw, near_duplicates, packing, repetition, secret_scan, substrings, warc
 
 QUERIES = {
     "op1_warc_revisits": warc.op1_warc_revisits,
     "op3_suffix_repetition": repetition.op3_suffix_repetition,
     "op5_pattern_packing": packing.op5_pattern_packing,
     "op7_secret_randomness": secret_scan.op7_secret_randomness,
+    "op8_hnsw_search": hnsw.op8_hnsw_search,
+    "op9_seed_and_extend": substrings.op9_seed_and_extend,
     "op10_probminhash_classes": near_duplicates.op10_probminhash_classes,
 }
 
-SQL: dict[str, str] = {"op1_warc_revisits": warc.OP1_SQL}
+SQL: dict[str, str] = {"op1_warc_revisits": warc.OP1_SQL, "op9_seed_and_extend": substrings.OP9_SQL}
