@@ -43,9 +43,11 @@ PIECE_FIELDS = "piece int, start long, length long, ids_crc32 long, uid long"
 
 def pieces(docs: DataFrame, text: str = "text", tokenizer: str | None = None, end_id: int = END_ID,
            max_len: int = MAX_LEN) -> DataFrame:
-    """``row`` and the pieces of its document. ``uid`` is a random number that
-    orders pieces; write the result before using it twice."""
-    rows = tx.row_and_text(docs, text)
+    """``row`` (the input row without its text) and the pieces of its document.
+    ``uid`` is a random number that orders pieces; write the result before
+    using it twice."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text] or [F.lit(None).cast("string").alias("none")]
+    rows = docs.select(F.struct(*others).alias("row"), F.col(f"`{text}`").cast("string").alias("text"))
     file = tokenizer or tk.default_file()
     schema = T.StructType([rows.schema["row"], *T._parse_datatype_string(PIECE_FIELDS).fields])
 
