@@ -31,15 +31,21 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.filter("u <> v").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def _sum(edges: DataFrame) -> tuple:
+    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64(F.greatest("u", "v"), F.least("u", "v")))).first())
+
+
+def components(edges: DataFrame) -> DataFrame | None:
     """``node, label`` of every node of the edges ``u, v``: the least node it is
-    connected with (alternating large and small stars, each round written)."""
+    connected with (alternating large and small stars, each round written);
+    None without edges."""
     now = _written(edges.filter("u <> v").select("u", "v").distinct(), "edges")
+    is_now = _sum(now)
+    if not is_now[0]:
+        return None
     while True:
-        new = _written(_star(_written(_star(now, True), "large-star"), False), "small-star")
-        gone = now.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).exceptAll(new)
-        grown = new.count() != now.count() or not gone.isEmpty()
-        now = new
-        if not grown:
+        now = _written(_star(_star(now, True), False), "stars")
+        was, is_now = is_now, _sum(now)
+        if was == is_now:
             return now.select(F.col("u").alias("node"), F.col("v").alias("label")).union(
                 now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

@@ -12,10 +12,11 @@ few documents with an empty register go on to twice the time.
 
 Documents with the same words are one node (the least doc_id of them). Nodes
 that share a band are candidates. A bucket has a leader; every other member is
-verified against it by the exact similarity of the shingles, and those that
-fail elect a leader among themselves until none are left: the pairs grow with
-the members, not with their square. Verified links give classes by connected
-components; the class id is the least doc_id.
+verified against it by the exact similarity of the shingles. Verified links
+give classes by connected components. Members that are not in their leader's
+class elect another leader among themselves, then in narrower buckets (two
+bands in common), until a turn links nothing new: the pairs of a turn grow
+with the members, not with their square. The class id is the least doc_id.
 
 Defined cases: words are ``[^\\x20\\x09-\\x0D]+``, unchanged; a text of one to
 four words is one shingle; a null or empty text has none and is a class of its
@@ -185,19 +186,21 @@ def similarity(a: bytes, b: bytes) -> float:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """The pairs ``node, leader`` and whether they are similar enough. The
-    sets of the nodes move to their leaders; AQE splits a leader of very many."""
+    """The pairs ``node, leader``, whether they are ``near``, and the node's
+    set where they are not. The sets of the nodes move to their leaders; AQE
+    splits a leader of very many."""
     mine = pairs.join(sets, "node").withColumnRenamed("shingles", "own")
     both = mine.join(sets.withColumnRenamed("node", "leader"), "leader")
 
     def run(batches):
         for batch in batches:
-            near = [similarity(a, b) >= least for a, b in zip(batch.column("own").to_pylist(),
-                                                              batch.column("shingles").to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("leader"), pa.array(near, pa.bool_())],
-                                             ["node", "leader", "near"])
+            own = batch.column("own").to_pylist()
+            near = [similarity(a, b) >= least for a, b in zip(own, batch.column("shingles").to_pylist())]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), batch.column("leader"), pa.array(near, pa.bool_()),
+                 pa.array([None if n else x for n, x in zip(near, own)], pa.binary())], ["node", "leader", "near", "own"])
 
-    return both.select("node", "leader", "own", "shingles").mapInArrow(run, "node long, leader long, near boolean")
+    return both.select("node", "leader", "own", "shingles").mapInArrow(run, "node long, leader long, near boolean, own binary")
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
@@ -207,37 +210,79 @@ def _written(df: DataFrame, name: str) -> DataFrame:
 
 
 def _led(members: DataFrame, turn: int) -> DataFrame:
-    """Members ``bucket, node`` of buckets of two or more, with their leader."""
-    order = F.struct(F.xxhash64(F.col("node"), F.lit(turn)).alias("o"), F.col("node"))
-    leaders = (members.groupBy("bucket").agg(F.min(order).alias("first"), F.count("*").alias("n"))
-               .filter("n > 1").select("bucket", F.col("first.node").alias("leader")))
-    return members.join(leaders, "bucket")
+    """Members ``bucket, node, label`` of buckets with two or more labels, with
+    the leader of the bucket (another one each turn) and its label."""
+    order = F.struct(F.xxhash64("bucket", "node", F.lit(turn)).alias("o"), "node", "label")
+    leaders = (members.groupBy("bucket").agg(F.min(order).alias("first"), F.min("label").alias("a"), F.max("label").alias("b"))
+               .filter("a <> b").select("bucket", F.col("first.node").alias("leader"), F.col("first.label").alias("leader_label")))
+    # Written, so that AQE can split the join where a bucket has very many members.
+    return members.join(_written(leaders, "leaders"), "bucket")
+
+
+def _narrow(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The members dealt again: a bucket for each further band that members of
+    a bucket share."""
+    bands_of = nodes.select("node", "buckets").join(members.select("node").distinct(), "node", "left_semi")
+    pairs = (members.join(bands_of, "node").select("bucket", "node", "label", F.explode("buckets").alias("other"))
+             .filter("bucket <> other"))
+    return pairs.select(F.xxhash64(F.least("bucket", "other"), F.greatest("bucket", "other")).alias("bucket"),
+                        "node", "label").distinct()
+
+
+def linked(nodes: DataFrame, sets_of, least: float) -> DataFrame | None:
+    """``node, label`` of the nodes that have a link. ``sets_of`` gives the
+    shingles of nodes.
+
+    Turn 0 and 1 compare the members of a bucket with its leader, the later
+    ones with the leader of a narrower bucket. Members that a turn has put into
+    the class of their leader need no further comparison with it; the others go
+    on, until a turn over all of them links nothing new."""
+    members = nodes.select("node", F.col("node").alias("label"), F.explode("buckets").alias("bucket"))
+    led = _written(_led(members, 0), "led")
+    sets = _written(sets_of(led.select("node").distinct()), "shingles")     # leaders are members too
+    labels, turn = None, 0
+    while True:
+        pairs = led.filter("label <> leader_label").select("node", "leader").distinct()
+        seen = _written(verified(pairs, sets, least), "verified")
+        names = led.select("node", "leader", "label", "leader_label").distinct()
+        edges = seen.filter("near").join(names, ["node", "leader"]).select(
+            F.col("label").alias("u"), F.col("leader_label").alias("v"))
+        new = graph.components(edges)
+        if new is not None:
+            renamed = new.select(F.col("node").alias("label"), F.col("label").alias("now"))
+            labels = new if labels is None else _written(
+                labels.join(renamed, "label", "left").select("node", F.coalesce("now", "label").alias("label"))
+                .union(new.join(labels, "node", "left_anti")), "labels")
+            led = (led.join(renamed, "label", "left").withColumn("label", F.coalesce("now", "label")).drop("now")
+                   .join(renamed.toDF("leader_label", "now"), "leader_label", "left")
+                   .withColumn("leader_label", F.coalesce("now", "leader_label")).drop("now"))
+        elif turn > 1:
+            return labels
+        left = led.filter("label <> leader_label").select("bucket", "node", "label")
+        if turn == 0:
+            sets = _written(seen.filter("not near").groupBy("node").agg(F.first("own").alias("shingles")), "shingles")
+        turn += 1
+        led = _written(_led(_narrow(left, nodes) if turn == 2 else left, turn), "led")
+        if led.isEmpty():
+            return labels
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
     """``doc_id, class_id`` of each row."""
     plain = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     sign = _written(signed(plain), "signatures")
-    nodes = (sign.filter("content is not null").groupBy("content")
-             .agg(F.min("doc_id").alias("node"), F.first("buckets").alias("buckets")).filter("node is not null"))
-    led = _written(_led(nodes.select("node", F.explode("buckets").alias("bucket")).distinct(), 0), "led")
-    wanted = led.select("node").distinct()              # leaders are members too
-    sets = _written(shingle_sets(plain.join(wanted.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
-                                 .select("doc_id", "text")).groupBy("node").agg(F.first("shingles").alias("shingles")), "shingles")
-    links, turn = None, 0
-    while True:
-        pairs = led.filter("node <> leader").select("node", "leader").distinct()
-        seen = _written(verified(pairs, sets, least), "verified")
-        found = seen.filter("near").select(F.col("node").alias("u"), F.col("leader").alias("v"))
-        links = found if links is None else links.union(found)
-        failed = led.join(seen.filter("not near"), ["node", "leader"]).select("bucket", "node")
-        turn += 1
-        led = _written(_led(failed, turn), "led")
-        if led.isEmpty():
-            break
-    labels = graph.components(links)
-    of_content = (nodes.select("content", "node").join(labels, "node", "left")
-                  .select("content", F.coalesce("label", "node").alias("class_id")))
+    nodes = _written(sign.filter("content is not null").groupBy("content")
+                     .agg(F.min("doc_id").alias("node"), F.first("buckets").alias("buckets")).filter("node is not null"), "nodes")
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        texts = plain.join(wanted.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        return shingle_sets(texts.select("doc_id", "text"))
+
+    labels = linked(nodes, sets_of, least)
+    of_content = nodes.select("content", F.col("node").alias("class_id"))
+    if labels is not None:
+        of_content = nodes.select("content", "node").join(labels, "node", "left").select(
+            "content", F.coalesce("label", "node").alias("class_id"))
     return sign.select("doc_id", "content").join(of_content, "content", "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
 
