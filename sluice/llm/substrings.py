@@ -16,8 +16,8 @@ repeats of at least ``WINDOW`` words.
 
 First means the smallest (doc_id, start). A window, run or anchor that a third
 of all documents share is combined to a count or minimum before the shuffle;
-its rows meet that minimum in a join whose skewed partitions AQE splits. No
-pairs of documents are formed.
+its rows meet that minimum, which is written first, in a join whose skewed
+partitions AQE splits. No pairs of documents are formed.
 
 Defined cases: words are ``[^\\x20\\x09-\\x0D]+``, unchanged; a null or empty
 text has none, and a text under ``WINDOW`` words keeps all; texts are read
@@ -129,7 +129,7 @@ def _written(df: DataFrame, name: str) -> DataFrame:
 
 def _not_first(rows: DataFrame, keys: list[str], place: str) -> DataFrame:
     """``rows`` with ``later``: whether a smaller (doc_id, place) has the keys."""
-    first = rows.groupBy(*keys).agg(F.min(F.struct("doc_id", place)).alias("first"))
+    first = _written(rows.groupBy(*keys).agg(F.min(F.struct("doc_id", place)).alias("first")), "first")
     return rows.join(first, keys).withColumn(
         "later", (F.col("first.doc_id") != F.col("doc_id")) | (F.col(f"first.{place}") != F.col(place))).drop("first")
 
@@ -138,9 +138,9 @@ def repeats(docs: DataFrame) -> DataFrame:
     """``doc_id, spans``: the removed spans of ``doc_id, text`` (start and
     length in words, packed in a long)."""
     found = runs(docs)
-    often = found.groupBy("anchor").count().filter("count > 1").select("anchor")
+    often = _written(found.groupBy("anchor").count().filter("count > 1").select("anchor"), "often")
     shared = _written(found.join(often, "anchor"), "shared-runs")
-    parted = (shared.groupBy("anchor").agg((F.min("reach") != F.max("reach")).alias("parted")))
+    parted = _written(shared.groupBy("anchor").agg((F.min("reach") != F.max("reach")).alias("parted")), "parted")
     placed = _written(_not_first(shared, ["anchor", "reach"], "at").join(parted, "anchor")
                       .filter("later or parted"), "placed-runs")
     edges = (placed.filter("not later").groupBy("doc_id")

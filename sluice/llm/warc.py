@@ -123,8 +123,10 @@ def resolve(headers: DataFrame, min_bytes: int) -> DataFrame:
     of at least ``min_bytes`` bytes the largest page id answers, the others
     revisit it."""
     key = ["payload_digest", "payload_bytes"]
-    best = (headers.groupBy(*key).agg(F.max(F.struct("page_id", "record_id")).alias("best"), F.count("*").alias("n"))
-            .filter("n > 1").drop("n"))
+    path = scratch_path(headers.sparkSession, "responses")       # written, so that AQE can split the join below
+    (headers.groupBy(*key).agg(F.max(F.struct("page_id", "record_id")).alias("best"), F.count("*").alias("n"))
+     .filter("n > 1").drop("n").write.parquet(path))
+    best = headers.sparkSession.read.parquet(path)
     revisit = (F.col("best.record_id") != F.col("record_id")) & (F.col("payload_bytes") >= min_bytes)
     return headers.join(best, key, "left").select(
         "record_id",
