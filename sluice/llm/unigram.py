@@ -59,7 +59,7 @@ class DoubleArray:
         base, check, out = np.zeros(size, np.int32), np.full(size, -1, np.int32), np.full(size, -1, np.int32)
         taken = np.zeros(size, bool)
         taken[0] = True
-        place, low = {0: 0}, 1
+        place, low, end = {0: 0}, 1, 1
         for node, own in enumerate(children):
             state = place[node]
             out[state] = value[node]
@@ -68,7 +68,9 @@ class DoubleArray:
             codes = np.array(sorted(own), np.int64)
             while taken[low]:
                 low += 1
-            start, reach = max(1, low - int(codes[0])), 1 if len(codes) == 1 else 64
+            # Nodes of many children are placed near the end, where there is room.
+            start = max(1, (low if len(codes) < 3 else max(low, end - 2048)) - int(codes[0]))
+            reach = 256
             while True:             # the first offset at which no child meets a taken place
                 if start + reach + width >= size:
                     base, check, out, taken = (np.concatenate([a, np.full(size, f, a.dtype)]) for a, f in
@@ -81,6 +83,7 @@ class DoubleArray:
                 start, reach = start + reach, min(2 * reach, 4096)
             offset = start + int(fits[0])
             base[state] = offset
+            end = max(end, offset + int(codes[-1]))
             taken[offset + codes] = True
             check[offset + codes] = state
             for c in codes.tolist():
