@@ -37,7 +37,8 @@ SHARD_POINTS = 16384        # a shard holds about so many points, fewer of long
 SHARD_BYTES = 64 << 20
 LINKS = 16                  # of a point in the upper layers; twice as many in the lowest
 CANDIDATES = 64             # from which links are chosen
-BREADTH = 200               # points a search keeps
+BREADTH = 60                # points a search of a shard keeps
+UPPER_BREADTH = 16          # the same in the upper layers
 QUERY_BLOCK = 1024
 SALTS = 16
 
@@ -149,35 +150,29 @@ class Shard:
         self.ends = np.frombuffer(row["id_ends"], np.int64)
         self.layers = [np.frombuffer(x, np.int32) for x in row["layers"]]
         self.links = [np.frombuffer(x, np.int32).reshape(len(m), -1) for x, m in zip(row["links"], self.layers)]
+        self.rows: list = [None]        # row of a point in the links of an upper layer
+        for members in self.layers[1:]:
+            row = np.zeros(n, np.int32)
+            row[members] = np.arange(len(members))
+            self.rows.append(row)
         self.seen, self.turn = np.zeros(n, np.int64), 0
 
-    def around(self, layer: int, point: int) -> np.ndarray:
-        row = point if layer == 0 else np.searchsorted(self.layers[layer], point)
-        own = self.links[layer][row]
-        return own[own >= 0]
-
-    def search(self, query: np.ndarray, breadth: int) -> np.ndarray:
-        """The points found, by beam search in the lowest layer from where
-        greedy steps through the upper layers end."""
-        query = query.astype(np.float32)
-        here = int(self.layers[-1][0])
-        value = float(self.low[here] @ query)
-        for layer in range(len(self.layers) - 1, 0, -1):
-            while True:
-                own = self.around(layer, here)
-                like = self.low[own] @ query
-                if not len(own) or like.max() <= value:
-                    break
-                here, value = int(own[like.argmax()]), float(like.max())
+    def beam(self, layer: int, starts: list[tuple[float, int]], query: np.ndarray, breadth: int) -> list[tuple[float, int]]:
+        """The best points of a layer that are reached from the starts, as a
+        heap of (likeness, point)."""
         self.turn += 1
         seen, turn = self.seen, self.turn
-        seen[here] = turn
-        todo, found = [(-value, here)], [(value, here)]
+        found = list(starts)
+        heapq.heapify(found)
+        todo = [(-v, p) for v, p in found]
+        heapq.heapify(todo)
+        seen[[p for _, p in found]] = turn
+        links, row = self.links[layer], self.rows[layer]
         while todo:
             value, point = heapq.heappop(todo)
             if len(found) >= breadth and -value < found[0][0]:
                 break
-            own = self.links[0][point]
+            own = links[point if row is None else row[point]]
             own = own[own >= 0]
             own = own[seen[own] != turn]
             seen[own] = turn
@@ -193,7 +188,17 @@ class Shard:
                 else:
                     continue
                 heapq.heappush(todo, (-v, p))
-        return np.fromiter((p for _, p in found), np.int64, len(found))
+        return found
+
+    def search(self, query: np.ndarray, breadth: int) -> np.ndarray:
+        """The points found by beam searches from the top layer down; a layer's
+        beam starts from all points of the one above."""
+        query = query.astype(np.float32)
+        first = int(self.layers[-1][0])
+        found = [(float(self.low[first] @ query), first)]
+        for layer in range(len(self.layers) - 1, 0, -1):
+            found = self.beam(layer, found, query, UPPER_BREADTH)
+        return np.fromiter((p for _, p in self.beam(0, found, query, breadth)), np.int64)
 
     def nearest(self, query_id: int, query: np.ndarray, nearest: int, breadth: int) -> tuple[np.ndarray, np.ndarray]:
         own = self.search(query, breadth)
@@ -219,7 +224,9 @@ def index(rows: DataFrame, nearest: int = NEAREST) -> DataFrame:
     shards = dealt.groupBy("dim").agg(F.count("*").alias("n")).select("dim", F.ceil(F.col("n") / bound).alias("shards"))
     dealt = dealt.join(shards, "dim").withColumn("shard", F.pmod(F.xxhash64(F.element_at("ids", 1)), "shards"))
     path = scratch_path(spark, "hnsw")
-    (dealt.select("dim", "shard", "point", "vector", "ids").groupBy("dim", "shard")
+    total = shards.agg(F.sum("shards")).first()[0] or 1
+    # Shards are few and take long to build: a task for each, however small their data.
+    (dealt.select("dim", "shard", "point", "vector", "ids").repartition(2 * total, "dim", "shard").groupBy("dim", "shard")
      .applyInPandas(build, INDEX).write.parquet(path))
     return spark.read.parquet(path)
 
@@ -235,15 +242,18 @@ def search(shards: DataFrame, queries: DataFrame, nearest: int = NEAREST, breadt
     copies = shards.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")))
 
     def answer(index_rows: pd.DataFrame, asked_rows: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(index_rows) and len(asked_rows):
-            shard = Shard(index_rows.iloc[0])
-            for query_id, vector in zip(asked_rows["query_id"].tolist(), asked_rows["vector"].tolist()):
-                ids, score = shard.nearest(query_id, np.asarray(vector, np.float64), nearest, breadth)
-                out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids, "score": score}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        if not len(index_rows) or not len(asked_rows):
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        shard = Shard(index_rows.iloc[0])
+        ids = asked_rows["query_id"].tolist()
+        found = [shard.nearest(i, np.asarray(v, np.float64), nearest, breadth) for i, v in zip(ids, asked_rows["vector"].tolist())]
+        return pd.DataFrame({"query_id": np.repeat(ids, [len(x) for x, _ in found]),
+                             "vec_id": np.concatenate([x for x, _ in found]), "score": np.concatenate([y for _, y in found])})
 
     asked = asked.withColumnRenamed("block", "to_block")
+    groups = max(1, blocks * shards.count())
+    copies = copies.repartition(groups, "dim", "shard", "block")
+    asked = asked.repartition(groups, "to_dim", "to_shard", "to_block")
     found = copies.groupBy("dim", "shard", "block").cogroup(asked.groupBy("to_dim", "to_shard", "to_block")).applyInPandas(
         answer, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
