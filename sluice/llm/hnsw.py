@@ -33,11 +33,11 @@ from pyspark.sql import functions as F
 from sluice.session import scratch_path
 
 NEAREST = 20
-SHARD_POINTS = 16384        # a shard holds about so many points, fewer of long vectors
+SHARD_POINTS = 32768        # a shard holds about so many points, fewer of long vectors
 SHARD_BYTES = 64 << 20
 LINKS = 16                  # of a point in the upper layers; twice as many in the lowest
 CANDIDATES = 64             # from which links are chosen
-BREADTH = 60                # points a search of a shard keeps
+BREADTH = 160               # points a search of a shard keeps
 UPPER_BREADTH = 16          # the same in the upper layers
 QUERY_BLOCK = 1024
 SALTS = 16
