@@ -12,8 +12,10 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from sluice.session import build_session
-    s = build_session("local[*]", app="sluice-tests", shuffle_partitions=8)
+    shared = {"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+              "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))}
+    s = build_session("local[*]", app="sluice-tests", shuffle_partitions=8, extra=shared)
     yield s
     s.stop()
