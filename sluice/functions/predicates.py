@@ -41,13 +41,11 @@ def fill_from(c, fallback) -> Column:
 
 # P13
 def find_col(df: DataFrame, fragments, exclude=()) -> str | None:
-    """First column whose lower-cased name contains one of the fragments."""
-    for frag in fragments:
-        for name in df.columns:
-            if name in exclude:
-                continue
-            if frag in name.lower():
-                return name
+    """First column, in column order, whose lower-cased name contains any of
+    the fragments."""
+    for name in df.columns:
+        if name not in exclude and any(frag in name.lower() for frag in fragments):
+            return name
     return None
 
 
@@ -57,21 +55,13 @@ def require(df: DataFrame, cols) -> DataFrame:
 
 
 # P4
-def where_in(df: DataFrame, col: str, ids, max_inline: int = 1000) -> DataFrame:
-    """Membership filter: inline IN list when short, else a left-semi join.
-
-    ``ids`` may be a Python list or a one-column DataFrame; a DataFrame is
-    always joined (the optimizer may broadcast it from runtime size).
-    """
+def where_in(df: DataFrame, col: str, ids) -> DataFrame:
+    """Membership filter: a list (configuration) is an IN set that reaches the
+    scan, a one-column DataFrame a left-semi join."""
     if isinstance(ids, DataFrame):
         key = ids.columns[0]
         return df.join(ids.select(F.col(key).alias(col)).distinct(), on=col, how="left_semi")
-    ids = list(ids)
-    if len(ids) <= max_inline:
-        return df.where(F.col(col).isin(ids))
-    spark = df.sparkSession
-    other = spark.createDataFrame([(i,) for i in ids], [col])
-    return df.join(other.distinct(), on=col, how="left_semi")
+    return df.where(F.col(col).isin(list(ids)))
 
 
 # P12

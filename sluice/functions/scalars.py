@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 __all__ = [
     "col_of", "try_date", "try_double", "try_int", "try_long", "try_bool",
-    "try_timestamp", "try_ts_ntz", "date_text", "text_date", "default_if_null",
+    "try_timestamp", "try_ts_ntz", "try_instant_ntz", "date_text", "text_date", "default_if_null",
     "next_day", "month_text_date", "month_text_year", "first_token",
     "strip_quotes", "full_match", "sanitize_ident", "strip_control", "truncate",
     "percent", "falsy_or", "blank_or", "empty_if_null", "stamp_text", "iso_text",
@@ -66,6 +66,12 @@ def try_ts_ntz(c) -> Column:
     return col_of(c).try_cast(T.TimestampNTZType())
 
 
+def try_instant_ntz(c) -> Column:
+    """Text to the instant it names (offsets are honoured; without one the
+    session's zone, UTC, holds), as a UTC timestamp without zone; null on failure."""
+    return F.to_utc_timestamp(F.try_to_timestamp(col_of(c)), F.current_timezone()).cast(T.TimestampNTZType())
+
+
 # F6
 def date_text(c) -> Column:
     return F.date_format(col_of(c), "yyyy-MM-dd")
@@ -119,13 +125,14 @@ def first_token(c) -> Column:
 
 # F13
 def strip_quotes(c) -> Column:
-    """Remove one pair of wrapping double or single quotes."""
-    return F.regexp_replace(col_of(c), r"""^(["'])(.*)\1$""", "$2")
+    """Remove one pair of wrapping double or single quotes (line breaks inside
+    included)."""
+    return F.regexp_replace(col_of(c), r"""(?s)\A(["'])(.*)\1\z""", "$2")
 
 
 # F14
 def full_match(c, pattern: str) -> Column:
-    return F.coalesce(col_of(c).rlike(f"^(?:{pattern})$"), F.lit(False))
+    return F.coalesce(col_of(c).rlike(rf"\A(?:{pattern})\z"), F.lit(False))
 
 
 # F15

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.functions.scalars import col_of
 
@@ -17,8 +18,9 @@ def latest_wins(df: DataFrame, keys, order, tiebreak="rest") -> DataFrame:
 
     ``order`` is a list of sort columns such as
     ``F.col("extracted_at").desc_nulls_last()``. With ``tiebreak="rest"`` the
-    remaining columns are appended in descending order so the choice is
-    deterministic even when every order column ties.
+    greatest ``source_file`` wins (where there is such a column), then the
+    remaining columns that can be ordered are appended in descending order, so
+    the choice is deterministic even when every order column ties.
 
     The filter ``row_number() == 1`` is planned by Catalyst as a partial
     WindowGroupLimit before the shuffle and a final one after it, so a hot key
@@ -27,7 +29,9 @@ def latest_wins(df: DataFrame, keys, order, tiebreak="rest") -> DataFrame:
     keys = list(keys)
     order = _order_cols(order)
     if tiebreak == "rest":
-        rest = [c for c in df.columns if c not in keys]
+        rest = [f.name for f in df.schema.fields if f.name not in keys
+                and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+        rest.sort(key=lambda c: c != "source_file")         # stable: the others keep their order
         order = order + [F.col(c).desc_nulls_last() for c in rest]
     w = Window.partitionBy(*keys).orderBy(*order)
     rn = "__rn"

@@ -44,19 +44,15 @@ def tail_by(df: DataFrame, date: str, n: int, tiebreak=()) -> DataFrame:
 
 
 # O6 / F25
-def random_sample(df: DataFrame, cap: int = 100_000, n: int = 1_000, seed: int = 42,
-                  total: int | None = None) -> DataFrame:
+def random_sample(df: DataFrame, n: int = 1_000, seed: int = 42, total: int | None = None) -> DataFrame:
     """``n`` random rows (all rows, shuffled, when there are fewer).
 
-    The reference shuffles the first ``cap`` rows and keeps ``n``; "first"
-    has no meaning on distributed data, and a ``limit(cap)`` would pull up to
-    ``cap`` whole rows into one task. Instead a Bernoulli pre-sample, sized
-    from the row count, keeps about ``3n`` candidates spread over the tasks;
-    a random top-n of those is the sample. No task sees more than the
-    candidates. ``cap`` still bounds the candidate pool.
+    A Bernoulli pre-sample, sized from the row count, keeps about ``3n``
+    candidates spread over the tasks; a random top-n of those is the sample.
+    No task sees more than the candidates.
     """
     total = df.count() if total is None else total
-    want = min(n, cap, total)
+    want = min(n, total)
     if want <= 0:
         return df.limit(0)
     frac = min(1.0, (3 * want + 64) / total)

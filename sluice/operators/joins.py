@@ -1,23 +1,11 @@
-"""Dimension joins: grids, lookups and enrichment.
-
-Broadcasts are only requested after the side's size was checked; above the
-bound the join stays a shuffle join and AQE may still pick a broadcast from
-the runtime size.
-"""
+"""Dimension joins: grids and enrichment (J5, J7). Joins carry no hints: AQE
+broadcasts a side whose size in bytes allows it."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (stops early)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    return F.broadcast(df) if is_small(df, max_rows) else df
+from pyspark.sql import types as T
 
 
 def bounded_values(df: DataFrame, col: str, max_values: int = 10_000) -> list:
@@ -45,12 +33,10 @@ def grid(members: DataFrame, codes: list, code_name: str = "code") -> DataFrame:
     return members.withColumn(code_name, F.explode(arr))
 
 
-def lookup_marks(series: DataFrame, marks: DataFrame, key: str,
-                 max_rows: int = 1_000_000) -> DataFrame:
-    """Left join of requested series to their stored marks."""
-    return series.join(broadcast_if_small(marks, max_rows), on=key, how="left")
-
-
-def enrich(obs: DataFrame, meta: DataFrame, key, max_rows: int = 200_000) -> DataFrame:
-    """Add metadata columns to each observation (inner equi-join)."""
-    return obs.join(broadcast_if_small(meta, max_rows), on=key, how="inner")
+def enrich(obs: DataFrame, meta: DataFrame, key) -> DataFrame:
+    """Metadata columns beside each observation; an observation without
+    metadata stays, its text columns empty."""
+    keys = [key] if isinstance(key, str) else list(key)
+    texts = [f.name for f in meta.schema.fields if f.name not in keys and isinstance(f.dataType, T.StringType)]
+    joined = obs.join(meta, on=key, how="left")
+    return joined.withColumns({c: F.coalesce(c, F.lit("")) for c in texts})

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.scalars import run_ts as _run_ts, try_date, try_double, try_ts_ntz
+from sluice.functions.scalars import run_ts as _run_ts, try_date, try_double, try_instant_ntz
 from sluice.operators.aggregate import group_count
 from sluice.operators.dedupe import latest_wins
 from sluice.operators.merge import merge
@@ -28,7 +28,7 @@ def typed(raw: DataFrame) -> DataFrame:
         g("is_nibrs", "boolean").alias("is_nibrs"),
         try_date(g("nibrs_start_date")).alias("nibrs_start_date"),
         try_double(g("latitude")).alias("latitude"), try_double(g("longitude")).alias("longitude"),
-        try_ts_ntz(g("extracted_at")).alias("extracted_at"), "source_file", "loaded_at")
+        try_instant_ntz(g("extracted_at")).alias("extracted_at"), "source_file", "loaded_at")
 
 
 def curate(target: DataFrame, raw: DataFrame, run_ts: str) -> DataFrame:

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from sluice.functions.scalars import run_ts as _run_ts
 from sluice.operators.aggregate import delta_stats, run_totals  # noqa: F401
-from sluice.operators.joins import is_small
 from sluice.operators.merge import merge, update_where
 
 # Status and message texts of the extraction log.
@@ -35,49 +34,32 @@ def _ts(v) -> Column:
     return v if isinstance(v, Column) else _run_ts(v)
 
 
-# Requested series above this count are joined by shuffle instead of broadcast.
-MAX_BROADCAST_SERIES = 1_000_000
-
-
-def _bounded(df: DataFrame, is_bounded: bool) -> DataFrame:
-    return F.broadcast(df) if is_bounded else df
-
-
 # H2 + H3 (+ H10 when use_marks is False)
 def plan(series: DataFrame, marks: DataFrame | None, default_start: str,
          override_start: str | None = None, use_marks: bool = True,
-         lookback_days: int = 0, key: str = "series_id",
-         series_bounded: bool | None = None) -> DataFrame:
+         lookback_days: int = 0, key: str = "series_id") -> DataFrame:
     """Start date per requested series: mark + 1 day, else the override,
     else the configured default.
 
-    The requested series come from configuration; their count is checked
-    once (``series_bounded``). Marks are first cut down to the requested
-    series by a semi join, so the side joined back is bounded by the series
-    count too (marks are unique per series) and both joins broadcast.
+    Marks are first cut down to the requested series by a semi join, so the
+    side joined back has a row per requested series at most.
     """
     fallback = F.coalesce(F.lit(override_start).cast("date"), F.lit(default_start).cast("date"))
     if not use_marks or marks is None:
         return series.withColumn("start_date", fallback)
-    if series_bounded is None:
-        series_bounded = is_small(series, MAX_BROADCAST_SERIES)
     keys = series.select(key).distinct()
-    m = marks.select(key, "last_observation_date").join(_bounded(keys, series_bounded), key, "left_semi")
-    j = series.join(_bounded(m, series_bounded), on=key, how="left")
+    m = marks.select(key, "last_observation_date").join(keys, key, "left_semi")
+    j = series.join(m, on=key, how="left")
     start = F.coalesce(F.date_add("last_observation_date", 1 - lookback_days), fallback)
     return j.withColumn("start_date", start).drop("last_observation_date")
 
 
 # H4
 def delta(obs: DataFrame, plan_df: DataFrame, key: str = "series_id",
-          date: str = "observation_date", value: str = "value",
-          plan_bounded: bool | None = None) -> DataFrame:
+          date: str = "observation_date", value: str = "value") -> DataFrame:
     """Observations on or after each series' start date, null values dropped.
-    The plan has one row per requested series: broadcast when that count is
-    within bounds, so the observations are filtered where they are read."""
-    if plan_bounded is None:
-        plan_bounded = is_small(plan_df, MAX_BROADCAST_SERIES)
-    p = _bounded(plan_df.select(key, "start_date"), plan_bounded)
+    The plan has one row per requested series."""
+    p = plan_df.select(key, "start_date")
     return (obs.join(p, on=key, how="inner")
             .where((F.col(date) >= F.col("start_date")) & F.col(value).isNotNull())
             .drop("start_date"))
@@ -103,7 +85,8 @@ def advance(marks: DataFrame, stats: DataFrame, meta: DataFrame | None, run_ts,
     return merge(marks, src, [key],
                  set_update={"title": F.col("s.title"), "frequency": F.col("s.frequency"),
                              "units": F.col("s.units"),
-                             "last_observation_date": F.col("s.last_observation_date"),
+                             # A look-back run may end earlier: a mark never moves back.
+                             "last_observation_date": F.greatest("t.last_observation_date", "s.last_observation_date"),
                              "last_successful_run": now,
                              "consecutive_failures": F.lit(0), "updated_at": now},
                  set_insert={"last_successful_run": now, "consecutive_failures": F.lit(0),
@@ -189,7 +172,7 @@ class RunOutputs:
 def run_extraction(obs: DataFrame, series: DataFrame, marks: DataFrame | None, meta: DataFrame, *,
                    default_start: str, run_ts: str, run_id: str, landing_root: str,
                    failed: DataFrame | None = None, use_marks: bool = True, lookback_days: int = 0,
-                   series_bounded: bool | None = None, key: str = "series_id") -> RunOutputs:
+                   key: str = "series_id") -> RunOutputs:
     """Plan, cut the delta, enrich it with series metadata and land it as one
     CSV folder per series (K1). The enriched delta is checkpointed once, so
     landing, statistics, log and marks all read the same rows (and a lost
@@ -197,17 +180,15 @@ def run_extraction(obs: DataFrame, series: DataFrame, marks: DataFrame | None, m
     from sluice.functions.scalars import date_text
     from sluice.session import materialize
     from sluice.sources.sinks import write_csv_partitioned
-    if series_bounded is None:
-        series_bounded = is_small(series, MAX_BROADCAST_SERIES)
     plan_df = plan(series, marks, default_start, use_marks=use_marks and marks is not None,
-                   lookback_days=lookback_days, key=key, series_bounded=series_bounded)
-    d = delta(obs, plan_df, key=key, plan_bounded=series_bounded)
+                   lookback_days=lookback_days, key=key)
+    d = delta(obs, plan_df, key=key)
     if failed is not None:
-        d = d.join(_bounded(failed.select(key).distinct(), series_bounded), key, "left_anti")
+        d = d.join(failed.select(key).distinct(), key, "left_anti")
     m = meta.select(key, "title", "frequency", "units").join(
-        _bounded(series.select(key).distinct(), series_bounded), key, "left_semi")
+        series.select(key).distinct(), key, "left_semi")
     extracted = F.lit(run_ts.replace(" ", "T") + "+00:00")
-    rows = d.join(_bounded(m, series_bounded), key, "left").select(
+    rows = d.join(m, key, "left").select(
         key, "observation_date", "value",
         *[F.coalesce(c, F.lit("")).alias(c) for c in ("title", "frequency", "units")],
         extracted.alias("extracted_at"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.predicates import require
-from sluice.functions.scalars import run_ts as _run_ts, try_date, try_int, try_ts_ntz
+from sluice.functions.scalars import run_ts as _run_ts, try_date, try_int, try_instant_ntz
 from sluice.operators.aggregate import coverage
 from sluice.operators.dedupe import latest_wins
 from sluice.operators.merge import merge
@@ -28,7 +28,7 @@ def type_raw(raw: DataFrame) -> DataFrame:
         F.col("state"), try_int("offense_code").alias("offense_code"),
         try_date("observation_date").alias("observation_date"),
         F.col("value").try_cast("double").alias("value"),
-        try_ts_ntz("extracted_at").alias("extracted_at"),
+        try_instant_ntz("extracted_at").alias("extracted_at"),
         F.col("source_file"), F.col("loaded_at"))
 
 
@@ -89,7 +89,7 @@ def national_source(raw: DataFrame) -> DataFrame:
         try_date(g("observation_date")).alias("observation_date"),
         g("value").try_cast("double").alias("value"), g("rate").try_cast("double").alias("rate"),
         g("population", "bigint").alias("population"),
-        try_ts_ntz(g("extracted_at")).alias("extracted_at"), "source_file", "loaded_at")
+        try_instant_ntz(g("extracted_at")).alias("extracted_at"), "source_file", "loaded_at")
     typed = require(typed, ["offense_code", "observation_date"])
     return latest_wins(typed, UNIFIED_KEYS, [F.col("extracted_at").desc_nulls_last(),
                                              F.col("loaded_at").desc_nulls_last()])

@@ -9,38 +9,19 @@ from sluice.functions.scalars import clean_strings, drop_zones
 from sluice.operators.explore import random_sample
 from sluice.sources.landing import list_tables
 
-# Export names are cut to 31 characters; the catalog listing is
-# exported under the name "Listing"; samples are 1,000 rows from a pool of
-# at most 100,000.
-NAME_LIMIT = 31
+# The catalog listing is exported under the name "Listing";
+# samples are 1,000 rows.
 LISTING = "Listing"
 SAMPLE_ROWS = 1_000
-SAMPLE_POOL = 100_000
-
-
-def unique_names(names, limit: int = NAME_LIMIT, reserved=(LISTING,)) -> list[str]:
-    """Export names cut to ``limit`` characters; a name already taken gets
-    the lowest free ``_<n>`` suffix, still within the limit."""
-    taken = set(reserved)
-    result = []
-    for name in names:
-        stem = name[:limit]
-        choice, n = stem, 0
-        while choice in taken:
-            n += 1
-            suffix = f"_{n}"
-            choice = stem[: limit - len(suffix)] + suffix
-        taken.add(choice)
-        result.append(choice)
-    return result
 
 
 def sample_catalog(spark: SparkSession, out_root: str, tables: list[str] | None = None,
-                   db: str | None = None, cap: int = SAMPLE_POOL, n: int = SAMPLE_ROWS,
+                   db: str | None = None, n: int = SAMPLE_ROWS,
                    seed: int = 42, parallel: int = 4) -> tuple[list, list]:
     """Write the listing and one cleaned sample per table under ``out_root``.
 
-    Returns ``(exported, skipped)``: (table, export name) pairs and
+    A sample is written under its table's name. Returns ``(exported,
+    skipped)``: (table, export name) pairs and
     (table, error) pairs, in listing order. Only catalog names pass through
     the driver; every sample is a Spark job written by the executors, and up
     to ``parallel`` of these independent jobs run at the same time.
@@ -60,21 +41,23 @@ def sample_catalog(spark: SparkSession, out_root: str, tables: list[str] | None
     except Exception:  # no driver-side context (Spark Connect)
         sc, props = None, {}
 
-    def one(pair):
-        table, export = pair
+    if LISTING in names:
+        raise ValueError(f"a table is named like the listing, {LISTING}")
+
+    def one(table):
         for k, v in props.items():
             if v is not None:
                 sc.setLocalProperty(k, v)
         try:
             source = spark.table(f"{db}.{table}" if db else table)
-            sample = clean_strings(drop_zones(random_sample(source, cap, n, seed)))
-            sample.write.mode("overwrite").parquet(f"{out_root}/{export}")
-            return table, export, None
+            sample = clean_strings(drop_zones(random_sample(source, n, seed)))
+            sample.write.mode("overwrite").parquet(f"{out_root}/{table}")
+            return table, table, None
         except Exception as exc:  # one bad table must not stop the run
-            return table, export, str(exc).splitlines()[0][:200]
+            return table, table, str(exc).splitlines()[0][:200]
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        results = list(pool.map(one, zip(names, unique_names(names))))
+        results = list(pool.map(one, names))
     exported = [(t, e) for t, e, err in results if err is None]
     skipped = [(t, err) for t, _e, err in results if err is not None]
     return exported, skipped

@@ -44,14 +44,18 @@ def with_provenance(df: DataFrame, loaded_at: Column | str | None = None,
 def scan_csv(spark: SparkSession, path: str, columns, *, pattern: str | None = None,
              on_error: str = "continue", recursive: bool = True,
              provenance: bool = True, loaded_at=None, types: dict | None = None,
-             rebalance: bool = False) -> DataFrame:
+             rebalance: bool = False, multi_line: bool = False) -> DataFrame:
     """CSV with one header line; columns taken by position (header names are
     ignored), each cast tolerantly with ``types[name]`` (a function
-    Column -> Column or a Spark type name). ``rebalance``: see ``_rebalanced``."""
+    Column -> Column or a Spark type name). A quote inside a quoted field is
+    doubled; ``multi_line`` lets quoted fields hold line breaks (files are then
+    not split). All columns are parsed whatever is selected, so the bad-record
+    policy and counts never depend on it. ``rebalance``: see ``_rebalanced``."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     df = (_reader(spark, pattern, recursive, on_error).schema(schema)
           .option("header", "true").option("enforceSchema", "true")
-          .option("quote", '"').csv(path))
+          .option("quote", '"').option("escape", '"').option("columnPruning", "false")
+          .option("multiLine", str(multi_line).lower()).csv(path))
     if provenance:
         df = with_provenance(df, loaded_at)
     types = types or {}
@@ -87,8 +91,9 @@ def scan_ndjson_variant(spark: SparkSession, path: str, *, pattern: str | None =
         r = r.option("recursiveFileLookup", "true")
     lines = r.text(path).where(F.trim("value") != "")
     doc = F.try_parse_json("value")
-    if on_error == "abort":
-        doc = F.when(doc.isNull(), F.raise_error(F.lit("malformed JSON line"))).otherwise(doc)
+    if on_error == "abort":     # in a filter: no projection prunes it
+        lines = lines.where(F.when(doc.isNull(), F.raise_error(F.lit("malformed JSON line")).cast("boolean"))
+                            .otherwise(F.lit(True)))
     df = lines.select(doc.alias(doc_col), F.col("_metadata.file_path").alias("source_file"))
     if loaded_at is not None:
         lit = F.lit(loaded_at).cast(T.TimestampNTZType()) if isinstance(loaded_at, str) else loaded_at

@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 # K1
 def write_csv_partitioned(df: DataFrame, path: str, by: str, mode: str = "overwrite") -> None:
     """CSV with header, one folder ``by=<value>/`` per key. The key lives in
-    the folder name and comes back through partition discovery."""
-    df.write.mode(mode).partitionBy(by).option("header", "true").csv(path)
+    the folder name and comes back through partition discovery. Quotes inside a
+    field are doubled. Rows are dealt by the key first (AQE splits a hot one),
+    so a key has files by its size, not one for each task."""
+    (df.hint("rebalance", by).write.mode(mode).partitionBy(by)
+     .option("header", "true").option("escape", '"').csv(path))
 
 
 # K2 / K3
@@ -20,10 +23,10 @@ TS_FORMATS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
 
 
 def write_ndjson(df: DataFrame, path: str, by: str | None = None, mode: str = "overwrite") -> None:
-    w = df.write.mode(mode).options(**TS_FORMATS)
     if by:
-        w = w.partitionBy(by)
-    w.json(path)
+        df.hint("rebalance", by).write.mode(mode).options(**TS_FORMATS).partitionBy(by).json(path)
+    else:
+        df.write.mode(mode).options(**TS_FORMATS).json(path)
 
 
 # K4 / K5
@@ -35,14 +38,19 @@ def land(df: DataFrame, path: str, mode: str = "append") -> None:
 
 
 # K6
-def export_frames(frames: dict, path: str, prefix: str = "", max_name: int = 31) -> list[str]:
-    """Write every non-empty frame to ``path/<prefix+name>`` (name truncated);
-    missing or empty frames are skipped. Returns the written names."""
+def export_frames(frames: dict, path: str, prefix: str = "") -> list[str]:
+    """Write every non-empty frame to ``path/<prefix+name>``; missing or empty
+    frames are skipped. Names that differ by case alone would meet in one
+    folder of some stores: an error, before anything is written. Returns the
+    written names."""
+    names = [(prefix + name).lower() for name in frames]
+    if len(set(names)) < len(names):
+        raise ValueError("frame names clash")
     written = []
     for name, df in frames.items():
         if df is None or df.isEmpty():
             continue
-        out = (prefix + name)[:max_name]
+        out = prefix + name
         df.write.mode("overwrite").parquet(f"{path}/{out}")
         written.append(out)
     return written

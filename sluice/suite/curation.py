@@ -228,11 +228,13 @@ def grid_cross(spark, sf_dir):
 # --- J7 ----------------------------------------------------------------------------------
 
 @case("enrich_metadata", """
-SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, p.p_name, p.p_brand, p.p_type
-FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""")
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, coalesce(p.p_name, '') AS p_name, coalesce(p.p_brand, '') AS p_brand,
+       coalesce(p.p_type, '') AS p_type
+FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey AND p.p_size > 5""")
 def enrich_metadata(spark, sf_dir):
     li = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    part = t(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name",
+    # Small parts have no metadata: their observations must stay.
+    part = t(spark, sf_dir, "part").where("p_size > 5").select(F.col("p_partkey").alias("l_partkey"), "p_name",
                                            "p_brand", "p_type")
     return enrich(li, part, "l_partkey")
 

@@ -61,11 +61,9 @@ def failed_df(spark):
 def scenario(spark, sf_dir):
     series = configured(spark)
     marks = previous_marks(spark, sf_dir)
-    # The configuration is a literal list: its size is known without a job.
-    bounded = len([i for _c, _p, ids in CONFIG for i in ids]) <= hw.MAX_BROADCAST_SERIES
-    plan = hw.plan(series, marks, DEFAULT_START, series_bounded=bounded)
+    plan = hw.plan(series, marks, DEFAULT_START)
     failed = failed_df(spark)
-    delta = (hw.delta(observations(spark, sf_dir), plan, plan_bounded=bounded)
+    delta = (hw.delta(observations(spark, sf_dir), plan)
              .join(F.broadcast(failed), "series_id", "left_anti"))      # literal list of failed ids
     stats = delta_stats(delta, "series_id", "observation_date")
     return series, marks, plan, failed, delta, stats
@@ -179,18 +177,22 @@ SELECT o.series_id, o.observation_date, o.value FROM obs o JOIN series s ON o.se
 WHERE o.observation_date >= DATE '{DEFAULT_START}' AND o.value IS NOT NULL""")
 def full_refresh(spark, sf_dir):
     plan = hw.plan(configured(spark), None, DEFAULT_START, use_marks=False)
-    return hw.delta(observations(spark, sf_dir), plan, plan_bounded=True)
+    return hw.delta(observations(spark, sf_dir), plan)
 
 
-@case("plan_subset", CTE + """
-SELECT series_id, category, start_date FROM plan WHERE lower(category) = 'operations'
-ORDER BY cat_pos, pos LIMIT 2""")
+@case("plan_subset", CTE + f"""
+, chosen AS (SELECT series_id, category, cat_pos, pos FROM
+             (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY cat_pos, pos) AS rn FROM cfg
+              WHERE lower(category) = 'operations') WHERE rn = 1 ORDER BY cat_pos, pos LIMIT 2)
+SELECT c.series_id, c.category, coalesce(m.last_observation_date + 1, DATE '{DEFAULT_START}') AS start_date
+FROM chosen c LEFT JOIN marks m ON c.series_id = m.series_id""")
 def plan_subset(spark, sf_dir):
-    """H11 + P9: one category (case-insensitive) and the first n series."""
-    from sluice.plans.params import optional_eq
-    _s, _m, plan, *_ = scenario(spark, sf_dir)
-    chosen = optional_eq(plan, "category", "OPERATIONS")
-    return chosen.orderBy("cat_pos", "pos").limit(2).select("series_id", "category", "start_date")
+    """H11 + P9: one category (case-insensitive), its series without repeats,
+    then the first n. A series that another category lists too stays."""
+    from sluice.functions.predicates import optional_eq
+    cfg = values_df(spark, CONFIG, "category STRING, cat_pos INT, series_ids ARRAY<STRING>")
+    chosen = series_rows(optional_eq(cfg, "category", "OPERATIONS")).orderBy("cat_pos", "pos").limit(2)
+    return hw.plan(chosen, previous_marks(spark, sf_dir), DEFAULT_START).select("series_id", "category", "start_date")
 
 
 # The request period of the state-level arrest extraction.
@@ -246,7 +248,7 @@ def series_run(spark, sf_dir):
     out = hw.run_extraction(observations(spark, sf_dir), series, marks, meta_of(series),
                             default_start=DEFAULT_START, run_ts=RUN_TS, run_id=RUN_ID,
                             landing_root=f"{root}/landing", failed=failed_df(spark),
-                            lookback_days=LOOKBACK, series_bounded=True)
+                            lookback_days=LOOKBACK)
     hw.ensure_log_table(spark, _log_table(root), f"{root}/log")              # H1
     hw.commit_run(out, f"{root}/log", f"{root}/marks", RUN_ID)
     prev = F.lit(PREV_RUN).cast("timestamp_ntz")

@@ -132,7 +132,7 @@ def catalog_listing(spark, sf_dir):
 
 @case("random_sample")
 def random_sample_q(spark, sf_dir):
-    return random_sample(t(spark, sf_dir, "lineitem"), cap=100_000, n=1_000, seed=7)
+    return random_sample(t(spark, sf_dir, "lineitem"), n=1_000, seed=7)
 
 
 @case("export_frames")
@@ -153,12 +153,11 @@ def export_frames_q(spark, sf_dir):
 @case("catalog_sampling")
 def catalog_sampling(spark, sf_dir):
     """Every test table sampled, cleaned and exported; a view that fails at
-    run time is skipped; two long names share a prefix and get unique export
-    names."""
+    run time is skipped; two long names share a prefix."""
     from sluice.plans.sampling import exported_counts, sample_catalog
     names = []
     for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-                 "documents", "pages", "labels", "conversations"):
+                 "documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         view = f"sluice_sample_{name}"
         t(spark, sf_dir, name).createOrReplaceTempView(view)
         names.append(view)
@@ -169,5 +168,5 @@ def catalog_sampling(spark, sf_dir):
     broken = "sluice_sample_broken"
     t(spark, sf_dir, "region").select(F.raise_error(F.lit("broken view")).alias("x")).createOrReplaceTempView(broken)
     root = scratch_path(spark, "catalog_sample")
-    exported, _skipped = sample_catalog(spark, root, names + [long_a, long_b, broken], cap=100_000, n=1_000, seed=3)
+    exported, _skipped = sample_catalog(spark, root, names + [long_a, long_b, broken], n=1_000, seed=3)
     return exported_counts(spark, root, exported)

@@ -261,7 +261,8 @@ def state_payloads(spark, sf_dir):
                .agg(F.sum("l_quantity").alias("v")))
     label = F.concat(F.col("offense_code").cast("string"), F.lit(" Arrests"))
     per = monthly.groupBy("state", "offense_code").agg(F.map_from_entries(F.collect_list(F.struct("mt", "v"))).alias("m"))
-    bad = F.create_map(F.lit("bad"), F.lit(0.0))
+    # A label that is no month, and a month without a count: both are rejects.
+    bad = F.create_map(F.lit("bad"), F.lit(0.0), F.lit("01-1950"), F.lit(None).cast("double"))
     return per.select("state", "offense_code",
                       F.to_json(F.struct(F.create_map(label, F.map_concat("m", bad)).alias("actuals"))).alias("payload"))
 
@@ -278,7 +279,7 @@ def state_extraction(spark, sf_dir, member: str = "ALL"):
     responses = select_member(spark.read.parquet(path), "state", member,
                               t(spark, sf_dir, "nation").select("n_name"))   # P10 state filter
     rows = monthly_long(responses, "payload", "actuals", keep=["state", "offense_code"])
-    good, _rejects = split_rejects(rows, ["observation_date"])
+    good, _rejects = split_rejects(rows, ["observation_date", "value"])
     out = good.select("state", date_text("observation_date").alias("observation_date"), "value",
                       "offense_code", F.lit(STATE_EXTRACTED).alias("extracted_at"))
     sinks.write_ndjson(assert_not_empty(out, "state extraction"), f"{root}/landing")   # K3

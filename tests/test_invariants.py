@@ -30,8 +30,8 @@ def test_marks_never_move_backwards_and_replay_is_empty(spark):
     # Re-planning from the advanced marks finds nothing new for the series
     # that succeeded.
     ok = stats.select("series_id")
-    replan = hw.plan(series, new_marks, incremental.DEFAULT_START, series_bounded=True)
-    again = hw.delta(incremental.observations(spark, SF_SMALL), replan, plan_bounded=True)
+    replan = hw.plan(series, new_marks, incremental.DEFAULT_START)
+    again = hw.delta(incremental.observations(spark, SF_SMALL), replan)
     assert again.join(ok, "series_id", "left_semi").count() == 0
 
 
@@ -204,7 +204,7 @@ def test_full_refresh_run_ignores_and_keeps_marks(spark):
     out = hw.run_extraction(incremental.observations(spark, SF_SMALL), series, marks,
                             incremental.meta_of(series), default_start=incremental.DEFAULT_START,
                             run_ts="2024-02-01 00:00:00", run_id="r1", landing_root=f"{root}/landing",
-                            use_marks=False, series_bounded=True)
+                            use_marks=False)
     assert out.marks is None                                     # H10: marks are not written
     starts = {r.start_date for r in out.plan.collect()}
     assert starts == {dt.date(2024, 1, 10)}                      # every series from the default start
