@@ -167,7 +167,7 @@ def similarity(a: bytes, b: bytes) -> float:
     """Exact probability Jaccard similarity of two multisets of shingles:
     the sum, over shared i, of 1 / sum_j max(x_j / x_i, y_j / y_i)."""
     x, y = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
-    if not len(x) or not len(y) or min(len(x), len(y)) * 4 < max(len(x), len(y)):
+    if not len(x) or not len(y):
         return 0.0
     both, side = np.unique(np.concatenate([x, y]), return_inverse=True)
     cx = np.bincount(side[:len(x)], minlength=len(both))
@@ -233,7 +233,7 @@ def linked(nodes: DataFrame, sets_of, least: float) -> DataFrame | None:
     """``node, label`` of the nodes that have a link. ``sets_of`` gives the
     shingles of nodes.
 
-    Turn 0 and 1 compare the members of a bucket with its leader, the later
+    Turns 0 to 2 compare the members of a bucket with its leader, the later
     ones with the leader of a narrower bucket. Members that a turn has put into
     the class of their leader need no further comparison with it; the others go
     on, until a turn over all of them links nothing new."""
@@ -256,13 +256,13 @@ def linked(nodes: DataFrame, sets_of, least: float) -> DataFrame | None:
             led = (led.join(renamed, "label", "left").withColumn("label", F.coalesce("now", "label")).drop("now")
                    .join(renamed.toDF("leader_label", "now"), "leader_label", "left")
                    .withColumn("leader_label", F.coalesce("now", "leader_label")).drop("now"))
-        elif turn > 1:
+        elif turn > 2:
             return labels
         left = led.filter("label <> leader_label").select("bucket", "node", "label")
         if turn == 0:
             sets = _written(seen.filter("not near").groupBy("node").agg(F.first("own").alias("shingles")), "shingles")
         turn += 1
-        led = _written(_led(_narrow(left, nodes) if turn == 2 else left, turn), "led")
+        led = _written(_led(_narrow(left, nodes) if turn == 3 else left, turn), "led")
         if led.isEmpty():
             return labels
 
