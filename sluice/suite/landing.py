@@ -135,7 +135,9 @@ def random_sample_q(spark, sf_dir):
     return random_sample(t(spark, sf_dir, "lineitem"), n=1_000, seed=7)
 
 
-@case("export_frames")
+@case("export_frames", """
+SELECT 'explore_orders_by_priority' AS frame, count(DISTINCT o_orderpriority) AS count FROM orders
+UNION ALL SELECT 'explore_orders_by_status', count(DISTINCT o_orderstatus) FROM orders""")
 def export_frames_q(spark, sf_dir):
     from sluice.operators.aggregate import group_count
     root = scratch_path(spark, "export")
@@ -150,23 +152,27 @@ def export_frames_q(spark, sf_dir):
     return counts.select(F.col("export_name").alias("frame"), F.col("sampled_rows").alias("count"))
 
 
-@case("catalog_sampling")
+SAMPLED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+           "pages", "benchmark", "labels", "conversations")
+LONG_NAMES = ("sluice_sample_lineitem_with_a_very_long_name_a", "sluice_sample_lineitem_with_a_very_long_name_b")
+
+
+@case("catalog_sampling", " UNION ALL ".join(
+    f"SELECT '{view}' AS table_name, '{view}' AS export_name, least(1000, count(*)) AS sampled_rows FROM {name}"
+    for view, name in [*((f"sluice_sample_{n}", n) for n in SAMPLED), *((v, "lineitem") for v in LONG_NAMES)]))
 def catalog_sampling(spark, sf_dir):
     """Every test table sampled, cleaned and exported; a view that fails at
     run time is skipped; two long names share a prefix."""
     from sluice.plans.sampling import exported_counts, sample_catalog
     names = []
-    for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-                 "documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
+    for name in SAMPLED:
         view = f"sluice_sample_{name}"
         t(spark, sf_dir, name).createOrReplaceTempView(view)
         names.append(view)
-    long_a = "sluice_sample_lineitem_with_a_very_long_name_a"
-    long_b = "sluice_sample_lineitem_with_a_very_long_name_b"
-    for v in (long_a, long_b):
+    for v in LONG_NAMES:
         t(spark, sf_dir, "lineitem").createOrReplaceTempView(v)
     broken = "sluice_sample_broken"
     t(spark, sf_dir, "region").select(F.raise_error(F.lit("broken view")).alias("x")).createOrReplaceTempView(broken)
     root = scratch_path(spark, "catalog_sample")
-    exported, _skipped = sample_catalog(spark, root, names + [long_a, long_b, broken], n=1_000, seed=3)
+    exported, _skipped = sample_catalog(spark, root, [*names, *LONG_NAMES, broken], n=1_000, seed=3)
     return exported_counts(spark, root, exported)

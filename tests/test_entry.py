@@ -26,4 +26,4 @@ def test_every_sql_has_a_query():
     assert len(q) >= 55
     # Checks without SQL are the documented rows-only ones.
     library = set(q) - set(mod.LLM_QUERIES)
-    assert library - set(sql) == {"catalog_listing", "random_sample", "export_frames", "catalog_sampling"}
+    assert library - set(sql) == {"catalog_listing", "random_sample"}
