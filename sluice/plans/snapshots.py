@@ -55,15 +55,18 @@ def merge_bucketed(spark: SparkSession, current: str, source: DataFrame, keys, b
     return spark.table(next_name)
 
 
-# Versioned snapshots: each run writes ``<root>/version=<v>``; readers take the
-# newest version. A run never overwrites the folder it reads, and a crash
-# before the write completes leaves the previous version current.
+# Versioned snapshots: each run writes ``<root>/version=<v>`` and then appends
+# the version to the table of commits beside it; readers take the last commit.
+# A run never overwrites the folder it reads, and a crash before the commit
+# leaves the previous version current, whatever is in the folders.
 def publish(df: DataFrame, root: str, version: str) -> None:
     df.write.mode("overwrite").parquet(f"{root}/version={version}")
+    commit = df.sparkSession.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("committed_at"))
+    commit.write.mode("append").parquet(f"{root}-commits")
 
 
 def current(spark: SparkSession, root: str) -> DataFrame:
-    """The newest published version (partition pruning on ``version``)."""
-    versions = spark.read.parquet(root)
-    last = versions.agg(F.max("version")).first()[0]
-    return versions.where(F.col("version") == F.lit(last)).drop("version")
+    """The version committed last; only its folder is read."""
+    commits = spark.read.parquet(f"{root}-commits")
+    last = commits.agg(F.max(F.struct("committed_at", "version")).alias("last")).first()["last"]["version"]
+    return spark.read.parquet(f"{root}/version={last}")

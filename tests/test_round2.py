@@ -84,3 +84,12 @@ def test_line_breaks_in_matches_and_quotes(spark):
     df = spark.createDataFrame([("Brand#1\n",), ("Brand#1",), ('"a\nb"',)], "s STRING")
     assert [r[0] for r in df.select(full_match("s", "Brand#[0-9]")).collect()] == [False, True, False]
     assert df.select(strip_quotes("s")).collect()[2][0] == "a\nb"
+
+
+def test_newest_version_is_the_last_commit(spark):
+    from sluice.plans.snapshots import current, publish
+    root = scratch_path(spark, "t_versions")
+    publish(spark.range(1), root, "run9")
+    publish(spark.range(2), root, "run10")
+    spark.range(7).write.parquet(f"{root}/version=run99")       # a run that died before its commit
+    assert current(spark, root).count() == 2
