@@ -5,8 +5,9 @@ normalised (lower case; everything but letters and digits is one space) and
 compared with the templates whose number of distinct bigrams lets the
 coefficient reach the threshold at all: with ``t`` the threshold and ``b`` the
 template's size only sizes from ``b t / (2 - t)`` to ``b (2 - t) / t`` can.
-All of it are DataFrame functions; nothing is shuffled before units have been
-pruned to the matches.
+Before that, texts and units without any of a few probe words are left out: no
+unit that reaches the threshold can lack them all. All of it are DataFrame
+functions; nothing is shuffled before units have been pruned to the matches.
 
 Defined cases: a null or empty text has no match; texts are scanned whole;
 rows with one doc_id are one document; a unit matches its best template, of
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 THRESHOLD = 0.8
+COMMON = set("a all and any be by for from in is it of on or out the this to under which with you".split())
 
 # Public licence notices and texts.
 TEMPLATES = {
@@ -75,6 +77,23 @@ def template_bigrams(text: str) -> list[str]:
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:])))
 
 
+def probes(sized: list[tuple[str, list[str], int]], low: float) -> list[str]:
+    """Words of which every unit that reaches the threshold holds one: such a
+    unit shares at least ``low`` of a template's bigrams, so words that occur
+    in more than the rest of them can't all be missing. Rare (long) words first."""
+    out: list[str] = []
+    for _, grams, n in sized:
+        missing = [set(g.split()) for g in grams]
+        for word in sorted({w for g in missing for w in g}, key=lambda w: (w in COMMON, w not in out, -len(w), w)):
+            if n - len(missing) > n * (1 - low):
+                break
+            held = [g for g in missing if word not in g]
+            if len(held) < len(missing) and word not in out:
+                out.append(word)
+            missing = held
+    return out
+
+
 def bigrams(unit: Column) -> Column:
     words = F.split(F.trim(F.regexp_replace(F.lower(unit), r"[^\p{L}\p{N}]+", " ")), " ")
     n = F.greatest(F.size(words) - 1, F.lit(0))
@@ -90,8 +109,12 @@ def licences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresh
     units = F.array_distinct(F.concat(F.split(whole, "\n"), F.split(whole, r"\n[ \t\r]*\n"), F.array(whole)))
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
     sized = [(name, b, len(b)) for name, b in ((n, template_bigrams(t)) for n, t in templates.items()) if b]
-    found = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.explode(units).alias("unit")).select(
-        "doc_id", bigrams(F.col("unit")).alias("bigrams"))
+    probe = r"(?<![\p{L}\p{N}])(?:" + "|".join(probes(sized, low)) + r")(?![\p{L}\p{N}])"
+    # Texts and units without any probe can't match; the rest is little.
+    found = (docs.filter(F.lower(whole).rlike(probe))
+             .select(F.col(f"`{doc_id}`").alias("doc_id"), F.explode(units).alias("unit"))
+             .filter(F.lower("unit").rlike(probe))
+             .select("doc_id", bigrams(F.col("unit")).alias("bigrams")))
     size = F.size("bigrams")
 
     def score(b: list[str], n: int) -> Column:
