@@ -14,9 +14,10 @@ Documents with the same words are one node (the least doc_id of them). Nodes
 that share a band are candidates. A bucket has a leader; every other member is
 verified against it by the exact similarity of the shingles. Verified links
 give classes by connected components. Members that are not in their leader's
-class elect another leader among themselves, then in narrower buckets (two
-bands in common), until a turn links nothing new: the pairs of a turn grow
-with the members, not with their square. The class id is the least doc_id.
+class elect another leader among themselves, ``TURNS`` times. All members of
+buckets that still hold two classes are then joined by their rarest shingles,
+which loses no pair that is near, and the pairs of unlike class that can be
+near are verified, all of them. The class id is the least doc_id.
 
 Defined cases: words are ``[^\\x20\\x09-\\x0D]+``, unchanged; a text of one to
 four words is one shingle; a null or empty text has none and is a class of its
@@ -31,7 +32,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm import graph
@@ -41,6 +42,8 @@ from sluice.session import scratch_path
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5         # a pair at 0.8 shares no band with a chance of 7e-5
+TURNS = 3                   # with leaders, before all pairs that are left
+BLOCK = 1024                # nodes of a shingle in a task of the pair join, about
 HASH_BITS = 44              # of a shingle in a signature; the rest of 64 bits names the text in a slice
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -186,21 +189,18 @@ def similarity(a: bytes, b: bytes) -> float:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """The pairs ``node, leader``, whether they are ``near``, and the node's
-    set where they are not. The sets of the nodes move to their leaders; AQE
-    splits a leader of very many."""
+    """The pairs ``node, leader`` that are near. The sets of the nodes move to
+    their leaders; AQE splits a leader of very many."""
     mine = pairs.join(sets, "node").withColumnRenamed("shingles", "own")
     both = mine.join(sets.withColumnRenamed("node", "leader"), "leader")
 
     def run(batches):
         for batch in batches:
-            own = batch.column("own").to_pylist()
-            near = [similarity(a, b) >= least for a, b in zip(own, batch.column("shingles").to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), batch.column("leader"), pa.array(near, pa.bool_()),
-                 pa.array([None if n else x for n, x in zip(near, own)], pa.binary())], ["node", "leader", "near", "own"])
+            near = [similarity(a, b) >= least for a, b in zip(batch.column("own").to_pylist(), batch.column("shingles").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("leader")],
+                                             ["node", "leader"]).filter(pa.array(near, pa.bool_()))
 
-    return both.select("node", "leader", "own", "shingles").mapInArrow(run, "node long, leader long, near boolean, own binary")
+    return both.select("node", "leader", "own", "shingles").mapInArrow(run, "node long, leader long")
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
@@ -219,52 +219,113 @@ def _led(members: DataFrame, turn: int) -> DataFrame:
     return members.join(_written(leaders, "leaders"), "bucket")
 
 
-def _narrow(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The members dealt again: a bucket for each further band that members of
-    a bucket share."""
-    bands_of = nodes.select("node", "buckets").join(members.select("node").distinct(), "node", "left_semi")
-    pairs = (members.join(bands_of, "node").select("bucket", "node", "label", F.explode("buckets").alias("other"))
-             .filter("bucket <> other"))
-    return pairs.select(F.xxhash64(F.least("bucket", "other"), F.greatest("bucket", "other")).alias("bucket"),
-                        "node", "label").distinct()
+def _renamed(df: DataFrame, new: DataFrame, *columns: str) -> DataFrame:
+    """Labels of the columns replaced by those that ``new`` (``node, label``) gives them."""
+    for c in columns:
+        now = new.select(F.col("node").alias(c), F.col("label").alias("now"))
+        df = df.join(now, c, "left").withColumn(c, F.coalesce("now", c)).select(*df.columns)
+    return df
+
+
+def _labels(labels: DataFrame | None, new: DataFrame) -> DataFrame:
+    if labels is None:
+        return new
+    return _written(_renamed(labels, new, "label").union(new.join(labels, "node", "left_anti")), "labels")
+
+
+def candidates(sets: DataFrame, least: float) -> DataFrame:
+    """``node, leader, label, leader_label, common`` of all pairs of nodes with
+    unlike labels that can reach ``least``, from ``node, label, shingles``.
+
+    With P and Q the shares of two nodes' weights in shingles of both, the
+    similarity is at most 1 / (1/P + 1/Q - 1): each is at least ``least``, and
+    one at least ``2 least / (1 + least)``. So their first common shingle, rare
+    ones first, is one from which on the rest of both nodes weighs that much.
+    A shingle of very many nodes is joined in blocks."""
+    names = ["node", "label", "token", "mass"]
+
+    def run(batches):
+        for batch in batches:
+            rows, size = [], 0
+            for node, label, data in zip(*(batch.column(c).to_pylist() for c in ("node", "label", "shingles"))):
+                token, count = np.unique(np.frombuffer(data, "<u4"), return_counts=True)
+                rows.append((np.full(len(token), node, np.int64), np.full(len(token), label, np.int64),
+                             token.astype(np.int64), count / max(count.sum(), 1)))
+                size += len(token)
+                if size > 1 << 17:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*rows)], names)
+                    rows, size = [], 0
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*rows)], names)
+
+    slack = 1e-9
+    tokens = _written(sets.select("node", "label", "shingles").mapInArrow(run, "node long, label long, token long, mass double"),
+                      "tokens")
+    # A shingle of one label only links nothing new.
+    known = tokens.groupBy("token").agg(F.count("*").alias("n"), F.min("label").alias("a"), F.max("label").alias("b"))
+    known = _written(known.filter("a <> b").select("token", "n"), "counts")
+    rest = Window.partitionBy("node").orderBy(F.desc("n"), F.desc("token")).rowsBetween(Window.unboundedPreceding, 0)
+    first = (tokens.join(known, "token").withColumn("rest", F.sum("mass").over(rest))
+             .filter(F.col("rest") >= least - slack))
+    first = _written(first.select("token", "node", "label", "rest", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")),
+                     "prefixes")
+    strong = F.col("rest") >= 2 * least / (1 + least) - slack
+    x = first.filter(strong).select("token", F.expr("pmod(xxhash64(node), blocks)").cast("int").alias("block"), "node", "label", "rest")
+    y = first.select("token", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("node").alias("leader"),
+                     F.col("label").alias("leader_label"), F.col("rest").alias("leader_rest"), (~strong).alias("weak"))
+    pairs = x.join(y, ["token", "block"]).filter(
+        (F.col("label") != F.col("leader_label")) & (F.col("weak") | (F.col("node") < F.col("leader")))
+        & (1 / F.col("rest") + 1 / F.col("leader_rest") <= 1 + 1 / least + slack))
+    ends = [F.least("node", "leader").alias("node"), F.greatest("node", "leader").alias("leader")]
+    return (pairs.select(*ends, F.when(F.col("node") < F.col("leader"), F.col("label")).otherwise(F.col("leader_label")).alias("label"),
+                         F.when(F.col("node") < F.col("leader"), F.col("leader_label")).otherwise(F.col("label")).alias("leader_label"))
+            .groupBy("node", "leader").agg(F.min("label").alias("label"), F.min("leader_label").alias("leader_label"),
+                                           F.count("*").alias("common")))
 
 
 def linked(nodes: DataFrame, sets_of, least: float) -> DataFrame | None:
     """``node, label`` of the nodes that have a link. ``sets_of`` gives the
     shingles of nodes.
 
-    Turns 0 to 2 compare the members of a bucket with its leader, the later
-    ones with the leader of a narrower bucket. Members that a turn has put into
-    the class of their leader need no further comparison with it; the others go
-    on, until a turn over all of them links nothing new."""
+    The first turns compare the members of a bucket with its leader, which puts
+    most of them into its class. Then the nodes of all buckets that still hold
+    two labels are compared with all of them that can be near and have another
+    label: first each node with the one that has most first shingles in common
+    with it, then all pairs whose labels still differ."""
     members = nodes.select("node", F.col("node").alias("label"), F.explode("buckets").alias("bucket"))
     led = _written(_led(members, 0), "led")
     sets = _written(sets_of(led.select("node").distinct()), "shingles")     # leaders are members too
-    labels, turn = None, 0
-    while True:
+    labels = None
+    for turn in range(1, TURNS + 1):
+        if led.isEmpty():
+            break
         pairs = led.filter("label <> leader_label").select("node", "leader").distinct()
-        seen = _written(verified(pairs, sets, least), "verified")
+        near = _written(verified(pairs, sets, least), "verified")
         names = led.select("node", "leader", "label", "leader_label").distinct()
-        edges = seen.filter("near").join(names, ["node", "leader"]).select(
+        edges = near.join(names, ["node", "leader"]).select(
             F.col("label").alias("u"), F.col("leader_label").alias("v"))
         new = graph.components(edges)
         if new is not None:
-            renamed = new.select(F.col("node").alias("label"), F.col("label").alias("now"))
-            labels = new if labels is None else _written(
-                labels.join(renamed, "label", "left").select("node", F.coalesce("now", "label").alias("label"))
-                .union(new.join(labels, "node", "left_anti")), "labels")
-            led = (led.join(renamed, "label", "left").withColumn("label", F.coalesce("now", "label")).drop("now")
-                   .join(renamed.toDF("leader_label", "now"), "leader_label", "left")
-                   .withColumn("leader_label", F.coalesce("now", "leader_label")).drop("now"))
-        elif turn > 2:
-            return labels
-        left = led.filter("label <> leader_label").select("bucket", "node", "label")
-        if turn == 0:
-            sets = _written(seen.filter("not near").groupBy("node").agg(F.first("own").alias("shingles")), "shingles")
-        turn += 1
-        led = _written(_led(_narrow(left, nodes) if turn == 3 else left, turn), "led")
-        if led.isEmpty():
-            return labels
+            labels = _labels(labels, new)
+            led = _renamed(led, new, "label", "leader_label")
+        if turn < TURNS:
+            led = _written(_led(led.filter("label <> leader_label").select("bucket", "node", "label"), turn), "led")
+    if labels is not None:
+        members = _renamed(members, labels, "label")
+    mixed = members.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a <> b").select("bucket")
+    open_nodes = members.join(_written(mixed, "mixed"), "bucket").select("node", "label").distinct()
+    pairs = _written(candidates(sets.join(open_nodes, "node"), least), "candidates")
+    most = pairs.groupBy("node").agg(F.max_by("leader", F.struct("common", "leader")).alias("leader"))
+    for chosen in (pairs.join(most, ["node", "leader"], "left_semi"), pairs.join(most, ["node", "leader"], "left_anti")):
+        if labels is not None:
+            chosen = _renamed(chosen, labels, "label", "leader_label")
+        chosen = _written(chosen.filter("label <> leader_label").select("node", "leader", "label", "leader_label"), "chosen")
+        near = verified(chosen.select("node", "leader"), sets, least)
+        new = graph.components(chosen.join(near, ["node", "leader"]).select(
+            F.col("label").alias("u"), F.col("leader_label").alias("v")))
+        if new is not None:
+            labels = _labels(labels, new)
+    return labels
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:

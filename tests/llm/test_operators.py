@@ -438,6 +438,19 @@ def test_near_duplicates_against_all_pairs(spark):
     assert sorted(x.doc_id for x in kept.collect()) == sorted(set(near_classes(texts)))
 
 
+def test_near_duplicates_along_a_chain(spark):
+    """200 versions at 0.846 to the next one, at 0.6 to 0.72 to all further ones."""
+    r = random.Random(6)
+    fresh = lambda n: [f"w{r.getrandbits(48):x}" for _ in range(n)]
+    blocks, texts = [fresh(100)] + [fresh(20) for _ in range(3)], []
+    for k in range(200):
+        texts.append(" ".join(w for b in blocks for w in b))
+        blocks[1 + k % 3] = fresh(9) + blocks[1 + k % 3][9:]
+    assert near_classes(texts[:6]) == [0] * 6 and near_classes(texts[:6:2]) == [0, 1, 2]
+    got = {x.doc_id: x.class_id for x in near_duplicates.classes(frame(spark, texts, clash=False)).collect()}
+    assert set(got.values()) == {0}
+
+
 def test_signatures_estimate_the_similarity():
     r = np.random.default_rng(1)
     x = {int(e): int(c) for e, c in zip(r.integers(0, 2 ** 43, 300), r.integers(1, 5, 300))}
