@@ -52,7 +52,7 @@ def pieces(docs: DataFrame, text: str = "text", tokenizer: str | None = None, en
     schema = T.StructType([rows.schema["row"], *T._parse_datatype_string(PIECE_FIELDS).fields])
 
     def run(batches):
-        encode = tk.byte_encoder(file)
+        encode = tk.byte_encoder(file, added=True)
         random = np.random.default_rng()
         for batch in tx.slices(batches, "text", 16 << 20):
             offsets, ids = tk.encode_texts(batch.column("text"), encode)

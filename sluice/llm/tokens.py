@@ -26,19 +26,24 @@ def byte_symbols() -> dict[str, int]:
 
 
 @functools.lru_cache(maxsize=2)
-def byte_encoder(file: str) -> Callable[[str], list[int]]:
-    """Ids of a text by the vocabulary of a byte-level tokenizer file
-    (special tokens' strings are ordinary text). The merges of such a file are
-    in the order of their ids, so the vocabulary gives the ranks."""
+def byte_encoder(file: str, added: bool = False) -> Callable[[str], list[int]]:
+    """Ids of a text by the vocabulary of a byte-level tokenizer file; the
+    strings of added tokens are ordinary text, or with ``added`` their ids, as
+    ``tokenizers`` gives them. The merges of such a file are in the order of
+    their ids, so the vocabulary gives the ranks."""
     import public_tokenizers
     import tiktoken
     with open(file, encoding="utf-8") as f:
-        vocabulary = json.load(f)["model"]["vocab"]
+        content = json.load(f)
+    vocabulary = content["model"]["vocab"]
+    special = {t["content"]: t["id"] for t in content.get("added_tokens", [])} if added else {}
+    if added and any(t.get(k) for t in content.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip")):
+        raise ValueError(f"{file}: added tokens that depend on the text beside them")
     symbols = byte_symbols()
     ranks = {bytes(symbols[c] for c in token): i for token, i in vocabulary.items() if all(c in symbols for c in token)}
     ranks = {token: i for token, i in ranks.items() if token != b"<|endoftext|>"}
-    return tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
-                             special_tokens={}).encode_ordinary
+    encoding = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+    return functools.partial(encoding.encode, allowed_special="all") if special else encoding.encode_ordinary
 
 
 def runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -265,6 +265,18 @@ def test_tokens_are_those_of_the_tokenizer():
         assert ids[offsets[k]:offsets[k + 1]].tolist() == t.encode(x or "", add_special_tokens=False).ids
 
 
+def test_added_tokens_keep_their_ids(spark):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(tokens.default_file())
+    texts = [x for x in ODD if len(x or "") < 5000] + ["a<|endoftext|> b\n<|endoftext|>", "<|endoftext|>", "<|endoftext", " <|endoftext|><|endoftext|>"]
+    offsets, ids = tokens.encode_texts(pa.array(texts), tokens.byte_encoder(tokens.default_file(), added=True))
+    want = [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == want and 50256 in want[-1]
+    got = {r.doc_id: (r.length, r.ids_crc32) for r in packing.packed(frame(spark, texts).select("doc_id", "text")).select(
+        "row.doc_id", "length", "ids_crc32").collect()}
+    assert got == {i: (len(x) + 1, zlib.crc32(np.array(x + [2], "<u4").tobytes())) for i, x in enumerate(want)}
+
+
 def test_packing_places_every_token_once(spark, odd_dir):
     encode = tokens.byte_encoder(tokens.default_file())
     rows = QUERIES["op5_pattern_packing"](spark, odd_dir).collect()
