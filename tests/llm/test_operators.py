@@ -450,6 +450,19 @@ def test_near_duplicates_against_all_pairs(spark):
     assert sorted(x.doc_id for x in kept.collect()) == sorted(set(near_classes(texts)))
 
 
+def test_near_duplicates_among_many_templated_texts(spark):
+    """1,500 texts at 0.78 to one another; 40 pairs of them at 0.81."""
+    r = random.Random(5)
+    fresh = lambda n: [f"w{r.getrandbits(48):x}" for _ in range(n)]
+    template = fresh(204)
+    tails = [fresh(28) for _ in range(1500)]
+    for k in range(40):
+        tails[2 * k + 1] = tails[2 * k][:4] + fresh(24)
+    df = frame(spark, [" ".join(template + t) for t in tails], clash=False)
+    got = {x.doc_id: x.class_id for x in near_duplicates.classes(df).collect()}
+    assert got == {i: i - i % 2 if i < 80 else i for i in range(1500)}
+
+
 def test_near_duplicates_along_a_chain(spark):
     """200 versions at 0.846 to the next one, at 0.6 to 0.72 to all further ones."""
     r = random.Random(6)
