@@ -4,8 +4,10 @@ express the operator; the tests hold it against a brute-force version)."""
 from __future__ import annotations
 
 from sluice.llm import (
+    best_fit,
     hnsw,
     licences,
+    merkle,
     near_duplicates,
     packing,
     repetition,
@@ -13,6 +15,7 @@ from sluice.llm import (
     substrings,
     unigram,
     warc,
+    whitening,
     wrapper,
 )
 
@@ -27,6 +30,9 @@ QUERIES = {
     "op8_hnsw_search": hnsw.op8_hnsw_search,
     "op9_seed_and_extend": substrings.op9_seed_and_extend,
     "op10_probminhash_classes": near_duplicates.op10_probminhash_classes,
+    "op11_bitmap_rank_manifest": merkle.op11_bitmap_rank_manifest,
+    "op12_shifted_cholesky_qr": whitening.op12_shifted_cholesky_qr,
+    "op13_best_fit_decreasing": best_fit.op13_best_fit_decreasing,
 }
 
 SQL: dict[str, str] = {
