@@ -41,7 +41,6 @@ from sluice.session import scratch_path
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 LEVELS = 12                     # levels hashed in a slot array
-SLOTS = 1 << LEVELS
 WORD_BITS = 6
 CHUNK_BITS = 12
 NONE, LEFT, RIGHT = "0", "1", "2"     # where the sibling stands
@@ -120,13 +119,13 @@ def ranked(leaves: DataFrame) -> DataFrame:
     return plain.unionByName(crowded)
 
 
-def slots(leaves: DataFrame) -> DataFrame:
+def slots(leaves: DataFrame, levels: int) -> DataFrame:
     """The runs of slots that ranked leaves fill: ``block, slot, run``."""
     cut = leaves.withColumn("block", F.explode(F.sequence(
-        F.shiftright("rank", LEVELS), F.shiftright(F.col("rank") + F.col("m") - 1, LEVELS))))
-    begin = F.greatest(F.col("rank"), F.shiftleft("block", LEVELS))
-    end = F.least(F.col("rank") + F.col("m"), F.shiftleft(F.col("block") + 1, LEVELS))
-    return cut.withColumn("slot", (begin - F.shiftleft("block", LEVELS)).cast("int")).withColumn(
+        F.shiftright("rank", levels), F.shiftright(F.col("rank") + F.col("m") - 1, levels))))
+    begin = F.greatest(F.col("rank"), F.shiftleft("block", levels))
+    end = F.least(F.col("rank") + F.col("m"), F.shiftleft(F.col("block") + 1, levels))
+    return cut.withColumn("slot", (begin - F.shiftleft("block", levels)).cast("int")).withColumn(
         "run", (end - begin).cast("int")).drop("rank", "m")
 
 
@@ -134,11 +133,11 @@ def digest_of(text: str) -> str:
     return hashlib.sha256(text.encode("ascii")).hexdigest()
 
 
-def hashed_levels(digests: list[str], alone: bool) -> list[list[str]]:
+def hashed_levels(digests: list[str], alone: bool, most: int) -> list[list[str]]:
     """The nodes of each level of a slot array, its top last. An array that is
     ``alone`` in its group ends at one node, others have all levels."""
     levels = [digests]
-    count = (len(digests) - 1).bit_length() if alone else LEVELS
+    count = (len(digests) - 1).bit_length() if alone else most
     for _ in range(count):
         below = levels[-1]
         levels.append([digest_of("".join(below[i:i + 2])) for i in range(0, len(below), 2)])
@@ -157,14 +156,14 @@ def slot_array(table: pa.Table) -> tuple[np.ndarray, list[str], bool]:
     return row, digests, table.column("block")[0].as_py() == 0
 
 
-def tops(nodes: DataFrame) -> DataFrame:
+def tops(nodes: DataFrame, levels: int) -> DataFrame:
     """The top of each slot array as a node of the next round."""
     def run(table: pa.Table) -> pa.Table:
         _, digests, alone = slot_array(table)
-        top = hashed_levels(digests, alone)[-1][0]
+        top = hashed_levels(digests, alone, levels)[-1][0]
         rank = table.column("block")[0].as_py()
-        return pa.table({"g": [table.column("g")[0].as_py()], "block": pa.array([rank >> LEVELS], pa.int64()),
-                         "slot": pa.array([rank & (SLOTS - 1)], pa.int32()), "run": pa.array([1], pa.int32()),
+        return pa.table({"g": [table.column("g")[0].as_py()], "block": pa.array([rank >> levels], pa.int64()),
+                         "slot": pa.array([rank & ((1 << levels) - 1)], pa.int32()), "run": pa.array([1], pa.int32()),
                          "digest": [top]})
     return (nodes.select("g", "block", "slot", "run", "digest").groupBy("g", "block")
             .applyInArrow(run, "g string, block long, slot int, run int, digest string"))
@@ -173,7 +172,7 @@ def tops(nodes: DataFrame) -> DataFrame:
 PATH_FIELDS = "siblings array<string>, sides string"
 
 
-def paths(nodes: DataFrame, above: DataFrame, others: list[str]) -> DataFrame:
+def paths(nodes: DataFrame, above: DataFrame, others: list[str], levels: int) -> DataFrame:
     """Every slot of ``nodes`` with the siblings on its way up, those of
     ``above`` (one row for each slot array) included, and ``others`` of it."""
     kept = [f for f in nodes.schema.fields if f.name not in ("run", "digest")]
@@ -184,12 +183,12 @@ def paths(nodes: DataFrame, above: DataFrame, others: list[str]) -> DataFrame:
         if not table.num_rows:
             return empty
         row, digests, alone = slot_array(table)
-        levels = hashed_levels(digests, alone)[:-1]
+        below = hashed_levels(digests, alone, levels)[:-1]
         up_siblings, up_sides = up.column("siblings")[0].as_py(), up.column("sides")[0].as_py()
         siblings, sides = [], []
         for i in range(len(digests)):
             own, side = [], []
-            for j, level in enumerate(levels):
+            for j, level in enumerate(below):
                 k = (i >> j) ^ 1
                 if k < len(level):
                     own.append(level[k])
@@ -211,36 +210,32 @@ def paths(nodes: DataFrame, above: DataFrame, others: list[str]) -> DataFrame:
     return nodes.groupBy("g", "block").cogroup(above.groupBy("g", "block")).applyInArrow(run, schema)
 
 
-def rounds(nodes: DataFrame) -> list[DataFrame]:
+def rounds(nodes: DataFrame, levels: int) -> list[DataFrame]:
     """The written nodes of each round; those of the last are one in a group."""
     out = [nodes]
     while True:
-        out.append(written(tops(out[-1]), f"round-{len(out)}"))
+        out.append(written(tops(out[-1], levels), f"round-{len(out)}"))
         if out[-1].filter("block > 0 or slot > 0").isEmpty():
             return out
 
 
-def descended(found: list[DataFrame], above: DataFrame, others: list[str], last: list[str]) -> DataFrame:
+def descended(found: list[DataFrame], above: DataFrame, others: list[str], last: list[str],
+              levels: int) -> DataFrame:
     """Paths of the nodes of the first round, ``above`` having those of the
     last (``g``, the path fields and ``others``)."""
     for nodes in reversed(found[:-1]):
-        passed = above.select("g", *[c for c in ("block", "slot") if c in above.columns], "siblings", "sides", *others)
-        if "slot" in passed.columns:
-            passed = passed.select("g", (F.shiftleft("block", LEVELS) + F.col("slot")).alias("block"), "siblings",
-                                   "sides", *others)
-        else:
-            passed = passed.select("g", F.lit(0).cast("long").alias("block"), "siblings", "sides", *others)
-        above = paths(nodes, passed, others)
+        array = F.shiftleft("block", levels) + F.col("slot") if "slot" in above.columns else F.lit(0).cast("long")
+        above = paths(nodes, above.select("g", array.alias("block"), "siblings", "sides", *others), others, levels)
     return above.select("g", "block", "slot", *last, "digest", *others, "siblings", "sides")
 
 
 def manifest(docs: DataFrame, key: str = "doc_id", group: str = "lang", fields: tuple = FIELDS,
-             tampered: dict[str, Column] | None = None, where: Column | None = None) -> DataFrame:
+             tampered: dict[str, Column] | None = None, where: Column | None = None, levels: int = LEVELS) -> DataFrame:
     """``g`` (the group: empty for null, else ``+`` and its text), ``id``, the
     leaf's place ``position``, ``digest``, ``changed`` (the digest with
     ``tampered`` columns in place where ``where`` holds, else null), ``subroot``,
     ``root``, and the way to the root: ``siblings`` and ``sides`` (for each
-    level 0: none, 1: left, 2: right)."""
+    level 0: none, 1: left, 2: right). A slot array has ``levels`` levels."""
     def col(c):
         return F.col(f"`{c}`")
     changed = F.lit(None).cast("string")
@@ -251,20 +246,20 @@ def manifest(docs: DataFrame, key: str = "doc_id", group: str = "lang", fields:
         col(key).cast("long").alias("id"), leaf_digest([col(c) for c in fields]).alias("digest"),
         changed.alias("changed"))
     leaves = written(leaves.groupBy("g", "id", "digest", "changed").agg(F.count("*").alias("m")), "leaves")
-    found = rounds(written(slots(ranked(leaves)), "slots"))
+    found = rounds(written(slots(ranked(leaves), levels), "slots"), levels)
     # A row for each group; their order gives the slots of the upper tree.
     subroots = found[-1].select("g", "digest")
     order = F.row_number().over(Window.orderBy("g")) - 1
     named = written(subroots.withColumn("rank", order.cast("long")).select(
-        F.lit("").alias("g"), F.col("g").alias("name"), F.shiftright("rank", LEVELS).alias("block"),
-        F.col("rank").bitwiseAND(SLOTS - 1).cast("int").alias("slot"), F.lit(1).alias("run"), "digest"), "groups")
-    upper = rounds(named)
+        F.lit("").alias("g"), F.col("g").alias("name"), F.shiftright("rank", levels).alias("block"),
+        F.col("rank").bitwiseAND((1 << levels) - 1).cast("int").alias("slot"), F.lit(1).alias("run"), "digest"), "groups")
+    upper = rounds(named, levels)
     root = upper[-1].select("g", F.col("digest").alias("root"), F.array().cast("array<string>").alias("siblings"),
                             F.lit("").alias("sides"))
-    above = written(descended(upper, root, ["root"], ["name"]).select(
+    above = written(descended(upper, root, ["root"], ["name"], levels).select(
         F.col("name").alias("g"), "siblings", "sides", F.col("digest").alias("subroot"), "root"), "group-paths")
-    out = descended(found, above, ["subroot", "root"], ["id", "changed"])
-    return out.select("g", "id", (F.shiftleft("block", LEVELS) + F.col("slot")).alias("position"), "digest", "changed",
+    out = descended(found, above, ["subroot", "root"], ["id", "changed"], levels)
+    return out.select("g", "id", (F.shiftleft("block", levels) + F.col("slot")).alias("position"), "digest", "changed",
                       "subroot", "root", "siblings", "sides")
 
 
@@ -285,11 +280,68 @@ def proof_digest(siblings: Column) -> Column:
     return F.sha2(F.array_join(siblings, "").cast("binary"), 256)
 
 
-def op11_bitmap_rank_manifest(spark, sf_dir: str) -> DataFrame:
+def op11_bitmap_rank_manifest(spark, sf_dir: str, levels: int = LEVELS) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*FIELDS)
     hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
-    rows = manifest(docs, tampered={"n_chars": F.try_add("n_chars", F.lit(1))}, where=hit)
+    rows = manifest(docs, tampered={"n_chars": F.try_add("n_chars", F.lit(1))}, where=hit, levels=levels)
     rows = rows.withColumn("folded_root", folded(F.coalesce("changed", "digest"), F.col("siblings"), F.col("sides")))
     return rows.select(F.col("id").alias("doc_id"), F.col("digest").alias("leaf"), "subroot", "root",
                        proof_digest(F.col("siblings")).alias("proof_sha256"), "folded_root",
                        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+# Trees as recursive tables of nodes; the checksum of an id bit by bit.
+OP11_SQL = """
+WITH RECURSIVE
+f AS (
+  SELECT doc_id, coalesce('+' || lang, '') AS g,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS chars,
+    coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') AS more_chars,
+    coalesce(strlen(text) || ':' || text, '-') AS tail,
+    xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+      lambda c: CAST(ascii(c) AS BIGINT))), lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, i:
+        CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295) AS crc
+  FROM documents),
+l AS (
+  SELECT doc_id, g, sha256(head || chars || tail) AS leaf,
+    CASE WHEN crc % 7 = 0 THEN sha256(head || more_chars || tail) ELSE sha256(head || chars || tail) END AS shown FROM f),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY g) AS n FROM l),
+nodes(g, level, pos, h, n) AS (
+  SELECT g, 0, pos, leaf, n FROM leaves
+  UNION ALL
+  SELECT g, level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2 FROM nodes WHERE n > 1
+  GROUP BY g, level, pos // 2, n),
+tops AS (
+  SELECT g, h AS subroot, level AS height, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n
+  FROM nodes WHERE n = 1),
+upper_nodes(level, pos, h, n) AS (
+  SELECT 0, pos, subroot, n FROM tops
+  UNION ALL
+  SELECT level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2 FROM upper_nodes WHERE n > 1
+  GROUP BY level, pos // 2, n),
+way AS (
+  SELECT l.g, l.pos, CAST(k AS BIGINT) AS step, s.h, s.pos < (l.pos >> CAST(k AS INT)) AS is_left
+  FROM leaves l JOIN tops t USING (g), range(0, 64) r(k)
+  LEFT JOIN nodes s ON s.g = l.g AND s.level = k AND s.pos = xor(l.pos >> CAST(k AS INT), 1)
+  WHERE k < t.height
+  UNION ALL
+  SELECT l.g, l.pos, 64 + CAST(k AS BIGINT), s.h, s.pos < (t.pos >> CAST(k AS INT))
+  FROM leaves l JOIN tops t USING (g), range(0, 64) r(k)
+  LEFT JOIN upper_nodes s ON s.level = k AND s.pos = xor(t.pos >> CAST(k AS INT), 1)
+  WHERE k < (SELECT max(level) FROM upper_nodes)),
+proofs AS (
+  SELECT g, pos, sha256(coalesce(string_agg(h, '' ORDER BY step), '')) AS proof_sha256,
+    list(CASE WHEN h IS NULL THEN 'N' WHEN is_left THEN 'L' || h ELSE 'R' || h END ORDER BY step) AS steps
+  FROM way GROUP BY g, pos),
+folds AS (
+  SELECT l.doc_id, l.leaf, t.subroot, (SELECT h FROM upper_nodes WHERE n = 1) AS root,
+    coalesce(p.proof_sha256, sha256('')) AS proof_sha256,
+    list_reduce(list_prepend(l.shown, coalesce(p.steps, [])), lambda a, s: CASE s[1:1]
+      WHEN 'N' THEN sha256(a) WHEN 'L' THEN sha256(s[2:] || a) ELSE sha256(a || s[2:]) END) AS folded_root
+  FROM leaves l JOIN tops t USING (g) LEFT JOIN proofs p ON p.g = l.g AND p.pos = l.pos)
+SELECT *, folded_root = root AS verified FROM folds
+"""

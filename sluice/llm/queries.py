@@ -39,4 +39,5 @@ SQL: dict[str, str] = {
     "op1_warc_revisits": warc.OP1_SQL,
     "op6_licence_dice": licences.OP6_SQL,
     "op9_seed_and_extend": substrings.OP9_SQL,
+    "op11_bitmap_rank_manifest": merkle.OP11_SQL,
 }
