@@ -1,36 +1,63 @@
 """Nested payloads to long rows, rollups and pivots.
 
-Payloads keep their document order by parsing objects to
-``MAP<STRING,STRING>`` (nested values stay JSON text); variants would sort
-object keys and lose "first series wins". Every step is a projection or a
-Generate, so payload rows are reshaped where they are read, with no shuffle.
+Payload text is parsed once to a VARIANT, so what a member is (object, list,
+text, number) is known from the document and never guessed from how its text
+begins. Objects and lists are opened by the ``variant_explode`` table function
+(a Generate inside whole-stage codegen: no shuffle, no array of a huge
+response). A variant sorts the names of an object; where the order of the
+document decides ("first series wins") the names are read from the text.
+
+A text that is not JSON, or an object that repeats a name, gives no rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sluice.functions.scalars import col_of, month_text_date, try_double
+from sluice.functions.scalars import col_of, month_text_date
 
-MAP_SS = "MAP<STRING,STRING>"
-ARR_S = "ARRAY<STRING>"
+MAP_V = "map<string,variant>"
+LIST_V = "array<variant>"
 
 
-def _starts(c: Column, ch: str) -> Column:
-    return F.coalesce(F.ltrim(c).startswith(ch), F.lit(False))
+def _is(kind: str, v) -> Column:
+    return F.coalesce(F.startswith(F.schema_of_variant(v), F.lit(f"{kind}<")), F.lit(False))
+
+
+def is_object(v) -> Column:
+    return _is("OBJECT", v)
+
+
+def is_list(v) -> Column:
+    return _is("ARRAY", v)
+
+
+def exploded(df: DataFrame, doc: str) -> DataFrame:
+    """``df`` with a row for each member (``key``, ``value``) or item (``key``
+    null) of the variant column ``doc``; other values give none."""
+    return df.lateralJoin(df.sparkSession.tvf.variant_explode(F.col(doc).outer()))
+
+
+def _kept(keep) -> Column:
+    """The columns to keep as one struct, so that no name meets those of the walk."""
+    return (F.struct(*keep) if keep else F.lit(None).cast("string")).alias("__keep")
+
+
+def member(v, name: str, kind: str) -> Column:
+    """A member of an object, null when absent or not of that kind."""
+    return F.try_variant_get(v, f'$["{name}"]', kind)
 
 
 def object_members(c) -> Column:
-    """Object text to an ordered map of member -> JSON text (null if not an object)."""
-    c = col_of(c)
-    return F.when(_starts(c, "{"), F.from_json(c, MAP_SS))
+    """Object text to a map of member -> variant (null if not an object)."""
+    return F.try_variant_get(F.try_parse_json(col_of(c)), "$", MAP_V)
 
 
-def list_items(c) -> Column:
-    """List text to an array of element JSON texts (null if not a list)."""
-    c = col_of(c)
-    return F.when(_starts(c, "["), F.from_json(c, ARR_S))
+def first_name(names: Column, members: Column, test) -> Column:
+    """The first of ``names`` whose member passes ``test``."""
+    return F.get(F.filter(names, lambda k: test(F.try_element_at(members, k))), 0)
 
 
 # R1 + P16
@@ -44,30 +71,36 @@ def flatten_agencies(payloads: DataFrame, payload: str, record_schema: str,
     and extract time) overwrite record fields of the same name.
 
     ``rebalance``: when a few documents hold most of the data, spread their
-    members over this many partitions before the lists are parsed, so one
-    huge response is not parsed and exploded by a single task.
+    members over this many partitions before the lists are opened, so one
+    huge response is not exploded by a single task.
     """
     keep = list(keep)
-    groups = payloads.select(*keep, F.explode(object_members(payload)).alias("__g", "__v"))
+    docs = payloads.select(_kept(keep), F.try_parse_json(col_of(payload)).alias("__doc"))
+    groups = (exploded(docs, "__doc").where(F.col("key").isNotNull())
+              .select("__keep", F.col("key").alias("__group"), F.col("value").alias("__list")))
     if rebalance:
         groups = groups.repartition(rebalance)
-    items = groups.select(*keep, F.col("__g").alias(group_name),
-                          F.explode(list_items("__v")).alias("__item"))
-    records = items.where(_starts(F.col("__item"), "{"))
-    parsed = records.select(*keep, group_name, F.from_json("__item", record_schema).alias("__r"))
-    fields = [f for f in parsed.select("__r.*").columns if f not in keep and f != group_name]
-    return parsed.select(*[F.col(f"__r.{f}").alias(f) for f in fields],
-                         F.col(group_name), *keep)
+    items = exploded(groups, "__list").where(F.col("key").isNull() & is_object("value"))
+    fields = [f for f in T._parse_datatype_string(record_schema).fields if f.name not in keep and f.name != group_name]
+    return items.select(*[member("value", f.name, f.dataType.simpleString()).alias(f.name) for f in fields],
+                        F.col("__group").alias(group_name), *[F.col(f"__keep.`{c}`").alias(c) for c in keep])
 
 
 # R2 / R3
-def _first_series(payload, section: str) -> Column:
-    """The first object-valued member of ``section`` (document order); the
-    section is read in the same parse as the document (no second pass)."""
-    p = col_of(payload)
-    members = F.when(_starts(p, "{"), F.from_json(p, f"STRUCT<`{section}`: {MAP_SS}>")[section])
-    entries = F.map_entries(members)
-    return F.get(F.filter(entries, lambda e: _starts(e["value"], "{")), 0)
+def _series(payload, doc: str, section: str) -> tuple[Column, Column]:
+    """Name and variant of the first object-valued member of ``section``, in
+    the order of the document."""
+    members = member(doc, section, MAP_V)
+    names = F.json_object_keys(F.from_json(col_of(payload), f"STRUCT<`{section}`: STRING>")[section])
+    name = first_name(names, members, is_object)
+    return name, F.try_element_at(members, name)
+
+
+def count_value(v) -> Column:
+    """A count as a double: numbers, texts of numbers and booleans (1 and 0);
+    null for anything else."""
+    return F.coalesce(F.try_variant_get(v, "$", "string").try_cast("double"),
+                      F.try_variant_get(v, "$", "boolean").cast("double"))
 
 
 def monthly_long(payloads: DataFrame, payload: str, section: str = "actuals",
@@ -82,17 +115,17 @@ def monthly_long(payloads: DataFrame, payload: str, section: str = "actuals",
     """
     keep = list(keep)
     lookups = lookups or {}
-    first = _first_series(payload, section)
-    extra = [object_members(_first_series(payload, sec)["value"]).alias(f"__m_{name}")
-             for name, sec in lookups.items()]
-    heads = payloads.select(*keep, first["key"].alias(label_name),
-                            object_members(first["value"]).alias("__months"), *extra)
-    rows = heads.select(*keep, label_name, *[f"__m_{n}" for n in lookups],
-                        F.explode("__months").alias("month_text", "__val"))
-    return rows.select(*keep, label_name, "month_text",
-                       month_text_date("month_text").alias("observation_date"),
-                       try_double("__val").alias("value"),
-                       *[F.try_element_at(f"__m_{n}", F.col("month_text")).alias(n) for n in lookups])
+    p = col_of(payload)
+    docs = payloads.select(_kept(keep), p.alias("__text"), F.try_parse_json(p).alias("__doc"))
+    label, series = _series("__text", "__doc", section)
+    extra = [F.try_variant_get(_series("__text", "__doc", sec)[1], "$", MAP_V).alias(f"__m_{n}") for n, sec in lookups.items()]
+    heads = docs.select("__keep", label.alias("__label"), series.alias("__series"), *extra)
+    rows = exploded(heads, "__series")
+    return rows.select(*[F.col(f"__keep.`{c}`").alias(c) for c in keep], F.col("__label").alias(label_name),
+                       F.col("key").alias("month_text"), month_text_date("key").alias("observation_date"),
+                       count_value("value").alias("value"),
+                       *[F.try_variant_get(F.try_element_at(f"__m_{n}", F.col("key")), "$", "string").alias(n)
+                         for n in lookups])
 
 
 def split_rejects(df: DataFrame, required) -> tuple[DataFrame, DataFrame]:
@@ -107,19 +140,21 @@ def split_rejects(df: DataFrame, required) -> tuple[DataFrame, DataFrame]:
 def payload_rows(df: DataFrame, payload: str, keep=()) -> DataFrame:
     """Coerce a payload to record rows (one JSON text per record).
 
-    A list gives its items; an object gives its first non-empty list member,
-    or itself as one row when it has none; an empty payload gives nothing.
+    A list gives its items; an object gives its first non-empty list member
+    (in the order of the document), or itself as one row when it has none; an
+    empty payload gives nothing.
     """
     keep = list(keep)
-    p = col_of(payload)
-    members = object_members(p)
-    lists = F.filter(F.map_values(members),
-                     lambda v: _starts(v, "[") & (F.size(F.from_json(v, ARR_S)) > 0))
-    first_list = F.get(lists, 0)
-    as_list = (F.when(_starts(p, "["), p)
-               .when(first_list.isNotNull(), first_list)
-               .when(F.size(members) > 0, F.concat(F.lit("["), p, F.lit("]"))))
-    return df.select(*keep, F.explode(F.from_json(as_list, ARR_S)).alias("record"))
+    docs = df.select(_kept(keep), col_of(payload).alias("__text"), F.try_parse_json(col_of(payload)).alias("__doc"))
+    members = F.try_variant_get("__doc", "$", MAP_V)
+    full = first_name(F.json_object_keys("__text"), members,
+                      lambda v: F.coalesce(F.size(F.try_variant_get(v, "$", LIST_V)) > 0, F.lit(False)))
+    # The document itself, as a list of one, where no member is a list with items.
+    alone = F.when(F.size(members) > 0, F.try_parse_json(F.concat(F.lit("["), "__text", F.lit("]"))))
+    docs = docs.select("__keep", F.when(F.startswith(F.ltrim("__text"), F.lit("[")), F.col("__doc"))
+                       .otherwise(F.coalesce(F.try_element_at(members, full), alone)).alias("__list"))
+    return exploded(docs, "__list").select(*[F.col(f"__keep.`{c}`").alias(c) for c in keep],
+                                           F.to_json("value").alias("record"))
 
 
 # R5

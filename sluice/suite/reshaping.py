@@ -35,8 +35,13 @@ def _strip_last(c):
     return F.expr(f"substring({c}, 1, length({c}) - 1)")
 
 
+# Members of a response that are no groups of agencies, though their texts look like lists and objects.
+LOOKALIKES = (r',"_meta":"[{\"s_suppkey\":1}]","notes":["n/a","{not json","{\"s_suppkey\":2}",null,[{}]]}')
+
+
 def agency_payloads(spark, sf_dir):
-    """``{county: [agency...], "_meta": .., "notes": [..]}`` per (state, page)."""
+    """``{county: [agency...], "_meta": .., "notes": [..]}`` per (state, page).
+    The other members hold texts that look like lists and records."""
     s = t(spark, sf_dir, "supplier")
     n = t(spark, sf_dir, "nation")
     r = t(spark, sf_dir, "region")
@@ -48,7 +53,7 @@ def agency_payloads(spark, sf_dir):
     per_page = (per_county.groupBy("state", "page")
                 .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("county", "items")))).alias("m")))
     body = F.to_json("m")
-    payload = F.concat(_strip_last("__body"), F.lit(',"_meta":"page","notes":["n/a"]}'))
+    payload = F.concat(_strip_last("__body"), F.lit(LOOKALIKES))
     return (per_page.select("state", "page", body.alias("__body"))
             .select("state", "page", F.lit(RUN_TEXT).alias("extracted_at"), payload.alias("payload")))
 
@@ -92,9 +97,12 @@ def arrest_payloads(spark, sf_dir):
     bad = F.create_map(F.lit("13-2020"), F.lit(1.0), F.lit("bad"), F.lit(2.0), F.lit("1-2-2020"), F.lit(3.0))
     series = F.create_map(label, F.map_concat("months", bad),
                           F.concat(label, F.lit(" cleared")), F.col("doubled"))
-    per = per.withColumn("__series", series)
-    # A non-object member comes first, so "first object-valued series" is exercised.
-    actuals = F.concat(F.lit('{"note":"preliminary",'), F.expr("substring(to_json(__series), 2)"))
+    # Some responses give their counts as texts.
+    texts = F.transform_values(series, lambda _k, m: F.transform_values(m, lambda _t, q: q.cast("string")))
+    per = per.withColumn("__series", F.when(F.col("l_linestatus") == "F", F.to_json(texts)).otherwise(F.to_json(series)))
+    # Members that are no objects come first, one of them a text that looks like a series.
+    actuals = F.concat(F.lit(r'{"note":"preliminary","copy":" {\"01-1950\":1}","none":null,"list":[{"01-1950":1}],'),
+                       F.expr("substring(__series, 2)"))
     rates = F.to_json(F.create_map(F.concat(label, F.lit(" rate")), F.col("doubled")))
     return per.select(
         F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"),
@@ -145,18 +153,22 @@ def coercion_payloads(spark, sf_dir):
     as_dict = (s.groupBy(_page("s_suppkey").alias("pg"))
                .agg(F.to_json(F.collect_list(rec("s_suppkey", "s_name"))).alias("items"))
                .select(F.lit("dict").alias("shape"),
-                       F.concat(F.lit('{"pagination":{"page":1},"empty":[],"results":'), "items",
-                                F.lit("}")).alias("payload")))
-    single = r.select(F.lit("single").alias("shape"), F.to_json(rec("r_regionkey", "r_name")).alias("payload"))
+                       F.concat(F.lit(r'{"pagination":{"page":1},"empty":[],"text":" [1]","quoted":"[{\"key\":1}]","results":'), "items",
+                                F.lit(',"a_later_list":[{"key":-1}]}')).alias("payload")))
+    # A single record whose name looks like a list.
+    single = r.select(F.lit("single").alias("shape"), F.to_json(F.struct(
+        F.col("r_regionkey").cast("long").alias("key"), F.concat(F.lit("["), "r_name", F.lit("]")).alias("name")))
+        .alias("payload"))
     empties = n.select(F.lit("empty").alias("shape"),
-                       F.when(F.col("n_nationkey") < 10, F.lit("[]")).otherwise(F.lit("{}")).alias("payload"))
+                       F.when(F.col("n_nationkey") < 10, F.lit("[]")).when(F.col("n_nationkey") < 15, F.lit('"[1]"'))
+                       .when(F.col("n_nationkey") < 20, F.lit("[not json")).otherwise(F.lit("{}")).alias("payload"))
     return stack([as_list, as_dict, single, empties])
 
 
 @case("payload_coercion", """
 SELECT 'list' AS shape, c_custkey AS key, c_name AS name FROM customer
 UNION ALL SELECT 'dict', s_suppkey, s_name FROM supplier
-UNION ALL SELECT 'single', CAST(r_regionkey AS BIGINT), r_name FROM region""")
+UNION ALL SELECT 'single', CAST(r_regionkey AS BIGINT), '[' || r_name || ']' FROM region""")
 def payload_coercion(spark, sf_dir):
     rows = payload_rows(coercion_payloads(spark, sf_dir), "payload", keep=["shape"])
     parsed = rows.select("shape", F.from_json("record", "key BIGINT, name STRING").alias("r"))

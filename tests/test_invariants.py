@@ -165,7 +165,7 @@ def model_payload_rows(payload):
 
 
 records = st.lists(st.fixed_dictionaries({"a": st.integers(0, 9)}), max_size=3)
-payload_values = st.one_of(records, st.integers(0, 3), st.text(alphabet="xyz", max_size=2),
+payload_values = st.one_of(records, st.integers(0, 3), st.text(alphabet="xy[]{}\", 1", max_size=4),
                            st.fixed_dictionaries({"a": st.integers(0, 9)}))
 payloads = st.one_of(records, st.dictionaries(st.sampled_from(["m", "n", "p", "q"]), payload_values, max_size=4))
 
