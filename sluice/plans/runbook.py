@@ -32,13 +32,22 @@ def type_raw(raw: DataFrame) -> DataFrame:
         F.col("source_file"), F.col("loaded_at"))
 
 
-def latest_source(raw: DataFrame) -> DataFrame:
-    """P3 + W1: the merge source, unique on the parsed key."""
-    typed = require(type_raw(raw), KEYS)
+def typed_source(raw: DataFrame) -> DataFrame:
+    """Raw rows with a complete parsed key."""
+    return require(type_raw(raw), KEYS)
+
+
+def latest_rows(typed: DataFrame) -> DataFrame:
+    """The last extract of each key."""
     return latest_wins(typed, KEYS, [F.col("extracted_at").desc_nulls_last(),
                                      F.col("loaded_at").desc_nulls_last()])
 
 
+def latest_source(raw: DataFrame) -> DataFrame:
+    """P3 + W1: the merge source, unique on the parsed key."""
+    return latest_rows(typed_source(raw))
+
+
 def curate(target: DataFrame, raw: DataFrame, run_ts: str) -> DataFrame:
     """Next curated snapshot (update only when value/extract time changed;
     inserts stamp load and update time with the run time)."""

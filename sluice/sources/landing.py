@@ -41,34 +41,44 @@ def with_provenance(df: DataFrame, loaded_at: Column | str | None = None,
 
 
 # S1
+def csv_lines(spark: SparkSession, schema, pattern: str | None, recursive: bool, on_error: str, multi_line: bool,
+              corrupt: str | None = None):
+    """Reader of CSV with one header line, columns by position. With
+    ``corrupt`` bad records stay, their text in that column."""
+    r = (_reader(spark, pattern, recursive, on_error).schema(schema)
+         .option("header", "true").option("enforceSchema", "true")
+         .option("quote", '"').option("escape", '"').option("columnPruning", "false")
+         .option("multiLine", str(multi_line).lower()))
+    return r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt) if corrupt else r
+
+
+def typed(columns, types: dict | None) -> list[Column]:
+    """Each column cast tolerantly with ``types[name]`` (a function Column ->
+    Column or a Spark type name)."""
+    out = []
+    for c in columns:
+        kind = (types or {}).get(c)
+        out.append(F.col(c) if kind is None else kind(F.col(c)).alias(c) if callable(kind)
+                   else F.col(c).try_cast(kind).alias(c))
+    return out
+
+
 def scan_csv(spark: SparkSession, path: str, columns, *, pattern: str | None = None,
              on_error: str = "continue", recursive: bool = True,
              provenance: bool = True, loaded_at=None, types: dict | None = None,
-             rebalance: bool = False, multi_line: bool = False) -> DataFrame:
+             rebalance: bool = False, multi_line: bool = True) -> DataFrame:
     """CSV with one header line; columns taken by position (header names are
-    ignored), each cast tolerantly with ``types[name]`` (a function
-    Column -> Column or a Spark type name). A quote inside a quoted field is
-    doubled; ``multi_line`` lets quoted fields hold line breaks (files are then
-    not split). All columns are parsed whatever is selected, so the bad-record
-    policy and counts never depend on it. ``rebalance``: see ``_rebalanced``."""
+    ignored), each cast as ``typed`` says. A quote inside a quoted field is
+    doubled; quoted fields may hold line breaks, so a file is read by one task;
+    pass ``multi_line=False`` for large files that hold none, which are then
+    split. All columns are parsed whatever is selected, so the bad-record
+    policy and counts never depend on it. ``rebalance``: see ``_rebalanced``.
+    ``loads.load_csv`` keeps the rejects as well."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    df = (_reader(spark, pattern, recursive, on_error).schema(schema)
-          .option("header", "true").option("enforceSchema", "true")
-          .option("quote", '"').option("escape", '"').option("columnPruning", "false")
-          .option("multiLine", str(multi_line).lower()).csv(path))
+    df = csv_lines(spark, schema, pattern, recursive, on_error, multi_line).csv(path)
     if provenance:
         df = with_provenance(df, loaded_at)
-    types = types or {}
-    out = []
-    for c in df.columns:
-        t = types.get(c)
-        if t is None:
-            out.append(F.col(c))
-        elif callable(t):
-            out.append(t(F.col(c)).alias(c))
-        else:
-            out.append(F.col(c).try_cast(t).alias(c))
-    return _rebalanced(df.select(out), rebalance)
+    return _rebalanced(df.select(typed(df.columns, types)), rebalance)
 
 
 def _rebalanced(df: DataFrame, on: bool) -> DataFrame:

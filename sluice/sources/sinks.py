@@ -76,13 +76,3 @@ def with_defaults(df: DataFrame, defaults: dict) -> DataFrame:
         lit = v if hasattr(v, "alias") else F.lit(v)
         df = df.withColumn(c, F.coalesce(F.col(c), lit) if c in df.columns else lit)
     return df
-
-
-def overwrite_partitions(df: DataFrame, path: str, partition_cols) -> None:
-    """Replace only the partitions present in ``df`` (dynamic partition
-    overwrite). ``df`` is checkpointed first, so the write never reads the
-    folder it replaces."""
-    from sluice.session import materialize
-    staged = materialize(df)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_cols).parquet(path))

@@ -239,58 +239,79 @@ def enrich_metadata(spark, sf_dir):
     return enrich(li, part, "l_partkey")
 
 
+def _state_update():
+    now = run_ts(RUN_TS)
+    return dict(set_update={"value": F.col("s.value"), "extracted_at": F.col("s.extracted_at"),
+                            "source_file": F.col("s.source_file"), "updated_at": now},
+                set_insert={"loaded_at": now, "updated_at": now},
+                update_when=["value", "extracted_at"], null_keys="drop", spread_nulls=False)
+
+
 @case("merge_in_place", CURATED_SQL + "SELECT * FROM merged")
 def merge_in_place(spark, sf_dir):
     """The curated state snapshot stored partitioned by observation date; the
     run's source touches only the days from the source start, so only those
-    partitions are read and rewritten."""
-    from sluice.plans.snapshots import merge_into_path
+    slices are read and written anew."""
+    from sluice.plans.snapshots import create_partitioned, merge_partitioned, partitioned
     from sluice.session import scratch_path
     ev = t(spark, sf_dir, "events")
-    path = scratch_path(spark, "curated_state")
-    runbook.initial_snapshot(state_raw(ev, hi=TARGET_CUT)).write.partitionBy("observation_date").parquet(path)
-    now = run_ts(RUN_TS)
+    root = scratch_path(spark, "curated_state")
+    first = runbook.initial_snapshot(state_raw(ev, hi=TARGET_CUT)).select(*runbook.CURATED_COLS)
+    create_partitioned(first, root, "observation_date")
     src = runbook.latest_source(state_raw(ev, lo=SOURCE_FROM)).drop("loaded_at")
-    merge_into_path(spark, path, src, runbook.KEYS, "observation_date",
-                    set_update={"value": F.col("s.value"), "extracted_at": F.col("s.extracted_at"),
-                                "source_file": F.col("s.source_file"), "updated_at": now},
-                    set_insert={"loaded_at": now, "updated_at": now},
-                    update_when=["value", "extracted_at"], null_keys="drop", spread_nulls=False)
-    return spark.read.parquet(path).select(*runbook.CURATED_COLS)
-
-
-BUCKETS = 16
+    merge_partitioned(root, src, runbook.KEYS, "observation_date", **_state_update())
+    return partitioned(spark, root, "observation_date")
+
+
+@case("replace_slices", f"""
+SELECT event_id, CAST(ts AS DATE) AS day, event_type,
+       CASE WHEN ts >= TIMESTAMP '{SOURCE_FROM}' THEN value * 2 ELSE value END AS value
+FROM events WHERE CAST(ts AS DATE) <> CAST(TIMESTAMP '{SOURCE_FROM}' AS DATE) OR ts >= TIMESTAMP '{SOURCE_FROM}'""")
+def replace_slices(spark, sf_dir):
+    """K4: the days of a rerun replace those of the snapshot, which the rerun
+    itself reads; the other days stay."""
+    from sluice.plans.snapshots import create_partitioned, partitioned, replace_partitions
+    from sluice.session import scratch_path
+    root = scratch_path(spark, "days")
+    ev = t(spark, sf_dir, "events").select("event_id", F.to_date("ts").alias("day"), "event_type", "value", "ts")
+    create_partitioned(ev, root, "day")
+    again = partitioned(spark, root, "day").where(F.col("ts") >= F.lit(SOURCE_FROM).cast("timestamp_ntz"))
+    replace_partitions(again.withColumn("value", F.col("value") * 2), root, "day")
+    return partitioned(spark, root, "day").drop("ts")
 
 
 def _bucketed_setup(spark, sf_dir):
-    from sluice.plans.snapshots import write_bucketed
+    from sluice.plans.snapshots import bytes_at, write_bucketed
     from sluice.session import scratch_path
     ev = t(spark, sf_dir, "events")
     root = scratch_path(spark, "curated_state_bucketed")
-    tag = root.rsplit("-", 1)[-1]
-    write_bucketed(runbook.initial_snapshot(state_raw(ev, hi=TARGET_CUT)).select(*runbook.CURATED_COLS),
-                   f"curated_state_{tag}_v1", runbook.KEYS, BUCKETS, f"{root}/v1")
-    now = run_ts(RUN_TS)
-    src = runbook.latest_source(state_raw(ev, lo=SOURCE_FROM)).drop("loaded_at")
-    kwargs = dict(set_update={"value": F.col("s.value"), "extracted_at": F.col("s.extracted_at"),
-                              "source_file": F.col("s.source_file"), "updated_at": now},
-                  set_insert={"loaded_at": now, "updated_at": now},
-                  update_when=["value", "extracted_at"], null_keys="drop", spread_nulls=False)
-    return root, tag, src, kwargs
+    name = f"curated_state_{root.rsplit('-', 1)[-1]}"
+    first = runbook.initial_snapshot(state_raw(ev, hi=TARGET_CUT)).select(*runbook.CURATED_COLS)
+    landed = scratch_path(spark, "curated_state_first")
+    first.write.parquet(landed)
+    # Small buckets, so that the test tables have several.
+    write_bucketed(spark.read.parquet(landed), f"{name}_v1", runbook.KEYS, f"{root}/v1", bytes_at(spark, landed), 64 << 10)
+    return root, name, runbook.typed_source(state_raw(ev, lo=SOURCE_FROM))
+
+
+def _latest(typed):
+    return runbook.latest_rows(typed).drop("loaded_at")
 
 
 @case("merge_bucketed", CURATED_SQL + "SELECT * FROM merged")
 def merge_bucketed_q(spark, sf_dir):
     """The curated state snapshot kept as a table bucketed by its key: the
-    merge reads it without a shuffle and writes the next version."""
+    merge reads it without a shuffle, ranks the source in its buckets, and
+    writes the next version."""
     from sluice.plans.snapshots import merge_bucketed
-    root, tag, src, kwargs = _bucketed_setup(spark, sf_dir)
-    return merge_bucketed(spark, f"curated_state_{tag}_v1", src, runbook.KEYS, BUCKETS,
-                          f"curated_state_{tag}_v2", f"{root}/v2", **kwargs)
+    root, name, source = _bucketed_setup(spark, sf_dir)
+    return merge_bucketed(spark, f"{name}_v1", source, runbook.KEYS, f"{name}_v2", f"{root}/v2", prepare=_latest,
+                          **_state_update())
 
 
 def merge_bucketed_plan(spark, sf_dir):
     """The merge itself (before the write), to show its plan."""
-    _root, tag, src, kwargs = _bucketed_setup(spark, sf_dir)
-    return merge(spark.table(f"curated_state_{tag}_v1"), src.repartition(BUCKETS, *runbook.KEYS),
-                 runbook.KEYS, **kwargs)
+    from sluice.plans.snapshots import bucket_state, merged_buckets
+    _root, name, source = _bucketed_setup(spark, sf_dir)
+    buckets, _target, _place = bucket_state(spark, f"{name}_v1")
+    return merged_buckets(spark, f"{name}_v1", source, runbook.KEYS, buckets, _latest, **_state_update())

@@ -13,7 +13,7 @@ from sluice.functions.scalars import try_date, try_ts_ntz
 from sluice.operators.dedupe import latest_wins
 from sluice.operators.explore import random_sample
 from sluice.session import scratch_path
-from sluice.sources import landing, sinks
+from sluice.sources import landing, loads, sinks
 from sluice.suite import case
 from sluice.suite.common import RUN_SQL, RUN_TS, t
 
@@ -40,6 +40,123 @@ def scan_csv_typed(spark, sf_dir):
     return df.withColumn("from_csv", F.col("source_file").endswith(".csv")).drop("source_file")
 
 
+# Records of orders as landed text; every 97th lacks its last field, every 101st has one more.
+LINE_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+LINE_SQL = """
+WITH lines AS (
+  SELECT o_orderkey, o_orderstatus, o_orderkey % 97 = 0 AS short, o_orderkey % 101 = 0 AND o_orderkey % 97 <> 0 AS long,
+    concat_ws(',', o_orderkey, o_custkey, o_orderstatus,
+              CASE WHEN o_orderkey % 97 <> 0 THEN '"' || o_orderpriority || ', ""as given"" too"' END,
+              CASE WHEN o_orderkey % 101 = 0 AND o_orderkey % 97 <> 0 THEN 'more' END) AS record
+  FROM orders)
+"""
+
+
+def land_order_lines(spark, sf_dir, root):
+    """A folder of CSV files for each status, and one with a header alone."""
+    o = t(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    record = F.concat_ws(",", key, "o_custkey", "o_orderstatus",
+                         F.when(key % 97 != 0, F.concat(F.lit('"'), "o_orderpriority", F.lit(', ""as given"" too"'))),
+                         F.when((key % 101 == 0) & (key % 97 != 0), "more"))
+    lines = o.select(F.col("o_orderstatus").alias("status"), record.alias("value"))
+    # Files of records first; then the header goes before each whole file.
+    for status in ("F", "O", "P"):
+        (lines.where(F.col("status") == status).select("value").hint("rebalance")
+         .write.option("lineSep", "\n").text(f"{root}/lines/{status}"))
+    header = ",".join(LINE_COLS)
+    spark.createDataFrame([(header,)], "value STRING").coalesce(1).write.text(f"{root}/empty")
+    headed = spark.read.text(f"{root}/lines", wholetext=True, recursiveFileLookup=True).select(
+        F.concat(F.lit(header + "\n"), F.rtrim("value")).alias("value"),
+        F.regexp_extract(F.col("_metadata.file_path"), "/([FOP])/[^/]*$", 1).alias("status"))
+    headed.write.partitionBy("status").option("lineSep", "\n").text(f"{root}/landed")
+    return root
+
+
+def load_order_lines(spark, sf_dir, **how):
+    root = land_order_lines(spark, sf_dir, scratch_path(spark, "order_lines"))
+    loads.load_csv(spark, f"{root}/landed", LINE_COLS, f"{root}/raw", "first", pattern="*.txt", **how)
+    loads.load_csv(spark, f"{root}/empty", LINE_COLS, f"{root}/raw", "empty", pattern="*.txt", **how)
+    return root
+
+
+def _status_of(file):
+    return F.regexp_extract(file, "status=([FOP])/", 1)
+
+
+@case("scan_csv_rejects", LINE_SQL + """
+SELECT 'first' AS load_id, o_orderstatus AS status, record,
+       'expected 4 fields, found ' || CASE WHEN short THEN '3' ELSE '5' END AS error
+FROM lines WHERE short OR long""")
+def scan_csv_rejects(spark, sf_dir):
+    """The records a load rejects, kept with their text and the reason."""
+    root = load_order_lines(spark, sf_dir)
+    return loads.rejects(spark, f"{root}/raw", LINE_COLS).select(
+        "load_id", _status_of("source_file").alias("status"), "record", "error")
+
+
+@case("scan_counts_agree", LINE_SQL + """
+, counts AS (
+  SELECT o_orderstatus AS status, count(*) AS rows_parsed, count(*) FILTER (short OR long) AS rows_rejected,
+         min(CASE WHEN short OR long THEN record END) AS first_record FROM lines GROUP BY 1),
+all_counts AS (
+  SELECT status, rows_parsed, rows_rejected,
+         CASE WHEN rows_rejected > 0 THEN 'expected 4 fields, found '
+              || (SELECT CASE WHEN short THEN '3' ELSE '5' END FROM lines WHERE record = first_record) END AS first_error
+  FROM counts
+  UNION ALL SELECT '', 0, 0, NULL)
+SELECT status, rows_parsed, rows_parsed - rows_rejected AS rows_loaded, rows_rejected, first_error,
+       rows_parsed - rows_rejected AS table_rows, rows_parsed - rows_rejected AS scanned_rows, true AS files_agree
+FROM all_counts""")
+def scan_counts_agree(spark, sf_dir):
+    """Results of the files against the rows that the table and a scan
+    of the same files give, whatever the projection."""
+    root = load_order_lines(spark, sf_dir)
+    files = loads.load_results(spark, f"{root}/raw").withColumn("status_dir", _status_of("source_file"))
+    wrong = F.col("status") != F.when(F.col("rows_rejected") > 0, "partially_loaded").otherwise("loaded")
+    results = files.groupBy(F.col("status_dir").alias("status")).agg(
+        *[F.sum(c).alias(c) for c in ("rows_parsed", "rows_loaded", "rows_rejected")], (~F.max(wrong)).alias("files_agree"))
+    least = (loads.rejects(spark, f"{root}/raw", LINE_COLS).groupBy(_status_of("source_file").alias("status"))
+             .agg(F.min_by("error", "record").alias("first_error")))
+    table = (loads.loaded_rows(spark, f"{root}/raw", LINE_COLS).groupBy(_status_of("source_file").alias("status"))
+             .agg(F.count("*").alias("table_rows")))
+    scanned = (landing.scan_csv(spark, f"{root}/landed", LINE_COLS, pattern="*.txt").select("source_file")
+               .groupBy(_status_of("source_file").alias("status")).agg(F.count("*").alias("scanned_rows")))
+    out = results.join(least, "status", "left").join(table, "status", "left").join(scanned, "status", "left")
+    return out.select("status", "rows_parsed", "rows_loaded", "rows_rejected", "first_error",
+                      F.coalesce("table_rows", F.lit(0)).alias("table_rows"),
+                      F.coalesce("scanned_rows", F.lit(0)).alias("scanned_rows"), "files_agree")
+
+
+@case("scan_csv_quotes", """
+SELECT doc_id, text, lang, source, n_chars, 'said "' || coalesce(lang, '') || '", then' || chr(10) || 'more' AS remark
+FROM documents""")
+def scan_csv_quotes(spark, sf_dir):
+    """Whole texts, with quotes, commas and line breaks, through CSV."""
+    root = scratch_path(spark, "csv_texts")
+    docs = t(spark, sf_dir, "documents")
+    remark = F.concat(F.lit('said "'), F.coalesce("lang", F.lit("")), F.lit('", then\nmore'))
+    cols = ["doc_id", "text", "lang", "source", "n_chars", "remark"]
+    sinks.write_csv_partitioned(docs.withColumn("remark", remark).select(*cols, F.col("lang").alias("folder")), root, "folder")
+    return landing.scan_csv(spark, root, cols, pattern="*.csv", provenance=False,
+                            types={"doc_id": "bigint", "n_chars": "bigint"})
+
+
+@case("scan_csv_abort", """
+SELECT 'continued' AS load_id, count(*) AS table_rows FROM orders WHERE o_orderkey % 97 <> 0 AND o_orderkey % 101 <> 0""")
+def scan_csv_abort(spark, sf_dir):
+    """A load that its first bad record ends leaves the table as it was."""
+    root = land_order_lines(spark, sf_dir, scratch_path(spark, "order_lines_abort"))
+    table = f"{root}/raw"
+    loads.load_csv(spark, f"{root}/landed", LINE_COLS, table, "continued", pattern="*.txt")
+    try:
+        loads.load_csv(spark, f"{root}/landed", LINE_COLS, table, "given_up", pattern="*.txt", on_error="abort")
+    except Exception as e:
+        if "MALFORMED" not in str(e):
+            raise
+    return loads.loaded_rows(spark, table, LINE_COLS).groupBy("load_id").agg(F.count("*").alias("table_rows"))
+
+
 @case("scan_ndjson_variant", """
 SELECT event_id, ts, user_id, event_type, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
 FROM events""")
