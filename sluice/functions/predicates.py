@@ -40,10 +40,10 @@ def fill_from(c, fallback) -> Column:
 
 
 # P13
-def find_col(df: DataFrame, fragments, exclude=()) -> str | None:
-    """First column, in column order, whose lower-cased name contains any of
-    the fragments."""
-    for name in df.columns:
+def find_col(df, fragments, exclude=()) -> str | None:
+    """First column of a frame (or of a list of names), in their order, whose
+    lower-cased name contains any of the fragments."""
+    for name in df.columns if isinstance(df, DataFrame) else df:
         if name not in exclude and any(frag in name.lower() for frag in fragments):
             return name
     return None

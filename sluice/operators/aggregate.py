@@ -47,6 +47,25 @@ def annual_total(df: DataFrame, by, date: str, value: str,
             .agg(F.sum(value).alias(total_name)))
 
 
+def grain_totals(df: DataFrame, grains: dict, sums: dict, level_name: str = "level") -> DataFrame:
+    """Sums at several grains over one scan (U4, R3). ``grains``: level ->
+    grouping columns (a different set for each level); ``sums``: name -> column
+    to add up. Rows are added up at the finest grain first, and GROUPING SETS
+    expand only those. A column that a level does not group by is null."""
+    cols = list(dict.fromkeys(c for own in grains.values() for c in own))
+    if len({frozenset(own) for own in grains.values()}) < len(grains):
+        raise ValueError("two levels have the same columns")
+    finest = df.groupBy(*cols).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    # grouping_id: a bit for each column, the first one highest, set where it is left out.
+    level = F.lit(None).cast("string")
+    for name, own in grains.items():
+        left_out = sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in own)
+        level = F.when(F.col("__id") == left_out, name).otherwise(level)
+    totals = finest.groupingSets([list(own) for own in grains.values()], *cols).agg(
+        F.grouping_id().alias("__id"), *[F.sum(n).alias(n) for n in sums])
+    return totals.select(level.alias(level_name), *cols, *sums)
+
+
 def delta_stats(delta: DataFrame, key: str, date: str) -> DataFrame:
     """Per-series row count and last date of a delta."""
     return delta.groupBy(key).agg(F.count(F.lit(1)).alias("record_count"),

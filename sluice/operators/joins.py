@@ -8,29 +8,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def bounded_values(df: DataFrame, col: str, max_values: int = 10_000) -> list:
-    """Distinct non-null values of a dimension column, sorted.
-
-    Raises when there are more than ``max_values`` values: the caller asked
-    for a dimension and got something that grows with the data.
-    """
-    vals = (df.where(F.col(col).isNotNull()).select(col).distinct()
-            .orderBy(col).limit(max_values + 1).collect())
-    if len(vals) > max_values:
-        raise ValueError(f"{col} has more than {max_values} distinct values")
-    return [r[0] for r in vals]
-
-
-def grid(members: DataFrame, codes: list, code_name: str = "code") -> DataFrame:
-    """Every member paired with every code of a bounded code list.
-
-    The code list is a checked-size dimension, so the product is a narrow
-    Generate per member row (linear in the members) and needs no join.
-    """
+def grid(members: DataFrame, codes, code_name: str = "code") -> DataFrame:
+    """Every member paired with every distinct non-null code of a code list:
+    a list, or a one-column dimension frame, which is read as one array by a
+    scalar subquery. The product is a Generate per member row (linear in the
+    members); no join, and no code passes through the driver."""
+    if isinstance(codes, DataFrame):
+        found = codes.agg(F.array_sort(F.collect_set(codes.columns[0])).alias("codes"))
+        return members.withColumn(code_name, F.explode(found.scalar()))
     if not codes:
         return members.withColumn(code_name, F.lit(None)).limit(0)
-    arr = F.array(*[F.lit(c) for c in codes])
-    return members.withColumn(code_name, F.explode(arr))
+    return members.withColumn(code_name, F.explode(F.array(*[F.lit(c) for c in codes])))
 
 
 def enrich(obs: DataFrame, meta: DataFrame, key) -> DataFrame:

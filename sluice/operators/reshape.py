@@ -186,18 +186,39 @@ def explode_with_parent(df: DataFrame, list_col: str, parent_key: str,
 
 
 # R7 / A8
-def pivot_sum(df: DataFrame, rows, col: str, value: str, members=None) -> DataFrame:
-    """Long to wide with sum; pass ``members`` for a fixed schema and one job."""
+def pivot_sum(df: DataFrame, rows, col: str, value: str, members=None, agg=F.sum) -> DataFrame:
+    """Long to wide with a sum (or another aggregate).
+
+    With ``members`` the columns are those, and it is one job. Without, ``df``
+    is read once all the same: its aggregate by row and member is written, the
+    column names come from that small table, and each row's members, gathered
+    in a map, fill them. A null member is called ``null``, as in Spark's pivot."""
+    from sluice.session import materialize
     rows = [rows] if isinstance(rows, str) else list(rows)
-    g = df.groupBy(*rows)
-    g = g.pivot(col, list(members)) if members is not None else g.pivot(col)
-    return g.agg(F.sum(value))
+    if members is not None:
+        return df.groupBy(*rows).pivot(col, list(members)).agg(agg(value))
+    long = materialize(df.groupBy(*rows, F.coalesce(F.col(col).cast("string"), F.lit("null")).alias("__member"))
+                       .agg(agg(value).alias("__value")))
+    most = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+    names = [r[0] for r in long.select("__member").distinct().orderBy("__member").limit(most + 1).collect()]
+    if len(names) > most:
+        raise ValueError(f"{col} has more than {most} members, no table has so many columns (spark.sql.pivotMaxValues)")
+    wide = long.groupBy(*rows).agg(F.map_from_entries(F.collect_list(F.struct("__member", "__value"))).alias("__members"))
+    return wide.select(*rows, *[F.try_element_at("__members", F.lit(n)).alias(n) for n in names])
 
 
 # R8
-def close_matrix(bars: DataFrame, date: str, symbol: str, close: str, symbols) -> DataFrame:
+def close_matrix(bars: DataFrame, date: str, symbol: str, close: str, symbols=None) -> DataFrame:
     """Date x symbol matrix of closing prices (bars are unique per date, symbol)."""
-    return bars.groupBy(date).pivot(symbol, list(symbols)).agg(F.max(close))
+    return pivot_sum(bars, date, symbol, close, symbols, F.max)
+
+
+# P13 over landed records
+def member_names(records: DataFrame, names: str) -> list[str]:
+    """All member names of records, from their arrays of names: those that
+    stand further in front come first."""
+    found = records.select(F.posexplode(names).alias("place", "name")).groupBy("name").agg(F.min("place").alias("place"))
+    return [r["name"] for r in found.orderBy("place", "name").collect()]
 
 
 # R9

@@ -257,10 +257,10 @@ ARREST_MARKS_DDL = ("function STRING, report_granularity STRING, report_level ST
 
 
 # J5 + H9
-def arrest_grid(spark, codes: list, states: DataFrame, oris: DataFrame) -> DataFrame:
+def arrest_grid(spark, codes, states: DataFrame, oris: DataFrame) -> DataFrame:
     """All (granularity, level, offense code) requests: one national level,
-    every state, every agency, each with every code of the checked-size code
-    list (a Generate per member, no cross join)."""
+    every state, every agency, each with every code of the code list or
+    one-column frame (a Generate per member, no cross join)."""
     from sluice.operators.explore import stack
     from sluice.operators.joins import grid
     national = spark.createDataFrame([(GRAIN_NATIONAL, NATIONAL_LEVEL)],

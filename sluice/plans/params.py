@@ -16,14 +16,15 @@ ALL_MEMBERS = "ALL"
 def select_member(df: DataFrame, col: str, value: str | None, members) -> DataFrame:
     """``ALL``/empty keeps every member; otherwise exactly one known member
     (upper-cased); an unknown member is an error before the filtered job runs.
-    ``members`` is a list or a one-column dimension DataFrame (size-checked)."""
+    ``members`` is a list or a one-column dimension DataFrame."""
     if value is None or value.strip() == "" or value.strip().upper() == ALL_MEMBERS:
         return df
     v = value.strip().upper()
     if isinstance(members, DataFrame):
-        from sluice.operators.joins import bounded_values
-        members = bounded_values(members, members.columns[0])
-    if v not in {str(m).upper() for m in members}:
+        known = not members.where(F.upper(F.col(members.columns[0]).cast("string")) == v).isEmpty()
+    else:
+        known = v in {str(m).upper() for m in members}
+    if not known:
         raise ValueError(f"unknown member {value!r}")
     return df.where(F.upper(F.col(col)) == F.lit(v))
 

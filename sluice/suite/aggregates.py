@@ -8,7 +8,7 @@ from sluice.functions.scalars import try_date
 from sluice.operators.aggregate import coverage, group_count
 from sluice.operators.dedupe import duplicate_keys
 from sluice.operators.explore import stack
-from sluice.operators.joins import bounded_values, grid
+from sluice.operators.joins import grid
 from sluice.operators.quality import missing_members, null_counts, overlong
 from sluice.suite import case
 from sluice.suite.common import t
@@ -25,13 +25,13 @@ def group_count_q(spark, sf_dir):
 
 
 @case("coverage", """
-SELECT o_orderpriority AS offense, count(*) AS total_rows, min(CAST(o_orderdate AS DATE)) AS earliest,
-       max(CAST(o_orderdate AS DATE)) AS latest
-FROM orders WHERE o_orderstatus = 'F' GROUP BY o_orderpriority""")
+SELECT o_orderstatus AS level, o_orderpriority AS offense, count(*) AS total_rows,
+       min(CAST(o_orderdate AS DATE)) AS earliest, max(CAST(o_orderdate AS DATE)) AS latest
+FROM orders GROUP BY 1, 2""")
 def coverage_q(spark, sf_dir):
-    o = t(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F")   # P5 level filter
-    o = o.select(F.col("o_orderpriority").alias("offense"), F.to_date("o_orderdate").alias("d"))
-    return coverage(o, "offense", "d")
+    o = t(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("level"), F.col("o_orderpriority").alias("offense"),
+                                          F.to_date("o_orderdate").alias("d"))
+    return coverage(o, ["level", "offense"], "d")
 
 
 @case("coverage_distinct", """
@@ -72,23 +72,20 @@ def key_quality(spark, sf_dir):
 
 
 @case("missing_members", """
-WITH codes AS (SELECT DISTINCT l_linenumber AS offense_code FROM lineitem WHERE l_linenumber IS NOT NULL),
-     grid AS (SELECT n.n_name AS state, c.offense_code FROM nation n JOIN codes c ON true),
-     delivered AS (SELECT DISTINCT n.n_name AS state, l.l_linenumber AS offense_code
+WITH days AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS day FROM lineitem WHERE l_shipdate IS NOT NULL),
+     grid AS (SELECT n.n_name AS state, d.day FROM nation n JOIN days d ON true),
+     delivered AS (SELECT DISTINCT n.n_name AS state, CAST(l.l_shipdate AS DATE) AS day
                    FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
-                   JOIN nation n ON s.s_nationkey = n.n_nationkey
-                   WHERE l.l_shipdate >= TIMESTAMP '2001-10-01 00:00:00')
-SELECT g.state, g.offense_code FROM grid g
-WHERE NOT EXISTS (SELECT 1 FROM delivered d WHERE d.state = g.state AND d.offense_code = g.offense_code)""")
+                   JOIN nation n ON s.s_nationkey = n.n_nationkey)
+SELECT g.state, g.day FROM grid g
+WHERE NOT EXISTS (SELECT 1 FROM delivered d WHERE d.state = g.state AND d.day = g.day)""")
 def missing_members_q(spark, sf_dir):
-    li = t(spark, sf_dir, "lineitem")
+    """The days of the whole table on which a state delivered nothing."""
+    li = t(spark, sf_dir, "lineitem").select("l_suppkey", F.to_date("l_shipdate").alias("day"))
     nation = t(spark, sf_dir, "nation")
-    codes = bounded_values(li, "l_linenumber")
-    g = grid(nation.select(F.col("n_name").alias("state")), codes, "offense_code")
+    g = grid(nation.select(F.col("n_name").alias("state")), li.select("day"), "day")
     sup = t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"),
                                               F.col("s_nationkey").alias("n_nationkey"))
-    delivered = (li.where(F.col("l_shipdate") >= F.lit("2001-10-01").cast("timestamp_ntz"))
-                 .select("l_suppkey", F.col("l_linenumber").alias("offense_code"))
-                 .join(sup, "l_suppkey").join(nation, "n_nationkey")
-                 .select(F.col("n_name").alias("state"), "offense_code"))
-    return missing_members(g, delivered, ["state", "offense_code"])
+    delivered = (li.join(sup, "l_suppkey").join(nation, "n_nationkey")
+                 .select(F.col("n_name").alias("state"), "day"))
+    return missing_members(g, delivered, ["state", "day"])

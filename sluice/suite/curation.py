@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.scalars import run_ts
 from sluice.operators.dedupe import assert_unique, distinct_keys, latest_wins
-from sluice.operators.joins import bounded_values, enrich
+from sluice.operators.joins import enrich
 from sluice.operators.merge import merge
 from sluice.plans import runbook
 from sluice.plans.highwater import seed_grid
@@ -215,7 +215,7 @@ def grid_cross(spark, sf_dir):
     """The arrest extraction grid (national level, states, agencies) seeded
     insert-only into marks that already hold the national rows."""
     from sluice.plans.highwater import GRAIN_NATIONAL, GRID_KEYS, arrest_grid
-    codes = bounded_values(t(spark, sf_dir, "lineitem"), "l_linenumber")
+    codes = t(spark, sf_dir, "lineitem").select("l_linenumber")
     states = t(spark, sf_dir, "nation").select("n_name")
     oris = t(spark, sf_dir, "customer").select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("ori"))
     g = arrest_grid(spark, codes, states, oris)

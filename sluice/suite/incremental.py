@@ -213,11 +213,10 @@ FROM grid g LEFT JOIN delivered d ON g.member = d.member AND g.offense_code = d.
 def arrest_request_plan(spark, sf_dir):
     """Extraction grid (J5) joined to its month marks (H3): next month to
     request per (state, offense code)."""
-    from sluice.operators.joins import bounded_values, grid
+    from sluice.operators.joins import grid
     li = t(spark, sf_dir, "lineitem")
     nation = t(spark, sf_dir, "nation")
-    codes = bounded_values(li, "l_linenumber")
-    g = grid(nation.select(F.col("n_name").alias("member")), codes, "offense_code")
+    g = grid(nation.select(F.col("n_name").alias("member")), li.select("l_linenumber"), "offense_code")
     sup = t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"),
                                               F.col("s_nationkey").alias("n_nationkey"))
     marks = (li.select("l_suppkey", F.col("l_linenumber").alias("offense_code"), "l_shipdate")

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from sluice.functions.scalars import month_text_year
 from sluice.operators.aggregate import annual_total
 from sluice.operators.explore import stack, top_k
-from sluice.operators.joins import bounded_values
 from sluice.operators.reshape import (close_matrix, explode_with_parent, flatten_agencies, monthly_long,
                                       normalize, object_members, payload_rows, pivot_sum, quotes_table,
                                       split_rejects)
@@ -202,11 +201,10 @@ def _priority_sql(agg: str) -> str:
     + " FROM orders GROUP BY 1")
 def pivot_sum_q(spark, sf_dir):
     o = t(spark, sf_dir, "orders")
-    members = bounded_values(o, "o_orderpriority", 1_000)
     long = o.select(F.year("o_orderdate").alias("data_year"), "o_orderpriority",
                     F.col("o_totalprice").cast("decimal(18,2)").alias("amount"))
-    wide = pivot_sum(long, "data_year", "o_orderpriority", "amount", members)
-    return wide.select("data_year", *[F.col(f"`{m}`").cast("double").alias(m) for m in members])
+    wide = pivot_sum(long, "data_year", "o_orderpriority", "amount")        # members are not known beforehand
+    return wide.select("data_year", *[F.col(f"`{m}`").cast("double").alias(m) for m in wide.columns[1:]])
 
 
 def bars(spark, sf_dir):
@@ -219,8 +217,7 @@ def bars(spark, sf_dir):
     "max(CASE WHEN o_orderpriority = '{p}' THEN o_totalprice END) AS \"{p}\"") + " FROM orders GROUP BY 1")
 def close_matrix_q(spark, sf_dir):
     b = bars(spark, sf_dir)
-    symbols = bounded_values(b, "symbol", 1_000)
-    return close_matrix(b, "bar_date", "symbol", "close", symbols)
+    return close_matrix(b, "bar_date", "symbol", "close")
 
 
 @case("bars_period", """
@@ -287,22 +284,26 @@ def _state_members():
           for m in _state_members())
       + " FROM c WHERE lower(offense) LIKE '%violent%' GROUP BY year")
 def state_offenses_pivot(spark, sf_dir):
-    """R4 + U3 + P13 + P6 + R7: coerce each response to records, land them,
-    read them back with the schema discovered from the data, find the count
-    and offense columns by name, keep violent offenses, pivot year x state."""
+    """R4 + U3 + P13 + P6 + R7: coerce each response to records, land them by
+    state with their names, find the count and offense columns by those names
+    (the records themselves are read once), keep violent offenses, and pivot
+    year x state, the states being those that occur."""
     from sluice.functions.predicates import contains_ci, find_col
+    from sluice.operators.reshape import member, member_names
     rows = payload_rows(offense_payloads(spark, sf_dir), "payload", keep=["state"])
     path = scratch_path(spark, "offense_records")
     # Each state's records land in its own folder (the tag, U3).
-    rows.select(F.col("state").alias("state_abbr"), F.col("record").alias("value")) \
-        .write.mode("overwrite").partitionBy("state_abbr").text(path)
-    df = spark.read.json(path)                                   # columns discovered from the data
-    count_col = find_col(df, ["count", "actual"])
-    offense_col = find_col(df, ["offense", "crime_type"])
-    violent = df.where(contains_ci(offense_col, "violent"))
-    # Columns come from the state dimension, so a state without data is a null column.
-    members = bounded_values(t(spark, sf_dir, "nation"), "n_name", 10_000)
-    return pivot_sum(violent, "year", "state_abbr", count_col, members)
+    (rows.select(F.col("state").alias("state_abbr"), F.try_parse_json("record").alias("record"),
+                 F.json_object_keys("record").alias("names"))
+     .hint("rebalance", "state_abbr").write.partitionBy("state_abbr").parquet(path))
+    landed = spark.read.parquet(path)
+    names = member_names(landed, "names")                        # reads the column of names alone
+    count_col = find_col(names, ["count", "actual"])
+    offense_col = find_col(names, ["offense", "crime_type"])
+    records = landed.select("state_abbr", member("record", "year", "bigint").alias("year"),
+                            member("record", offense_col, "string").alias("offense"),
+                            member("record", count_col, "bigint").alias("count"))
+    return pivot_sum(records.where(contains_ci("offense", "violent")), "year", "state_abbr", "count")
 
 
 def agency_month_payloads(spark, sf_dir):

@@ -81,18 +81,24 @@ def previous_directory(sup):
                   rows("R", F.concat(F.lit("retired "), F.col("s_name"))).where(bal < 0)])
 
 
-def curated_directory(spark, sf_dir):
-    sup = suppliers(spark, sf_dir)
+def raw_agencies(spark, sf_dir, sup):
+    """The landed extracts as the raw table, which every load replaces (K5)."""
     root = scratch_path(spark, "agencies")
     first = payloads(sup, F.col("s_name"), EXTRACT_1)
     second = payloads(sup.where(F.col("s_acctbal") > 5000), F.upper("s_name"), EXTRACT_2)
+    table = f"{root}-raw"
     for batch in (first, second):
         flat = flatten_agencies(batch, "payload", RECORD_SCHEMA, keep=["state", "extracted_at"])
         flat = flat.withColumnRenamed("state", "state_abbr")
         # K2: one folder per state; append keeps both extracts (forced reload).
         sinks.write_ndjson(flat.withColumn("state", F.col("state_abbr")), root, by="state", mode="append")
-    raw = scan_ndjson_variant(spark, root, pattern="*.json", loaded_at=RUN_TS)
-    return agencies.curate(previous_directory(sup), raw, RUN_TS)
+        sinks.land(scan_ndjson_variant(spark, root, pattern="*.json", loaded_at=RUN_TS), table, mode="overwrite")
+    return spark.read.parquet(table)
+
+
+def curated_directory(spark, sf_dir):
+    sup = suppliers(spark, sf_dir)
+    return agencies.curate(previous_directory(sup), raw_agencies(spark, sf_dir, sup), RUN_TS)
 
 
 DIRECTORY_SQL = f"""
@@ -136,6 +142,18 @@ def curated_agencies_verify(spark, sf_dir):
     return agencies.verify(curated_directory(spark, sf_dir))
 
 
+@case("agencies_raw_verify", """
+SELECT r.r_name AS state_abbr, count(*) + count(*) FILTER (WHERE s.s_acctbal > 5000) AS agency_count
+FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+GROUP BY 1""")
+def agencies_raw_verify(spark, sf_dir):
+    """V1: agencies by state in the raw load, by path extraction."""
+    from sluice.operators.aggregate import group_count
+    raw = raw_agencies(spark, sf_dir, suppliers(spark, sf_dir))
+    return group_count(raw.select(F.try_variant_get("raw_data", "$.state_abbr", "string").alias("state_abbr")),
+                       "state_abbr", "agency_count")
+
+
 # --- National arrests into the unified table (R2 + lookups, K3, S2, P1-P3, W1, J2, U4, V4)
 
 NAT_E0 = "2023-06-01 00:00:00"
@@ -143,14 +161,33 @@ NAT_E1 = "2024-01-01 00:00:00"
 NAT_E2 = "2024-01-20 00:00:00"
 
 
-def monthly_sums(spark, sf_dir):
-    li = t(spark, sf_dir, "lineitem")
-    return (li.groupBy(F.col("l_linenumber").alias("offense_code"),
-                       F.date_format("l_shipdate", "MM-yyyy").alias("mt"),
-                       F.year("l_shipdate").alias("yr"))
-            .agg(F.sum("l_quantity").alias("v"),
-                 F.sum(F.col("l_discount").cast("decimal(18,2)")).cast("double").alias("r"),
-                 F.count(F.lit(1)).alias("p")))
+GRAINS = {"NATIONAL": ["offense_code", "month"], "STATE": ["flag", "offense_code", "month"],
+          "ANNUAL": ["offense_code", "data_year"]}
+
+
+def grain_sums(spark, sf_dir):
+    """Monthly sums of both geography levels and annual ones, from one scan of
+    lineitem; written, since several steps of a run use them."""
+    from sluice.operators.aggregate import grain_totals
+    from sluice.session import materialize
+    li = t(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("flag"), F.col("l_linenumber").alias("offense_code"),
+        F.trunc("l_shipdate", "month").alias("month"), F.year("l_shipdate").alias("data_year"), "l_quantity",
+        F.col("l_discount").cast("decimal(18,2)").alias("l_discount"))
+    return materialize(grain_totals(li, GRAINS, {"v": F.col("l_quantity"), "r": F.col("l_discount"), "p": F.lit(1)}))
+
+
+@case("grain_totals", """
+SELECT 'NATIONAL' AS level, CAST(NULL AS VARCHAR) AS flag, l_linenumber AS offense_code,
+       CAST(date_trunc('month', l_shipdate) AS DATE) AS month, CAST(NULL AS INTEGER) AS data_year,
+       sum(l_quantity) AS v, count(*) AS p FROM lineitem GROUP BY ALL
+UNION ALL SELECT 'STATE', l_returnflag, l_linenumber, CAST(date_trunc('month', l_shipdate) AS DATE), NULL,
+       sum(l_quantity), count(*) FROM lineitem GROUP BY ALL
+UNION ALL SELECT 'ANNUAL', NULL, l_linenumber, NULL, CAST(year(l_shipdate) AS INTEGER), sum(l_quantity), count(*)
+FROM lineitem GROUP BY ALL""")
+def grain_totals_q(spark, sf_dir):
+    """U4 + R3: national, state and annual rows by GROUPING SETS."""
+    return grain_sums(spark, sf_dir).drop("r")
 
 
 def national_payloads(monthly, extracted_at: str):
@@ -168,10 +205,10 @@ def national_payloads(monthly, extracted_at: str):
     return per.select("offense_code", F.lit(extracted_at).alias("extracted_at"), F.to_json(doc).alias("payload"))
 
 
-def unified_arrests(spark, sf_dir):
+def raw_national(spark, monthly):
+    """The landed national extracts: a first one, and one of the revised period."""
     from sluice.operators.reshape import monthly_long
     from sluice.functions.scalars import date_text
-    monthly = monthly_sums(spark, sf_dir)
     root = scratch_path(spark, "arrests_national")
     first = national_payloads(monthly, NAT_E1)
     recent = monthly.where(F.col("yr") >= 2001).withColumn("v", F.col("v") + 1)   # revised period
@@ -182,25 +219,33 @@ def unified_arrests(spark, sf_dir):
         landed = rows.select("offense_code", date_text("observation_date").alias("observation_date"),
                              "value", "rate", "population", "extracted_at")
         sinks.write_ndjson(landed, root, mode="append")          # K3: one output set per run
-    raw = scan_ndjson_variant(spark, root, pattern="*.json", loaded_at=RUN_TS)
+    return scan_ndjson_variant(spark, root, pattern="*.json", loaded_at=RUN_TS)
+
+
+def national_months(sums):
+    return sums.where(F.col("level") == "NATIONAL").select(
+        "offense_code", F.date_format("month", "MM-yyyy").alias("mt"), F.year("month").alias("yr"), "month", "v",
+        F.col("r").cast("double").alias("r"), "p")
+
+
+def unified_arrests(spark, sf_dir):
+    sums = grain_sums(spark, sf_dir)
+    monthly = national_months(sums)
+    raw = raw_national(spark, monthly)
     from sluice.operators.quality import assert_not_empty
     assert_not_empty(raw, "national arrest extraction")     # fail when nothing was collected
 
     old = run_ts(OLD_TS)
-    li = t(spark, sf_dir, "lineitem")
-    state = (li.groupBy(F.col("l_returnflag").alias("geography_value"), F.col("l_linenumber").alias("offense_code"),
-                        F.trunc("l_shipdate", "month").alias("observation_date"))
-             .agg(F.sum("l_quantity").alias("value"), F.count(F.lit(1)).alias("population"))
-             .select(F.lit("STATE").alias("geography_level"), "geography_value", "offense_code", "observation_date",
-                     "value", F.lit(None).cast("double").alias("rate"), "population",
-                     F.lit(NAT_E0).cast("timestamp_ntz").alias("extracted_at"),
-                     F.lit("seed").alias("source_file"), old.alias("loaded_at"), old.alias("updated_at")))
+    seeded = [F.lit("seed").alias("source_file"), old.alias("loaded_at"), old.alias("updated_at")]
+    state = sums.where(F.col("level") == "STATE").select(
+        F.lit("STATE").alias("geography_level"), F.col("flag").alias("geography_value"), "offense_code",
+        F.col("month").alias("observation_date"), F.col("v").alias("value"), F.lit(None).cast("double").alias("rate"),
+        F.col("p").alias("population"), F.lit(NAT_E0).cast("timestamp_ntz").alias("extracted_at"), *seeded)
     national = monthly.select(
         F.lit("NATIONAL").alias("geography_level"), F.lit("National").alias("geography_value"), "offense_code",
-        F.to_date(F.concat(F.lit("01-"), F.col("mt")), "dd-MM-yyyy").alias("observation_date"),
+        F.col("month").alias("observation_date"),
         F.col("v").alias("value"), F.col("r").alias("rate"), F.col("p").alias("population"),
-        F.lit(NAT_E1).cast("timestamp_ntz").alias("extracted_at"), F.lit("seed").alias("source_file"),
-        old.alias("loaded_at"), old.alias("updated_at"))
+        F.lit(NAT_E1).cast("timestamp_ntz").alias("extracted_at"), *seeded)
     target = stack([state, national])            # U4: one table, two geography levels
     from sluice.plans.runbook import curate_national
     return curate_national(target, raw, RUN_TS)
@@ -245,6 +290,22 @@ def national_verify(spark, sf_dir):
     return verify_national(unified_arrests(spark, sf_dir))
 
 
+@case("national_raw_verify", """
+WITH m AS (SELECT DISTINCT l_linenumber AS offense_code, CAST(date_trunc('month', l_shipdate) AS DATE) AS d FROM lineitem)
+SELECT offense_code, count(*) + 1 + count(*) FILTER (year(d) >= 2001) + CAST(max(year(d)) >= 2001 AS INTEGER) AS row_count,
+       min(d) AS earliest_month, max(d) AS latest_month
+FROM m GROUP BY 1""")
+def national_raw_verify(spark, sf_dir):
+    """V3: rows and months by offense code in the raw national load, whose rows
+    hold months of two extracts and a label that is no month."""
+    from sluice.functions.scalars import try_date
+    from sluice.operators.aggregate import coverage
+    raw = raw_national(spark, national_months(grain_sums(spark, sf_dir)))
+    typed = raw.select(F.try_variant_get("raw_data", "$.offense_code", "int").alias("offense_code"),
+                       try_date(F.try_variant_get("raw_data", "$.observation_date", "string")).alias("d"))
+    return coverage(typed, "offense_code", "d", names={"first": "earliest_month", "last": "latest_month", "rows": "row_count"})
+
+
 # --- State extraction run (S10, P10, R2, U1, K3, S3, V5) ------------------------------
 
 STATE_EXTRACTED = "2024-02-01T00:00:00+00:00"

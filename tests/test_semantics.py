@@ -11,7 +11,7 @@ from sluice.functions.scalars import (falsy_or, first_token, full_match, month_t
                                       percent, sanitize_ident, strip_control, strip_quotes)
 from sluice.operators.dedupe import assert_unique, latest_wins
 from sluice.operators.explore import assign_ids, predicate, tail_by, top_k
-from sluice.operators.joins import bounded_values, grid
+from sluice.operators.joins import grid
 from sluice.operators.merge import merge, update_where
 from sluice.operators.reshape import flatten_agencies, monthly_long, payload_rows
 from sluice.plans.params import select_member
@@ -153,13 +153,12 @@ def test_assign_ids_are_consecutive_across_partitions(spark):
     assert sorted((r.k, r.sid) for r in out) == [(k, 501 + k) for k in range(1000)]
 
 
-def test_grid_and_bounded_values(spark):
+def test_grid_of_a_list_and_of_a_frame(spark):
     codes = spark.createDataFrame([(3,), (1,), (None,), (3,)], "c INT")
-    assert bounded_values(codes, "c") == [1, 3]
-    with pytest.raises(ValueError):
-        bounded_values(spark.range(20).withColumnRenamed("id", "c"), "c", max_values=10)
     members = spark.createDataFrame([("CA",), ("NY",)], "m STRING")
-    assert rows(grid(members, [1, 3], "code")) == norm([("CA", 1), ("CA", 3), ("NY", 1), ("NY", 3)])
+    want = norm([("CA", 1), ("CA", 3), ("NY", 1), ("NY", 3)])
+    assert rows(grid(members, [1, 3], "code")) == rows(grid(members, codes, "code")) == want
+    assert rows(grid(members, codes.limit(0), "code")) == rows(grid(members, [], "code")) == []
 
 
 def test_screen_tree_and_topk(spark):
