@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.functions.scalars import col_of, month_text_date
 from sluice.session import materialize
@@ -43,21 +44,62 @@ def tail_by(df: DataFrame, date: str, n: int, tiebreak=()) -> DataFrame:
     return last.orderBy(F.col(date).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tiebreak])
 
 
-# O6 / F25
-def random_sample(df: DataFrame, n: int = 1_000, seed: int = 42, total: int | None = None) -> DataFrame:
-    """``n`` random rows (all rows, shuffled, when there are fewer).
+# P12
+def last_days(df: DataFrame, date: str, n: int, by=()) -> DataFrame:
+    """Rows of the last ``n`` dates that occur (for each ``by``): the calendar
+    of distinct dates, ranked, cut to its last n, and joined back. Gaps don't
+    count as days, and every row of a day stays."""
+    by = [by] if isinstance(by, str) else list(by)
+    calendar = df.where(F.col(date).isNotNull()).select(*by, date).distinct()
+    if by:
+        calendar = top_n_per_group(calendar, by, [F.col(date).desc()], n)
+    else:
+        calendar = calendar.orderBy(F.col(date).desc()).limit(n)
+    same = reduce(lambda a, b: a & b, [F.col(f"d.{c}").eqNullSafe(F.col(f"c.{c}")) for c in [*by, date]])
+    return df.alias("d").join(calendar.alias("c"), same, "left_semi")
+
+
+def in_period(df: DataFrame, date: str, period: str) -> DataFrame:
+    """Rows in a period such as ``5d`` (dates that occur), ``1mo``, ``2y`` (back
+    from the last date, which a scalar subquery reads), ``ytd`` or ``max``."""
+    import re
+    last = df.agg(F.max(date)).scalar()
+    if period == "max":
+        return df
+    if period == "ytd":
+        return df.where(F.col(date) >= F.trunc(last, "year"))
+    found = re.fullmatch(r"([1-9]\d*)(d|mo|y)", period)
+    if not found:
+        raise ValueError(f"unknown period {period!r}")
+    n, unit = int(found[1]), found[2]
+    if unit == "d":
+        return last_days(df, date, n)
+    return df.where(F.col(date) > F.add_months(last, -n * (12 if unit == "y" else 1)))
 
-    A Bernoulli pre-sample, sized from the row count, keeps about ``3n``
-    candidates spread over the tasks; a random top-n of those is the sample.
-    No task sees more than the candidates.
-    """
-    total = df.count() if total is None else total
-    want = min(n, total)
-    if want <= 0:
-        return df.limit(0)
-    frac = min(1.0, (3 * want + 64) / total)
-    candidates = df.sample(fraction=frac, seed=seed) if frac < 1.0 else df
-    return candidates.orderBy(F.rand(seed)).limit(want)
+
+# O6 / F25
+def random_sample(df: DataFrame, n: int = 1_000, seed: int = 42, key=None) -> DataFrame:
+    """``n`` random rows (all rows when there are fewer): those with the least
+    hashes of seed and key (all columns, if no key is given).
+
+    One pass, a top-n in every task and a merge of those; the rows are the same
+    for every partitioning, so a lost task draws them again. Rows with equal
+    keys are told apart by their other columns, in ascending order."""
+    if key is None:
+        text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])) if df.columns else F.lit("")
+    else:
+        text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key])
+    drawn = F.md5(F.concat(F.lit(f"{seed}|"), text).cast("binary"))
+    rest = [F.col(f"`{f.name}`").asc_nulls_first() for f in df.schema.fields if _ordered(f.dataType)]
+    return df.orderBy(drawn, *rest).limit(n)
+
+
+def _ordered(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _ordered(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_ordered(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))
 
 
 # W3
@@ -157,7 +199,7 @@ PRESETS = {
     "day_losers": (("lt", "change_pct", -2.5), "change_pct", True),
     "undervalued_large_caps": (("and", [("btwn", "pe", 0, 20), ("gte", "market_cap", 1500.0)]),
                                "market_cap", False),
-    "growth_technology": (("and", [("is-in", "sector", ["technology"]), ("gt", "change_pct", 0.0)]),
+    "growth_technology_stocks": (("and", [("is-in", "sector", ["technology"]), ("gt", "change_pct", 0.0)]),
                           "change_pct", False),
 }
 

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from sluice.functions.scalars import run_ts as _run_ts
 from sluice.operators.dedupe import distinct_keys
-from sluice.operators.explore import assign_ids
 from sluice.operators.merge import merge
+from sluice.plans.sequences import seed_members
 
 # The 50 states and DC, the arrest offense codes and the
 # supplemental offense codes, in the order the reference seeds them.
@@ -33,20 +33,23 @@ SUPPLEMENTAL_OFFENSE_CODES = ["NB", "NV", "NMVT", "NROB"]
 
 def seed_codes(spark: SparkSession, target: DataFrame, codes, key: str, key_type: str,
                run_ts: str) -> DataFrame:
-    """Insert the codes that are not in the target yet (created_at = run)."""
-    source = spark.createDataFrame([(c,) for c in codes], f"{key} {key_type}")
+    """Insert the codes that are not in the target yet (created_at = run), each
+    once. ``codes`` is a list or a one-column frame."""
+    if not isinstance(codes, DataFrame):
+        codes = spark.createDataFrame([(c,) for c in codes], f"{key} {key_type}")
+    source = distinct_keys(codes.toDF(key), key)
     return merge(target, source, [key], set_update=None,
                  set_insert={"created_at": _run_ts(run_ts)}, null_keys="drop", spread_nulls=False)
 
 
-def seed_states(spark: SparkSession, target: DataFrame, run_ts: str, states=STATES) -> DataFrame:
-    """Insert missing states with surrogate ids after the current maximum."""
-    source = spark.createDataFrame([(s,) for s in states], "state STRING")
-    new = source.join(target.select("state"), "state", "left_anti")
-    current_max = target.agg(F.coalesce(F.max("state_id"), F.lit(0))).first()[0]
-    ids = assign_ids(new, "state", current_max, "state_id")
-    inserted = ids.select("state_id", "state", _run_ts(run_ts).alias("created_at"))
-    return target.select("state_id", "state", "created_at").unionByName(inserted)
+def seed_states(spark: SparkSession, target: DataFrame, run_ts: str, states=STATES,
+                ledger: str | None = None) -> DataFrame:
+    """Insert missing states, each once, with surrogate ids (``sequences``).
+    ``states`` is a list or a one-column frame."""
+    if not isinstance(states, DataFrame):
+        states = spark.createDataFrame([(s,) for s in states], "state STRING")
+    return seed_members(target.select("state_id", "state", "created_at"), states.toDF("state"), "state", "state_id",
+                        {"created_at": _run_ts(run_ts)}, ledger)
 
 
 def seed_ori(target: DataFrame, agencies: DataFrame, run_ts: str) -> DataFrame:

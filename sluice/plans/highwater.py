@@ -4,8 +4,8 @@ A "mark" is the last observation date already landed for a series; the next
 run starts the day after it. Everything is set-based: the plan is a join of
 the configured series to their marks, the delta a join of observations to the
 plan, and the book-keeping (marks, failures, log) are merges and joins over
-the delta's per-series statistics. Write order for a crash-safe run: log
-first, marks last, so a crash re-extracts instead of losing rows.
+the delta's per-series statistics. ``commit_run`` has the order of writes that
+makes a run safe to repeat.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ STATUS_ERROR = "error"
 MSG_NO_ROWS = "No new observations"
 MSG_UPLOADED = "Uploaded delta observations"
 
+# Columns of the marks and of the log.
 MARKS_DDL = ("series_id STRING, title STRING, frequency STRING, units STRING, "
              "last_observation_date DATE, last_successful_run TIMESTAMP_NTZ, "
              "consecutive_failures INT, updated_at TIMESTAMP_NTZ")
@@ -157,7 +158,7 @@ def plan_months(grid_marks: DataFrame, default_from: str, to_month: str,
 
 # --- One incremental run, end to end -----------------------------------
 
-# Column order of a landed series CSV (the loader reads by position).
+# Column order of a landed series CSV (the loader reads by position).
 CSV_COLUMNS = ["series_id", "observation_date", "value", "title", "frequency", "units", "extracted_at"]
 
 
@@ -172,15 +173,17 @@ class RunOutputs:
 def run_extraction(obs: DataFrame, series: DataFrame, marks: DataFrame | None, meta: DataFrame, *,
                    default_start: str, run_ts: str, run_id: str, landing_root: str,
                    failed: DataFrame | None = None, use_marks: bool = True, lookback_days: int = 0,
-                   key: str = "series_id") -> RunOutputs:
+                   override_start: str | None = None, key: str = "series_id") -> RunOutputs:
     """Plan, cut the delta, enrich it with series metadata and land it as one
     CSV folder per series (K1). The enriched delta is checkpointed once, so
     landing, statistics, log and marks all read the same rows (and a lost
-    executor re-reads them instead of re-extracting)."""
+    executor re-reads them instead of re-extracting). A full refresh
+    (``use_marks=False``) starts every series at ``override_start`` or the
+    default and leaves the marks alone."""
     from sluice.functions.scalars import date_text
     from sluice.session import materialize
     from sluice.sources.sinks import write_csv_partitioned
-    plan_df = plan(series, marks, default_start, use_marks=use_marks and marks is not None,
+    plan_df = plan(series, marks, default_start, override_start, use_marks=use_marks and marks is not None,
                    lookback_days=lookback_days, key=key)
     d = delta(obs, plan_df, key=key)
     if failed is not None:
@@ -208,14 +211,67 @@ def run_extraction(obs: DataFrame, series: DataFrame, marks: DataFrame | None, m
     return RunOutputs(plan_df, rows, stats, log, new_marks, path)
 
 
-def commit_run(out: RunOutputs, log_path: str, marks_root: str, run_id: str) -> None:
-    """Write the log first (append) and the marks last, as a new version
-    folder: the marks being read are never overwritten, and a crash before
-    the marks re-extracts instead of losing rows."""
-    from sluice.plans.snapshots import publish
-    out.log.write.mode("append").parquet(log_path)
-    if out.marks is not None:
-        publish(out.marks, marks_root, run_id)
+# H7: the protocol of a run. ``<log>/run_id=<id>`` holds its log,
+# ``<log>-runs/phase=<phase>/run_id=<id>`` an entry for what it has reached. The
+# intent comes first, then the log, which a repeated run overwrites, then the marks
+# as a new version, then the commit. Wherever a run dies, the same run id given
+# again goes on from there, and each series has one log row of each run.
+RUN_DDL = "started_at TIMESTAMP_NTZ, phase STRING, run_id STRING"
+INTENT, COMMIT = "intent", "commit"
+
+
+def _enter(spark, log_path: str, run_id: str, phase: str, run_ts) -> None:
+    entry = spark.range(1).select(_ts(run_ts).alias("started_at"))
+    entry.coalesce(1).write.mode("overwrite").parquet(f"{log_path}-runs/phase={phase}/run_id={run_id}")
+
+
+def runs(spark, log_path: str) -> DataFrame:
+    """``run_id, started_at, committed`` of every run that has an intent."""
+    from pyspark.errors import AnalysisException
+    try:
+        entries = spark.read.schema(RUN_DDL).parquet(f"{log_path}-runs")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        entries = spark.createDataFrame([], RUN_DDL)
+    return entries.groupBy("run_id").agg(F.min("started_at").alias("started_at"),
+                                         F.bool_or(F.col("phase") == COMMIT).alias("committed"))
+
+
+def begin_run(spark, log_path: str, run_id: str, run_ts) -> bool:
+    """Enter the intent of a run; False when the run is committed already."""
+    if not runs(spark, log_path).where((F.col("run_id") == run_id) & F.col("committed")).isEmpty():
+        return False
+    _enter(spark, log_path, run_id, INTENT, run_ts)
+    return True
+
+
+def write_log(out: RunOutputs, log_path: str, run_id: str) -> None:
+    """The log of a run in place of what an earlier try of it left."""
+    out.log.drop("run_id").write.mode("overwrite").parquet(f"{log_path}/run_id={run_id}")
+
+
+def commit_run(out: RunOutputs, log_path: str, marks_root: str, run_id: str, run_ts: str = "1970-01-01 00:00:00") -> bool:
+    """Write the log, then the marks, then the commit. A run that is committed
+    changes nothing (False); one that died after its marks only gets its commit,
+    since its plan would follow from marks that it moved itself."""
+    from sluice.plans.snapshots import last_commit, publish
+    spark = out.log.sparkSession
+    if not begin_run(spark, log_path, run_id, run_ts):
+        return False
+    last = last_commit(spark, marks_root) if out.marks is not None else None
+    if last is None or last["version"] != run_id:
+        write_log(out, log_path, run_id)
+        if out.marks is not None:
+            publish(out.marks, marks_root, run_id)
+    _enter(spark, log_path, run_id, COMMIT, run_ts)
+    return True
+
+
+def committed_log(spark, log_path: str) -> DataFrame:
+    """The log of all committed runs."""
+    log = spark.read.schema(LOG_DDL).parquet(log_path)
+    return log.join(runs(spark, log_path).where("committed").select("run_id"), "run_id", "left_semi").select(log.columns)
 
 
 def latest_marks(spark, marks_root: str) -> DataFrame:
@@ -226,9 +282,11 @@ def latest_marks(spark, marks_root: str) -> DataFrame:
 
 # H1
 def ensure_log_table(spark, name: str, path: str) -> None:
-    """The extraction log as a catalog table over its folder (created once)."""
+    """The extraction log as a catalog table over its folder (created once),
+    and the runs that it has by now."""
     from sluice.sources.sinks import ensure_table
-    ensure_table(spark, name, LOG_DDL, path)
+    ensure_table(spark, name, LOG_DDL, path, partitioned_by="run_id")
+    spark.catalog.recoverPartitions(name)
 
 
 # H8 / K7

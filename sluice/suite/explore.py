@@ -143,7 +143,7 @@ PRESET_SQL = " UNION ALL ".join(
         ("day_gainers", "change_pct > 3.0", "change_pct DESC"),
         ("day_losers", "change_pct < -2.5", "change_pct ASC"),
         ("undervalued_large_caps", "pe BETWEEN 0 AND 20 AND market_cap >= 1500.0", "market_cap DESC"),
-        ("growth_technology", "sector IN ('technology') AND change_pct > 0.0", "change_pct DESC")])
+        ("growth_technology_stocks", "sector IN ('technology') AND change_pct > 0.0", "change_pct DESC")])
 
 
 @case("screen_presets", PRESET_SQL)
@@ -218,3 +218,54 @@ SELECT o_orderkey, o_orderdate, o_totalprice FROM orders ORDER BY o_orderdate DE
 def tail_by_date(spark, sf_dir):
     o = t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
     return tail_by(o, "o_orderdate", 10, tiebreak=["o_orderkey"])
+
+
+BARS_SQL = """
+WITH bars AS (SELECT CAST(o_orderdate AS DATE) AS bar_date, o_orderpriority AS symbol, max(o_totalprice) AS close
+              FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderpriority <> '5-LOW' GROUP BY 1, 2)
+"""
+
+
+def _bars(spark, sf_dir):
+    """Daily bars; one symbol lacks some days."""
+    o = t(spark, sf_dir, "orders").where("o_orderkey % 3 <> 0 OR o_orderpriority <> '5-LOW'")
+    return (o.groupBy(F.to_date("o_orderdate").alias("bar_date"), F.col("o_orderpriority").alias("symbol"))
+            .agg(F.max("o_totalprice").alias("close")))
+
+
+@case("last_days", BARS_SQL + """
+SELECT 'together' AS calendar, bar_date, symbol, close FROM
+  (SELECT *, dense_rank() OVER (ORDER BY bar_date DESC) AS r FROM bars) WHERE r <= 5
+UNION ALL SELECT 'own', bar_date, symbol, close FROM
+  (SELECT *, dense_rank() OVER (PARTITION BY symbol ORDER BY bar_date DESC) AS r FROM bars) WHERE r <= 5""")
+def last_days_q(spark, sf_dir):
+    """The last five days that occur, over all symbols and of each."""
+    from sluice.operators.explore import last_days
+    bars = _bars(spark, sf_dir)
+    return tagged_stack({"together": last_days(bars, "bar_date", 5), "own": last_days(bars, "bar_date", 5, "symbol")}, "calendar")
+
+
+@case("relative_periods", BARS_SQL + """
+, ends AS (SELECT max(bar_date) AS last FROM bars)
+SELECT p.period, count(*) AS bars, min(b.bar_date) AS first_day, max(b.bar_date) AS last_day
+FROM bars b, ends e, (VALUES ('1mo', 1), ('2y', 24), ('ytd', 0), ('max', -1)) p(period, months)
+WHERE CASE p.months WHEN -1 THEN true WHEN 0 THEN b.bar_date >= date_trunc('year', e.last)
+      ELSE b.bar_date > CAST(e.last - to_months(CAST(p.months AS INTEGER)) AS DATE) END
+GROUP BY 1""")
+def relative_periods(spark, sf_dir):
+    from sluice.operators.explore import in_period
+    bars = _bars(spark, sf_dir)
+    cut = tagged_stack({p: in_period(bars, "bar_date", p) for p in ("1mo", "2y", "ytd", "max")}, "period")
+    return cut.groupBy("period").agg(F.count("*").alias("bars"), F.min("bar_date").alias("first_day"),
+                                     F.max("bar_date").alias("last_day"))
+
+
+@case("order_by_month", """
+SELECT strftime(o_orderdate, '%m-%Y') AS month_text, count(*) AS orders FROM orders
+GROUP BY 1 ORDER BY strptime(month_text, '%m-%Y') LIMIT 20""")
+def order_by_month_q(spark, sf_dir):
+    """O2: months as MM-YYYY texts in the order of time, the first 20 of them."""
+    from sluice.operators.explore import order_by_month
+    months = t(spark, sf_dir, "orders").groupBy(F.date_format("o_orderdate", "MM-yyyy").alias("month_text")).agg(
+        F.count("*").alias("orders"))
+    return order_by_month(months, "month_text").limit(20)

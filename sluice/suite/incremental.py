@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sluice.operators.aggregate import delta_stats, run_totals
 from sluice.operators.reshape import series_rows
 from sluice.plans import highwater as hw
-from sluice.session import scratch_path
+from sluice.session import materialize, scratch_path
 from sluice.sources import sinks
 from sluice.sources.landing import values_df
 from sluice.suite import case
@@ -42,9 +42,9 @@ def meta_of(series):
                          F.lit("Daily").alias("frequency"), F.lit("USD").alias("units"))
 
 
-def previous_marks(spark, sf_dir):
+def previous_marks(spark, sf_dir, obs=None):
     prev = F.lit(PREV_RUN).cast("timestamp_ntz")
-    obs = observations(spark, sf_dir)
+    obs = observations(spark, sf_dir) if obs is None else obs
     m = (obs.where((F.col("observation_date") < F.lit(MARK_CUT).cast("date"))
                    & (F.col("series_id") != "signup"))
          .groupBy("series_id").agg(F.max("observation_date").alias("last_observation_date")))
@@ -240,19 +240,20 @@ def series_run(spark, sf_dir):
     """One incremental run with a two-day lookback, committed (log first,
     marks last), followed by the load and merge of the landed CSV files."""
     from sluice.plans import series as series_plan
-    from sluice.session import scratch_path
+    from sluice.session import materialize, scratch_path
     root = scratch_path(spark, "series_run")
     series = configured(spark)
-    marks = previous_marks(spark, sf_dir)
-    out = hw.run_extraction(observations(spark, sf_dir), series, marks, meta_of(series),
+    obs = materialize(observations(spark, sf_dir))                # marks, delta and target use it
+    marks = previous_marks(spark, sf_dir, obs)
+    out = hw.run_extraction(obs, series, marks, meta_of(series),
                             default_start=DEFAULT_START, run_ts=RUN_TS, run_id=RUN_ID,
                             landing_root=f"{root}/landing", failed=failed_df(spark),
                             lookback_days=LOOKBACK)
+    hw.commit_run(out, f"{root}/log", f"{root}/marks", RUN_ID, RUN_TS)
     hw.ensure_log_table(spark, _log_table(root), f"{root}/log")              # H1
-    hw.commit_run(out, f"{root}/log", f"{root}/marks", RUN_ID)
     prev = F.lit(PREV_RUN).cast("timestamp_ntz")
     prev_instant = F.try_to_timestamp(F.lit(PREV_RUN.replace(" ", "T") + "Z"))
-    previous = (observations(spark, sf_dir)
+    previous = (obs
                 .where((F.col("observation_date") < F.lit(MARK_CUT).cast("date"))
                        & (F.col("series_id") != "signup"))
                 .join(F.broadcast(series.select("series_id")), "series_id", "left_semi")   # config-sized
@@ -315,6 +316,179 @@ def committed_marks(spark, sf_dir):
 @case("committed_log", SERIES_CTE + "SELECT * EXCLUDE (s3_key), s3_key IS NOT NULL AS landed FROM log")
 def committed_log(spark, sf_dir):
     root, _curated = series_run(spark, sf_dir)
-    spark.catalog.refreshTable(_log_table(root))
     log = spark.table(_log_table(root))
     return log.withColumn("landed", F.col("s3_key").isNotNull()).drop("s3_key")
+
+
+RUN_2, RUN_TS_2 = "20240202_000000", "2024-02-02 00:00:00"
+
+
+def _one_run(root, obs, series, run_id, run_ts, failed, crash=False, marks=None):
+    """A run from the marks committed last (or ``marks``, before any is)."""
+    from sluice.plans.snapshots import last_commit
+    spark = obs.sparkSession
+    if last_commit(spark, f"{root}/marks") is not None:
+        marks = hw.latest_marks(spark, f"{root}/marks")
+    out = hw.run_extraction(obs, series, marks, meta_of(series), default_start=DEFAULT_START, run_ts=run_ts, run_id=run_id,
+                            landing_root=f"{root}/landing", failed=failed)
+    if crash:           # the driver is lost after the log, before the marks
+        hw.begin_run(spark, f"{root}/log", run_id, run_ts)
+        return hw.write_log(out, f"{root}/log", run_id)
+    return hw.commit_run(out, f"{root}/log", f"{root}/marks", run_id, run_ts)
+
+
+@case("run_protocol", CTE + f"""
+, ends AS (SELECT coalesce(m.series_id, s.series_id) AS series_id,
+                  CASE WHEN s.end_date IS NULL THEN m.last_observation_date
+                       ELSE greatest(s.end_date, coalesce(m.last_observation_date, s.end_date)) END AS last_date
+           FROM marks m FULL OUTER JOIN (SELECT * FROM stats WHERE record_count > 0) s ON m.series_id = s.series_id),
+   start2 AS (SELECT s.series_id, coalesce(e.last_date + 1, DATE '{DEFAULT_START}') AS start_date
+              FROM series s LEFT JOIN ends e ON s.series_id = e.series_id),
+   stats2 AS (SELECT p.series_id, p.start_date, count(o.value) AS record_count, max(o.observation_date) AS end_date
+              FROM start2 p LEFT JOIN obs o ON o.series_id = p.series_id AND o.observation_date >= p.start_date
+                AND o.value IS NOT NULL GROUP BY 1, 2)
+SELECT run_id, series_id, status, record_count, message, start_date, end_date FROM log
+UNION ALL SELECT '{RUN_2}', series_id, 'success', CAST(record_count AS INTEGER),
+       CASE WHEN record_count > 0 THEN 'Uploaded delta observations' ELSE 'No new observations' END, start_date, end_date
+FROM stats2""")
+def run_protocol(spark, sf_dir):
+    """H7: a run that dies between log and marks, the same run again, a replay
+    of it, and a next run in which no series fails."""
+    root = scratch_path(spark, "run_protocol")
+    series, obs = configured(spark), materialize(observations(spark, sf_dir))
+    first = dict(failed=failed_df(spark), marks=previous_marks(spark, sf_dir, obs))
+    _one_run(root, obs, series, RUN_ID, RUN_TS, crash=True, **first)
+    _one_run(root, obs, series, RUN_ID, RUN_TS, **first)
+    _one_run(root, obs, series, RUN_ID, RUN_TS, **first)
+    _one_run(root, obs, series, RUN_2, RUN_TS_2, None)
+    return hw.committed_log(spark, f"{root}/log").select(
+        "run_id", "series_id", "status", "record_count", "message", "start_date", "end_date")
+
+
+REFRESH_START = "2024-01-25"
+
+
+@case("full_refresh_run", CTE + f"""
+, rows AS (SELECT s.series_id, count(o.value) AS record_count, max(o.observation_date) AS end_date
+           FROM series s LEFT JOIN obs o ON o.series_id = s.series_id AND o.observation_date >= DATE '{REFRESH_START}'
+             AND o.value IS NOT NULL GROUP BY 1)
+SELECT '{RUN_ID}' AS run_id, series_id, 'success' AS status, CAST(record_count AS INTEGER) AS record_count,
+       DATE '{REFRESH_START}' AS start_date, end_date, record_count AS landed_rows, false AS marks_written
+FROM rows""")
+def full_refresh_run(spark, sf_dir):
+    """H10 + H3: a whole run without marks, every series from the start given;
+    its log and landed files are written, marks are not."""
+    from sluice.plans import series as series_plan
+    from sluice.plans.snapshots import last_commit
+    root = scratch_path(spark, "full_refresh_run")
+    series, obs = configured(spark), materialize(observations(spark, sf_dir))
+    out = hw.run_extraction(obs, series, previous_marks(spark, sf_dir, obs), meta_of(series), default_start=DEFAULT_START,
+                            run_ts=RUN_TS, run_id=RUN_ID, landing_root=f"{root}/landing", use_marks=False,
+                            override_start=REFRESH_START)
+    hw.commit_run(out, f"{root}/log", f"{root}/marks", RUN_ID, RUN_TS)
+    landed = series_plan.load(spark, out.landing_path, RUN_TS).groupBy("series_id").agg(F.count("*").alias("landed_rows"))
+    log = hw.committed_log(spark, f"{root}/log").select("run_id", "series_id", "status", "record_count", "start_date", "end_date")
+    return log.join(landed, "series_id", "left").withColumn("landed_rows", F.coalesce("landed_rows", F.lit(0))).withColumn(
+        "marks_written", F.lit(last_commit(spark, f"{root}/marks") is not None))
+
+
+# --- Seeding (W4, S9, J3, J4) and the month plans of all grains ---------------------
+
+SEED_1, SEED_2 = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
+
+
+def _seeded_twice(target, seed):
+    """Seed, then seed again from what the first run wrote."""
+    return seed(materialize(seed(materialize(target))))
+
+
+@case("seed_states", f"""
+WITH names AS (SELECT DISTINCT n_name AS state FROM nation),
+     old AS (SELECT state, row_number() OVER (ORDER BY state) * 2 AS state_id FROM names WHERE state < 'NATION_2'),
+     new AS (SELECT state, (SELECT max(state_id) FROM old) + row_number() OVER (ORDER BY state) AS state_id
+             FROM names WHERE state >= 'NATION_2')
+SELECT state_id, state, TIMESTAMP '{SEED_1}' AS created_at FROM old
+UNION ALL SELECT state_id, state, TIMESTAMP '{SEED_2}' FROM new""")
+def seed_states_q(spark, sf_dir):
+    """States given twice get one id; ids follow the greatest of the table and
+    come from a range claimed once; a second seeding adds nothing."""
+    from pyspark.sql import Window
+    from sluice.plans import dimensions
+    names = t(spark, sf_dir, "nation").select(F.col("n_name").alias("state"))
+    place = F.row_number().over(Window.orderBy("state")).cast("bigint") * 2     # one row a nation
+    old = names.distinct().where("state < 'NATION_2'").select(place.alias("state_id"), "state",
+                                                              F.lit(SEED_1).cast("timestamp_ntz").alias("created_at"))
+    ledger = scratch_path(spark, "state_ids")
+    return _seeded_twice(old, lambda target: dimensions.seed_states(spark, target, SEED_2, names.union(names), ledger))
+
+
+@case("seed_codes", f"""
+SELECT DISTINCT l_linenumber AS offense_code,
+       CASE WHEN l_linenumber <= 3 THEN TIMESTAMP '{SEED_1}' ELSE TIMESTAMP '{SEED_2}' END AS created_at
+FROM lineitem WHERE l_linenumber IS NOT NULL""")
+def seed_codes_q(spark, sf_dir):
+    from sluice.plans import dimensions
+    codes = t(spark, sf_dir, "lineitem").select("l_linenumber")
+    old = codes.where("l_linenumber <= 3").distinct().select(F.col("l_linenumber").alias("offense_code"),
+                                                             F.lit(SEED_1).cast("timestamp_ntz").alias("created_at"))
+    return _seeded_twice(old, lambda target: dimensions.seed_codes(spark, target, codes, "offense_code", "INT", SEED_2))
+
+
+@case("seed_ori", f"""
+WITH agencies AS (SELECT DISTINCT CASE WHEN o_custkey % 7 <> 0 THEN 'C' || o_custkey END AS ori FROM orders),
+     old AS (SELECT 'C' || c_custkey AS ori FROM customer WHERE c_custkey % 5 = 0)
+SELECT coalesce(o.ori, a.ori) AS ori,
+       CASE WHEN o.ori IS NOT NULL THEN TIMESTAMP '{SEED_1}' ELSE TIMESTAMP '{SEED_2}' END AS created_at,
+       CASE WHEN a.ori IS NOT NULL THEN TIMESTAMP '{SEED_2}' ELSE TIMESTAMP '{SEED_1}' END AS updated_at
+FROM old o FULL OUTER JOIN (SELECT ori FROM agencies WHERE ori IS NOT NULL) a ON o.ori = a.ori""")
+def seed_ori_q(spark, sf_dir):
+    """New agencies inserted, known ones touched, null ones left out."""
+    from sluice.plans import dimensions
+    code = lambda c: F.concat(F.lit("C"), F.col(c).cast("string"))
+    agencies = t(spark, sf_dir, "orders").select(F.when(F.col("o_custkey") % 7 != 0, code("o_custkey")).alias("ori"))
+    then = F.lit(SEED_1).cast("timestamp_ntz")
+    old = t(spark, sf_dir, "customer").where("c_custkey % 5 = 0").select(code("c_custkey").alias("ori"),
+                                                                         then.alias("created_at"), then.alias("updated_at"))
+    return _seeded_twice(old, lambda target: dimensions.seed_ori(target, agencies, SEED_2))
+
+
+@case("arrest_plan_all_grains", f"""
+WITH codes AS (SELECT DISTINCT l_linenumber AS offense_code FROM lineitem WHERE l_linenumber IS NOT NULL),
+     lines AS (SELECT l.l_linenumber AS offense_code, n.n_name AS state, s.s_name AS ori,
+                      CAST(date_trunc('month', l.l_shipdate) AS DATE) AS month
+               FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey),
+     delivered AS (SELECT 'NATIONAL' AS g, '<NONE>' AS level, offense_code, max(month) AS last FROM lines GROUP BY ALL
+                   UNION ALL SELECT 'STATE', state, offense_code, max(month) FROM lines GROUP BY ALL
+                   UNION ALL SELECT 'ORI', ori, offense_code, max(month) FROM lines WHERE month < DATE '2000-01-01' GROUP BY ALL),
+     members AS (SELECT 'NATIONAL' AS g, '<NONE>' AS level UNION ALL SELECT 'STATE', n_name FROM nation
+                 UNION ALL SELECT 'ORI', s_name FROM supplier)
+SELECT 'ARREST' AS function, m.g AS report_granularity, m.level AS report_level, c.offense_code,
+       strftime(coalesce(CAST(d.last + INTERVAL 1 MONTH AS DATE), DATE '1999-01-01'), '%m-%Y') AS from_month,
+       '{ARREST_TO}' AS to_month
+FROM members m JOIN codes c ON true
+LEFT JOIN delivered d ON d.g = m.g AND d.level = m.level AND d.offense_code = c.offense_code""")
+def arrest_plan_all_grains(spark, sf_dir):
+    """J5 + H9 + H3: the grid of all three grains seeded into marks that hold
+    what was delivered, twice, and the next months to request."""
+    li = t(spark, sf_dir, "lineitem").select("l_suppkey", F.col("l_linenumber").alias("offense_code"),
+                                             F.trunc("l_shipdate", "month").alias("month"))
+    sup = t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_name").alias("ori"), "s_nationkey")
+    nat = t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("state"))
+    from sluice.operators.aggregate import grain_totals
+    lines = li.join(sup, "l_suppkey").join(nat, "s_nationkey")
+    # All grains from one pass: the months that each has, and the last of them.
+    months = grain_totals(lines, {hw.GRAIN_NATIONAL: ["offense_code", "month"], hw.GRAIN_STATE: ["state", "offense_code", "month"],
+                                  hw.GRAIN_ORI: ["ori", "offense_code", "month"]}, {"rows": F.lit(1)}, "report_granularity")
+    months = months.where((F.col("report_granularity") != hw.GRAIN_ORI) | (F.col("month") < F.lit("2000-01-01").cast("date")))
+    level = F.coalesce("state", "ori", F.lit(hw.NATIONAL_LEVEL))
+    last = months.groupBy("report_granularity", level.alias("report_level"), "offense_code").agg(
+        F.date_format(F.max("month"), "MM-yyyy").alias("last_date"))
+    then = F.lit(SEED_1).cast("timestamp_ntz")
+    no = lambda kind: F.lit(None).cast(kind)
+    marks = last.select(F.lit(hw.GRID_FUNCTION).alias("function"), "report_granularity", "report_level", "offense_code",
+                        no("string").alias("first_date"), "last_date", F.lit(0).alias("consecutive_api_failures"),
+                        no("timestamp_ntz").alias("last_successful_run"), no("timestamp_ntz").alias("last_attempted_run"),
+                        then.alias("created_at"), then.alias("updated_at"))
+    grid = hw.arrest_grid(spark, li.select("offense_code"), nat.select("state"), sup.select("ori"))
+    seeded = _seeded_twice(marks, lambda target: hw.seed_grid(target, grid, hw.GRID_KEYS, SEED_2))
+    return hw.plan_months(seeded, ARREST_FROM, ARREST_TO).select(*hw.GRID_KEYS, "from_month", "to_month")

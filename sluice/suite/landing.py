@@ -240,16 +240,48 @@ def literal_rows(spark, sf_dir):
     return j.select("code", "label", "pos", F.coalesce("line_count", F.lit(0)).alias("line_count"))
 
 
-@case("catalog_listing")
+SAMPLED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+           "pages", "benchmark", "labels", "conversations")
+
+
+@case("catalog_listing", " UNION ALL ".join(
+    f"SELECT 'sluice_listing_{n}' AS table_name, 'TEMPORARY' AS table_type, true AS is_temporary, CAST(NULL AS VARCHAR) AS created, "
+    f"count(*) AS row_count FROM {n}" for n in SAMPLED))
 def catalog_listing(spark, sf_dir):
-    for name in ("region", "nation", "customer", "supplier", "orders"):
-        t(spark, sf_dir, name).createOrReplaceTempView(f"sluice_listing_{name}")
-    return landing.list_tables(spark, with_counts=True, pattern="sluice_listing_*")
+    views = [f"sluice_listing_{name}" for name in SAMPLED]
+    for name, view in zip(SAMPLED, views):
+        t(spark, sf_dir, name).createOrReplaceTempView(view)
+    listing = landing.list_tables(spark, with_counts=True, pattern="sluice_listing_*")
+    for view in views:          # the listing holds their plans
+        spark.catalog.dropTempView(view)
+    return listing
+
 
+SAMPLE_KEY = ["l_orderkey", "l_linenumber"]
 
-@case("random_sample")
+
+@case("random_sample", """
+SELECT * FROM lineitem ORDER BY md5('7|' || coalesce(CAST(l_orderkey AS VARCHAR), '') || '|'
+                                    || coalesce(CAST(l_linenumber AS VARCHAR), '')),
+  COLUMNS(*) ASC NULLS FIRST LIMIT 1000""")
 def random_sample_q(spark, sf_dir):
-    return random_sample(t(spark, sf_dir, "lineitem"), n=1_000, seed=7)
+    """The same 1,000 rows however the table is cut into files and tasks."""
+    return random_sample(t(spark, sf_dir, "lineitem"), n=1_000, seed=7, key=SAMPLE_KEY)
+
+
+@case("defaults_on_insert", f"""
+SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'unknown' ELSE c_name END AS name,
+       CASE WHEN c_custkey % 7 = 0 THEN 0 ELSE c_acctbal END AS balance, false AS active, {RUN_SQL} AS created_at
+FROM customer""")
+def defaults_on_insert(spark, sf_dir):
+    """K8: columns that an insert leaves out or gives as null take defaults."""
+    root = scratch_path(spark, "with_defaults")
+    new = t(spark, sf_dir, "customer").select(
+        "c_custkey", F.when(F.col("c_custkey") % 5 != 0, F.col("c_name")).alias("name"),
+        F.when(F.col("c_custkey") % 7 != 0, F.col("c_acctbal")).alias("balance"))
+    now = F.lit(RUN_TS).cast("timestamp_ntz")
+    sinks.land(sinks.with_defaults(new, {"name": "unknown", "balance": 0.0, "active": False, "created_at": now}), root)
+    return spark.read.parquet(root)
 
 
 @case("export_frames", """
@@ -269,17 +301,16 @@ def export_frames_q(spark, sf_dir):
     return counts.select(F.col("export_name").alias("frame"), F.col("sampled_rows").alias("count"))
 
 
-SAMPLED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
-           "pages", "benchmark", "labels", "conversations")
 LONG_NAMES = ("sluice_sample_lineitem_with_a_very_long_name_a", "sluice_sample_lineitem_with_a_very_long_name_b")
 
 
-@case("catalog_sampling", " UNION ALL ".join(
-    f"SELECT '{view}' AS table_name, '{view}' AS export_name, least(1000, count(*)) AS sampled_rows FROM {name}"
-    for view, name in [*((f"sluice_sample_{n}", n) for n in SAMPLED), *((v, "lineitem") for v in LONG_NAMES)]))
+@case("catalog_sampling", " UNION ALL ".join([*(
+    f"SELECT '{view}' AS table_name, 'exported' AS status, least(1000, count(*)) AS sampled_rows FROM {name}"
+    for view, name in [*((f"sluice_sample_{n}", n) for n in SAMPLED), *((v, "lineitem") for v in LONG_NAMES)]),
+    "SELECT 'sluice_sample_broken', 'skipped', 0 FROM (SELECT count(*) FROM region)"]))
 def catalog_sampling(spark, sf_dir):
     """Every test table sampled, cleaned and exported; a view that fails at
-    run time is skipped; two long names share a prefix."""
+    run time is skipped, and stays visible as such; two long names share a prefix."""
     from sluice.plans.sampling import exported_counts, sample_catalog
     names = []
     for name in SAMPLED:
@@ -291,5 +322,9 @@ def catalog_sampling(spark, sf_dir):
     broken = "sluice_sample_broken"
     t(spark, sf_dir, "region").select(F.raise_error(F.lit("broken view")).alias("x")).createOrReplaceTempView(broken)
     root = scratch_path(spark, "catalog_sample")
-    exported, _skipped = sample_catalog(spark, root, [*names, *LONG_NAMES, broken], n=1_000, seed=3)
-    return exported_counts(spark, root, exported)
+    exported, skipped = sample_catalog(spark, root, [*names, *LONG_NAMES, broken], n=1_000, seed=3)
+    for view in [*names, *LONG_NAMES, broken]:
+        spark.catalog.dropTempView(view)
+    done = exported_counts(spark, root, exported).select("table_name", F.lit("exported").alias("status"), "sampled_rows")
+    return done.unionByName(spark.createDataFrame([(name, "skipped", 0) for name, _ in skipped],
+                                                  "table_name STRING, status STRING, sampled_rows BIGINT"))

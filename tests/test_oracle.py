@@ -24,15 +24,3 @@ def test_matches_sql(spark, con, name):
     assert "type_mismatch" not in res, res
     assert res["spark_rows"] == res["oracle_rows"], res
     assert res["values_match"], res
-
-
-def test_rows_only_checks(spark, con):
-    fn = REGISTRY["random_sample"][0]
-    assert fn(spark, SF_CHECK).count() == 1000
-    listing = REGISTRY["catalog_listing"][0](spark, SF_CHECK).collect()
-    counts = {r.table_name: r.row_count for r in listing}
-    assert counts["sluice_listing_orders"] == con.execute("SELECT count(*) FROM orders").fetchone()[0]
-    assert len(counts) == 5
-    assert [r.table_name for r in listing] == sorted(counts)
-    frames = {r.frame: r["count"] for r in REGISTRY["export_frames"][0](spark, SF_CHECK).collect()}
-    assert frames == {"explore_orders_by_priority": 5, "explore_orders_by_status": 3}

@@ -13,7 +13,7 @@ from sluice.suite import load_all
 REGISTRY = load_all()
 # Checks whose single-partition exchanges carry bounded data.
 BOUNDED_SINGLE = {
-    "random_sample": "limit 100,000 then sample (the feature)",
+    "random_sample": "top-n merge",
     "export_frames": "global row counts of exported frames",
     "key_quality": "global check counters",
     "assign_ids": "window over one row per partition",
@@ -23,6 +23,14 @@ BOUNDED_SINGLE = {
     "screen_presets": "top-n merge",
     "plan_subset": "top-n merge",
     "run_totals": "global totals",
+    "catalog_listing": "a count of each table",
+    "last_days": "top-n merge",
+    "relative_periods": "last date",
+    "order_by_month": "top-n merge",
+    "grid_cross": "code list as one array",
+    "missing_members": "calendar as one array",
+    "arrest_request_plan": "code list as one array",
+    "arrest_plan_all_grains": "code list as one array",
     "catalog_sampling": "bounded samples and their row counts",
 }
 
