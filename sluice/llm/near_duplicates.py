@@ -11,18 +11,24 @@ weight, so long documents draw about as many arrivals as short ones - and the
 few documents with an empty register go on to twice the time.
 
 Documents with the same words are one node (the least doc_id of them). Nodes
-that share a band are candidates. A bucket has a leader; every other member is
-verified against it by the exact similarity of the shingles. Verified links
-give classes by connected components. Members that are not in their leader's
-class elect another leader among themselves, ``TURNS`` times. All members of
-buckets that still hold two classes are then joined by their rarest shingles,
-which loses no pair that is near, and the pairs of unlike class that can be
-near are verified, all of them. The class id is the least doc_id.
+that share a band are candidates. First every bucket is led by the member with
+the least hash, a hash of the node alone, so that the buckets of a group have
+the same leader; members are verified against it by the exact similarity of the
+shingles, and verified links give classes by connected components. Members that
+are in no leader's class go on with another hash, ``TURNS`` times. Then all
+nodes of the buckets that still hold two classes are compared with all others
+of their bucket: the nodes of a bucket stand in blocks bounded by their bytes, a
+task gets two blocks, computes the similarities of all their nodes as matrices
+and emits a spanning forest of the links between unlike classes. Blocks that
+hold one and the same class are not paired. No table has a row for a pair of
+nodes but for the pairs with a leader, nearly one a node. The class id is the
+least doc_id.
 
 Defined cases: words are ``[^\\x20\\x09-\\x0D]+``, unchanged; a text of one to
 four words is one shingle; a null or empty text has none and is a class of its
-own; texts are handled whole; rows with equal doc_id are one document; a null
-doc_id takes the class of an equal text, else null; an empty table gives no rows.
+own; texts are handled whole; rows with equal doc_id are one document, of which
+the text with the least hash of its words counts; a null doc_id takes the class
+of an equal text, else null; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,6 +40,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.llm import graph
 from sluice.llm import text as tx
@@ -43,7 +50,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5         # a pair at 0.8 shares no band with a chance of 7e-5
 TURNS = 3                   # with leaders, before all pairs that are left
-BLOCK = 1024                # nodes of a shingle in a task of the pair join, about
+BLOCK_BYTES = 4 << 20       # of the shingles of a block, about
+NODE_BYTES = 4 << 10        # that a node counts besides its shingles: at most 1,024 nodes in a block, about
+COLUMNS = 1 << 12           # shingles of a matrix at a time
 HASH_BITS = 44              # of a shingle in a signature; the rest of 64 bits names the text in a slice
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -129,9 +138,15 @@ def bands(signature: np.ndarray, n_bands: int, rows: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def contents(data: bytes, offsets: np.ndarray) -> list[bytes | None]:
+    """Hash of the words of each text, None without words."""
+    return [xxhash.xxh3_128_digest(data[8 * a:8 * b]) if b > a else None
+            for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+
+
 def signed(docs: DataFrame, n_bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``doc_id, content`` (hash of the words, null without words) and
-    ``buckets`` of ``doc_id, text``."""
+    """``doc_id, content`` (hash of the words, null without words), ``buckets``
+    and ``size`` (shingles, repeats included) of ``doc_id, text``."""
     def run(batches):
         for batch in tx.slices(batches, "text"):
             w = tx.words(batch.column("text"))
@@ -140,36 +155,37 @@ def signed(docs: DataFrame, n_bands: int = BANDS, rows: int = ROWS) -> DataFrame
             sig = signatures(*weighted(doc, hashes), n_docs, n_bands * rows)
             keys = bands(sig, n_bands, rows)
             data = words.tobytes()
-            content = [xxhash.xxh3_128_digest(data[8 * a:8 * b]) if b > a else None
-                       for a, b in zip(w.offsets[:-1].tolist(), w.offsets[1:].tolist())]
+            content = contents(data, w.offsets)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(n_docs + 1, dtype=np.int32) * n_bands), pa.array(keys.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(content, pa.binary()), lists],
-                                             ["doc_id", "content", "buckets"])
+            size = np.bincount(doc, minlength=n_docs)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(content, pa.binary()), lists, pa.array(size)],
+                                             ["doc_id", "content", "buckets", "size"])
 
-    return docs.mapInArrow(run, "doc_id long, content binary, buckets array<long>")
+    return docs.mapInArrow(run, "doc_id long, content binary, buckets array<long>, size long")
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """``node`` and its sorted shingle hashes (32 bits, repeated as often as the
-    shingle) of ``doc_id, text``."""
+    """``node``, its ``content`` and its sorted 64-bit shingle hashes (each as
+    often as the shingle) of ``doc_id, text``."""
     def run(batches):
         for batch in tx.slices(batches, "text"):
             w = tx.words(batch.column("text"))
-            doc, hashes, _ = shingles(w)
-            short = (hashes >> np.uint64(32)).astype(np.uint64)
-            keys = np.sort((doc.astype(np.uint64) << np.uint64(32)) | short)
-            cut = np.searchsorted(keys >> np.uint64(32), np.arange(len(w.offsets)).astype(np.uint64))
-            data = (keys & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()
-            sets = [data[4 * a:4 * b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], ["node", "shingles"])
+            doc, hashes, words = shingles(w)
+            order = np.lexsort((hashes, doc))
+            cut = np.searchsorted(doc[order], np.arange(len(w.offsets)))
+            data = hashes[order].astype("<u8").tobytes()
+            sets = [data[8 * a:8 * b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(contents(words.tobytes(), w.offsets), pa.binary()),
+                 pa.array(sets, pa.binary())], ["node", "content", "shingles"])
 
-    return docs.mapInArrow(run, "node long, shingles binary")
+    return docs.mapInArrow(run, "node long, content binary, shingles binary")
 
 
 def similarity(a: bytes, b: bytes) -> float:
     """Exact probability Jaccard similarity of two multisets of shingles:
     the sum, over shared i, of 1 / sum_j max(x_j / x_i, y_j / y_i)."""
-    x, y = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
+    x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
     if not len(x) or not len(y):
         return 0.0
     both, side = np.unique(np.concatenate([x, y]), return_inverse=True)
@@ -189,18 +205,19 @@ def similarity(a: bytes, b: bytes) -> float:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """The pairs ``node, leader`` that are near. The sets of the nodes move to
-    their leaders; AQE splits a leader of very many."""
+    """The labels ``u, v`` of the pairs ``node, label, leader, leader_label``
+    that are near. The sets of the nodes move to their leaders; AQE splits a
+    leader of very many."""
     mine = pairs.join(sets, "node").withColumnRenamed("shingles", "own")
     both = mine.join(sets.withColumnRenamed("node", "leader"), "leader")
 
     def run(batches):
         for batch in batches:
             near = [similarity(a, b) >= least for a, b in zip(batch.column("own").to_pylist(), batch.column("shingles").to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("leader")],
-                                             ["node", "leader"]).filter(pa.array(near, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("leader_label")],
+                                             ["u", "v"]).filter(pa.array(near, pa.bool_()))
 
-    return both.select("node", "leader", "own", "shingles").mapInArrow(run, "node long, leader long")
+    return both.select("label", "leader_label", "own", "shingles").mapInArrow(run, "u long, v long")
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
@@ -210,13 +227,14 @@ def _written(df: DataFrame, name: str) -> DataFrame:
 
 
 def _led(members: DataFrame, turn: int) -> DataFrame:
-    """Members ``bucket, node, label`` of buckets with two or more labels, with
-    the leader of the bucket (another one each turn) and its label."""
-    order = F.struct(F.xxhash64("bucket", "node", F.lit(turn)).alias("o"), "node", "label")
+    """``node, label, leader, leader_label`` of the members ``bucket, node,
+    label`` that have not the label of the leader of one of their buckets."""
+    order = F.struct(F.xxhash64("node", F.lit(turn)).alias("o"), "node", "label")
     leaders = (members.groupBy("bucket").agg(F.min(order).alias("first"), F.min("label").alias("a"), F.max("label").alias("b"))
                .filter("a <> b").select("bucket", F.col("first.node").alias("leader"), F.col("first.label").alias("leader_label")))
     # Written, so that AQE can split the join where a bucket has very many members.
-    return members.join(_written(leaders, "leaders"), "bucket")
+    led = members.join(_written(leaders, "leaders"), "bucket").filter("label <> leader_label")
+    return _written(led.select("node", "label", "leader", "leader_label").distinct(), "led")
 
 
 def _renamed(df: DataFrame, new: DataFrame, *columns: str) -> DataFrame:
@@ -233,127 +251,210 @@ def _labels(labels: DataFrame | None, new: DataFrame) -> DataFrame:
     return _written(_renamed(labels, new, "label").union(new.join(labels, "node", "left_anti")), "labels")
 
 
-def candidates(sets: DataFrame, least: float) -> DataFrame:
-    """``node, leader, label, leader_label, common`` of all pairs of nodes with
-    unlike labels that can reach ``least``, from ``node, label, shingles``.
+def blocks(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """The members ``bucket, node, label, size`` of buckets with two or more
+    labels, in blocks of about ``BLOCK_BYTES``: ``bucket, owner, part, rows``
+    (label and shingles). A label with half a block or more has blocks of its
+    own, which it owns; the others of a bucket share theirs."""
+    cost = F.sum(F.col("size") * 8 + NODE_BYTES)
+    own = members.groupBy("bucket", "label").agg(cost.alias("cost"))
+    small = F.col("cost") <= BLOCK_BYTES // 2
+    buckets = own.groupBy("bucket").agg(F.count("*").alias("labels"), F.sum(F.when(small, F.col("cost"))).alias("shared"))
+    layout = own.join(buckets.filter("labels > 1"), "bucket").select(
+        "bucket", "label", F.when(~small, F.col("label")).alias("owner"),
+        F.ceil(F.when(small, F.col("shared")).otherwise(F.col("cost")) / BLOCK_BYTES).alias("parts"))
+    # Written, so that AQE can split the join where a label has very many members.
+    placed = members.join(_written(layout, "layout"), ["bucket", "label"]).select(
+        "bucket", "owner", "node", "label",
+        F.expr("pmod(xxhash64(if(owner is null, label, node)), parts)").alias("part"))
+    return (placed.join(sets, "node").groupBy("bucket", "owner", "part")
+            .agg(F.collect_list(F.struct("label", "shingles")).alias("rows")))
+
+
+def block_pairs(table: DataFrame) -> DataFrame:
+    """``rows, others`` of every two blocks of a bucket that can hold unlike
+    labels, and of each shared block alone (``others`` null)."""
+    a = table.select("bucket", "owner", F.struct("owner", "part").alias("key"), "rows")
+    b = table.select("bucket", F.col("owner").alias("owner2"), F.struct("owner", "part").alias("key2"), F.col("rows").alias("others"))
+    alike = F.coalesce(F.col("owner") == F.col("owner2"), F.lit(False))
+    return a.join(b, "bucket").filter((F.col("key") <= F.col("key2")) & ~alike).select(
+        "rows", F.when(F.col("key") != F.col("key2"), F.col("others")).alias("others"))
+
+
+class Nodes:
+    """The nodes of a block: labels, and distinct shingles with their counts as
+    flat arrays."""
+
+    def __init__(self, rows):
+        self.sets = rows.field("shingles").to_pylist()
+        self.labels = rows.field("label").to_numpy(zero_copy_only=False)
+        lengths = np.array([len(x) // 8 for x in self.sets], np.int64)
+        flat = np.frombuffer(b"".join(self.sets), "<u8")
+        owner = np.repeat(np.arange(len(self.sets)), lengths)
+        first = np.flatnonzero(np.concatenate([[True], (flat[1:] != flat[:-1]) | (owner[1:] != owner[:-1])])) if len(flat) else np.zeros(0, int)
+        self.token, self.owner = flat[first], owner[first]
+        self.count = np.diff(np.append(first, len(flat)))
+        self.total = lengths
+        self.single = np.bincount(self.owner, weights=self.count > 1, minlength=len(self.sets)) == 0
+
+
+def shared_weights(x: Nodes, y: Nodes) -> tuple[np.ndarray, np.ndarray]:
+    """For each node of ``x`` and of ``y`` the weight, in ``x`` and in ``y``,
+    of the shingles that both have."""
+    both = np.intersect1d(x.token, y.token)
+    in_x, in_y = np.zeros((len(x.sets), len(y.sets))), np.zeros((len(x.sets), len(y.sets)))
+
+    def placed(n):
+        at = np.searchsorted(both, n.token)
+        at[at == len(both)] = 0
+        found = both[at] == n.token if len(both) else np.zeros(len(n.token), bool)
+        order = np.argsort(at[found], kind="stable")
+        return at[found][order], n.owner[found][order], n.count[found][order]
+
+    px, py = placed(x), placed(y)
+    weights = not (x.single.all() and y.single.all())
+    for start in range(0, len(both), COLUMNS):
+        def matrix(p, n):
+            a, b = np.searchsorted(p[0], [start, start + COLUMNS])
+            has = np.zeros((len(n.sets), min(COLUMNS, len(both) - start)), np.float32)
+            has[p[1][a:b], p[0][a:b] - start] = 1
+            if not weights:
+                return has, has
+            weight = np.zeros_like(has)
+            weight[p[1][a:b], p[0][a:b] - start] = p[2][a:b]
+            return has, weight
+        (has_x, weight_x), (has_y, weight_y) = matrix(px, x), matrix(py, y)
+        in_x += weight_x @ has_y.T
+        in_y = in_x if not weights else in_y + has_x @ weight_y.T
+    return in_x, in_y
+
+
+def forest(x: Nodes, y: Nodes | None, least: float) -> list[tuple[int, int]]:
+    """Links between unlike labels of the nodes of two blocks (or within one)
+    that connect all labels which any links connect.
 
     With P and Q the shares of two nodes' weights in shingles of both, the
-    similarity is at most 1 / (1/P + 1/Q - 1): each is at least ``least``, and
-    one at least ``2 least / (1 + least)``. So their first common shingle, rare
-    ones first, is one from which on the rest of both nodes weighs that much.
-    A shingle of very many nodes is joined in blocks."""
-    names = ["node", "label", "token", "mass"]
+    similarity is at most 1 / (1/P + 1/Q - 1), and that where no shingle is
+    repeated."""
+    alone = y is None
+    y = x if alone else y
+    in_x, in_y = shared_weights(x, y)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        bound = 1 / (x.total[:, None] / in_x + y.total[None, :] / in_y - 1)
+    near = (bound >= least - 1e-9) & (in_x > 0) & (x.labels[:, None] != y.labels[None, :])
+    i, j = np.nonzero(np.triu(near, 1) if alone else near)
+    order = np.argsort(-bound[i, j], kind="stable")
+    i, j = i[order], j[order]
+    parent: dict[int, int] = {}
+
+    def root(k):
+        while parent.setdefault(k, k) != k:
+            parent[k] = k = parent[parent[k]]
+        return k
+
+    out = []
+    single = x.single[i] & y.single[j]
+    shared = in_x[i, j]
+    jaccard = shared / (x.total[i] + y.total[j] - shared)
+    for a, b, u, v, exact, value in zip(i.tolist(), j.tolist(), x.labels[i].tolist(), y.labels[j].tolist(), single.tolist(),
+                                        jaccard.tolist()):
+        ru, rv = root(u), root(v)
+        if ru != rv and (value if exact else similarity(x.sets[a], y.sets[b])) >= least:
+            parent[ru] = rv
+            out.append((u, v))
+    return out
+
 
+def block_links(pairs: DataFrame, least: float) -> DataFrame:
+    """The forests ``u, v`` of all pairs of blocks. A pair is one row; Arrow
+    batches are bounded by their bytes."""
     def run(batches):
         for batch in batches:
-            rows, size = [], 0
-            for node, label, data in zip(*(batch.column(c).to_pylist() for c in ("node", "label", "shingles"))):
-                token, count = np.unique(np.frombuffer(data, "<u4"), return_counts=True)
-                rows.append((np.full(len(token), node, np.int64), np.full(len(token), label, np.int64),
-                             token.astype(np.int64), count / max(count.sum(), 1)))
-                size += len(token)
-                if size > 1 << 17:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*rows)], names)
-                    rows, size = [], 0
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*rows)], names)
-
-    slack = 1e-9
-    tokens = _written(sets.select("node", "label", "shingles").mapInArrow(run, "node long, label long, token long, mass double"),
-                      "tokens")
-    # A shingle of one label only links nothing new.
-    known = tokens.groupBy("token").agg(F.count("*").alias("n"), F.min("label").alias("a"), F.max("label").alias("b"))
-    known = _written(known.filter("a <> b").select("token", "n"), "counts")
-    rest = Window.partitionBy("node").orderBy(F.desc("n"), F.desc("token")).rowsBetween(Window.unboundedPreceding, 0)
-    first = (tokens.join(known, "token").withColumn("rest", F.sum("mass").over(rest))
-             .filter(F.col("rest") >= least - slack))
-    first = _written(first.select("token", "node", "label", "rest", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")),
-                     "prefixes")
-    strong = F.col("rest") >= 2 * least / (1 + least) - slack
-    x = first.filter(strong).select("token", F.expr("pmod(xxhash64(node), blocks)").cast("int").alias("block"), "node", "label", "rest")
-    y = first.select("token", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("node").alias("leader"),
-                     F.col("label").alias("leader_label"), F.col("rest").alias("leader_rest"), (~strong).alias("weak"))
-    pairs = x.join(y, ["token", "block"]).filter(
-        (F.col("label") != F.col("leader_label")) & (F.col("weak") | (F.col("node") < F.col("leader")))
-        & (1 / F.col("rest") + 1 / F.col("leader_rest") <= 1 + 1 / least + slack))
-    ends = [F.least("node", "leader").alias("node"), F.greatest("node", "leader").alias("leader")]
-    return (pairs.select(*ends, F.when(F.col("node") < F.col("leader"), F.col("label")).otherwise(F.col("leader_label")).alias("label"),
-                         F.when(F.col("node") < F.col("leader"), F.col("leader_label")).otherwise(F.col("label")).alias("leader_label"))
-            .groupBy("node", "leader").agg(F.min("label").alias("label"), F.min("leader_label").alias("leader_label"),
-                                           F.count("*").alias("common")))
+            out = []
+            for k in range(batch.num_rows):
+                rows, others = batch.column("rows")[k], batch.column("others")[k]
+                out += forest(Nodes(rows.values), Nodes(others.values) if others.is_valid else None, least)
+            u, v = zip(*out) if out else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+
+    return pairs.mapInArrow(run, "u long, v long")
 
 
 def linked(nodes: DataFrame, sets_of, least: float) -> DataFrame | None:
-    """``node, label`` of the nodes that have a link. ``sets_of`` gives the
-    shingles of nodes.
-
-    The first turns compare the members of a bucket with its leader, which puts
-    most of them into its class. Then the nodes of all buckets that still hold
-    two labels are compared with all of them that can be near and have another
-    label: first each node with the one that has most first shingles in common
-    with it, then all pairs whose labels still differ."""
-    members = nodes.select("node", F.col("node").alias("label"), F.explode("buckets").alias("bucket"))
-    led = _written(_led(members, 0), "led")
-    sets = _written(sets_of(led.select("node").distinct()), "shingles")     # leaders are members too
-    labels = None
-    for turn in range(1, TURNS + 1):
-        if led.isEmpty():
-            break
-        pairs = led.filter("label <> leader_label").select("node", "leader").distinct()
-        near = _written(verified(pairs, sets, least), "verified")
-        names = led.select("node", "leader", "label", "leader_label").distinct()
-        edges = near.join(names, ["node", "leader"]).select(
-            F.col("label").alias("u"), F.col("leader_label").alias("v"))
-        new = graph.components(edges)
+    """``node, label`` of the nodes that have a link, of ``node, content,
+    buckets, size``. ``sets_of`` gives the shingles of nodes."""
+    every = nodes.select("node", "size", F.explode("buckets").alias("bucket"))
+    shared = every.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
+    members = _written(every.join(_written(shared, "shared"), "bucket"), "members")
+    sets = _written(sets_of(nodes.join(members.select("node").distinct(), "node", "left_semi")), "shingles")
+    labels, open_rows = None, members.select("bucket", "node", F.col("node").alias("label"))
+    for turn in range(TURNS):
+        pairs = _led(open_rows, turn)
+        new = graph.components(verified(pairs, sets, least))
         if new is not None:
             labels = _labels(labels, new)
-            led = _renamed(led, new, "label", "leader_label")
-        if turn < TURNS:
-            led = _written(_led(led.filter("label <> leader_label").select("bucket", "node", "label"), turn), "led")
+            pairs = _renamed(pairs, new, "label", "leader_label")
+        left = _written(pairs.filter("label <> leader_label").select("node", "label").distinct(), "left")
+        if left.isEmpty():
+            break
+        open_rows = members.select("bucket", "node").join(left, "node")
+    labelled = members.withColumn("label", F.col("node"))
     if labels is not None:
-        members = _renamed(members, labels, "label")
-    mixed = members.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a <> b").select("bucket")
-    open_nodes = members.join(_written(mixed, "mixed"), "bucket").select("node", "label").distinct()
-    pairs = _written(candidates(sets.join(open_nodes, "node"), least), "candidates")
-    most = pairs.groupBy("node").agg(F.max_by("leader", F.struct("common", "leader")).alias("leader"))
-    for chosen in (pairs.join(most, ["node", "leader"], "left_semi"), pairs.join(most, ["node", "leader"], "left_anti")):
-        if labels is not None:
-            chosen = _renamed(chosen, labels, "label", "leader_label")
-        chosen = _written(chosen.filter("label <> leader_label").select("node", "leader", "label", "leader_label"), "chosen")
-        near = verified(chosen.select("node", "leader"), sets, least)
-        new = graph.components(chosen.join(near, ["node", "leader"]).select(
-            F.col("label").alias("u"), F.col("leader_label").alias("v")))
-        if new is not None:
-            labels = _labels(labels, new)
-    return labels
+        labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    table = _written(blocks(_written(labelled, "labelled"), sets), "blocks")
+    new = graph.components(block_links(block_pairs(table), least))
+    return labels if new is None else _labels(labels, new)
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
-    """``doc_id, class_id`` of each row."""
+    """``doc_id, class_id`` of each document, and of each row without doc_id."""
+    return _classes(docs, doc_id, text, least).select("doc_id", "class_id")
+
+
+def _classes(docs: DataFrame, doc_id: str, text: str, least: float) -> DataFrame:
+    """Besides, the number of ``rows`` that the document has."""
     plain = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     sign = _written(signed(plain), "signatures")
-    nodes = _written(sign.filter("content is not null").groupBy("content")
-                     .agg(F.min("doc_id").alias("node"), F.first("buckets").alias("buckets")).filter("node is not null"), "nodes")
+    of_id = (sign.filter("doc_id is not null").groupBy("doc_id")
+             .agg(F.min("content").alias("content"), F.count("*").alias("rows")))
+    without = sign.filter("doc_id is null").select("doc_id", "content", F.lit(1).cast("long").alias("rows"))
+    chosen = _written(of_id.unionByName(without), "contents")
+    # Buckets and size depend on the content alone.
+    by_content = (sign.filter("content is not null").groupBy("content")
+                  .agg(F.first("buckets").alias("buckets"), F.first("size").alias("size")))
+    least_id = chosen.filter("content is not null").groupBy("content").agg(F.min("doc_id").alias("node")).filter("node is not null")
+    nodes = _written(least_id.join(by_content, "content"), "nodes")
 
     def sets_of(wanted: DataFrame) -> DataFrame:
-        texts = plain.join(wanted.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        return shingle_sets(texts.select("doc_id", "text"))
+        wanted = wanted.select(F.col("node").alias("doc_id"))
+        sets = shingle_sets(plain.join(wanted, "doc_id", "left_semi").select("doc_id", "text"))
+        # Of several texts the one that counts.
+        return sets.filter("content is not null").groupBy("node").agg(F.min_by("shingles", "content").alias("shingles"))
 
     labels = linked(nodes, sets_of, least)
     of_content = nodes.select("content", F.col("node").alias("class_id"))
     if labels is not None:
         of_content = nodes.select("content", "node").join(labels, "node", "left").select(
             "content", F.coalesce("label", "node").alias("class_id"))
-    return sign.select("doc_id", "content").join(of_content, "content", "left").select(
-        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
+    return chosen.join(of_content, "content", "left").select(
+        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), "rows")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
-    """The documents that give their class its id, one row each; rows without
+    """The documents that give their class its id, one row each (of several
+    that with the least text, then the least other columns); rows without
     doc_id stay."""
-    kept = classes(docs, doc_id, text, least).filter("doc_id = class_id").select(F.col("doc_id").alias(doc_id)).distinct()
-    with_id = docs.join(kept, doc_id, "left_semi").dropDuplicates([doc_id]).select(*docs.columns)
-    return with_id.union(docs.filter(F.col(f"`{doc_id}`").isNull()))
+    kept = _written(_classes(docs, doc_id, text, least).filter("doc_id = class_id").select(
+        F.col("doc_id").alias(doc_id), (F.col("rows") > 1).alias("__repeated")), "kept")
+    found = docs.join(kept.filter("not __repeated").select(doc_id), doc_id, "left_semi")
+    if not kept.filter("__repeated").isEmpty():
+        again = docs.join(kept.filter("__repeated").select(doc_id), doc_id, "left_semi")
+        others = [F.col(f"`{f.name}`").asc_nulls_first() for f in docs.schema.fields
+                  if f.name not in (doc_id, text) and isinstance(f.dataType, T.AtomicType)]
+        order = Window.partitionBy(F.col(f"`{doc_id}`")).orderBy(F.col(f"`{text}`").asc_nulls_first(), *others)
+        again = again.withColumn("__place", F.row_number().over(order)).filter("__place = 1").drop("__place")
+        found = found.select(*docs.columns).union(again.select(*docs.columns))
+    return found.select(*docs.columns).union(docs.filter(F.col(f"`{doc_id}`").isNull()))
 
 
 def op10_probminhash_classes(spark, sf_dir: str) -> DataFrame:

@@ -463,6 +463,54 @@ def test_near_duplicates_among_many_templated_texts(spark):
     assert got == {i: i - i % 2 if i < 80 else i for i in range(1500)}
 
 
+def test_blocks_grow_with_the_nodes_and_not_with_their_pairs(spark, monkeypatch):
+    """Families around the threshold: rows of every table in proportion."""
+    def family(n):
+        r = random.Random(n)
+        base = [str(r.randint(0, 10 ** 6)) for _ in range(120)]
+        out = []
+        for _ in range(n):
+            t = list(base)
+            for k in r.sample(range(120), 2):
+                t[k] = str(r.randint(0, 10 ** 9))
+            out.append(" ".join(t))
+        return out
+
+    written = near_duplicates._written
+    seen = {}
+
+    def counting(df, name):
+        out = written(df, name)
+        seen[name] = max(seen.get(name, 0), out.count())
+        return out
+    monkeypatch.setattr(near_duplicates, "_written", counting)
+    made = []
+    for n in (200, 400, 800):
+        seen.clear()
+        assert near_duplicates.classes(frame(spark, family(n), clash=False)).count() == n
+        made.append(dict(seen))
+    for name in made[0]:
+        counts = [m.get(name, 0) for m in made]
+        assert counts[2] <= 6 * max(counts[0], 40), (name, counts)
+        assert counts[2] <= 24 * 800 + 100, (name, counts)
+
+
+def test_a_document_with_two_texts_has_one(spark):
+    base = [str(k) for k in range(300)]
+    near = " ".join(base[:290] + ["x"] * 3)
+    rows = [(1, " ".join(base)), (2, near), (2, "something else altogether, quite another text"), (3, "something else altogether, quite another text"),
+            (None, " ".join(base)), (None, "alone"), (4, None), (4, "alone too")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.lit("en"))
+    got = sorted(((r.doc_id, r.class_id) for r in near_duplicates.classes(df).collect()), key=str)
+    again = sorted(((r.doc_id, r.class_id) for r in near_duplicates.classes(df.repartition(5)).collect()), key=str)
+    assert got == again and len(got) == 6
+    by_id = dict(x for x in got if x[0])
+    assert by_id[1] == 1 and by_id[2] in (1, 2) and by_id[3] == (2 if by_id[2] == 2 else 3) and by_id[4] == 4
+    assert sorted(str(c) for d, c in got if d is None) == ["1", "None"]
+    kept = near_duplicates.keep_one(df).collect()
+    assert Counter(r.doc_id for r in kept) == Counter([c for c in set(by_id.values())] + [None, None])
+
+
 def test_near_duplicates_along_a_chain(spark):
     """200 versions at 0.846 to the next one, at 0.6 to 0.72 to all further ones."""
     r = random.Random(6)
@@ -485,7 +533,7 @@ def test_signatures_estimate_the_similarity():
     both = x.keys() | y.keys()
     true = sum(1 / sum(max(x.get(j, 0) / x[i], y.get(j, 0) / y[i]) for j in both) for i in x.keys() & y.keys())
     assert abs((sig[0] == sig[1]).mean() - true) < 0.04
-    data = [np.sort(np.array([e & 0xFFFFFFFF for e, c in s.items() for _ in range(c)], "<u4")).tobytes() for s in (x, y)]
+    data = [np.sort(np.array([e & 0xFFFFFFFF for e, c in s.items() for _ in range(c)], "<u8")).tobytes() for s in (x, y)]
     assert abs(near_duplicates.similarity(*data) - true) < 1e-9
 
 
