@@ -31,21 +31,19 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.filter("u <> v").distinct()
 
 
-def _sum(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64(F.greatest("u", "v"), F.least("u", "v")))).first())
-
-
 def components(edges: DataFrame) -> DataFrame | None:
     """``node, label`` of every node of the edges ``u, v``: the least node it is
     connected with (alternating large and small stars, each round written);
-    None without edges."""
+    None without edges. Done when no node that others point to points to
+    another: every edge then leads to the least node of its component."""
     now = _written(edges.filter("u <> v").select("u", "v").distinct(), "edges")
-    is_now = _sum(now)
-    if not is_now[0]:
+    if now.isEmpty():
         return None
     while True:
         now = _written(_star(_star(now, True), False), "stars")
-        was, is_now = is_now, _sum(now)
-        if was == is_now:
+        ends = now.select(F.col("v").alias("u")).distinct()
+        # A node may point to several: that too is open.
+        several = now.groupBy("u").count().filter("count > 1").select("u")
+        if now.select("u").join(ends, "u", "left_semi").union(several).isEmpty():
             return now.select(F.col("u").alias("node"), F.col("v").alias("label")).union(
                 now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

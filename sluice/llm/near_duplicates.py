@@ -11,15 +11,18 @@ weight, so long documents draw about as many arrivals as short ones - and the
 few documents with an empty register go on to twice the time.
 
 Documents with the same words are one node (the least doc_id of them). Nodes
-that share a band are candidates. First every bucket is led by the member with
-the least hash, a hash of the node alone, so that the buckets of a group have
-the same leader; members are verified against it by the exact similarity of the
-shingles, and verified links give classes by connected components. Members that
-are in no leader's class go on with another hash, ``TURNS`` times. Then all
-nodes of the buckets that still hold two classes are compared with all others
-of their bucket: the nodes of a bucket stand in blocks bounded by their bytes, a
-task gets two blocks, computes the similarities of all their nodes as matrices
-and emits a spanning forest of the links between unlike classes. Blocks that
+that share a band are candidates. The members of a bucket that fits one block
+(``BLOCK_BYTES``) are compared in a task, all with all: similarities as matrices,
+of which a spanning forest of the links is emitted. Buckets with the same members
+are compared once. Links give classes by connected components.
+
+A larger bucket is first led by the member with the least hash, a hash of the
+node alone, so that the buckets of a group have the same leader; its members are
+verified against it, and those in no leader's class go on with another hash as
+long as more of them are left than a block holds and a turn has joined a quarter
+of them. Then all nodes of the large buckets that still hold two classes are
+compared with all others of their bucket: they stand in blocks bounded by their
+bytes, and a task gets two blocks and emits the forest between them. Blocks that
 hold one and the same class are not paired. No table has a row for a pair of
 nodes but for the pairs with a leader, nearly one a node. The class id is the
 least doc_id.
@@ -33,6 +36,7 @@ of an equal text, else null; an empty table gives no rows.
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -49,7 +53,6 @@ from sluice.session import scratch_path
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5         # a pair at 0.8 shares no band with a chance of 7e-5
-TURNS = 3                   # with leaders, before all pairs that are left
 BLOCK_BYTES = 4 << 20       # of the shingles of a block, about
 NODE_BYTES = 4 << 10        # that a node counts besides its shingles: at most 1,024 nodes in a block, about
 COLUMNS = 1 << 12           # shingles of a matrix at a time
@@ -352,7 +355,7 @@ def forest(x: Nodes, y: Nodes | None, least: float) -> list[tuple[int, int]]:
             parent[k] = k = parent[parent[k]]
         return k
 
-    out = []
+    out: list[tuple[int, int]] = []
     single = x.single[i] & y.single[j]
     shared = in_x[i, j]
     jaccard = shared / (x.total[i] + y.total[j] - shared)
@@ -380,30 +383,54 @@ def block_links(pairs: DataFrame, least: float) -> DataFrame:
     return pairs.mapInArrow(run, "u long, v long")
 
 
+def small_links(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The forests ``u, v`` of nodes of all buckets ``bucket, node`` that fit a
+    block; of buckets with the same members one is compared."""
+    lists = members.groupBy("bucket").agg(F.sort_array(F.collect_list("node")).alias("nodes"))
+    once = lists.groupBy("nodes").agg(F.min("bucket").alias("bucket"))
+    rows = once.select("bucket", F.explode("nodes").alias("node")).join(sets, "node")
+    table = rows.groupBy("bucket").agg(F.collect_list(F.struct(F.col("node").alias("label"), "shingles")).alias("rows"))
+    return block_links(table.select("rows", F.lit(None).cast(table.schema["rows"].dataType).alias("others")), least)
+
+
+def with_labels(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    if labels is None:
+        return members.withColumn("label", F.col("node"))
+    return members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
 def linked(nodes: DataFrame, sets_of, least: float) -> DataFrame | None:
     """``node, label`` of the nodes that have a link, of ``node, content,
     buckets, size``. ``sets_of`` gives the shingles of nodes."""
     every = nodes.select("node", "size", F.explode("buckets").alias("bucket"))
-    shared = every.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
+    cost = F.sum(F.col("size") * 8 + NODE_BYTES)
+    shared = every.groupBy("bucket").agg(F.count("*").alias("n"), (cost > BLOCK_BYTES).alias("large")).filter("n > 1").drop("n")
     members = _written(every.join(_written(shared, "shared"), "bucket"), "members")
     sets = _written(sets_of(nodes.join(members.select("node").distinct(), "node", "left_semi")), "shingles")
-    labels, open_rows = None, members.select("bucket", "node", F.col("node").alias("label"))
-    for turn in range(TURNS):
+    new = graph.components(small_links(members.filter("not large"), sets, least))
+    labels = None if new is None else _written(new, "labels")
+    large = members.filter("large").drop("large")
+    if large.isEmpty():
+        return labels
+    large = _written(with_labels(large, labels), "large")
+    open_rows, was = large, None
+    for turn in itertools.count():
         pairs = _led(open_rows, turn)
         new = graph.components(verified(pairs, sets, least))
         if new is not None:
-            labels = _labels(labels, new)
+            labels = new if labels is None else _labels(labels, new)
             pairs = _renamed(pairs, new, "label", "leader_label")
-        left = _written(pairs.filter("label <> leader_label").select("node", "label").distinct(), "left")
-        if left.isEmpty():
+            large = _written(_renamed(large, new, "label"), "large")
+        left = _written(pairs.filter("label <> leader_label").select("node").distinct(), "left")
+        open_rows = large.join(left, "node")
+        most = open_rows.groupBy("bucket").agg(cost.alias("cost")).agg(F.max("cost")).first()[0] or 0
+        is_now = left.count()
+        if most <= BLOCK_BYTES or was is not None and is_now > 0.75 * was:
             break
-        open_rows = members.select("bucket", "node").join(left, "node")
-    labelled = members.withColumn("label", F.col("node"))
-    if labels is not None:
-        labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    table = _written(blocks(_written(labelled, "labelled"), sets), "blocks")
+        was = is_now
+    table = _written(blocks(large, sets), "blocks")
     new = graph.components(block_links(block_pairs(table), least))
-    return labels if new is None else _labels(labels, new)
+    return labels if new is None else new if labels is None else _labels(labels, new)
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:

@@ -491,8 +491,8 @@ def test_blocks_grow_with_the_nodes_and_not_with_their_pairs(spark, monkeypatch)
         made.append(dict(seen))
     for name in made[0]:
         counts = [m.get(name, 0) for m in made]
-        assert counts[2] <= 6 * max(counts[0], 40), (name, counts)
-        assert counts[2] <= 24 * 800 + 100, (name, counts)
+        assert counts[2] <= 3 * max(counts[1], 100), (name, counts)
+        assert counts[2] <= 25 * 800, (name, counts)
 
 
 def test_a_document_with_two_texts_has_one(spark):
