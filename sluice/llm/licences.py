@@ -1,24 +1,27 @@
 """Licence scan: Dice coefficient of word bigrams against licence templates.
 
-The units of a text are its lines, its paragraphs and the whole. A unit is
-normalised (lower case; everything but letters and digits is one space) and
-compared with the templates whose number of distinct bigrams lets the
-coefficient reach the threshold at all: with ``t`` the threshold and ``b`` the
-template's size only sizes from ``b t / (2 - t)`` to ``b (2 - t) / t`` can.
-Before that, texts and units without any of a few probe words are left out: no
-unit that reaches the threshold can lack them all. All of it are DataFrame
-functions; nothing is shuffled before units have been pruned to the matches.
-
-Defined cases: a null or empty text has no match; texts are scanned whole;
-rows with one doc_id are one document; a unit matches its best template, of
-equal ones the last by name; an empty table gives no rows; names of further
-columns don't matter.
+A unit of a text is a run of consecutive lines (a line, a paragraph, a notice of
+several paragraphs, the whole). It is normalised (lower case; everything but
+letters and digits is one space) and compared with the templates whose number
+of distinct bigrams lets the coefficient reach the threshold at all: with ``t``
+the threshold and ``b`` the template's size only sizes from ``b t / (2 - t)`` to
+``b (2 - t) / t`` can. Texts without any of a few probe words are left out
+before: no unit that reaches the threshold can lack them all. For the rest the
+best run of each template is found (``best_run``); nothing is shuffled but the
+matches.
+
+Defined cases: a null or empty text has no match; texts are scanned whole, also
+where they have one line only; rows with one doc_id are one document; of equal
+runs the one with the fewest lines counts, then the first; a text may match
+several templates (the first line of a header can be a notice too); an empty
+table gives no rows; names of further columns don't matter.
 """
 
 from __future__ import annotations
 
 import re
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,6 +68,68 @@ TEMPLATES = {
     "MPL-2.0 header": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
         "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    "BSD-2-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+        "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+        "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+        "with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS "
+        "OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, "
+        "INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF "
+        "SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY "
+        "THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN "
+        "ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."),
+    "BSD-3-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+        "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+        "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+        "with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used "
+        "to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE "
+        "IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, "
+        "BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. "
+        "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, "
+        "EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; "
+        "LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN "
+        "CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+        "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."),
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+        "liable for any damages arising from the use of this software. Permission is granted to anyone to use this software "
+        "for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the "
+        "following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you "
+        "wrote the original software. If you use this software in a product, an acknowledgment in the product documentation "
+        "would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not "
+        "be misrepresented as being the original software. 3. This notice may not be removed or altered from any source "
+        "distribution."),
+    "BSL-1.0 notice": (
+        "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at "
+        "https://www.boost.org/LICENSE_1_0.txt)"),
+    "GPL-2.0 header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any "
+        "later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
+        "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public "
+        "License for more details. You should have received a copy of the GNU General Public License along with this "
+        "program; if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA "
+        "02110-1301 USA."),
+    "LGPL-2.1 header": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your "
+        "option) any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY "
+        "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU "
+        "Lesser General Public License for more details. You should have received a copy of the GNU Lesser General Public "
+        "License along with this library; if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth "
+        "Floor, Boston, MA 02110-1301 USA"),
+    "AGPL-3.0 header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; "
+        "without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero "
+        "General Public License for more details. You should have received a copy of the GNU Affero General Public License "
+        "along with this program. If not, see <https://www.gnu.org/licenses/>."),
+    "CC-BY-SA-4.0 notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     "CC-BY-4.0 notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-NC-4.0 notice": "Licensed under CC BY-NC 4.0.",
     "CC0-1.0 notice": "To the extent possible under law, the author has waived all copyright and related rights to this work.",
@@ -94,38 +159,99 @@ def probes(sized: list[tuple[str, list[str], int]], low: float) -> list[str]:
     return out
 
 
-def bigrams(unit: Column) -> Column:
-    words = F.split(F.trim(F.regexp_replace(F.lower(unit), r"[^\p{L}\p{N}]+", " ")), " ")
-    n = F.greatest(F.size(words) - 1, F.lit(0))
-    return F.array_distinct(F.zip_with(F.slice(words, F.lit(1), n), F.slice(words, F.lit(2), n),
-                                       lambda a, b: F.concat(a, F.lit(" "), b)))
+def normalised(line: Column) -> Column:
+    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
+
+
+def best_run(grams: list[tuple[str, str]], first: list[int], last: list[int], template: set[tuple[str, str]],
+             threshold: float) -> tuple[float, int, int] | None:
+    """Score, first and last line of the run of lines that is most like the
+    template, if any reaches the threshold. ``first`` and ``last`` are the lines
+    of the two words of each bigram of the text.
+
+    Only runs that could be the shortest best are looked at. Without its first
+    (last) line such a run has fewer of the template's bigrams, so one of them
+    starts in the first line and in no later one, and one ends in the last line
+    and in none before. A run from a line ends where the line's own bigrams have
+    all come again or the size bound is passed, so that a place in the text is
+    in no more runs than the template has bigrams.
+    """
+    n = len(template)
+    high = n * (2 - threshold) / threshold
+    starts: dict[int, int] = {}         # line -> its first bigram
+    at_line = -1
+    for k, g in enumerate(grams):
+        if first[k] != at_line:
+            at_line, begin = first[k], k
+        if g in template:
+            starts.setdefault(at_line, begin)
+    best = None
+    for line, begin in starts.items():
+        seen: set = set()
+        own: set = set()
+        shared = new = 0
+        end = line
+        for k in range(begin, len(grams) + 1):
+            if k == len(grams) or last[k] != end:
+                if new and 2.0 * shared / (len(seen) + n) >= threshold:
+                    found = (-2.0 * shared / (len(seen) + n), end - line, line)
+                    best = found if best is None or found < best else best
+                if k == len(grams):
+                    break
+                end, new = last[k], 0
+            g = grams[k]
+            if g in template:
+                if first[k] == line:
+                    own.add(g)
+                elif g in own:
+                    own.discard(g)
+                if g not in seen:
+                    shared, new = shared + 1, new + 1
+            if first[k] != line and not own:
+                break
+            seen.add(g)
+            if len(seen) > high:
+                break
+    return None if best is None else (-best[0], best[2], best[2] + best[1])
 
 
 def licences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
              templates: dict[str, str] = TEMPLATES) -> DataFrame:
-    """``doc_id, licence, score, n_units``: the licences found in a document,
-    the best score and the number of units that match."""
+    """``doc_id, licence, score, first_line, last_line``: the licences found in a
+    document, each with its best run of lines (counted from 0)."""
     whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    units = F.array_distinct(F.concat(F.split(whole, "\n"), F.split(whole, r"\n[ \t\r]*\n"), F.array(whole)))
-    low, high = threshold / (2 - threshold), (2 - threshold) / threshold
+    low = threshold / (2 - threshold)
     sized = [(name, b, len(b)) for name, b in ((n, template_bigrams(t)) for n, t in templates.items()) if b]
     probe = r"(?<![\p{L}\p{N}])(?:" + "|".join(probes(sized, low)) + r")(?![\p{L}\p{N}])"
-    # Texts and units without any probe can't match; the rest is little.
-    found = (docs.filter(F.lower(whole).rlike(probe))
-             .select(F.col(f"`{doc_id}`").alias("doc_id"), F.explode(units).alias("unit"))
-             .filter(F.lower("unit").rlike(probe))
-             .select("doc_id", bigrams(F.col("unit")).alias("bigrams")))
-    size = F.size("bigrams")
+    sets = [(name, {tuple(g.split()) for g in b}, n * low) for name, b, n in sized]
+    key = docs.schema[doc_id].dataType
 
-    def score(b: list[str], n: int) -> Column:
-        dice = 2.0 * F.size(F.array_intersect("bigrams", F.array(*map(F.lit, b)))) / (size + n)
-        return F.when((size >= n * low) & (size <= n * high), dice).otherwise(F.lit(0.0))
+    def scan(batches):
+        for batch in batches:
+            rows = []
+            for row, lines in enumerate(batch.column("lines")):     # a text at a time
+                words = [line.split() for line in lines.as_py()]
+                at = [i for i, w in enumerate(words) for _ in w]
+                flat = [x for w in words for x in w]
+                grams = list(zip(flat, flat[1:]))
+                distinct = set(grams)
+                for name, template, least in sets:
+                    if len(template & distinct) >= least:
+                        run = best_run(grams, at, at[1:], template, threshold)
+                        if run:
+                            rows.append((row, name, *run))
+            index, *columns = zip(*rows) if rows else ([],) * 5
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(pa.array(index, pa.int64())),
+                 *(pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.float64(), pa.int32(), pa.int32())))],
+                ["doc_id", "licence", "score", "first_line", "last_line"])
 
-    best = F.greatest(*[F.struct(score(b, n).alias("score"), F.lit(name).alias("licence")) for name, b, n in sized])
-    return (found.filter((size >= min(n for *_, n in sized) * low) & (size <= max(n for *_, n in sized) * high))
-            .select("doc_id", best.alias("best")).filter(F.col("best.score") >= threshold)
-            .groupBy("doc_id", F.col("best.licence").alias("licence"))
-            .agg(F.max("best.score").alias("score"), F.count("*").alias("n_units")))
+    # Texts without any probe can't match; the rest is little.
+    found = (docs.filter(F.lower(whole).rlike(probe))
+             .select(F.col(f"`{doc_id}`").alias("doc_id"), F.transform(F.split(whole, "\n"), normalised).alias("lines"))
+             .mapInArrow(scan, f"doc_id {key.simpleString()}, licence string, score double, first_line int, last_line int"))
+    least = F.min(F.struct(-F.col("score"), F.expr("last_line - first_line"), "first_line", "last_line", "score")).alias("best")
+    return found.groupBy("doc_id", "licence").agg(least).select("doc_id", "licence", "best.score", "best.first_line", "best.last_line")
 
 
 def op6_licence_dice(spark, sf_dir: str) -> DataFrame:
@@ -136,21 +262,33 @@ def _sql() -> str:
     rows = ", ".join("('{}', ['{}'])".format(n.replace("'", "''"), "', '".join(template_bigrams(t)))
                      for n, t in TEMPLATES.items())
     return f"""
-WITH templates(licence, b) AS (VALUES {rows}),
-units AS (
-  SELECT doc_id, unnest(list_distinct(list_concat(list_concat(string_split(text, chr(10)),
-    string_split_regex(text, '\\n[ \\t\\r]*\\n')), [text]))) AS unit FROM documents WHERE text IS NOT NULL),
+WITH templates AS (SELECT licence, len(b) AS n, unnest(b) AS g FROM (VALUES {rows}) AS t(licence, b)),
+lines AS (
+  SELECT r, doc_id, unnest(range(len(l))) AS line, unnest(l) AS unit
+  FROM (SELECT row_number() OVER () AS r, doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL)),
 words AS (
-  SELECT doc_id, string_split(trim(regexp_replace(lower(unit), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ') AS w FROM units),
+  SELECT r, doc_id, line, unnest(range(len(w))) AS place, unnest(w) AS word
+  FROM (SELECT r, doc_id, line, string_split(trim(regexp_replace(lower(unit), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ') AS w FROM lines)),
 grams AS (
-  SELECT doc_id, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS a FROM words),
+  SELECT r, doc_id, line AS a, lead(line) OVER o AS z, word || ' ' || lead(word) OVER o AS g
+  FROM words WHERE word <> '' WINDOW o AS (PARTITION BY r ORDER BY line, place)),
+hits AS (SELECT DISTINCT r, doc_id, licence, n, a, z, g FROM grams JOIN templates USING (g)),
+able AS (
+  SELECT r, licence FROM hits GROUP BY r, licence, n HAVING count(DISTINCT g) >= n * {THRESHOLD / (2 - THRESHOLD)!r}),
+runs AS (
+  SELECT DISTINCT s.r, s.doc_id, s.licence, s.n, s.a AS first_line, e.z AS last_line
+  FROM hits s JOIN able USING (r, licence) JOIN hits e ON s.r = e.r AND s.licence = e.licence AND s.a <= e.z),
+shared AS (
+  SELECT u.r, u.doc_id, u.licence, u.n, first_line, last_line, count(DISTINCT g) AS shared
+  FROM runs u JOIN hits h ON u.r = h.r AND u.licence = h.licence AND h.a >= first_line AND h.z <= last_line GROUP BY ALL),
 scored AS (
-  SELECT doc_id, max((2.0 * CAST(len(list_intersect(a, b)) AS DOUBLE) / (len(a) + len(b)), licence)) AS best
-  FROM (SELECT doc_id, a, row_number() OVER () AS u FROM grams) JOIN templates
-    ON len(a) BETWEEN len(b) * {THRESHOLD / (2 - THRESHOLD)!r} AND len(b) * {(2 - THRESHOLD) / THRESHOLD!r}
-  GROUP BY doc_id, u)
-SELECT doc_id, best[2] AS licence, max(best[1]) AS score, count(*) AS n_units
-FROM scored WHERE best[1] >= {THRESHOLD!r} GROUP BY doc_id, best[2]
+  SELECT u.doc_id, u.licence, first_line, last_line, 2.0 * CAST(shared AS DOUBLE) / (count(DISTINCT g) + u.n) AS score
+  FROM shared u JOIN grams w ON u.r = w.r AND w.a >= first_line AND w.z <= last_line
+  WHERE shared >= u.n * {THRESHOLD / (2 - THRESHOLD)!r}
+  GROUP BY u.r, u.doc_id, u.licence, u.n, first_line, last_line, shared)
+SELECT doc_id, licence, score, CAST(first_line AS INTEGER) AS first_line, CAST(last_line AS INTEGER) AS last_line
+FROM scored WHERE score >= {THRESHOLD!r}
+QUALIFY row_number() OVER (PARTITION BY doc_id, licence ORDER BY score DESC, last_line - first_line, first_line) = 1
 """
 
 

@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -320,9 +321,76 @@ def test_licences(spark):
              "x\nReleased under the MIT License!\nReleased under the MIT license", "permission is hereby granted"]
     got = defaultdict(dict)
     for r in licences.licences(frame(spark, texts)).collect():
-        got[r.doc_id][r.licence] = (r.score, r.n_units)
-    assert set(got) == {2, 3, 5} and got[2]["MIT"] == (1.0, 1) and got[3]["MIT"][0] == 1.0
-    assert got[5] == {"MIT notice": (1.0, 2)}
+        got[r.doc_id][r.licence] = (r.score, r.first_line, r.last_line)
+    assert set(got) == {2, 3, 5} and got[2] == {"MIT": (1.0, 0, 0)} and got[3]["MIT"][:2] == (1.0, 2)
+    assert got[5] == {"MIT notice": (1.0, 1, 1)}
+
+
+def wrapped(text, width):
+    out, line = [], []
+    for w in text.split():
+        if line and len(" ".join([*line, w])) > width:
+            out.append(" ".join(line))
+            line = []
+        line.append(w)
+    return [*out, " ".join(line)]
+
+
+def test_notices_of_several_paragraphs_in_long_documents(spark):
+    r = random.Random(11)
+    prose = [" ".join(r.choice("lorem ipsum dolor sit amet the of software".split()) for _ in range(12)) for _ in range(60)]
+    mit = licences.TEMPLATES["MIT"]
+    cut = [mit.index("The above"), mit.index("THE SOFTWARE IS")]
+    paragraphs = [mit[:cut[0]], mit[cut[0]:cut[1]], mit[cut[1]:]]
+    mit_lines = sum((wrapped(p, 78) + [""] for p in paragraphs), [])[:-1]
+    apache = ["# " + line for line in wrapped(licences.TEMPLATES["Apache-2.0 header"], 72)]
+    texts = ["\n".join(prose + [""] + mit_lines + [""] + prose), "\n".join(apache + ["import os"] + prose),
+             "\n".join(prose), " ".join(prose * 400) + "\n" + "\n".join(mit_lines), " ".join(prose * 2000) + " software"]
+    got = defaultdict(dict)
+    for row in licences.licences(frame(spark, texts)).collect():
+        got[row.doc_id][row.licence] = (row.score, row.first_line, row.last_line)
+    last = len(mit_lines) - 1
+    while licences.template_bigrams(" ".join(mit_lines[:last])) == licences.template_bigrams(mit):
+        last -= 1       # lines at the end whose bigrams have all been seen are left out
+    assert got[0] == {"MIT": (1.0, 61, 61 + last)}
+    assert got[1]["Apache-2.0 header"] == (1.0, 0, len(apache) - 1)
+    assert got[3] == {"MIT": (1.0, 1, 1 + last)}
+    assert set(got) == {0, 1, 3}
+
+
+def test_best_run_against_all_runs():
+    r = random.Random(12)
+    template = {tuple(g.split()) for g in licences.template_bigrams("a b c d e f g a c e")}
+    found = 0
+    for _ in range(1500):
+        lines = [[r.choice("abcdefgxy") for _ in range(r.choice((0, 1, 2, 3, 5)))] for _ in range(r.randint(0, 9))]
+        if r.random() < 0.7:
+            w, at = "a b c d e f g a c e".split(), r.randint(0, len(lines))
+            k = sorted(r.sample(range(1, 10), 2))
+            lines[at:at] = [w[:k[0]], w[k[0]:k[1]], w[k[1]:]] * r.randint(1, 2)
+        best = None
+        for i in range(len(lines)):
+            for j in range(i, len(lines)):
+                flat = sum(lines[i:j + 1], [])
+                grams = set(zip(flat, flat[1:]))
+                score = 2.0 * len(grams & template) / (len(grams) + len(template))
+                if score >= 0.8 and (best is None or (-score, j - i, i) < best):
+                    best = (-score, j - i, i)
+        at = [i for i, line in enumerate(lines) for _ in line]
+        flat = sum(lines, [])
+        run = licences.best_run(list(zip(flat, flat[1:])), at, at[1:], template, 0.8)
+        assert run == (best and (-best[0], best[2], best[2] + best[1]))
+        found += best is not None
+    assert found > 200
+
+
+def test_best_run_is_linear_in_repeats():
+    template = {tuple(g.split()) for g in licences.template_bigrams(licences.TEMPLATES["Apache-2.0 header"])}
+    flat = "licensed under the apache license version 2 0".split() * 40_000
+    at = [i // 8 for i in range(len(flat))]
+    start = time.monotonic()
+    assert licences.best_run(list(zip(flat, flat[1:])), at, at[1:], template, 0.8) is None
+    assert time.monotonic() - start < 20
 
 
 # --- secrets ----------------------------------------------------------------
