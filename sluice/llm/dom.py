@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import html
 import re
+from math import isqrt
+
+import numpy as np
 
 # Element kinds of HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -11,12 +14,13 @@ RAW = set("script style textarea title noscript iframe template svg".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
              "small span strike strong sub sup time tt u var wbr".split())
 SCOPE = set("article aside body div footer form header html main nav section table td th".split())
+ITEMS = set("blockquote dd dt li option p pre td th tr".split())      # kinds that come in rows
 CLOSED_BY_SAME = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"},
                   "th": {"tr", "table"}, "option": {"select"}}
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"<]*"|'[^'<]*'|[^>])*+)>|<[!?][^>]*>""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s"'=<>/]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-DEPTH = 64                  # deeper elements belong to the slot at this depth
+TABLE_CELLS = 4096          # tables up to here are plain lists, larger ones arrays by rows
 
 
 class Node:
@@ -78,7 +82,7 @@ def parse(source: str) -> Node:
 
 
 class Slot:
-    """Siblings in a row of one kind (tag and class), as one node."""
+    """An element, or items in a row of one kind (tag and class) as one node."""
 
     __slots__ = ("kind", "nodes", "children", "number")
 
@@ -92,22 +96,20 @@ def kind(node: Node) -> str:
 
 
 def collapse(root: Node) -> Slot:
-    """The tree of slots; inline elements and what is too deep belong to the
-    slot around them. Slots are numbered in preorder."""
+    """The tree of slots; inline elements belong to the slot around them. Slots
+    are numbered in preorder."""
     top = Slot("#root", [root])
-    todo = [(top, 0)]
+    todo = [top]
     while todo:
-        slot, depth = todo.pop()
-        if depth >= DEPTH:
-            continue
+        slot = todo.pop()
         inner = [c for n in slot.nodes for c in n.children if isinstance(c, Node) and c.tag not in INLINE and c.tag not in RAW]
         for child in inner:
             k = kind(child)
-            if slot.children and slot.children[-1].kind == k:
+            if child.tag in ITEMS and slot.children and slot.children[-1].kind == k:
                 slot.children[-1].nodes.append(child)
             else:
                 slot.children.append(Slot(k, [child]))
-        todo += [(c, depth + 1) for c in slot.children]
+        todo += slot.children
     number, todo = 0, [top]
     while todo:
         slot = todo.pop()
@@ -131,44 +133,145 @@ def own_text(slot: Slot) -> str:
     return " ".join("".join(parts).split())
 
 
-def align(a: list, b: list) -> list[tuple[int, int]]:
-    """Pairs of nodes of the best simple tree matching of two trees
-    ``[kind, number, children]`` whose roots are alike: children are matched in
-    order so that most nodes pair up."""
-    return _match(a, b)[1] if a[0] == b[0] else []
-
-
-def _match(a: list, b: list) -> tuple[int, list[tuple[int, int]]]:
-    x, y = a[2], b[2]
-    pairs = [(a[1], b[1])]
-    total = 1
-    if len(x) * len(y) > 250_000:       # far too many unlike siblings for a table: in order, first come
-        j = 0
-        for child in x:
-            k = next((k for k in range(j, len(y)) if y[k][0] == child[0]), None)
-            if k is not None:
-                score, inner = _match(child, y[k])
-                total, j = total + score, k + 1
-                pairs += inner
-        return total, pairs
-    best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-    inner = {}
-    for i, p in enumerate(x, 1):
-        row, above = best[i], best[i - 1]
-        for j, q in enumerate(y, 1):
-            value = above[j] if above[j] >= row[j - 1] else row[j - 1]
-            if p[0] == q[0]:
-                got = inner[i, j] = _match(p, q)
-                if above[j - 1] + got[0] > value:
-                    value = above[j - 1] + got[0]
-            row[j] = value
-    i, j = len(x), len(y)
-    while i and j:
-        if best[i][j] == best[i - 1][j]:
-            i -= 1
-        elif best[i][j] == best[i][j - 1]:
-            j -= 1
-        else:
-            pairs += inner[i, j][1]
-            i, j = i - 1, j - 1
-    return total + best[len(x)][len(y)], pairs
+class Shapes:
+    """Trees ``(kinds, parents)`` in preorder, with one number for all subtrees
+    of one shape, and the sizes of the best matchings of two shapes."""
+
+    def __init__(self) -> None:
+        self.number: dict[tuple, int] = {}
+        self.shapes: list[tuple[int, tuple[int, ...], int]] = []      # kind, shapes of the children, nodes
+        self.matched: dict[tuple[int, int], int] = {}
+
+    def add(self, kinds: list, parents: list[int]) -> tuple[list[int], list[list[int]]]:
+        """Shape and children of each node."""
+        children: list[list[int]] = [[] for _ in kinds]
+        for node, parent in enumerate(parents):
+            if parent >= 0:
+                children[parent].append(node)
+        shape = [0] * len(kinds)
+        for node in range(len(kinds) - 1, -1, -1):
+            key = (kinds[node], tuple(shape[c] for c in children[node]))
+            if key not in self.number:
+                self.number[key] = len(self.shapes)
+                self.shapes.append((*key, 1 + sum(self.shapes[c][2] for c in key[1])))
+            shape[node] = self.number[key]
+        return shape, children
+
+    def middle(self, x, y) -> tuple[int, int, list[int], list[int]]:
+        """Lengths of the equal heads and tails of two rows of shapes, and the
+        places between them that can have a partner. Equal subtrees at an end
+        are partners in some best matching: no other gives them more."""
+        n = min(len(x), len(y))
+        head = next((k for k in range(n) if x[k] != y[k]), n)
+        tail = next((k for k in range(n - head) if x[-1 - k] != y[-1 - k]), n - head)
+        i, j = range(head, len(x) - tail), range(head, len(y) - tail)
+        kinds_x, kinds_y = {self.shapes[x[k]][0] for k in i}, {self.shapes[y[k]][0] for k in j}
+        return (head, tail, [k for k in i if self.shapes[x[k]][0] in kinds_y],
+                [k for k in j if self.shapes[y[k]][0] in kinds_x])
+
+    def value(self, p: int, q: int) -> int:
+        if p == q:
+            return self.shapes[p][2]
+        return self.matched[p, q] if self.shapes[p][0] == self.shapes[q][0] else 0
+
+    def match(self, a: int, b: int) -> None:
+        """Fills ``matched`` for two shapes of one kind and all that they need."""
+        todo = [(a, b)]
+        while todo:
+            p, q = todo[-1]
+            if p == q or (p, q) in self.matched:
+                todo.pop()
+                continue
+            x, y = self.shapes[p][1], self.shapes[q][1]
+            head, tail, i, j = self.middle(x, y)
+            by_kind: dict = {}
+            for shape in {y[k] for k in j}:
+                by_kind.setdefault(self.shapes[shape][0], []).append(shape)
+            missing = [(s, t) for s in {x[k] for k in i} for t in by_kind.get(self.shapes[s][0], ())
+                       if s != t and (s, t) not in self.matched]
+            if missing:
+                todo += missing
+                continue
+            ends = sum(self.shapes[s][2] for s in x[:head]) + sum(self.shapes[s][2] for s in x[len(x) - tail:])
+            inner = int(self.rows([x[k] for k in i], [y[k] for k in j])(len(i))[len(j)]) if i else 0
+            self.matched[p, q] = 1 + ends + inner
+            todo.pop()
+
+    def rows(self, x: list[int], y: list[int]):
+        """The table of best matchings of the first ``i`` with the first ``j``
+        shapes, as a function that gives row ``i``. Large tables keep every
+        root-of-n-th row and the block last asked for: memory is in proportion
+        to ``len(y) * sqrt(len(x))``."""
+        if len(x) * len(y) <= TABLE_CELLS:
+            best = [[0] * (len(y) + 1)]
+            for p in x:
+                above, row, left = best[-1], [0], 0
+                for j, q in enumerate(y):
+                    left = max(left, above[j + 1], above[j] + self.value(p, q))
+                    row.append(left)
+                best.append(row)
+            return best.__getitem__
+        distinct, place = np.unique(np.array(y, np.int64), return_inverse=True)
+        distinct = distinct.tolist()
+        block = isqrt(len(x)) + 1
+
+        def below(above, p):
+            values = np.array([self.value(p, q) for q in distinct], np.int64)[place]
+            row = np.zeros_like(above)
+            np.maximum.accumulate(np.maximum(above[1:], above[:-1] + values), out=row[1:])
+            return row
+
+        row = np.zeros(len(y) + 1, np.int64)
+        kept = {0: row}
+        for i, p in enumerate(x, 1):
+            row = below(row, p)
+            if i % block == 0:
+                kept[i] = row
+        held: dict[int, np.ndarray] = {len(x): row}
+
+        def get(i):
+            if i not in held:
+                first = i - i % block
+                held.clear()
+                held[first] = kept[first]
+                for k in range(first, i):
+                    held[k + 1] = below(held[k], x[k])
+            return held[i]
+
+        return get
+
+
+def align(a: tuple[list, list[int]], b: tuple[list, list[int]]) -> list[tuple[int, int]]:
+    """Pairs of nodes of a best simple tree matching of two trees ``(kinds,
+    parents)``, given in preorder: roots pair if they are alike, children of
+    paired nodes are matched in order so that most nodes pair up. Exact at
+    every size and depth."""
+    if a[0][0] != b[0][0]:
+        return []
+    known = Shapes()
+    (shape_a, below_a), (shape_b, below_b) = known.add(*a), known.add(*b)
+    known.match(shape_a[0], shape_b[0])
+    pairs, todo = [], [(0, 0)]
+    while todo:
+        p, q = todo.pop()
+        if shape_a[p] == shape_b[q]:        # equal subtrees: node by node
+            pairs += [(p + k, q + k) for k in range(known.shapes[shape_a[p]][2])]
+            continue
+        pairs.append((p, q))
+        x, y = below_a[p], below_b[q]
+        of_x, of_y = [shape_a[c] for c in x], [shape_b[c] for c in y]
+        head, tail, i, j = known.middle(of_x, of_y)
+        todo += zip(x[:head], y[:head])
+        todo += zip(x[len(x) - tail:], y[len(y) - tail:])
+        row = known.rows([of_x[k] for k in i], [of_y[k] for k in j])
+        m, n = len(i), len(j)
+        while m and n:
+            here = row(m)
+            if here[n] == here[n - 1]:
+                n -= 1
+            elif here[n] == row(m - 1)[n]:
+                m -= 1
+            else:
+                m, n = m - 1, n - 1
+                todo.append((x[i[m]], y[j[n]]))
+    return pairs

@@ -236,15 +236,102 @@ def test_tree_matching_is_maximal():
                 best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + count(x, y))
         return 1 + best[-1][-1]
 
+    def flat(tree):
+        kinds, parents, todo = [], [], [(tree, -1)]
+        while todo:
+            node, parent = todo.pop()
+            todo += [(c, len(kinds)) for c in reversed(node[2])]
+            kinds.append(node[0]), parents.append(parent)
+        return kinds, parents
+
+    def orderly(a, b, pairs):       # roots first, parents pair up, order is kept
+        of = dict(pairs)
+        up_a, up_b = a[1], b[1]
+        return all(a[0][x] == b[0][y] and (x == y == 0 or of.get(up_a[x]) == up_b[y]) for x, y in pairs) and all(
+            (x < u) == (y < v) for x, y in pairs for u, v in pairs if up_a[x] == up_a[u] and x != u)
+
     r = random.Random(4)
 
-    def tree(depth, number=itertools.count()):
-        return [r.choice("ab"), next(number), [tree(depth - 1) for _ in range(r.randint(0, 4))] if depth else []]
+    def tree(depth):
+        return [r.choice("ab"), None, [tree(depth - 1) for _ in range(r.randint(0, 4))] if depth else []]
 
     for _ in range(60):
         a, b = tree(3), tree(3)
-        pairs = dom.align(a, b)
+        pairs = dom.align(flat(a), flat(b))
         assert len(pairs) == count(a, b) and len({x for x, _ in pairs}) == len(pairs) == len({y for _, y in pairs})
+        assert orderly(flat(a), flat(b), pairs)
+
+
+def test_tree_matching_is_alike_in_lists_and_arrays(monkeypatch):
+    r = random.Random(8)
+    trees = []
+    for _ in range(40):
+        kinds, parents = ["r"], [-1]
+        for _ in range(r.randint(1, 60)):           # rows of leaves and small trees, in preorder
+            kinds.append(r.choice("abc")), parents.append(0)
+            top = len(kinds) - 1
+            for _ in range(r.randint(0, 2)):
+                kinds.append(r.choice("xy")), parents.append(top)
+        trees.append((kinds, parents))
+    lists = [dom.align(a, b) for a, b in zip(trees, trees[1:])]
+    monkeypatch.setattr(dom, "TABLE_CELLS", 0)
+    assert lists == [dom.align(a, b) for a, b in zip(trees, trees[1:])]
+
+
+def test_long_and_deep_trees_are_matched_exactly():
+    # 2,000 unlike siblings: a greedy pairing would lose all that follows the first far partner
+    a = (["r"] + ["z"] + ["h", "p"] * 1000 + ["f"], [-1] + [0] * 2002)
+    b = (["r"] + ["h", "p"] * 999 + ["q", "z", "h", "f"], [-1] + [0] * 2002)
+    pairs = dict(dom.align(a, b))
+    assert pairs[2002] == 2002 and len(pairs) == 1 + 1999 + 1
+    deep = (["d"] * 4000 + ["p"], list(range(-1, 4000)))
+    assert len(dom.align(deep, (["d"] * 4000 + ["q"], deep[1]))) == 4000
+
+
+def extracted(spark, rows):
+    pages = spark.createDataFrame([(i, f"http://w.example/{i}", h) for i, h in enumerate(rows)], "page_id long, url string, html string")
+    return [r.text for r in sorted(wrapper.main_texts(pages).collect(), key=lambda r: r.row.page_id)]
+
+
+def test_template_decides_without_tags_and_names(spark):
+    def page(i):
+        return (f"<html><body><div><p>We have been here since 1999</p></div><div><p>Story {i} tells of {i * 7}</p>"
+                f"<p>and of more {i}</p></div><div><p>All of it is ours</p></div></body></html>")
+    rows = [page(i) for i in range(12)]
+    assert extracted(spark, rows) == [f"Story {i} tells of {i * 7} and of more {i}" for i in range(12)]
+    assert "since 1999" in wrapper.main_text(rows[0], [])       # the template, not a rule, leaves it out
+
+
+def test_layouts_of_a_host_have_their_own_template(spark):
+    def page(i):
+        kind = ("home", "single", "list")[i % 3]
+        return (f"<html><body class={kind}><div class={kind}-a><p>Welcome to the {kind} of it</p></div><div class={kind}-b><p>Text {i}</p></div>"
+                f"<div class={kind}-c><p>One line on all pages</p></div></body></html>")
+    assert extracted(spark, [page(i) for i in range(90)]) == [f"Text {i}" for i in range(90)]
+
+
+def test_template_below_deep_blocks_and_behind_many_siblings(spark):
+    deep = ["<html><body>" + "<div>" * 300 + f"<p>own {i}</p><section><p>all the same</p></section>" + "</div>" * 300 for i in range(5)]
+    assert extracted(spark, deep) == [f"own {i}" for i in range(5)]
+    many = ["<html><body><section>" + "".join(f"<h2>t{i} {k}</h2><p>b{i} {k}</p>" for k in range(600 + 40 * i)) +
+            "</section><div><p>the same end</p></div>" for i in range(4)]
+    for i, text in enumerate(extracted(spark, many)):
+        assert text == " ".join(f"t{i} {k} b{i} {k}" for k in range(600 + 40 * i))
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "content no-sidebar", "layout-with-nav", "post-header", "search-results", "legal-news",
+                                  "left-side", "content-share"])
+def test_names_do_not_drop_the_article(name):
+    body = "<h1>Title</h1>" + "<p>A paragraph of the article itself.</p>" * 4
+    page = f"<body><div class='{name}'>{body}</div><div class=box><p>Something else</p></div><div class=comments><p>me too</p></div>"
+    assert wrapper.main_text(page, []).startswith("Title A paragraph of the article") and "me too" not in wrapper.main_text(page, [])
+
+
+def test_teasers_beside_the_main_text():
+    page = ("<body><div class=content><h1>Title</h1>" + "<p>A paragraph of the text.</p>" * 3 +
+            "</div><article>Teaser one</article><article>Teaser two</article>")
+    assert wrapper.main_text(page, []) == "Title" + " A paragraph of the text." * 3
+    assert wrapper.main_text("<body><article>One</article><article>Two</article><p>x</p>", []) == "One Two"
 
 
 def test_broken_and_deep_markup():
