@@ -16,8 +16,8 @@ Queries go to every shard in blocks; each shard answers with its best, scored
 in double precision on the original vectors, and the best of all shards win.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
-components take no part, neither do rows without id; rows equal in id and
-vector count once; vectors of another length are no candidates; an empty table
+components take no part, neither do rows without id; of the usable
+vectors of one id the least counts (by components in order); vectors of another length are no candidates; an empty table
 gives no rows; ties go to the smaller id.
 """
 
@@ -54,6 +54,11 @@ def valid(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
         "dim", F.size("vector"))
 
 
+def one_vector(rows: DataFrame) -> DataFrame:
+    """``valid`` rows with one vector for each id, the least it has."""
+    return rows.groupBy("vec_id").agg(F.min("vector").alias("vector")).withColumn("dim", F.size("vector"))
+
+
 def points(rows: DataFrame, nearest: int) -> DataFrame:
     """``dim, vector, ids``: distinct vectors with their ``nearest + 1`` least ids."""
     rows = rows.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(SALTS)))
@@ -262,5 +267,5 @@ def search(shards: DataFrame, queries: DataFrame, nearest: int = NEAREST, breadt
 
 
 def op8_hnsw_search(spark, sf_dir: str) -> DataFrame:
-    rows = valid(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id", "embedding").distinct()
+    rows = one_vector(valid(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id", "embedding"))
     return search(index(rows), rows.filter("vec_id % 20 = 0"))

@@ -14,6 +14,10 @@ Where an anchor has several classes - the ends of repeats, where contexts part
 is removed unless it is the first with its words. Spans join up to the maximal
 repeats of at least ``WINDOW`` words.
 
+Words are compared by hashes: two windows count as equal where the 64-bit hash
+of their anchor and that of the window (of a run: of its first and last window)
+agree. No words are moved for a second look.
+
 First means the smallest (doc_id, start). A window, run or anchor that a third
 of all documents share is combined to a count or minimum before the shuffle;
 its rows meet that minimum, which is written first, in a join whose skewed

@@ -537,6 +537,14 @@ def test_search_leaves_out_bad_vectors(spark, odd_dir):
     assert got == [(0, 1, 1, 1.0), (0, 2, 20, 1.0), (0, 3, 2, 0.0), (20, 1, 0, 1.0), (20, 2, 1, 1.0), (20, 3, 2, 0.0)]
 
 
+def test_an_id_with_two_vectors_has_the_least(spark, tmp_path):
+    vectors = [(0, [1.0, 0.0]), (1, [3.0, 0.0]), (1, [2.0, 5.0]), (20, [0.5, 9.0]), (20, [0.5, 1.0]), (20, [0.0, 0.0]), (2, [4.0, 0.0])]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>").repartition(3).write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in
+           QUERIES["op8_hnsw_search"](spark, str(tmp_path)).orderBy("query_id", "rank").collect()]
+    assert got == [(0, 1, 2, 4.0), (0, 2, 1, 2.0), (0, 3, 20, 0.5), (20, 1, 1, 6.0), (20, 2, 2, 2.0), (20, 3, 0, 0.5)]
+
+
 def test_graph_recall_without_own_point():
     import pandas as pd
     r = np.random.default_rng(0)
